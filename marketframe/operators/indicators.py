@@ -33,43 +33,60 @@ def indicators_indexed(idx: DataFrame, price: str = "close", keys: Sequence[str]
                        block: int = DEFAULT_BLOCK, sma: Sequence[int] = (5, 20),
                        ema: Sequence[int] = (12, 26), signal: int = 9, rsi_n: int = 14,
                        bb_n: int = 20, bb_k: float = 2.0, vol_n: int = 20,
-                       gate: str | None = None) -> DataFrame:
+                       gate: str | None = None, which: Sequence[str] | None = None) -> DataFrame:
     """Indicators on a frame that already carries ``_mf_i`` (see ``series_index``).
 
+    ``which``: subset of indicator names to compute (default all 13).
     ``gate``: optional boolean column; where false all indicators are null
     (the reference's "more than 20 rows" rule, C10).
     """
     keys = list(keys)
-    halo = max(max(sma) - 1, rsi_n, bb_n - 1, vol_n, 1)
-    B = min(block, *[ewm_block_limit(s) for s in (*ema, signal)])
+    e1, e2 = ema[0], ema[1]
+    sma_names = [f"sma_{n}" for n in sma]
+    ema_names = [f"ema_{e}" for e in ema]
+    names = (sma_names + ema_names + ["macd", "macd_signal", "macd_histogram", "rsi", "bb_middle",
+                                      "bb_upper", "bb_lower", "daily_return", "volatility"])
+    want = set(names if which is None else which)
+    need_ewm = bool(want & {*ema_names, "macd", "macd_signal", "macd_histogram"})
+    need_signal = bool(want & {"macd_signal", "macd_histogram"})
+    lookbacks = [1]
+    lookbacks += [n - 1 for n, nm in zip(sma, sma_names) if nm in want]
+    lookbacks += [rsi_n] if "rsi" in want else []
+    lookbacks += [bb_n - 1] if want & {"bb_middle", "bb_upper", "bb_lower"} else []
+    lookbacks += [vol_n] if "volatility" in want else []
+    halo = max(lookbacks)
+    B = block
+    if need_ewm:
+        B = min(B, *[ewm_block_limit(s) for s in (*ema, *([signal] if need_signal else []))])
     B = max(B, halo + 1)
     c = F.col(price)
     t = with_blocks(idx, B, halo)
-    t = (t.withColumn("_mf_delta", diff_col(c, keys))
-          .withColumn("daily_return", pct_change_col(c, keys)))
-    gain = F.when(F.col("_mf_delta") > 0, F.col("_mf_delta")).otherwise(F.lit(0.0))
-    loss = F.when(F.col("_mf_delta") < 0, -F.col("_mf_delta")).otherwise(F.lit(0.0))
-    rolled = {f"sma_{n}": rolling_mean_col(c, n, keys) for n in sma}
-    rolled["rsi"] = rsi_col(rolling_mean_col(gain, rsi_n, keys), rolling_mean_col(loss, rsi_n, keys))
-    mid = rolling_mean_col(c, bb_n, keys)
-    sd = rolling_std_col(c, bb_n, keys)
-    rolled["bb_middle"] = mid
-    rolled["bb_upper"] = mid + sd * bb_k
-    rolled["bb_lower"] = mid - sd * bb_k
-    rolled["volatility"] = rolling_std_col(F.col("daily_return"), vol_n, keys)
+    if want & {"daily_return", "volatility"}:
+        t = t.withColumn("daily_return", pct_change_col(c, keys))
+    rolled = {nm: rolling_mean_col(c, n, keys) for n, nm in zip(sma, sma_names) if nm in want}
+    if "rsi" in want:
+        t = t.withColumn("_mf_delta", diff_col(c, keys))
+        gain = F.when(F.col("_mf_delta") > 0, F.col("_mf_delta")).otherwise(F.lit(0.0))
+        loss = F.when(F.col("_mf_delta") < 0, -F.col("_mf_delta")).otherwise(F.lit(0.0))
+        rolled["rsi"] = rsi_col(rolling_mean_col(gain, rsi_n, keys), rolling_mean_col(loss, rsi_n, keys))
+    if want & {"bb_middle", "bb_upper", "bb_lower"}:
+        mid = rolling_mean_col(c, bb_n, keys)
+        sd = rolling_std_col(c, bb_n, keys)
+        rolled["bb_middle"] = mid
+        rolled["bb_upper"] = mid + sd * bb_k
+        rolled["bb_lower"] = mid - sd * bb_k
+    if "volatility" in want:
+        rolled["volatility"] = rolling_std_col(F.col("daily_return"), vol_n, keys)
     t = t.select("*", *[v.alias(k) for k, v in rolled.items()]).where(F.col(OWN))
-    e1, e2 = ema[0], ema[1]
-    t = ewm_indexed(t, [(price, f"ema_{e}", e) for e in ema], keys, B)
-    t = t.withColumn("macd", F.col(f"ema_{e1}") - F.col(f"ema_{e2}"))
-    t = ewm_indexed(t, [("macd", "macd_signal", signal)], keys, B)
-    t = t.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))
-    names = ([f"sma_{n}" for n in sma][:1] + [f"sma_{n}" for n in sma][1:]
-             + [f"ema_{e}" for e in ema] + ["macd", "macd_signal", "macd_histogram", "rsi",
-                                           "bb_middle", "bb_upper", "bb_lower", "daily_return",
-                                           "volatility"])
-    base = [x for x in idx.columns]
-    out = [F.col(n) if gate is None else F.when(F.col(gate), F.col(n)).alias(n) for n in names]
-    return t.select(*base, *out)
+    if need_ewm:
+        t = ewm_indexed(t, [(price, f"ema_{e}", e) for e in ema], keys, B)
+        t = t.withColumn("macd", F.col(f"ema_{e1}") - F.col(f"ema_{e2}"))
+        if need_signal:
+            t = ewm_indexed(t, [("macd", "macd_signal", signal)], keys, B)
+            t = t.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))
+    out = [F.col(n) if gate is None else F.when(F.col(gate), F.col(n)).alias(n)
+           for n in names if n in want]
+    return t.select(*idx.columns, *out)
 
 
 def indicators(df: DataFrame, price: str = "close", keys: str | Sequence[str] = ("symbol",),

@@ -35,7 +35,7 @@ from ..session import shuffle_partitions
 IDX = "_mf_i"     # position in the series
 BLK = "_mf_b"     # block the row is evaluated in
 OWN = "_mf_own"   # false for halo copies
-DEFAULT_BLOCK = 2048
+DEFAULT_BLOCK = 1024
 
 
 def _cols(x: str | Sequence[str]) -> list[str]:
@@ -73,8 +73,8 @@ def series_index(df: DataFrame, keys: str | Sequence[str] = ("symbol",),
     # differently for the two consumers below.
     t = (df.repartitionByRange(n, *sort_exprs).sortWithinPartitions(*sort_exprs)
            .withColumn("_mf_mid", F.monotonically_increasing_id()))
-    t = (t.withColumn("_mf_pid", F.shiftright("_mf_mid", 33))
-          .withColumn("_mf_pos", F.col("_mf_mid").bitwiseAND(F.lit((1 << 33) - 1))))
+    t = t.select("*", F.shiftright("_mf_mid", 33).alias("_mf_pid"),
+                 F.col("_mf_mid").bitwiseAND(F.lit((1 << 33) - 1)).alias("_mf_pos"))
     # (key, partition) -> rows; at most (#partitions + #series) rows.
     parts = t.groupBy(*keys, "_mf_pid").agg(F.count(F.lit(1)).alias("_mf_n"),
                                             F.min("_mf_pos").alias("_mf_p0"))
@@ -101,12 +101,12 @@ def with_blocks(indexed: DataFrame, block: int = DEFAULT_BLOCK, halo: int = 0) -
     b = block_of(F.col(IDX), block)
     if halo > 0:
         local = F.col(IDX) - b * block
-        targets = F.when(local >= block - halo, F.array(b, b + 1)).otherwise(F.array(b))
-        return (indexed.withColumn("_mf_home", b)
-                       .withColumn(BLK, F.explode(targets))
-                       .withColumn(OWN, F.col(BLK) == F.col("_mf_home"))
-                       .drop("_mf_home"))
-    return indexed.withColumn(BLK, b).withColumn(OWN, F.lit(True))
+        targets = F.when(local >= block - halo, F.array(F.struct(b.alias("b"), F.lit(True).alias("own")),
+                                                         F.struct((b + 1).alias("b"), F.lit(False).alias("own"))))
+        targets = targets.otherwise(F.array(F.struct(b.alias("b"), F.lit(True).alias("own"))))
+        t = indexed.select("*", F.inline(targets))
+        return t.withColumnsRenamed({"b": BLK, "own": OWN})
+    return indexed.select("*", b.alias(BLK), F.lit(True).alias(OWN))
 
 
 def block_window(keys: Sequence[str]) -> Window:
@@ -198,8 +198,7 @@ def ewm_indexed(blocked: DataFrame, specs: Sequence[tuple[str, str, float]],
     keys = list(keys)
     local = (F.col(IDX) - F.col(BLK) * block).cast("double")
     w = block_window(keys).rowsBetween(Window.unboundedPreceding, 0)
-    staged = blocked
-    k_max, decays = 1, []
+    k_max, decays, sums = 1, [], []
     for n_, (src, out, span) in enumerate(specs):
         if span < 1:
             raise ValueError("span must be >= 1")
@@ -218,17 +217,25 @@ def ewm_indexed(blocked: DataFrame, specs: Sequence[tuple[str, str, float]],
         else:
             inv = F.pow(F.lit(d), -local)
             pw = F.pow(F.lit(d), local)
-        staged = (staged.withColumn(f"_mf_n{n_}", pw * F.sum(F.when(ok, x * inv).otherwise(F.lit(0.0))).over(w))
-                        .withColumn(f"_mf_d{n_}", pw * F.sum(F.when(ok, inv).otherwise(F.lit(0.0))).over(w)))
-    tails = (staged.where(F.col(OWN)).groupBy(*keys, BLK)
-                   .agg(*[F.max_by(f"_mf_{t}{n_}", IDX).alias(f"_mf_t{t}{n_}")
-                          for n_ in range(len(specs)) for t in "nd"]))
-    ks = F.explode(F.sequence(F.lit(1), F.lit(k_max))).alias("_mf_k")
-    carry = (tails.select("*", ks)
-                  .groupBy(*[F.col(k).alias(f"_mf_k{j}") for j, k in enumerate(keys)],
-                           (F.col(BLK) + F.col("_mf_k")).alias("_mf_b2"))
-                  .agg(*[F.sum(F.col(f"_mf_t{t}{n_}") * F.pow(F.lit(D), F.col("_mf_k") - 1)).alias(f"_mf_c{t}{n_}")
-                         for n_, (_, D) in enumerate(decays) for t in "nd"]))
+        sums += [(pw * F.sum(F.when(ok, x * inv).otherwise(F.lit(0.0))).over(w)).alias(f"_mf_n{n_}"),
+                 (pw * F.sum(F.when(ok, inv).otherwise(F.lit(0.0))).over(w)).alias(f"_mf_d{n_}")]
+    staged = blocked.select("*", *sums)
+    # The state at the end of a block is the running value of its last row;
+    # only full blocks (last position B-1) are followed by another block.
+    tails = staged.where(F.col(OWN) & (local == block - 1)).select(
+        *[F.col(k).alias(f"_mf_k{j}") for j, k in enumerate(keys)], F.col(BLK),
+        *[F.col(f"_mf_{t}{n_}") for n_ in range(len(specs)) for t in "nd"])
+    if k_max == 1:   # (d^B)^1 is below double precision: the previous block alone
+        carry = tails.select(*[f"_mf_k{j}" for j in range(len(keys))], (F.col(BLK) + 1).alias("_mf_b2"),
+                             *[F.col(f"_mf_{t}{n_}").alias(f"_mf_c{t}{n_}")
+                               for n_ in range(len(specs)) for t in "nd"])
+    else:
+        ks = F.explode(F.sequence(F.lit(1), F.lit(k_max))).alias("_mf_k")
+        carry = (tails.select("*", ks)
+                      .groupBy(*[f"_mf_k{j}" for j in range(len(keys))],
+                               (F.col(BLK) + F.col("_mf_k")).alias("_mf_b2"))
+                      .agg(*[F.sum(F.col(f"_mf_{t}{n_}") * F.pow(F.lit(D), F.col("_mf_k") - 1)).alias(f"_mf_c{t}{n_}")
+                             for n_, (_, D) in enumerate(decays) for t in "nd"]))
     cond = [staged[k].eqNullSafe(carry[f"_mf_k{j}"]) for j, k in enumerate(keys)]
     cond.append(staged[BLK] == carry["_mf_b2"])
     j = staged.join(carry, cond, "left")

@@ -53,5 +53,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def materialize(df, name: str = "stage"):
+    """Write ``df`` as Parquet to a fresh folder under the shared checkpoint
+    directory and return a DataFrame over it.
+
+    Cuts lineage at a stage boundary: later plans start from a small scan
+    (with exact size statistics for AQE) instead of re-deriving the stage,
+    and a lost executor re-reads the written files instead of recomputing.
+    """
+    import uuid
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -96,3 +96,222 @@ def status_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(F.col("event_type").alias("service"), fields.alias("field"),
                      F.format_string("%.2f", "value").alias("value"),
                      F.col("ts"), F.col("event_id").alias("seq"))
+
+
+# ---------------------------------------------------------------- B5: landing payloads
+#
+# Each builder serializes rows of the provided tables into the vendor's JSON
+# shape, one landing row per response. Groups are bounded (a calendar span,
+# a doc-id range of 16/32, one supplier-month), never a whole table.
+
+FETCH_BATCH = "20240131_000000"
+
+
+def _landing(df: DataFrame, feed: str, symbol, payload, batch=None, fetched=None) -> DataFrame:
+    return df.select(F.lit(feed).alias("feed"),
+                     (symbol if isinstance(symbol, Column) else F.lit(symbol)).cast("string").alias("symbol"),
+                     (fetched if fetched is not None else F.lit("2024-01-31 00:00:00")).cast("timestamp")
+                     .alias("fetched_at"),
+                     (batch if batch is not None else F.lit(FETCH_BATCH)).alias("batch_id"),
+                     payload.alias("payload"))
+
+
+def landing_quote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quote responses from B3, plus responses without ``c`` (events props)."""
+    q = quotes_events(spark, sf_dir)
+    body = F.to_json(F.struct(F.col("current_price").alias("c"), F.col("high_price").alias("h"),
+                              F.col("low_price").alias("l"), F.col("open_price").alias("o"),
+                              F.col("previous_close").alias("pc"), F.col("change").alias("d"),
+                              F.col("change_percent").alias("dp")))
+    good = _landing(q, "quote", F.col("symbol"), body, F.col("batch_id"), F.col("timestamp"))
+    ev = read(spark, sf_dir, "events")
+    other = _landing(ev, "quote", F.col("event_type"), F.col("props"),
+                     batch_id_of(F.to_date("ts")), F.col("ts"))
+    return good.unionByName(other)
+
+
+def _field(name: str):
+    return lambda x: x[name]
+
+
+def landing_candle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candle responses: B1 arrays per symbol over its 30-day span (sorted by
+    date), plus a ``no_data`` response per symbol."""
+    b = bars_events(spark, sf_dir)
+    g = b.groupBy("symbol").agg(F.array_sort(F.collect_list(F.struct(
+        "date", "open", "high", "low", "close", "volume"))).alias("a"))
+    body = F.to_json(F.struct(
+        F.lit("ok").alias("s"),
+        F.transform("a", lambda x: F.unix_timestamp(x["date"].cast("timestamp"))).alias("t"),
+        *[F.transform("a", _field(k)).alias(s) for k, s in
+          (("open", "o"), ("high", "h"), ("low", "l"), ("close", "c"), ("volume", "v"))]))
+    ok = _landing(g, "candle", F.col("symbol"), body)
+    nodata = _landing(g, "candle", F.col("symbol"), F.to_json(F.struct(F.lit("no_data").alias("s"))))
+    return ok.unionByName(nodata)
+
+
+def landing_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profile responses from supplier x nation."""
+    s = read(spark, sf_dir, "supplier").join(read(spark, sf_dir, "nation"),
+                                             F.col("s_nationkey") == F.col("n_nationkey"))
+    body = F.to_json(F.struct(F.col("s_name").alias("name"), F.col("n_name").alias("country"),
+                              F.col("s_acctbal").alias("marketCapitalization")))
+    return _landing(s, "profile", F.col("s_name"), body)
+
+
+def _doc_news(spark, sf_dir, feed, group, symbol, with_related):
+    d = read(spark, sf_dir, "documents")
+    item = F.struct(F.col("doc_id").alias("datetime"), F.col("text").alias("headline"),
+                    F.col("source").alias("source"), F.col("lang").alias("category"),
+                    *([F.col("lang").alias("related")] if with_related else []))
+    keys = [F.floor(F.col("doc_id") / group).alias("g")] + ([F.col("lang").alias("sym")] if symbol else [])
+    g = d.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("items"))
+    return _landing(g, feed, F.col("sym") if symbol else F.lit(None), F.to_json("items"))
+
+
+def landing_company_news(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Company news responses: documents of one language in doc-id ranges of 16."""
+    return _doc_news(spark, sf_dir, "company_news", 16, True, False)
+
+
+def landing_market_news(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Market news responses: documents in doc-id ranges of 32."""
+    return _doc_news(spark, sf_dir, "market_news", 32, False, True)
+
+
+def _quarters(spark, sf_dir):
+    o = read(spark, sf_dir, "orders")
+    return (o.groupBy("o_orderstatus", F.year("o_orderdate").alias("y"), F.quarter("o_orderdate").alias("q"))
+             .agg(F.avg("o_totalprice").alias("avg_p"), F.min("o_totalprice").alias("min_p"),
+                  F.max("o_totalprice").alias("max_p"),
+                  F.min(F.to_date("o_orderdate")).alias("first_d"), F.max(F.to_date("o_orderdate")).alias("last_d")))
+
+
+def _per_status(df, item, feed, desc_key):
+    g = df.groupBy("o_orderstatus").agg(F.array_sort(F.collect_list(F.struct(desc_key.alias("_k"), item.alias("x")))).alias("a"))
+    return _landing(g, feed, F.col("o_orderstatus"), F.to_json(F.transform("a", lambda s: s["x"])))
+
+
+def landing_earnings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Earnings responses: per order status, one item per quarter, newest first."""
+    qd = F.make_date("y", F.col("q") * 3 - 2, F.lit(1))
+    item = F.struct(F.col("avg_p").alias("actual"), F.col("min_p").alias("estimate"),
+                    F.date_format(qd, "yyyy-MM-dd").alias("period"), F.col("q").alias("quarter"),
+                    F.col("y").alias("year"))
+    return _per_status(_quarters(spark, sf_dir), item, "earnings", -(F.col("y") * 10 + F.col("q")))
+
+
+def landing_dividend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dividend responses: per order status, one record per quarter, newest first."""
+    qd = F.make_date("y", F.col("q") * 3 - 2, F.lit(1))
+    item = F.struct(F.col("avg_p").alias("amount"), F.col("max_p").alias("adjustedAmount"),
+                    F.date_format(qd, "yyyy-MM-dd").alias("declarationDate"),
+                    F.date_format("first_d", "yyyy-MM-dd").alias("exDate"),
+                    F.date_format("last_d", "yyyy-MM-dd").alias("payDate"))
+    return _per_status(_quarters(spark, sf_dir), item, "dividend", -(F.col("y") * 10 + F.col("q")))
+
+
+def landing_recommendation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recommendation responses: per order status, monthly counts by order
+    priority (1..5 -> strongBuy, buy, hold, sell, strongSell), newest first."""
+    o = read(spark, sf_dir, "orders")
+    pr = F.substring("o_orderpriority", 1, 1)
+    m = (o.groupBy("o_orderstatus", F.trunc(F.to_date("o_orderdate"), "month").alias("m"))
+          .agg(*[F.sum((pr == str(i)).cast("int")).alias(n) for i, n in
+                 enumerate(["strongBuy", "buy", "hold", "sell", "strongSell"], 1)]))
+    item = F.struct("buy", "hold", "sell", "strongBuy", "strongSell",
+                    F.date_format("m", "yyyy-MM-dd").alias("period"))
+    return _per_status(m, item, "recommendation", -F.unix_date("m"))
+
+
+def landing_financials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Financials responses: per brand, one report per ship year, newest first."""
+    li = read(spark, sf_dir, "lineitem").select("l_partkey", "l_shipdate")
+    p = read(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    y = (li.join(p, F.col("l_partkey") == F.col("p_partkey"))
+           .groupBy("p_brand", F.year("l_shipdate").alias("y"))
+           .agg(F.min("l_shipdate").alias("s"), F.max("l_shipdate").alias("e")))
+    item = F.struct(F.col("y").alias("year"),
+                    F.date_format("s", "yyyy-MM-dd HH:mm:ss").alias("startDate"),
+                    F.date_format("e", "yyyy-MM-dd HH:mm:ss").alias("endDate"))
+    g = y.groupBy("p_brand").agg(F.array_sort(F.collect_list(F.struct((-F.col("y")).alias("_k"), item.alias("x")))).alias("a"))
+    body = F.to_json(F.struct(F.transform("a", lambda s: s["x"]).alias("data")))
+    return _landing(g, "financials", F.col("p_brand"), body)
+
+
+def landing_insider(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Insider responses: per supplier and ship month, its line items newest first."""
+    li = read(spark, sf_dir, "lineitem")
+    d = F.to_date("l_shipdate")
+    item = F.struct((-F.unix_date(d)).alias("_k0"), F.col("l_orderkey").alias("_k1"),
+                    F.col("l_linenumber").alias("_k2"), F.col("l_partkey").alias("_k3"),
+                    F.col("l_quantity").alias("_k4"), F.col("l_returnflag").alias("_k5"),
+                    F.struct(F.col("l_orderkey").cast("string").alias("name"),
+                             F.col("l_partkey").alias("share"),
+                             F.col("l_quantity").cast("bigint").alias("change"),
+                             F.date_format(d, "yyyy-MM-dd").alias("filingDate"),
+                             F.date_format(d, "yyyy-MM-dd").alias("transactionDate"),
+                             F.col("l_returnflag").alias("transactionCode")).alias("x"))
+    g = li.groupBy("l_suppkey", F.trunc(d, "month").alias("m")).agg(F.array_sort(F.collect_list(item)).alias("a"))
+    body = F.to_json(F.struct(F.transform("a", lambda s: s["x"]).alias("data")))
+    return _landing(g, "insider", F.concat(F.lit("S"), F.col("l_suppkey").cast("string")), body)
+
+
+def landing_social(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Social responses: per event type and day; reddit from even users,
+    twitter from odd users; a side without events is an empty list."""
+    ev = read(spark, sf_dir, "events")
+    cols = []
+    for side, par in (("reddit", 0), ("twitter", 1)):
+        mine = (F.col("user_id") % 2) == par
+        cols += [F.sum(mine.cast("long")).alias(f"{side}_n"),
+                 F.sum((mine & (F.col("value") >= 50)).cast("long")).alias(f"{side}_pos"),
+                 F.sum((mine & (F.col("value") < 50)).cast("long")).alias(f"{side}_neg"),
+                 F.avg(F.when(mine, F.col("value"))).alias(f"{side}_score")]
+    g = ev.groupBy(F.col("event_type").alias("sym"), F.to_date("ts").alias("d")).agg(*cols)
+    empty = F.array().cast(T.ArrayType(T.StructType([
+        T.StructField("mention", T.LongType()), T.StructField("positiveMention", T.LongType()),
+        T.StructField("negativeMention", T.LongType()), T.StructField("score", T.DoubleType())])))
+    sides = [F.when(F.col(f"{s}_n") > 0, F.array(F.struct(
+        F.col(f"{s}_n").alias("mention"), F.col(f"{s}_pos").alias("positiveMention"),
+        F.col(f"{s}_neg").alias("negativeMention"), F.col(f"{s}_score").alias("score")))).otherwise(empty).alias(s)
+        for s in ("reddit", "twitter")]
+    return _landing(g, "social", F.col("sym"), F.to_json(F.struct(*sides)), batch_id_of(F.col("d")),
+                    F.col("d").cast("timestamp"))
+
+
+def landing_ipo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IPO calendar responses: parts in key ranges of 50."""
+    p = read(spark, sf_dir, "part")
+    item = F.struct(F.col("p_partkey").alias("_k"), F.struct(
+        F.col("p_brand").alias("exchange"), F.col("p_name").alias("name"),
+        F.col("p_size").cast("bigint").alias("numberOfShares"),
+        F.col("p_retailprice").cast("string").alias("price"), F.col("p_type").alias("status"),
+        F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("symbol"),
+        (F.col("p_size") * F.col("p_retailprice")).alias("totalSharesValue")).alias("x"))
+    g = p.groupBy(F.floor(F.col("p_partkey") / 50).alias("g")).agg(F.array_sort(F.collect_list(item)).alias("a"))
+    body = F.to_json(F.struct(F.transform("a", lambda s: s["x"]).alias("ipoCalendar")))
+    return _landing(g, "ipo", F.lit(None), body)
+
+
+def landing_junk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses that are not JSON: raw web pages landed as profile bodies."""
+    pg = read(spark, sf_dir, "pages")
+    return _landing(pg, "profile", F.col("page_id"), F.col("html"))
+
+
+LANDING_BUILDERS = {
+    "quote": landing_quote, "candle": landing_candle, "profile": landing_profile,
+    "company_news": landing_company_news, "earnings": landing_earnings,
+    "financials": landing_financials, "insider": landing_insider,
+    "recommendation": landing_recommendation, "social": landing_social,
+    "dividend": landing_dividend, "market_news": landing_market_news, "ipo": landing_ipo,
+}
+
+
+def landing_all(spark: SparkSession, sf_dir: str, junk: bool = True) -> DataFrame:
+    out = None
+    for fn in LANDING_BUILDERS.values():
+        df = fn(spark, sf_dir)
+        out = df if out is None else out.unionByName(df)
+    return out.unionByName(landing_junk(spark, sf_dir)) if junk else out
