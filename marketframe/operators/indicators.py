@@ -13,8 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .series import (BLK, DEFAULT_BLOCK, IDX, OWN, _cols, diff_col, ewm_block_limit,
-                     ewm_indexed, pct_change_col, rolling_mean_col, rolling_std_col,
+from .series import (BLK, DEFAULT_BLOCK, IDX, OWN, _cols, diff_col, ewm_block_limit, ewm_col,
+                     ewm_halo, pct_change_col, rolling_mean_col, rolling_std_col,
                      series_index, with_blocks)
 
 # The 13 indicator columns of the reference's cleaning job, in its order.
@@ -54,18 +54,35 @@ def indicators_indexed(idx: DataFrame, price: str = "close", keys: Sequence[str]
     lookbacks += [rsi_n] if "rsi" in want else []
     lookbacks += [bb_n - 1] if want & {"bb_middle", "bb_upper", "bb_lower"} else []
     lookbacks += [vol_n] if "volatility" in want else []
-    halo = max(lookbacks)
-    B = block
+    spans = []
     if need_ewm:
-        B = min(B, *[ewm_block_limit(s) for s in (*ema, *([signal] if need_signal else []))])
-    B = max(B, halo + 1)
+        spans = list(ema)
+        lookbacks += [ewm_halo(e) for e in ema]
+        if need_signal:
+            spans.append(signal)
+            lookbacks.append(max(ewm_halo(e) for e in ema) + ewm_halo(signal))
+    halo = max(lookbacks)
+    limit = min([ewm_block_limit(s_) for s_ in spans], default=1 << 30)
+    if halo > limit:
+        raise ValueError(f"EWM halo {halo} exceeds the exponent limit {limit}; use larger spans")
+    B = max(min(block, limit), halo + 1)
     c = F.col(price)
     t = with_blocks(idx, B, halo)
+    # pass 1: lags and EMAs; pass 2: rolling frames, MACD signal. One
+    # partitioning and order for all: a single exchange and sort.
+    first = {}
     if want & {"daily_return", "volatility"}:
-        t = t.withColumn("daily_return", pct_change_col(c, keys))
+        first["daily_return"] = pct_change_col(c, keys)
+    if "rsi" in want:
+        first["_mf_delta"] = diff_col(c, keys)
+    if need_ewm:
+        for e in ema:
+            first[f"ema_{e}"] = ewm_col(c, e, keys, B)
+    t = t.select("*", *[v.alias(k) for k, v in first.items()])
+    if need_ewm:
+        t = t.withColumn("macd", F.col(f"ema_{e1}") - F.col(f"ema_{e2}"))
     rolled = {nm: rolling_mean_col(c, n, keys) for n, nm in zip(sma, sma_names) if nm in want}
     if "rsi" in want:
-        t = t.withColumn("_mf_delta", diff_col(c, keys))
         gain = F.when(F.col("_mf_delta") > 0, F.col("_mf_delta")).otherwise(F.lit(0.0))
         loss = F.when(F.col("_mf_delta") < 0, -F.col("_mf_delta")).otherwise(F.lit(0.0))
         rolled["rsi"] = rsi_col(rolling_mean_col(gain, rsi_n, keys), rolling_mean_col(loss, rsi_n, keys))
@@ -77,13 +94,11 @@ def indicators_indexed(idx: DataFrame, price: str = "close", keys: Sequence[str]
         rolled["bb_lower"] = mid - sd * bb_k
     if "volatility" in want:
         rolled["volatility"] = rolling_std_col(F.col("daily_return"), vol_n, keys)
+    if need_signal:
+        rolled["macd_signal"] = ewm_col(F.col("macd"), signal, keys, B)
     t = t.select("*", *[v.alias(k) for k, v in rolled.items()]).where(F.col(OWN))
-    if need_ewm:
-        t = ewm_indexed(t, [(price, f"ema_{e}", e) for e in ema], keys, B)
-        t = t.withColumn("macd", F.col(f"ema_{e1}") - F.col(f"ema_{e2}"))
-        if need_signal:
-            t = ewm_indexed(t, [("macd", "macd_signal", signal)], keys, B)
-            t = t.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))
+    if need_signal:
+        t = t.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))
     out = [F.col(n) if gate is None else F.when(F.col(gate), F.col(n)).alias(n)
            for n in names if n in want]
     return t.select(*idx.columns, *out)
@@ -133,9 +148,15 @@ def pct_change(df: DataFrame, col: str = "close", out: str | None = None,
 
 def ewm_mean(df: DataFrame, col: str = "close", span: float = 12, out: str | None = None,
              keys=("symbol",), order=("date",), block: int = DEFAULT_BLOCK) -> DataFrame:
-    """pandas ``ewm(span=span).mean()`` per series as a blocked scan."""
+    """pandas ``ewm(span=span).mean()`` per series as a blocked running sum
+    with an ``ewm_halo(span)``-row halo (I03)."""
     keys, order = _cols(keys), _cols(order)
-    B = min(block, ewm_block_limit(span))
-    t = with_blocks(series_index(df, keys, order), B, 0)
-    t = ewm_indexed(t, [(col, out or f"ema_{int(span) if float(span).is_integer() else span}", span)], keys, B)
+    halo = ewm_halo(span)
+    limit = ewm_block_limit(span)
+    if halo > limit:
+        raise ValueError(f"span {span}: halo {halo} exceeds the exponent limit {limit}")
+    B = max(min(block, limit), halo + 1)
+    name = out or f"ema_{int(span) if float(span).is_integer() else span}"
+    t = with_blocks(series_index(df, keys, order), B, halo)
+    t = t.select("*", ewm_col(F.col(col), span, keys, B).alias(name)).where(F.col(OWN))
     return t.drop(IDX, BLK, OWN)

@@ -53,13 +53,13 @@ def clean_bars(raw: DataFrame, batch: str = "batch_id", keys: Sequence[str] = ("
     series = [batch, *keys] if batch in raw.columns else list(keys)
     d = dedup_rows(raw)
     prices = [c for c in PRICE_COLUMNS if c in d.columns]
-    idx = series_index(d, series, order)
+    idx = series_index(d, series, order, with_len=True)
     t = fill_indexed(with_blocks(idx, block, 0), prices, series).drop(BLK, OWN)
-    if batch in t.columns:
-        t = fill_median(t, batch=batch, approx=approx_median)
-    t = min_rows_gate(t, series, min_rows, "_mf_gate")
+    t = t.withColumn("_mf_gate", F.col("_mf_len") > min_rows).drop("_mf_len")
     if cut_lineage:
         t = materialize(t, "clean-bars")
+    if batch in t.columns:
+        t = fill_median(t, batch=batch, approx=approx_median)
     out = indicators_indexed(t, "close", series, block, gate="_mf_gate")
     return out.drop(IDX, "_mf_gate")
 

@@ -13,9 +13,12 @@ series is cut into blocks of ``B`` consecutive rows instead:
 2. ``with_blocks`` assigns block ``b = i div B`` and copies the last ``halo``
    rows of each block into the next one, so trailing frames of up to
    ``halo + 1`` rows are exact inside ``Window.partitionBy(key, b)``.
-3. Frames that reach the series start (forward/backward fill, EWM) combine a
-   per-block value with a carry computed on the block table, which is ``B``
-   times smaller than the data.
+3. EWM: weights of rows more than ``H = ceil((46 + ln(1/(1-d))) / -ln d)``
+   back are below 1e-20 of the window mass, so a halo of H rows turns the
+   EWM into a running sum inside the block - exact to double precision.
+4. Unbounded frames that reach the series start (forward/backward fill)
+   combine a per-block value with a carry from the block table, which is
+   ``B`` times smaller than the data.
 
 All windows of one pass share ``partitionBy(key, b).orderBy(i)``, so Catalyst
 plans one exchange and one sort for them.
@@ -30,12 +33,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import shuffle_partitions
+from ..session import materialize, shuffle_partitions
 
 IDX = "_mf_i"     # position in the series
 BLK = "_mf_b"     # block the row is evaluated in
 OWN = "_mf_own"   # false for halo copies
-DEFAULT_BLOCK = 1024
+DEFAULT_BLOCK = 2048
 
 
 def _cols(x: str | Sequence[str]) -> list[str]:
@@ -54,12 +57,18 @@ def _orderable(dt: T.DataType) -> bool:
 
 def series_index(df: DataFrame, keys: str | Sequence[str] = ("symbol",),
                  order: str | Sequence[str] = ("date",),
-                 num_partitions: int | None = None) -> DataFrame:
-    """Add ``_mf_i``: 0-based position of each row within its series.
+                 num_partitions: int | None = None, stage: bool = True,
+                 with_len: bool = False) -> DataFrame:
+    """Add ``_mf_i``: 0-based position of each row within its series
+    (and ``_mf_len``, the series length, with ``with_len``).
 
     Order: ``order`` ascending with nulls last (as pandas ``sort_values``);
     the remaining orderable columns break ties, so rows that still tie are
     identical and any order among them gives the same result.
+
+    ``stage`` writes the sorted, tagged rows once to the shared checkpoint
+    folder; the count branch and the row branch then both scan that table
+    instead of each re-deriving ``df`` (and its shuffles).
     """
     keys, order = _cols(keys), _cols(order)
     spark = df.sparkSession
@@ -69,24 +78,29 @@ def series_index(df: DataFrame, keys: str | Sequence[str] = ("symbol",),
     sort_exprs = ([F.col(k).asc_nulls_first() for k in keys]
                   + [F.col(o).asc_nulls_last() for o in order]
                   + [F.col(c).asc_nulls_first() for c in tail])
-    # Explicit partition count: AQE must not coalesce this exchange
-    # differently for the two consumers below.
+    # Explicit partition count: a fixed range layout for both consumers.
+    mid = F.monotonically_increasing_id()
     t = (df.repartitionByRange(n, *sort_exprs).sortWithinPartitions(*sort_exprs)
-           .withColumn("_mf_mid", F.monotonically_increasing_id()))
-    t = t.select("*", F.shiftright("_mf_mid", 33).alias("_mf_pid"),
+           .withColumn("_mf_mid", mid))
+    t = t.select(*df.columns, F.shiftright("_mf_mid", 33).alias("_mf_pid"),
                  F.col("_mf_mid").bitwiseAND(F.lit((1 << 33) - 1)).alias("_mf_pos"))
+    if stage:
+        t = materialize(t, "series-index")
     # (key, partition) -> rows; at most (#partitions + #series) rows.
     parts = t.groupBy(*keys, "_mf_pid").agg(F.count(F.lit(1)).alias("_mf_n"),
                                             F.min("_mf_pos").alias("_mf_p0"))
-    before = Window.partitionBy(*keys).orderBy("_mf_pid").rowsBetween(Window.unboundedPreceding, -1)
+    wk = Window.partitionBy(*keys)
+    before = wk.orderBy("_mf_pid").rowsBetween(Window.unboundedPreceding, -1)
+    extra = [F.sum("_mf_n").over(wk).alias("_mf_len2")] if with_len else []
     parts = parts.select(*[F.col(k).alias(f"_mf_k{j}") for j, k in enumerate(keys)],
                          F.col("_mf_pid").alias("_mf_pid2"), "_mf_p0",
-                         F.coalesce(F.sum("_mf_n").over(before), F.lit(0)).alias("_mf_start"))
+                         F.coalesce(F.sum("_mf_n").over(before), F.lit(0)).alias("_mf_start"), *extra)
     cond = [t[k].eqNullSafe(parts[f"_mf_k{j}"]) for j, k in enumerate(keys)]
     cond.append(t["_mf_pid"] == parts["_mf_pid2"])
     out = t.join(parts, cond, "inner")
     return out.select(*[t[c] for c in df.columns],
-                      (F.col("_mf_start") + F.col("_mf_pos") - F.col("_mf_p0")).alias(IDX))
+                      (F.col("_mf_start") + F.col("_mf_pos") - F.col("_mf_p0")).alias(IDX),
+                      *([F.col("_mf_len2").alias("_mf_len")] if with_len else []))
 
 
 def block_of(i: Column, block: int) -> Column:
@@ -174,75 +188,45 @@ def fill_indexed(blocked: DataFrame, cols: Sequence[str], keys: Sequence[str]) -
 
 # ---------------------------------------------------------------- EWM
 
+def ewm_decay(span: float) -> float:
+    if span < 1:
+        raise ValueError("span must be >= 1")
+    return 1.0 - 2.0 / (span + 1.0)
+
+
+def ewm_halo(span: float) -> int:
+    """Rows of history after which the remaining EWM weight is < 1e-20 of
+    the window mass (so truncating there is exact in double precision)."""
+    d = ewm_decay(span)
+    if d == 0.0:
+        return 0
+    return math.ceil((46.0 + math.log(1.0 / (1.0 - d))) / -math.log(d))
+
+
 def ewm_block_limit(span: float) -> int:
-    """Largest block for which d^-B stays far from double overflow."""
-    d = 1.0 - 2.0 / (span + 1.0)
-    if d <= 0.0:
+    """Largest |row offset| for which d^offset stays far from double overflow."""
+    d = ewm_decay(span)
+    if d == 0.0:
         return 1 << 30
-    return max(1, int(600.0 / -math.log(d)))
+    return max(1, int(650.0 / -math.log(d)))
 
 
-def ewm_indexed(blocked: DataFrame, specs: Sequence[tuple[str, str, float]],
-                keys: Sequence[str], block: int) -> DataFrame:
-    """pandas ``ewm(span, adjust=True).mean()`` for each ``(src, out, span)``.
+def ewm_col(x: Column, span: float, keys: Sequence[str], block: int) -> Column:
+    """pandas ``ewm(span, adjust=True).mean()`` inside blocked windows.
 
     ``y_i = sum_j d^(i-j) x_j / sum_j d^(i-j)`` over non-null ``x_j`` (nulls
-    keep decaying, as pandas with ``ignore_na=False``), ``d = 1 - 2/(span+1)``.
-    Inside a block the sums are ``d^l * running_sum(x_j d^-j)``; the state at
-    the end of earlier blocks arrives as a carry from the block table: tails
-    of the K preceding blocks weighted by ``(d^B)^(k-1)``, K the smallest
-    count whose older weight ``(d^B)^K`` is below 1e-20 of the window mass -
-    the omitted terms are below double precision. All specs share one window
-    pass, one block table and one join. Only own (non-halo) rows are used.
+    keep decaying, as pandas with ``ignore_na=False``), ``d = 1 - 2/(span+1)``,
+    written as ``d^l * running_sum(x_j d^-l_j)`` with ``l`` the offset from
+    the block's own first row (halo rows have negative ``l``). Exact when the
+    block carries at least ``ewm_halo(span)`` halo rows.
     """
-    keys = list(keys)
+    d = ewm_decay(span)
     local = (F.col(IDX) - F.col(BLK) * block).cast("double")
     w = block_window(keys).rowsBetween(Window.unboundedPreceding, 0)
-    k_max, decays, sums = 1, [], []
-    for n_, (src, out, span) in enumerate(specs):
-        if span < 1:
-            raise ValueError("span must be >= 1")
-        if block > ewm_block_limit(span):
-            raise ValueError(f"block {block} too large for span {span}; use <= {ewm_block_limit(span)}")
-        d = 1.0 - 2.0 / (span + 1.0)
-        D = d ** block
-        if 0.0 < D:
-            k_max = max(k_max, math.ceil((46.0 + math.log(1.0 / (1.0 - d))) / (-math.log(D))))
-        decays.append((d, D))
-        x = F.col(src)
-        ok = F.col(OWN) & x.isNotNull()
-        if d == 0.0:
-            inv = F.when(local == 0, F.lit(1.0)).otherwise(F.lit(0.0))  # only the current row counts
-            pw = F.lit(1.0)
-        else:
-            inv = F.pow(F.lit(d), -local)
-            pw = F.pow(F.lit(d), local)
-        sums += [(pw * F.sum(F.when(ok, x * inv).otherwise(F.lit(0.0))).over(w)).alias(f"_mf_n{n_}"),
-                 (pw * F.sum(F.when(ok, inv).otherwise(F.lit(0.0))).over(w)).alias(f"_mf_d{n_}")]
-    staged = blocked.select("*", *sums)
-    # The state at the end of a block is the running value of its last row;
-    # only full blocks (last position B-1) are followed by another block.
-    tails = staged.where(F.col(OWN) & (local == block - 1)).select(
-        *[F.col(k).alias(f"_mf_k{j}") for j, k in enumerate(keys)], F.col(BLK),
-        *[F.col(f"_mf_{t}{n_}") for n_ in range(len(specs)) for t in "nd"])
-    if k_max == 1:   # (d^B)^1 is below double precision: the previous block alone
-        carry = tails.select(*[f"_mf_k{j}" for j in range(len(keys))], (F.col(BLK) + 1).alias("_mf_b2"),
-                             *[F.col(f"_mf_{t}{n_}").alias(f"_mf_c{t}{n_}")
-                               for n_ in range(len(specs)) for t in "nd"])
-    else:
-        ks = F.explode(F.sequence(F.lit(1), F.lit(k_max))).alias("_mf_k")
-        carry = (tails.select("*", ks)
-                      .groupBy(*[f"_mf_k{j}" for j in range(len(keys))],
-                               (F.col(BLK) + F.col("_mf_k")).alias("_mf_b2"))
-                      .agg(*[F.sum(F.col(f"_mf_{t}{n_}") * F.pow(F.lit(D), F.col("_mf_k") - 1)).alias(f"_mf_c{t}{n_}")
-                             for n_, (_, D) in enumerate(decays) for t in "nd"]))
-    cond = [staged[k].eqNullSafe(carry[f"_mf_k{j}"]) for j, k in enumerate(keys)]
-    cond.append(staged[BLK] == carry["_mf_b2"])
-    j = staged.join(carry, cond, "left")
-    outs = []
-    for n_, ((src, out, span), (d, D)) in enumerate(zip(specs, decays)):
-        decay = F.pow(F.lit(d), local + 1)
-        tot_n = F.col(f"_mf_n{n_}") + F.coalesce(F.col(f"_mf_cn{n_}"), F.lit(0.0)) * decay
-        tot_d = F.col(f"_mf_d{n_}") + F.coalesce(F.col(f"_mf_cd{n_}"), F.lit(0.0)) * decay
-        outs.append(F.when(F.col(OWN) & (tot_d > 0), tot_n / tot_d).alias(out))
-    return j.select(*[staged[c] for c in blocked.columns], *outs)
+    ok = x.isNotNull()
+    if d == 0.0:
+        return F.when(ok, x)
+    inv = F.pow(F.lit(d), -local)
+    num = F.sum(F.when(ok, x * inv).otherwise(F.lit(0.0))).over(w)
+    den = F.sum(F.when(ok, inv).otherwise(F.lit(0.0))).over(w)
+    return F.when(den > 0, num / den)

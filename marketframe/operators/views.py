@@ -157,7 +157,7 @@ def summary_steps(summary: DataFrame) -> DataFrame:
         F.struct(F.lit("rows_removed").alias("key"), F.col("s.rows_removed").cast("string").alias("value")),
         F.struct(F.lit("missing_before").alias("key"), F.col("s.missing_before").cast("string").alias("value")),
         F.struct(F.lit("missing_after").alias("key"), F.col("s.missing_after").cast("string").alias("value")),
-        F.struct(F.lit("added").alias("key"), F.to_json(F.col("s.added")).alias("value")))))
+        F.struct(F.lit("added").alias("key"), F.array_join(F.col("s.added"), ",").alias("value")))))
     return metrics.unionByName(kv.where(F.col("value").isNotNull()))
 
 
