@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-__all__ = ["round_half_even", "project_available", "for_symbol", "clip_sign", "round_numeric", "label",
+__all__ = ["nan_to_null", "round_half_even", "project_available", "for_symbol", "clip_sign", "round_numeric", "label",
            "format_metrics", "epoch_to_ts", "epoch_to_date", "with_default", "ensure_symbol",
            "parse_symbols", "date_window"]
 
@@ -29,6 +29,14 @@ def clip_sign(c: Column, sign: int = 1) -> Column:
     return (F.when(c > 0, c) if sign > 0 else F.when(c < 0, -c)).otherwise(F.lit(0.0))
 
 
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """NaN doubles -> null, so that Spark's null means pandas' missing value
+    (the source boundary rule: every operator treats null as missing)."""
+    frac = (T.DoubleType, T.FloatType)
+    return df.select(*[F.nanvl(F.col(f.name), F.lit(None).cast(f.dataType)).alias(f.name)
+                       if isinstance(f.dataType, frac) else F.col(f.name) for f in df.schema.fields])
+
+
 def round_half_even(c: Column, n: int = 2) -> Column:
     """pandas/numpy rounding: ``rint(x * 10^n) / 10^n`` on the binary value
     (ties to even). Spark's ``round`` rounds the decimal text half-up and

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.scalar import round_half_even
+from ..functions.scalar import nan_to_null, round_half_even
 from .clean import (PRICE_COLUMNS, dedup_rows, fill_median, min_rows_gate, null_count,
                     numeric_columns, quality_score)
 from .indicators import INDICATOR_COLUMNS, indicators_indexed
@@ -51,7 +51,7 @@ def clean_bars(raw: DataFrame, batch: str = "batch_id", keys: Sequence[str] = ("
     the indicators start from that table.
     """
     series = [batch, *keys] if batch in raw.columns else list(keys)
-    d = dedup_rows(raw)
+    d = dedup_rows(nan_to_null(raw))
     prices = [c for c in PRICE_COLUMNS if c in d.columns]
     idx = series_index(d, series, order, with_len=True)
     t = fill_indexed(with_blocks(idx, block, 0), prices, series).drop(BLK, OWN)
@@ -69,7 +69,7 @@ def clean_quotes(raw: DataFrame, batch: str = "batch_id", keys: Sequence[str] =
                  block: int = DEFAULT_BLOCK, approx_median: bool = False) -> DataFrame:
     """Quotes batch job: dedup -> price fill per symbol across batches by time
     -> median fill per batch -> change percent and sentiment."""
-    d = dedup_rows(raw)
+    d = dedup_rows(nan_to_null(raw))
     prices = [c for c in PRICE_COLUMNS if c in d.columns]
     t = with_blocks(series_index(d, list(keys), list(order)), block, 0)
     t = fill_indexed(t, prices, list(keys)).drop(IDX, BLK, OWN)
