@@ -72,7 +72,7 @@ def series_index(df: DataFrame, keys: str | Sequence[str] = ("symbol",),
     """
     keys, order = _cols(keys), _cols(order)
     spark = df.sparkSession
-    n = num_partitions or shuffle_partitions(spark)
+    n = num_partitions or range_partitions(df)
     tail = [c for c in df.columns
             if c not in keys and c not in order and _orderable(df.schema[c].dataType)]
     sort_exprs = ([F.col(k).asc_nulls_first() for k in keys]
@@ -103,6 +103,23 @@ def series_index(df: DataFrame, keys: str | Sequence[str] = ("symbol",),
                       *([F.col("_mf_len2").alias("_mf_len")] if with_len else []))
 
 
+def range_partitions(df: DataFrame, cap: int = 200_000) -> int:
+    """Partition count for an explicit range exchange (AQE cannot resize it):
+    the session's shuffle partitions, or more when the optimizer's size
+    estimate divided by the advisory partition size asks for more."""
+    spark = df.sparkSession
+    n = shuffle_partitions(spark)
+    try:
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        adv = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+        unit = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(adv[-1:].lower(), 1)
+        adv_b = int(float(adv[:-1]) * unit) if unit > 1 else int(adv)
+        n = max(n, min(cap, -(-size // max(adv_b, 1))))
+    except Exception:  # noqa: BLE001 - statistics are advisory only
+        pass
+    return n
+
+
 def block_of(i: Column, block: int) -> Column:
     return F.floor(i / F.lit(block)).cast("long")
 
@@ -156,27 +173,55 @@ def pct_change_col(c: Column, keys: Sequence[str]) -> Column:
 
 # ---------------------------------------------------------------- fills
 
-def fill_indexed(blocked: DataFrame, cols: Sequence[str], keys: Sequence[str]) -> DataFrame:
+def fill_indexed(blocked: DataFrame, cols: Sequence[str], keys: Sequence[str],
+                 fanout: int = 2048) -> DataFrame:
     """Forward then backward fill of ``cols`` on a blocked frame without halo.
 
-    Within a block: ``last``/``first`` ignoring nulls; across blocks: the last
-    (first) non-null value of earlier (later) blocks from the block table.
+    Within a block: ``last``/``first`` ignoring nulls. Across blocks the
+    last (first) non-null value of earlier (later) blocks comes from the
+    block table, scanned in two levels - blocks within super-blocks of
+    ``fanout`` blocks, then super-blocks per series - so no task ever holds
+    more than ``fanout`` blocks or (rows / (B * fanout)) super-blocks of one
+    series.
     """
     if not cols:
         return blocked
+    keys = list(keys)
     w = block_window(keys)
     before = w.rowsBetween(Window.unboundedPreceding, 0)
     after = w.rowsBetween(0, Window.unboundedFollowing)
+    SB = "_mf_sb"
     tbl = blocked.groupBy(*keys, BLK).agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(IDX))).alias(f"_mf_last_{c}") for c in cols],
         *[F.min_by(c, F.when(F.col(c).isNotNull(), F.col(IDX))).alias(f"_mf_first_{c}") for c in cols])
-    wb = Window.partitionBy(*keys).orderBy(BLK)
-    carry = tbl.select(
-        *[F.col(k).alias(f"_mf_k{j}") for j, k in enumerate(keys)], F.col(BLK).alias("_mf_b2"),
-        *[F.last(f"_mf_last_{c}", True).over(wb.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_mf_ff_{c}")
+    tbl = tbl.withColumn(SB, F.floor(F.col(BLK) / fanout).cast("long"))
+    # level 1: inside a super-block
+    w1 = Window.partitionBy(*keys, SB).orderBy(BLK)
+    lvl1 = tbl.select(
+        *keys, BLK, SB,
+        *[F.last(f"_mf_last_{c}", True).over(w1.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_mf_ff1_{c}")
+          for c in cols],
+        *[F.first(f"_mf_first_{c}", True).over(w1.rowsBetween(1, Window.unboundedFollowing)).alias(f"_mf_bf1_{c}")
+          for c in cols],
+        *[F.col(f"_mf_last_{c}") for c in cols], *[F.col(f"_mf_first_{c}") for c in cols])
+    # level 2: super-blocks of a series
+    sup = lvl1.groupBy(*[F.col(k).alias(f"_mf_s{j}") for j, k in enumerate(keys)], F.col(SB).alias("_mf_sb2")).agg(
+        *[F.max_by(f"_mf_last_{c}", F.when(F.col(f"_mf_last_{c}").isNotNull(), F.col(BLK))).alias(f"_mf_sl_{c}")
+          for c in cols],
+        *[F.min_by(f"_mf_first_{c}", F.when(F.col(f"_mf_first_{c}").isNotNull(), F.col(BLK))).alias(f"_mf_sf_{c}")
+          for c in cols])
+    w2 = Window.partitionBy(*[f"_mf_s{j}" for j in range(len(keys))]).orderBy("_mf_sb2")
+    sup = sup.select(
+        *[f"_mf_s{j}" for j in range(len(keys))], "_mf_sb2",
+        *[F.last(f"_mf_sl_{c}", True).over(w2.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_mf_ff2_{c}")
           for c in cols],
-        *[F.first(f"_mf_first_{c}", True).over(wb.rowsBetween(1, Window.unboundedFollowing)).alias(f"_mf_bf_{c}")
+        *[F.first(f"_mf_sf_{c}", True).over(w2.rowsBetween(1, Window.unboundedFollowing)).alias(f"_mf_bf2_{c}")
           for c in cols])
+    cs = [lvl1[k].eqNullSafe(sup[f"_mf_s{j}"]) for j, k in enumerate(keys)] + [lvl1[SB] == sup["_mf_sb2"]]
+    carry = lvl1.join(sup, cs, "left").select(
+        *[lvl1[k].alias(f"_mf_k{j}") for j, k in enumerate(keys)], lvl1[BLK].alias("_mf_b2"),
+        *[F.coalesce(F.col(f"_mf_ff1_{c}"), F.col(f"_mf_ff2_{c}")).alias(f"_mf_ff_{c}") for c in cols],
+        *[F.coalesce(F.col(f"_mf_bf1_{c}"), F.col(f"_mf_bf2_{c}")).alias(f"_mf_bf_{c}") for c in cols])
     cond = [blocked[k].eqNullSafe(carry[f"_mf_k{j}"]) for j, k in enumerate(keys)]
     cond.append(blocked[BLK] == carry["_mf_b2"])
     j = blocked.join(carry, cond, "left")

@@ -91,3 +91,13 @@ def test_clean_bars_gate_and_report(spark):
     assert "technical_indicators" in steps
     summ = R.run_summary(R.cleaning_report(raw, out, "historical")).first()
     assert summ.total_files_processed == 1 and summ.files[0].input_file == "stock_historical_b.csv"
+
+
+def test_fill_two_level_carry(spark):
+    from marketframe.operators.series import BLK, IDX, OWN, fill_indexed, series_index, with_blocks
+    vals = {5: 1.0, 70: 2.0, 71: None, 140: 3.0}
+    rows = [("A", i, vals.get(i), 1.0, "b") for i in range(150)]
+    t = with_blocks(series_index(bars(spark, rows), "symbol", "date"), 3, 0)
+    out = sorted((r[IDX], r.close) for r in fill_indexed(t, ["close"], ["symbol"], fanout=2).collect())
+    closes = [c for _, c in out]
+    assert closes[:70] == [1.0] * 70 and closes[70:140] == [2.0] * 70 and closes[140:] == [3.0] * 10
