@@ -68,20 +68,24 @@ def series_index(df: DataFrame, keys: str | Sequence[str] = ("symbol",),
 
     ``stage`` writes the sorted, tagged rows once to the shared checkpoint
     folder; the count branch and the row branch then both scan that table
-    instead of each re-deriving ``df`` (and its shuffles).
+    instead of each re-deriving ``df`` (and its shuffles). The range exchange
+    then has a single consumer, so it is left to AQE: it starts from
+    ``spark.sql.adaptive.coalescePartitions.initialPartitionNum`` (or the
+    shuffle partitions) and coalesces to the advisory partition size. Without
+    ``stage`` both consumers must see one fixed layout, so the count is
+    explicit (``num_partitions`` or the shuffle partitions).
     """
     keys, order = _cols(keys), _cols(order)
-    spark = df.sparkSession
-    n = num_partitions or range_partitions(df)
     tail = [c for c in df.columns
             if c not in keys and c not in order and _orderable(df.schema[c].dataType)]
     sort_exprs = ([F.col(k).asc_nulls_first() for k in keys]
                   + [F.col(o).asc_nulls_last() for o in order]
                   + [F.col(c).asc_nulls_first() for c in tail])
-    # Explicit partition count: a fixed range layout for both consumers.
-    mid = F.monotonically_increasing_id()
-    t = (df.repartitionByRange(n, *sort_exprs).sortWithinPartitions(*sort_exprs)
-           .withColumn("_mf_mid", mid))
+    if stage and num_partitions is None:
+        ranged = df.repartitionByRange(*sort_exprs)
+    else:
+        ranged = df.repartitionByRange(num_partitions or shuffle_partitions(df.sparkSession), *sort_exprs)
+    t = ranged.sortWithinPartitions(*sort_exprs).withColumn("_mf_mid", F.monotonically_increasing_id())
     t = t.select(*df.columns, F.shiftright("_mf_mid", 33).alias("_mf_pid"),
                  F.col("_mf_mid").bitwiseAND(F.lit((1 << 33) - 1)).alias("_mf_pos"))
     if stage:
@@ -103,23 +107,6 @@ def series_index(df: DataFrame, keys: str | Sequence[str] = ("symbol",),
                       *([F.col("_mf_len2").alias("_mf_len")] if with_len else []))
 
 
-def range_partitions(df: DataFrame, cap: int = 200_000) -> int:
-    """Partition count for an explicit range exchange (AQE cannot resize it):
-    the session's shuffle partitions, or more when the optimizer's size
-    estimate divided by the advisory partition size asks for more."""
-    spark = df.sparkSession
-    n = shuffle_partitions(spark)
-    try:
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-        adv = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
-        unit = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(adv[-1:].lower(), 1)
-        adv_b = int(float(adv[:-1]) * unit) if unit > 1 else int(adv)
-        n = max(n, min(cap, -(-size // max(adv_b, 1))))
-    except Exception:  # noqa: BLE001 - statistics are advisory only
-        pass
-    return n
-
-
 def block_of(i: Column, block: int) -> Column:
     return F.floor(i / F.lit(block)).cast("long")
 

@@ -8,9 +8,16 @@ from marketframe.sources import bindings as B
 SF = "/root/testdata/sf0.001"
 
 
+import contextlib
+import io
+
+
 def physical(df):
-    df.write.format("noop").mode("overwrite").save()     # final adaptive plan
-    return df._jdf.queryExecution().executedPlan().toString()
+    """The physical plan text via the public explain()."""
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
 
 
 def test_indicators_single_window_exchange(spark):
@@ -31,8 +38,7 @@ def test_indicators_single_window_exchange(spark):
 
 def test_symbol_filter_pushed_to_scan(spark):
     li = spark.read.parquet(f"{SF}/part.parquet")
-    plan = for_symbol(li.withColumnRenamed("p_brand", "symbol"), "Brand#1", "symbol") \
-        ._jdf.queryExecution().executedPlan().toString()
+    plan = physical(for_symbol(li.withColumnRenamed("p_brand", "symbol"), "Brand#1", "symbol"))
     assert "PushedFilters: [IsNotNull(p_brand), EqualTo(p_brand,Brand#1)]" in plan
 
 
