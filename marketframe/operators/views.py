@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import label, project_available, round_numeric, with_default
+from ..functions.scalar import ensure_symbol, label, project_available, round_numeric, with_default
 from .series import IDX, _cols, series_index
 
 # Sentiment colours, default gray (reference dashboard).
@@ -115,6 +115,7 @@ def indicator_latest(df: DataFrame, cols: Sequence[str] = TECHNICAL_COLUMNS,
                      key: str = "symbol", order: str = "date") -> DataFrame:
     """Long form: last value of each indicator per symbol, only indicators
     not all-null for that symbol, with display label (V13)."""
+    df = ensure_symbol(df) if key == "symbol" else df
     cols = [c for c in cols if c in df.columns]
     agg = df.groupBy(key).agg(*[F.max_by(c, order).alias(f"v_{c}") for c in cols],
                               *[F.count(c).alias(f"n_{c}") for c in cols])
@@ -165,6 +166,7 @@ def chart_series(df: DataFrame, key: str = "symbol", order: str = "date") -> Dat
     """Long-form chart rows (V17, V19): (symbol, x, series, value), nulls dropped.
     Bars give candle OHLC, overlays, RSI, MACD and volume; quotes give
     ``current_price`` over time."""
+    df = ensure_symbol(df) if key == "symbol" else df
     if "close" in df.columns:
         cols = [c for c in CHART_SERIES if c in df.columns]
         x = F.col(order).cast("timestamp")

@@ -120,6 +120,16 @@ def q_indicators_events(spark, sf):
     return rounded(I.indicators(df, block=21).select("symbol", "date", "close", *I.INDICATOR_COLUMNS))
 
 
+@query("indicators_hot")
+def q_indicators_hot(spark, sf):
+    """All 13 indicators over one series holding every line item (a single
+    hot key): the blocked pass spreads it over all tasks. No SQL oracle (the
+    EWM oracle is quadratic); pytest checks the same code against pandas."""
+    df = B.line_prices(spark, sf)
+    order = ["date", "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity"]
+    return rounded(I.indicators(df, order=order).select("symbol", *order, "close", *I.INDICATOR_COLUMNS))
+
+
 W10 = "(PARTITION BY symbol ORDER BY date ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)"
 W7 = "(PARTITION BY symbol ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"
 
@@ -335,6 +345,17 @@ def q_summary_steps(spark, sf):
     return V.summary_steps(s)
 
 
+@query("clean_status", with_(*REPORT_CTES, body=f"""SELECT 'data_clean' AS service, field, value FROM (
+  SELECT 'status' AS field, CASE WHEN count(*) > 0 THEN 'completed' ELSE 'idle' END AS value FROM rep
+  UNION ALL SELECT 'files_processed', CAST(count(*) AS VARCHAR) FROM rep
+  UNION ALL SELECT 'average_quality_score', CAST({rnd('avg(data_quality_score)')} AS VARCHAR) FROM rep
+  UNION ALL SELECT 'message', 'Successfully processed ' || count(*) || ' files' FROM rep)"""))
+def q_clean_status(spark, sf):
+    """Status updates of the cleaning run (C09 outcome, T03 input)."""
+    st = ST.clean_status(R.run_summary(_report(spark, sf)))
+    return st.select("service", "field", "value")
+
+
 @query("clean_events", with_(*REPORT_CTES, body=f"SELECT 'data_processed' AS event, count(*) AS files_processed, {rnd('avg(data_quality_score)')} AS average_quality_score FROM rep"))
 def q_clean_events(spark, sf):
     """Result event of the cleaning run."""

@@ -51,6 +51,16 @@ def bars_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
                   F.sum("l_quantity").alias("volume")))
 
 
+def line_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line item as one tick of a single series ``ALL`` (a hot key
+    holding all rows): close = unit price, ordered by ship date and the line
+    identity (l_orderkey, l_linenumber, l_extendedprice, l_quantity)."""
+    li = read(spark, sf_dir, "lineitem")
+    return li.select(F.lit("ALL").alias("symbol"), F.to_date("l_shipdate").alias("date"),
+                     "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity",
+                     (F.col("l_extendedprice") / F.col("l_quantity")).alias("close"))
+
+
 def batch_id_of(date_col: Column) -> Column:
     return F.concat(F.date_format(date_col, "yyyyMMdd"), F.lit("_000000"))
 

@@ -95,6 +95,23 @@ def emit_events(summary: DataFrame, event: str = PROCESSED_EVENT) -> DataFrame:
     return e.withColumn("message", F.to_json(F.struct("event", "timestamp", "files_processed", "summary")))
 
 
+def clean_status(summary: DataFrame, service: str = "data_clean") -> DataFrame:
+    """The status updates of a cleaning run as long rows
+    ``(service, field, value, ts, seq)``: ``completed`` when files were
+    processed, ``idle`` when there was nothing to do (a run whose batches all
+    failed writes no summary row and is reported by the job as ``error``)."""
+    n = F.col("total_files_processed")
+    fields = F.array(
+        F.struct(F.lit("status").alias("field"),
+                 F.when(n > 0, F.lit("completed")).otherwise(F.lit("idle")).alias("value")),
+        F.struct(F.lit("files_processed").alias("field"), n.cast("string").alias("value")),
+        F.struct(F.lit("average_quality_score").alias("field"), F.col("average_quality_score").cast("string").alias("value")),
+        F.struct(F.lit("message").alias("field"),
+                 F.format_string("Successfully processed %d files", n).alias("value")))
+    return summary.select(F.lit(service).alias("service"), F.inline(fields), F.col("timestamp").alias("ts"),
+                          F.lit(0).cast("bigint").alias("seq"))
+
+
 def stream_dedup(df: DataFrame, keys: Sequence[str], ts: str, delay: str = "1 hour") -> DataFrame:
     """Drop duplicates of ``keys`` arriving within ``delay`` of each other
     (state is bounded by the watermark)."""

@@ -128,3 +128,21 @@ def test_primitives(spark):
     assert r[1] == 1.0 and r[3] == -1.0 and np.isnan(r[4])      # previous 0 -> null (pandas: inf)
     m = I.rolling_mean(df, "close", 3).toPandas().sort_values("date")["close_mean_3"].tolist()
     assert np.isnan(m[1]) and m[2] == pytest.approx(7 / 3)
+
+
+def test_hot_series_with_ties_matches_pandas(spark):
+    """One key holding every row, several rows per date: order by the tie
+    columns; checked against pandas over the same order."""
+    rng = np.random.default_rng(9)
+    n = 2500
+    pdf = pd.DataFrame({"symbol": "ALL",
+                        "date": [dt.date(2020, 1, 1) + dt.timedelta(days=int(i // 3)) for i in range(n)],
+                        "k": rng.permutation(n), "close": 100 + np.cumsum(rng.normal(0, 1, n))})
+    out = I.indicators(spark.createDataFrame(pdf), order=["date", "k"], block=900).toPandas()
+    ref = pandas_indicators(pdf.sort_values(["date", "k"]).rename(columns={"date": "d0"}).assign(date=lambda x: range(len(x))))
+    ref = ref.sort_values("date").reset_index(drop=True)
+    out = out.sort_values(["date", "k"]).reset_index(drop=True)
+    for c in COLS:
+        a, b = ref[c].astype(float).to_numpy(), out[c].astype(float).to_numpy()
+        assert np.array_equal(np.isnan(a), np.isnan(b)), c
+        assert np.nanmax(np.abs(a - b) / np.maximum(1, np.abs(np.nan_to_num(a)))) < 1e-8, c

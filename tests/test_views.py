@@ -56,3 +56,8 @@ def test_chart_series_and_flags(spark):
     series = {r.series for r in V.chart_series(df).collect()}
     assert series == {"open", "high", "low", "close", "rsi"}
     assert V.rsi_flags(df).first().rsi_flag == "overbought"
+
+
+def test_table_without_symbol_is_one_series(spark):
+    df = spark.createDataFrame([(dt.date(2024, 1, 1), 1.0)], "date date, sma_5 double")
+    assert V.indicator_latest(df).first().symbol == "Stock"
