@@ -45,11 +45,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
     file system). Only when it is unset - local tests - a fresh scratch folder
     is created and registered.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        try:  # a directory set on the context (classic sessions only)
+            d = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+            d = None
     if not d:
         d = tempfile.mkdtemp(prefix="mf-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # noqa: BLE001 - a core setting may be read-only here
+            pass
+    try:
+        spark.sparkContext.setCheckpointDir(d)
+    except Exception:  # noqa: BLE001
+        pass
     return d
 
 

@@ -49,3 +49,33 @@ def test_emit_events(spark):
                                  "timestamp timestamp, total_files_processed long, average_quality_score double")
     e = ST.emit_events(summ).first()
     assert e.event == "data_processed" and e.files_processed == 2 and '"files_processed":2' in e.message
+
+
+def test_status_stream_update_mode(spark, tmp_shared):
+    t = dt.datetime(2024, 1, 1)
+    schema = "service string, field string, value string, ts timestamp, seq long"
+    spark.createDataFrame([("ingest", "status", "fetching", t, 1), ("ingest", "status", "completed", t, 2)],
+                          schema).write.parquet(f"{tmp_shared}/log/a")
+    s = spark.readStream.schema(schema).parquet(f"{tmp_shared}/log/*")
+    q = (ST.status_latest(s).writeStream.outputMode("update").format("memory").queryName("status_view")
+         .option("checkpointLocation", f"{tmp_shared}/ck").start())
+    q.processAllAvailable()
+    spark.createDataFrame([("ingest", "message", "done", t, 3)], schema).write.parquet(f"{tmp_shared}/log/b")
+    q.processAllAvailable()
+    q.stop()
+    rows = spark.sql("SELECT field, value FROM status_view").collect()
+    latest = {}
+    for r in rows:
+        latest[r.field] = r.value
+    assert latest == {"status": "completed", "message": "done"}
+
+
+def test_event_stream_from_json_lines(spark, tmp_shared):
+    lines = ['{"event": "comprehensive_data_ingested", "files_created": 3}', "garbage", '{"event": "other"}']
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(f"{tmp_shared}/ev")
+    s = spark.readStream.text(f"{tmp_shared}/ev").withColumnRenamed("value", "message")
+    q = (ST.event_filter(s).writeStream.format("memory").queryName("ingest_events")
+         .option("checkpointLocation", f"{tmp_shared}/ck2").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.sql("SELECT event, files_created FROM ingest_events").collect()
+    assert [(r.event, r.files_created) for r in got] == [("comprehensive_data_ingested", 3)]
