@@ -2,7 +2,7 @@
 
 Chart drawing is not built. Every query is a grouped aggregate, a projection
 or a semi-join; "latest" picks use a grouped max joined back (never a window
-over a whole symbol), and one-row scalars are broadcast (size bound: 1 row).
+over a whole symbol) or a scalar subquery (runtime partition pruning).
 """
 
 from __future__ import annotations
@@ -27,22 +27,21 @@ CHART_SERIES = ["open", "high", "low", "close", "sma_20", "ema_12", "bb_upper",
 
 
 def latest_batch(df: DataFrame, batch: str = "batch_id") -> DataFrame:
-    """Rows of the newest batch (S06, V16). The newest id is a one-row
-    aggregate, broadcast into the filter (dynamic pruning on a partitioned
-    table)."""
-    top = df.agg(F.max(batch).alias("_mf_top"))
-    return df.join(F.broadcast(top), F.col(batch) == F.col("_mf_top"), "left_semi")
+    """Rows of the newest batch (S06, V16). The newest id is a scalar
+    subquery in the filter: on a table partitioned by ``batch_id`` it is a
+    partition filter evaluated before file listing, so only the newest
+    partition is read."""
+    return df.where(F.col(batch) == df.select(F.max(batch)).scalar())
 
 
 def prefer_processed(processed: DataFrame, raw: DataFrame, batch: str = "batch_id") -> DataFrame:
-    """Latest processed batch if any processed batch exists, else latest raw."""
-    u = (processed.withColumn("_mf_prio", F.lit(0))
-         .unionByName(raw.withColumn("_mf_prio", F.lit(1)), allowMissingColumns=True))
-    best = (u.groupBy("_mf_prio").agg(F.max(batch).alias("_mf_b"))
-             .orderBy("_mf_prio").limit(1))
-    cond = (F.col("_mf_prio") == F.col("_mf_p")) & (F.col(batch) == F.col("_mf_b"))
-    pick = best.select(F.col("_mf_prio").alias("_mf_p"), "_mf_b")
-    return u.join(F.broadcast(pick), cond, "left_semi").drop("_mf_prio")
+    """Latest processed batch if any processed batch exists, else latest raw.
+    Two scalar subqueries; each side is pruned to one batch at runtime."""
+    top_p = processed.select(F.max(batch)).scalar()
+    top_r = raw.select(F.max(batch)).scalar()
+    use_p = processed.where(F.col(batch) == top_p)
+    use_r = raw.where(top_p.isNull() & (F.col(batch) == top_r))
+    return use_p.unionByName(use_r, allowMissingColumns=True)
 
 
 def sentiment_counts(df: DataFrame) -> DataFrame:

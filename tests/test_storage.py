@@ -58,3 +58,20 @@ def test_retain(spark):
     df = spark.createDataFrame([("2024-01-01 00:00:00",), ("2024-01-25 00:00:00",)], "batch_ts string") \
               .select(F.col("batch_ts").cast("timestamp").alias("batch_ts"))
     assert S.retain(df, 7, "2024-01-30 00:00:00").count() == 1
+
+
+def test_latest_batch_prunes_partitions(spark, tmp_shared):
+    import contextlib
+    import io
+
+    from marketframe.operators.views import latest_batch
+    df = spark.createDataFrame([("A", 1.0, "b1"), ("A", 3.0, "b2")], "symbol string, v double, batch_id string")
+    S.write_table(df, f"{tmp_shared}/p")
+    back = S.read_table(spark, f"{tmp_shared}/p")
+    out = latest_batch(back)
+    assert [r.v for r in out.collect()] == [3.0]
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        out.explain()
+    scan = [ln for ln in buf.getvalue().splitlines() if "FileScan" in ln and "symbol" in ln][0]
+    assert "PartitionFilters: [isnotnull(batch_id" in scan and "Subquery" in scan
