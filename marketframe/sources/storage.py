@@ -42,6 +42,32 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None
     return r.load(path)
 
 
+def read_raw_batches(spark: SparkSession, path: str, schema: T.StructType,
+                     glob: str = "*.csv") -> tuple[DataFrame, DataFrame]:
+    """Raw CSV batches -> (good rows, quarantined rows).
+
+    The file name gives ``kind``/``batch_id`` (S04). Malformed lines are kept
+    by the PERMISSIVE reader in a corrupt-record column and routed to the
+    quarantine side instead of failing the job; every other batch and row
+    continues. A batch with no good row simply has no output partition.
+    """
+    bad_col = "_corrupt_record"
+    full = T.StructType(list(schema.fields) + [T.StructField(bad_col, T.StringType())])
+    df = (spark.read.schema(full).option("header", "true").option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", bad_col).option("pathGlobFilter", glob).csv(path))
+    name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1)
+    df = df.select("*", parse_batch(name).alias("_mf_b"), name.alias("file_name"))
+    good = df.where(F.col(bad_col).isNull()).select(
+        *[F.col(f.name) for f in schema.fields], F.col("_mf_b.kind").alias("kind"),
+        F.col("_mf_b.batch_id").alias("batch_id"))
+    # (the parsed fields come along: Spark refuses queries on the corrupt
+    # record column alone)
+    bad = df.where(F.col(bad_col).isNotNull()).select(
+        "file_name", F.col("_mf_b.batch_id").alias("batch_id"), F.col(bad_col).alias("record"),
+        *[F.col(f.name) for f in schema.fields])
+    return good, bad
+
+
 def write_summary(df: DataFrame, path: str) -> None:
     """JSON sink for run summaries."""
     df.write.mode("append").json(path)

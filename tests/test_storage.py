@@ -75,3 +75,19 @@ def test_latest_batch_prunes_partitions(spark, tmp_shared):
         out.explain()
     scan = [ln for ln in buf.getvalue().splitlines() if "FileScan" in ln and "symbol" in ln][0]
     assert "PartitionFilters: [isnotnull(batch_id" in scan and "Subquery" in scan
+
+
+def test_raw_batches_skip_bad_rows(spark, tmp_shared):
+    import os
+    from pyspark.sql import types as T
+    d = f"{tmp_shared}/raw"
+    os.makedirs(d)
+    with open(f"{d}/stock_quotes_20240101_000000.csv", "w") as f:
+        f.write("symbol,current_price\nA,1.5\nB,not-a-number\n")
+    with open(f"{d}/stock_quotes_20240102_000000.csv", "w") as f:
+        f.write("symbol,current_price\nA,2.5\n")
+    schema = T.StructType([T.StructField("symbol", T.StringType()), T.StructField("current_price", T.DoubleType())])
+    good, bad = S.read_raw_batches(spark, d, schema)
+    assert sorted((r.batch_id, r.symbol, r.current_price) for r in good.collect()) == [
+        ("20240101_000000", "A", 1.5), ("20240102_000000", "A", 2.5)]
+    assert [(r.batch_id, r.record) for r in bad.collect()] == [("20240101_000000", "B,not-a-number")]
