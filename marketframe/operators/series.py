@@ -17,8 +17,9 @@ series is cut into blocks of ``B`` consecutive rows instead:
    back are below 1e-20 of the window mass, so a halo of H rows turns the
    EWM into a running sum inside the block - exact to double precision.
 4. Unbounded frames that reach the series start (forward/backward fill)
-   combine a per-block value with a carry from the block table, which is
-   ``B`` times smaller than the data.
+   combine a per-block value with a carry from the block table (``B`` times
+   smaller than the data), scanned in two levels so that no task holds a
+   whole series even there.
 
 All windows of one pass share ``partitionBy(key, b).orderBy(i)``, so Catalyst
 plans one exchange and one sort for them.

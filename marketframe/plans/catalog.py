@@ -77,9 +77,9 @@ def scratch(spark: SparkSession, name: str) -> str:
 IND_SRC = [cte("b2", B2)]
 
 
-def _ind(spark, sf, which, src=B.bars_brand):
+def _ind(spark, sf, which, src=B.bars_brand, block=I.DEFAULT_BLOCK):
     df = src(spark, sf)
-    return I.indicators(df, which=which)
+    return I.indicators(df, which=which, block=block)
 
 
 def _ind_sql(cols):
@@ -87,16 +87,18 @@ def _ind_sql(cols):
                  body=f"SELECT symbol, date, {sql_r4(cols)} FROM ind")
 
 
-def _ind_query(name, cols):
+def _ind_query(name, cols, block=I.DEFAULT_BLOCK):
     def fn(spark, sf):
-        return rounded(_ind(spark, sf, cols).select("symbol", "date", *cols))
-    fn.__doc__ = f"{', '.join(cols)} per brand series (bars_brand)."
+        return rounded(_ind(spark, sf, cols, block=block).select("symbol", "date", *cols))
+    fn.__doc__ = f"{', '.join(cols)} per brand series (bars_brand)" + (
+        "; the smallest blocks the EWM halo allows (halo + 1 rows), so long series cross block borders."
+        if block != I.DEFAULT_BLOCK else ".")
     query(name, _ind_sql(cols))(fn)
 
 
 _ind_query("ind_sma", ["sma_5", "sma_20"])
-_ind_query("ind_ema", ["ema_12", "ema_26"])
-_ind_query("ind_macd", ["macd", "macd_signal", "macd_histogram"])
+_ind_query("ind_ema", ["ema_12", "ema_26"], block=1)
+_ind_query("ind_macd", ["macd", "macd_signal", "macd_histogram"], block=1)
 _ind_query("ind_rsi", ["rsi"])
 _ind_query("ind_bollinger", ["bb_middle", "bb_upper", "bb_lower"])
 _ind_query("ind_return", ["daily_return"])
@@ -111,13 +113,17 @@ def q_indicators_all(spark, sf):
     return rounded(I.indicators(df).select("symbol", "date", "close", *I.INDICATOR_COLUMNS))
 
 
+ROLLING = ["sma_5", "sma_20", "rsi", "bb_middle", "bb_upper", "bb_lower", "daily_return", "volatility"]
+
+
 @query("indicators_events", with_(cte("b1", B1), SP.indicator_ctes("b1", "ind"),
-                                  body=f"SELECT symbol, date, {sql_r4(['close'] + SP.INDICATORS)} FROM ind"))
+                                  body=f"SELECT symbol, date, {sql_r4(['close'] + ROLLING)} FROM ind"))
 def q_indicators_events(spark, sf):
-    """All 13 indicators on the 5 event-type series with 21-row blocks (the
-    smallest the 20-row halo allows): halo copies and EWM carries in every series."""
+    """The trailing-frame indicators on the 5 event-type series with 21-row
+    blocks (the smallest their 20-row halo allows): every 30-day series
+    spans two blocks, so each value near a border comes from halo copies."""
     df = B.bars_events(spark, sf)
-    return rounded(I.indicators(df, block=21).select("symbol", "date", "close", *I.INDICATOR_COLUMNS))
+    return rounded(I.indicators(df, block=21, which=ROLLING).select("symbol", "date", "close", *ROLLING))
 
 
 @query("indicators_hot")
