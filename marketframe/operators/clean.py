@@ -48,15 +48,37 @@ def fill_prices(df: DataFrame, cols: Sequence[str] | None = None,
     return fill_indexed(t, cols, keys).drop(IDX, BLK, OWN)
 
 
+def _medians_long(df: DataFrame, cols: Sequence[str], batch: list[str]) -> DataFrame:
+    """(batch..., _mf_col, _mf_med): exact median of every column per batch.
+
+    The values of all columns are unpivoted to ``(batch, col, v)``, ranked by
+    the series index (a range-partitioned sort, so a huge batch is split over
+    many tasks; the index also yields each group's size) and the one or two
+    middle ranks are averaged - pandas' median.
+    """
+    kv = F.explode(F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("v"))
+                             for c in cols])).alias("kv")
+    long = df.select(*batch, kv).select(*batch, F.col("kv.k").alias("_mf_col"),
+                                         F.col("kv.v").alias("_mf_v")).where(F.col("_mf_v").isNotNull())
+    keys = [*batch, "_mf_col"]
+    ranked = series_index(long, keys, ["_mf_v"], with_len=True)
+    mid = ranked.where((F.col(IDX) == F.floor((F.col("_mf_len") - 1) / 2))
+                       | (F.col(IDX) == F.floor(F.col("_mf_len") / 2)))
+    return mid.groupBy(*keys).agg(F.avg("_mf_v").alias("_mf_med"))
+
+
+def _wide(med_long: DataFrame, cols: Sequence[str], batch: list[str]) -> DataFrame:
+    return med_long.groupBy(*batch).agg(*[F.max(F.when(F.col("_mf_col") == c, F.col("_mf_med"))).alias(c)
+                                          for c in cols])
+
+
 def batch_medians(df: DataFrame, cols: Sequence[str], batch: str | Sequence[str] = "batch_id",
                   approx: bool = False) -> DataFrame:
     """One row per batch with the median of each column (nulls skipped).
 
-    Exact by default and distributed: the values of all columns are unpivoted
-    to ``(batch, col, v)``, ranked by the series index (a range-partitioned
-    sort, so a huge batch is split over many tasks) and the one or two middle
-    ranks are averaged - pandas' median. ``approx=True`` uses
-    ``percentile_approx`` instead (one bounded sketch per batch and column).
+    Exact by default and distributed (see ``_medians_long``); ``approx=True``
+    uses ``percentile_approx`` instead (one bounded sketch per batch and
+    column). A batch whose column is all null gets null.
     """
     batch = _cols(batch)
     if not cols:
@@ -64,20 +86,8 @@ def batch_medians(df: DataFrame, cols: Sequence[str], batch: str | Sequence[str]
     if approx:
         return df.groupBy(*batch).agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5).alias(c)
                                         for c in cols])
-    kv = F.explode(F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("v"))
-                             for c in cols])).alias("kv")
-    long = df.select(*batch, kv).select(*batch, F.col("kv.k").alias("_mf_col"),
-                                         F.col("kv.v").alias("_mf_v")).where(F.col("_mf_v").isNotNull())
-    keys = [*batch, "_mf_col"]
-    counts = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("_mf_cnt"))
-    ranked = series_index(long, keys, ["_mf_v"]).join(counts, keys)
-    mid = ranked.where((F.col(IDX) == F.floor((F.col("_mf_cnt") - 1) / 2))
-                       | (F.col(IDX) == F.floor(F.col("_mf_cnt") / 2)))
-    med = mid.groupBy(*keys).agg(F.avg("_mf_v").alias("_mf_med"))
     present = df.select(*batch).distinct()
-    wide = med.groupBy(*batch).agg(*[F.max(F.when(F.col("_mf_col") == c, F.col("_mf_med"))).alias(c)
-                                     for c in cols])
-    return present.join(wide, batch, "left")
+    return present.join(_wide(_medians_long(df, cols, batch), cols, batch), batch, "left")
 
 
 def fill_median(df: DataFrame, cols: Sequence[str] | None = None,
@@ -90,8 +100,11 @@ def fill_median(df: DataFrame, cols: Sequence[str] | None = None,
     cols = list(cols)
     if not cols:
         return df
-    med = batch_medians(df, cols, batch, approx).select(
-        *batch, *[F.col(c).alias(f"_mf_m_{c}") for c in cols])
+    if approx:
+        wide = batch_medians(df, cols, batch, approx=True)
+    else:
+        wide = _wide(_medians_long(df, cols, batch), cols, batch)
+    med = wide.select(*batch, *[F.col(c).alias(f"_mf_m_{c}") for c in cols])
     j = df.join(med, batch, "left")
     return j.select(*[F.coalesce(F.col(c), F.col(f"_mf_m_{c}")).cast(df.schema[c].dataType).alias(c)
                       if c in cols else F.col(c) for c in df.columns])

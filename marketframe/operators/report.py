@@ -66,13 +66,18 @@ def clean_bars(raw: DataFrame, batch: str = "batch_id", keys: Sequence[str] = ("
 
 def clean_quotes(raw: DataFrame, batch: str = "batch_id", keys: Sequence[str] = ("symbol",),
                  order: Sequence[str] = ("timestamp",), strong: float = 2.0,
-                 block: int = DEFAULT_BLOCK, approx_median: bool = False) -> DataFrame:
+                 block: int = DEFAULT_BLOCK, approx_median: bool = False,
+                 cut_lineage: bool = True) -> DataFrame:
     """Quotes batch job: dedup -> price fill per symbol across batches by time
-    -> median fill per batch -> change percent and sentiment."""
+    -> median fill per batch -> change percent and sentiment. With
+    ``cut_lineage`` the filled stage is written to the shared checkpoint
+    folder once and the median fill reads it."""
     d = dedup_rows(nan_to_null(raw))
     prices = [c for c in PRICE_COLUMNS if c in d.columns]
     t = with_blocks(series_index(d, list(keys), list(order)), block, 0)
     t = fill_indexed(t, prices, list(keys)).drop(IDX, BLK, OWN)
+    if cut_lineage:
+        t = materialize(t, "clean-quotes")
     if batch in t.columns:
         t = fill_median(t, batch=batch, approx=approx_median)
     return quote_sentiment(t, strong)

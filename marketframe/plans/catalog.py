@@ -298,13 +298,14 @@ REPORT_CTES = [
 
 
 def _report(spark, sf):
-    """Clean both kinds of batches, write the processed tables (as the
-    cleaning job does) and report from the written tables."""
-    q_raw = B.quotes_events(spark, sf)
-    b_raw = B.bars_gaps(spark, sf)
+    """Clean both kinds of raw batches (read as stored tables), write the
+    processed tables (as the cleaning job does), report from the written
+    tables and write the report (one row per batch) for its readers."""
+    q_raw = materialize(B.quotes_events(spark, sf), "raw-quotes")
+    b_raw = materialize(B.bars_gaps(spark, sf), "raw-bars")
     rq = R.cleaning_report(q_raw, materialize(R.clean_quotes(q_raw), "processed-quotes"), "quotes")
     rb = R.cleaning_report(b_raw, materialize(R.clean_bars(b_raw), "processed-bars"), "historical")
-    return rq.unionByName(rb)
+    return materialize(rq.unionByName(rb), "report")
 
 
 @query("cleaning_report", with_(*REPORT_CTES, body="""SELECT r.batch_id, r.file_type, r.original_rows, r.final_rows, r.data_quality_score,
@@ -387,9 +388,14 @@ def q_quote_sentiment(spark, sf):
 LATEST_PROC = "(SELECT * FROM cq WHERE batch_id = (SELECT max(batch_id) FROM cq))"
 
 
+def _stored_quotes(spark, sf):
+    """B3 quotes as a written table (the dashboard reads stored batches)."""
+    return materialize(B.quotes_events(spark, sf), "quotes")
+
+
 def _preferred(spark, sf):
-    raw = B.quotes_events(spark, sf)
-    return V.prefer_processed(R.clean_quotes(raw), raw)
+    raw = _stored_quotes(spark, sf)
+    return V.prefer_processed(materialize(R.clean_quotes(raw), "processed-quotes"), raw)
 
 
 @query("prefer_processed", with_(*QUOTE_SRC, CLEAN_QUOTES, body=f"SELECT {_cq_select()} FROM {LATEST_PROC}"))
@@ -414,12 +420,12 @@ def q_change_bars(spark, sf):
 @query("volume_bars", with_(*QUOTE_SRC, body="SELECT q.symbol, v.volume FROM (SELECT symbol FROM b3 WHERE batch_id = (SELECT max(batch_id) FROM b3)) q LEFT JOIN (SELECT symbol, arg_max_null(volume, date) AS volume FROM b1 GROUP BY symbol) v USING (symbol)"))
 def q_volume_bars(spark, sf):
     """Volume bars for the latest quotes, volume from each symbol's latest bar."""
-    return V.volume_bars(V.latest_batch(B.quotes_events(spark, sf)), B.bars_events(spark, sf))
+    return V.volume_bars(V.latest_batch(_stored_quotes(spark, sf)), B.bars_events(spark, sf))
 
 
 @query("metrics_table", with_(*QUOTE_SRC, body=f"SELECT symbol, {rnd('current_price')} AS current_price, {rnd('change_percent')} AS change_percent FROM b3 WHERE batch_id = (SELECT max(batch_id) FROM b3)"))
 def q_metrics_table(spark, sf):
-    return V.metrics_table(V.latest_batch(B.quotes_events(spark, sf)))
+    return V.metrics_table(V.latest_batch(_stored_quotes(spark, sf)))
 
 
 @query("market_kpis", with_(*QUOTE_SRC, CLEAN_QUOTES, body=f"SELECT {sr4('avg(current_price)')} AS avg_price, {sr4('avg(change_percent)')} AS market_trend, NULL::DOUBLE AS total_volume, count(*) AS active_stocks FROM {LATEST_PROC}"))
@@ -537,7 +543,7 @@ def q_filter_symbol(spark, sf):
 
 @query("latest_batch", with_(*QUOTE_SRC, body=f"SELECT symbol, {sr4('current_price')} AS current_price, batch_id FROM b3 WHERE batch_id = (SELECT max(batch_id) FROM b3)"))
 def q_latest_batch(spark, sf):
-    return rounded(V.latest_batch(B.quotes_events(spark, sf)).select("symbol", "current_price", "batch_id"))
+    return rounded(V.latest_batch(_stored_quotes(spark, sf)).select("symbol", "current_price", "batch_id"))
 
 
 @query("with_ordinal", with_(*IND_SRC, body="SELECT symbol, date, row_number() OVER (PARTITION BY symbol ORDER BY date) AS ordinal FROM b2"))
