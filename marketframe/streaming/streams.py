@@ -77,6 +77,13 @@ def event_filter(messages: DataFrame, types: Sequence[str] = INGEST_EVENTS,
     return parse_events(messages, col).where(F.col("event").isin(list(types)))
 
 
+def event_stream(spark: SparkSession, src: str, types: Sequence[str] = INGEST_EVENTS) -> DataFrame:
+    """T02 as a stream: JSON-lines messages landing in ``src`` (one message
+    per line), filtered to ``types``; malformed lines are skipped."""
+    msgs = spark.readStream.text(src).withColumnRenamed("value", "message")
+    return event_filter(msgs, types)
+
+
 def status_latest(log: DataFrame, keys: Sequence[str] = ("service", "field")) -> DataFrame:
     """Last write wins per (service, field) by (ts, seq); a field that a
     later update does not mention keeps its older value. A grouped

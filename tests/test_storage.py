@@ -38,6 +38,8 @@ def test_write_is_idempotent_and_pruned(spark, tmp_shared):
         back.where("batch_id = 'b2'").explain()
     assert "PartitionFilters: [isnotnull(batch_id" in buf.getvalue()
     S.write_table(df.where("false"), f"{tmp_shared}/empty")     # empty feed -> no partitions
+    import os
+    assert not any(n.startswith("batch_id=") for n in os.listdir(f"{tmp_shared}/empty"))
 
 
 def test_csv_and_json_roundtrip(spark, tmp_shared):

@@ -73,8 +73,7 @@ def test_status_stream_update_mode(spark, tmp_shared):
 def test_event_stream_from_json_lines(spark, tmp_shared):
     lines = ['{"event": "comprehensive_data_ingested", "files_created": 3}', "garbage", '{"event": "other"}']
     spark.createDataFrame([(x,) for x in lines], "value string").write.text(f"{tmp_shared}/ev")
-    s = spark.readStream.text(f"{tmp_shared}/ev").withColumnRenamed("value", "message")
-    q = (ST.event_filter(s).writeStream.format("memory").queryName("ingest_events")
+    q = (ST.event_stream(spark, f"{tmp_shared}/ev").writeStream.format("memory").queryName("ingest_events")
          .option("checkpointLocation", f"{tmp_shared}/ck2").trigger(availableNow=True).start())
     q.awaitTermination()
     got = spark.sql("SELECT event, files_created FROM ingest_events").collect()
