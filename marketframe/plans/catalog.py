@@ -687,6 +687,27 @@ def q_ingest_summary(spark, sf):
     return FD.ingest_counts(tables)
 
 
+_KINDS_JSON = "[" + ",".join(f'"{k}"' for k in FD.SUMMARY_KEYS.values()) + "]"
+
+
+@query("ingest_status", with_(cte("b1", B1), cte("b3", B3), cte("qt", QUARTERS), cte("fc", _feed_counts_sql()),
+                              cte("per", """SELECT b.batch_id, b.files_created, coalesce(s.syms, []::VARCHAR[]) AS syms FROM
+  (SELECT batch_id, count(*) AS files_created FROM fc GROUP BY batch_id) b
+  LEFT JOIN (SELECT batch_id, list(symbol ORDER BY symbol) AS syms FROM (SELECT DISTINCT batch_id, symbol FROM b3) GROUP BY batch_id) s
+  USING (batch_id)"""),
+                              body=f"""SELECT 'data_ingest' AS service, batch_id, field, value FROM (
+  SELECT batch_id, 'status' AS field, 'completed' AS value FROM per
+  UNION ALL SELECT batch_id, 'message', 'Successfully fetched comprehensive data for ' || len(syms) || ' symbols' FROM per
+  UNION ALL SELECT batch_id, 'symbols_fetched', CAST(to_json(syms) AS VARCHAR) FROM per
+  UNION ALL SELECT batch_id, 'files_created', CAST(files_created AS VARCHAR) FROM per
+  UNION ALL SELECT batch_id, 'data_types', '{_KINDS_JSON}' FROM per)"""))
+def q_ingest_status(spark, sf):
+    """Status rows of the ingest service per batch (T03 source)."""
+    tables = FD.normalize_all(B.landing_all(spark, sf, junk=False))
+    summ = FD.ingest_summary(tables, quotes=tables["quotes"])
+    return ST.ingest_status(summ)
+
+
 @query("fetched_symbols", with_(*QUOTE_SRC, body="SELECT DISTINCT batch_id, symbol FROM b3"))
 def q_fetched_symbols(spark, sf):
     """Symbols whose quote succeeded, per batch (F19), long form."""

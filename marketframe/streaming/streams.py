@@ -119,6 +119,23 @@ def clean_status(summary: DataFrame, service: str = "data_clean") -> DataFrame:
                           F.lit(0).cast("bigint").alias("seq"))
 
 
+def ingest_status(summary: DataFrame, service: str = "data_ingest", batch: str = "batch_id") -> DataFrame:
+    """T03 source rows of the ingest service per batch from
+    ``feeds.ingest_summary(..., quotes=...)``: status, message, the fetched
+    symbols and data types as JSON lists, and the number of files created."""
+    from ..sources.feeds import SUMMARY_KEYS
+    syms = F.coalesce(F.col("symbols"), F.array().cast("array<string>"))
+    kinds = F.array(*[F.lit(k) for k in SUMMARY_KEYS.values()])
+    fields = F.array(
+        F.struct(F.lit("status").alias("field"), F.lit("completed").alias("value")),
+        F.struct(F.lit("message").alias("field"),
+                 F.format_string("Successfully fetched comprehensive data for %d symbols", F.size(syms)).alias("value")),
+        F.struct(F.lit("symbols_fetched").alias("field"), F.to_json(syms).alias("value")),
+        F.struct(F.lit("files_created").alias("field"), F.col("files_created").cast("string").alias("value")),
+        F.struct(F.lit("data_types").alias("field"), F.to_json(kinds).alias("value")))
+    return summary.select(F.lit(service).alias("service"), F.col(batch), F.inline(fields))
+
+
 def stream_dedup(df: DataFrame, keys: Sequence[str], ts: str, delay: str = "1 hour") -> DataFrame:
     """Drop duplicates of ``keys`` arriving within ``delay`` of each other
     (state is bounded by the watermark)."""
