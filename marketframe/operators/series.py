@@ -65,7 +65,11 @@ def series_index(df: DataFrame, keys: str | Sequence[str] = ("symbol",),
 
     Order: ``order`` ascending with nulls last (as pandas ``sort_values``);
     the remaining orderable columns break ties, so rows that still tie are
-    identical and any order among them gives the same result.
+    identical and any order among them gives the same result. A random last
+    key spreads such copies (a third of the table may be one repeated row,
+    or one repeated value in a median column) over many range partitions
+    instead of one; Spark re-runs the whole exchange on a retry because the
+    key is nondeterministic, and the staged write fixes the positions.
 
     ``stage`` writes the sorted, tagged rows once to the shared checkpoint
     folder; the count branch and the row branch then both scan that table
@@ -81,13 +85,16 @@ def series_index(df: DataFrame, keys: str | Sequence[str] = ("symbol",),
             if c not in keys and c not in order and _orderable(df.schema[c].dataType)]
     sort_exprs = ([F.col(k).asc_nulls_first() for k in keys]
                   + [F.col(o).asc_nulls_last() for o in order]
-                  + [F.col(c).asc_nulls_first() for c in tail])
+                  + [F.col(c).asc_nulls_first() for c in tail]
+                  + [F.col("_mf_salt").asc()])
+    df_in = df
+    df = df.withColumn("_mf_salt", F.rand(17))
     if stage and num_partitions is None:
         ranged = df.repartitionByRange(*sort_exprs)
     else:
         ranged = df.repartitionByRange(num_partitions or shuffle_partitions(df.sparkSession), *sort_exprs)
     t = ranged.sortWithinPartitions(*sort_exprs).withColumn("_mf_mid", F.monotonically_increasing_id())
-    t = t.select(*df.columns, F.shiftright("_mf_mid", 33).alias("_mf_pid"),
+    t = t.select(*df_in.columns, F.shiftright("_mf_mid", 33).alias("_mf_pid"),
                  F.col("_mf_mid").bitwiseAND(F.lit((1 << 33) - 1)).alias("_mf_pos"))
     if stage:
         t = materialize(t, "series-index")
@@ -103,7 +110,7 @@ def series_index(df: DataFrame, keys: str | Sequence[str] = ("symbol",),
     cond = [t[k].eqNullSafe(parts[f"_mf_k{j}"]) for j, k in enumerate(keys)]
     cond.append(t["_mf_pid"] == parts["_mf_pid2"])
     out = t.join(parts, cond, "inner")
-    return out.select(*[t[c] for c in df.columns],
+    return out.select(*[t[c] for c in df_in.columns],
                       (F.col("_mf_start") + F.col("_mf_pos") - F.col("_mf_p0")).alias(IDX),
                       *([F.col("_mf_len2").alias("_mf_len")] if with_len else []))
 

@@ -37,3 +37,17 @@ def test_halo_rows(spark):
     halo = sorted((r[IDX], r[BLK]) for r in b if not r[OWN])
     assert own == [(i, i // 4) for i in range(10)]
     assert halo == [(2, 1), (3, 1), (6, 2), (7, 2)]
+
+
+def test_identical_rows_spread_and_index(spark, tmp_shared):
+    """A third of the rows are one repeated row: still split over partitions."""
+    copies = spark.range(0, 3000).select(F.lit("A").alias("symbol"), F.lit(5).alias("t"))
+    rest = spark.range(0, 6000).select(F.lit("A").alias("symbol"), (F.col("id") + 10).alias("t"))
+    df = copies.unionByName(rest)
+    ranged = df.withColumn("s", F.rand(17)).repartitionByRange(8, "symbol", "t", "s")
+    sizes = [r["count"] for r in ranged.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert max(sizes) < 3000                          # the copies did not land in one partition
+    idx = series_index(df, "symbol", "t")
+    r = idx.agg(F.min(IDX).alias("lo"), F.max(IDX).alias("hi"), F.countDistinct(IDX).alias("d")).first()
+    assert (r.lo, r.hi, r.d) == (0, 8999, 9000)
+    assert idx.where((F.col("t") == 5) & (F.col(IDX) >= 3000)).count() == 0   # copies hold positions 0..2999
