@@ -78,3 +78,13 @@ def test_event_stream_from_json_lines(spark, tmp_shared):
     q.awaitTermination()
     got = spark.sql("SELECT event, files_created FROM ingest_events").collect()
     assert [(r.event, r.files_created) for r in got] == [("comprehensive_data_ingested", 3)]
+
+
+def test_stream_clean_batch_split_over_micro_batches(spark, tmp_shared):
+    q = B.quotes_events(spark, SF).where(F.col("batch_id") == "20240105_000000")
+    src, dst, ck = f"{tmp_shared}/src", f"{tmp_shared}/dst", f"{tmp_shared}/ck"
+    q.where("symbol < 'm'").write.partitionBy("batch_id").parquet(src)
+    ST.stream_clean(spark, src, dst, ck, q.schema, clean_quotes).awaitTermination()
+    q.where("symbol >= 'm'").write.mode("append").partitionBy("batch_id").parquet(src)   # late file, same batch
+    ST.stream_clean(spark, src, dst, ck, q.schema, clean_quotes).awaitTermination()
+    assert spark.read.parquet(dst).count() == q.count() == 5
