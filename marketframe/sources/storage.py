@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
+
 # File name prefixes of the reference's raw and processed files.
 QUOTES_PREFIX = "stock_quotes_"
 HISTORICAL_PREFIX = "stock_historical_"
@@ -50,6 +52,9 @@ def read_raw_batches(spark: SparkSession, path: str, schema: T.StructType,
     by the PERMISSIVE reader in a corrupt-record column and routed to the
     quarantine side instead of failing the job; every other batch and row
     continues. A batch with no good row simply has no output partition.
+    The parsed scan is written once to the shared checkpoint folder (Spark
+    does not allow later projections of raw CSV that keep only the corrupt
+    record column), and both sides read that table.
     """
     bad_col = "_corrupt_record"
     full = T.StructType(list(schema.fields) + [T.StructField(bad_col, T.StringType())])
@@ -57,14 +62,15 @@ def read_raw_batches(spark: SparkSession, path: str, schema: T.StructType,
           .option("columnNameOfCorruptRecord", bad_col).option("pathGlobFilter", glob).csv(path))
     name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1)
     df = df.select("*", parse_batch(name).alias("_mf_b"), name.alias("file_name"))
+    df = materialize(df, "raw-batches")
     good = df.where(F.col(bad_col).isNull()).select(
         *[F.col(f.name) for f in schema.fields], F.col("_mf_b.kind").alias("kind"),
         F.col("_mf_b.batch_id").alias("batch_id"))
-    # (the parsed fields come along: Spark refuses queries on the corrupt
-    # record column alone)
+    # ``parsed``: JSON of the fields that did parse - one schema for every
+    # kind of file, and Spark refuses scans of the corrupt record column alone
     bad = df.where(F.col(bad_col).isNotNull()).select(
         "file_name", F.col("_mf_b.batch_id").alias("batch_id"), F.col(bad_col).alias("record"),
-        *[F.col(f.name) for f in schema.fields])
+        F.to_json(F.struct(*[F.col(f.name) for f in schema.fields])).alias("parsed"))
     return good, bad
 
 
