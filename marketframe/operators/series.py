@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import materialize, shuffle_partitions
+from ..session import materialize
 
 IDX = "_mf_i"     # position in the series
 BLK = "_mf_b"     # block the row is evaluated in
@@ -58,8 +58,7 @@ def _orderable(dt: T.DataType) -> bool:
 
 def series_index(df: DataFrame, keys: str | Sequence[str] = ("symbol",),
                  order: str | Sequence[str] = ("date",),
-                 num_partitions: int | None = None, stage: bool = True,
-                 with_len: bool = False) -> DataFrame:
+                 num_partitions: int | None = None, with_len: bool = False) -> DataFrame:
     """Add ``_mf_i``: 0-based position of each row within its series
     (and ``_mf_len``, the series length, with ``with_len``).
 
@@ -71,14 +70,13 @@ def series_index(df: DataFrame, keys: str | Sequence[str] = ("symbol",),
     instead of one; Spark re-runs the whole exchange on a retry because the
     key is nondeterministic, and the staged write fixes the positions.
 
-    ``stage`` writes the sorted, tagged rows once to the shared checkpoint
-    folder; the count branch and the row branch then both scan that table
-    instead of each re-deriving ``df`` (and its shuffles). The range exchange
-    then has a single consumer, so it is left to AQE: it starts from
-    ``spark.sql.adaptive.coalescePartitions.initialPartitionNum`` (or the
-    shuffle partitions) and coalesces to the advisory partition size. Without
-    ``stage`` both consumers must see one fixed layout, so the count is
-    explicit (``num_partitions`` or the shuffle partitions).
+    The sorted, tagged rows are written once to the shared checkpoint
+    folder; the count branch and the row branch both scan that table instead
+    of each re-deriving ``df`` (and its shuffles), and both see the same
+    positions. The range exchange thus has a single consumer and is left to
+    AQE: it starts from ``spark.sql.adaptive.coalescePartitions.initialPartitionNum``
+    (or the shuffle partitions) and coalesces to the advisory partition size;
+    ``num_partitions`` fixes the count instead.
     """
     keys, order = _cols(keys), _cols(order)
     tail = [c for c in df.columns
@@ -89,15 +87,14 @@ def series_index(df: DataFrame, keys: str | Sequence[str] = ("symbol",),
                   + [F.col("_mf_salt").asc()])
     df_in = df
     df = df.withColumn("_mf_salt", F.rand(17))
-    if stage and num_partitions is None:
+    if num_partitions is None:
         ranged = df.repartitionByRange(*sort_exprs)
     else:
-        ranged = df.repartitionByRange(num_partitions or shuffle_partitions(df.sparkSession), *sort_exprs)
+        ranged = df.repartitionByRange(num_partitions, *sort_exprs)
     t = ranged.sortWithinPartitions(*sort_exprs).withColumn("_mf_mid", F.monotonically_increasing_id())
     t = t.select(*df_in.columns, F.shiftright("_mf_mid", 33).alias("_mf_pid"),
                  F.col("_mf_mid").bitwiseAND(F.lit((1 << 33) - 1)).alias("_mf_pos"))
-    if stage:
-        t = materialize(t, "series-index")
+    t = materialize(t, "series-index")
     # (key, partition) -> rows; at most (#partitions + #series) rows.
     parts = t.groupBy(*keys, "_mf_pid").agg(F.count(F.lit(1)).alias("_mf_n"),
                                             F.min("_mf_pos").alias("_mf_p0"))

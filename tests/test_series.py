@@ -23,7 +23,7 @@ def test_index_is_contiguous_with_a_hot_key(spark):
 
 def test_hot_key_is_spread_over_partitions(spark):
     df = spark.range(0, 4000).select(F.lit("HOT").alias("symbol"), F.col("id").alias("t"))
-    idx = series_index(df, "symbol", "t", num_partitions=8, stage=False)
+    idx = series_index(df, "symbol", "t", num_partitions=8)
     # the range layout itself splits the single key over several partitions
     ranged = df.repartitionByRange(8, "symbol", "t")
     assert ranged.select(F.spark_partition_id().alias("p")).distinct().count() > 1
