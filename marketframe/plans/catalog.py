@@ -46,8 +46,10 @@ def query(name: str, sql: str | None = None):
 
 
 def r4(c) -> Column:
+    """Comparison rounding to 4 places (twin of ``sqlparts.r4``, same IEEE
+    steps; the 1e-6 nudge settles exact decimal ties identically)."""
     c = F.col(c) if isinstance(c, str) else c
-    return (F.floor(c * F.lit(10000.0) + F.lit(0.5)) / F.lit(10000.0))
+    return (F.floor(c * F.lit(10000.0) + F.lit(0.500001)) / F.lit(10000.0))
 
 
 def rounded(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -14,8 +14,11 @@ FETCH_BATCH = "20240131_000000"
 
 
 def r4(x: str) -> str:
-    """Comparison rounding, identical IEEE steps on both engines."""
-    return f"floor(({x}) * 10000.0::DOUBLE + 0.5) / 10000.0::DOUBLE"
+    """Comparison rounding, identical IEEE steps on both engines. The 1e-6
+    (of the last place) nudge settles exact decimal ties - frequent when
+    2-decimal prices are averaged - the same way on both engines, whatever
+    their last-bit differences."""
+    return f"floor(({x}) * 10000.0::DOUBLE + 0.500001::DOUBLE) / 10000.0::DOUBLE"
 
 
 def rnd(x: str, n: int = 2) -> str:
