@@ -750,16 +750,16 @@ def q_parse_batch(spark, sf):
     return rounded(f.select("file_name", S.parse_batch(F.col("file_name")).alias("p")).select("file_name", "p.*"))
 
 
-@query("pending_batches", with_(*QUOTE_SRC, cte("files", _FILES), body="""SELECT kind, batch_id FROM (
+@query("pending_batches", with_(*QUOTE_SRC, CLEAN_QUOTES, cte("files", _FILES), body="""SELECT kind, batch_id FROM (
   SELECT DISTINCT CASE WHEN contains(file_name, 'stock_quotes_') THEN 'quotes' ELSE 'historical' END AS kind,
     regexp_extract(file_name, '_(\\d{8}_\\d{6})\\.csv$', 1) AS batch_id FROM files)
-  WHERE (kind, batch_id) NOT IN (SELECT ('quotes', batch_id) FROM b3 WHERE day(timestamp) % 2 = 1)"""))
+  WHERE (kind, batch_id) NOT IN (SELECT DISTINCT ('quotes', batch_id) FROM cq)"""))
 def q_pending_batches(spark, sf):
-    """Raw batches (quotes and historical files) minus processed quote batches."""
+    """Raw batch files (quotes and historical) minus the batches present in
+    the processed quotes table, by (kind, batch_id) (S05)."""
     f = _files(spark, sf)
     raw = f.select(S.parse_batch(F.col("file_name")).alias("p")).select("p.kind", "p.batch_id")
-    done = (B.quotes_events(spark, sf).where(F.dayofmonth("timestamp") % 2 == 1)
-            .select(F.lit("quotes").alias("kind"), "batch_id"))
+    done = R.clean_quotes(B.quotes_events(spark, sf)).select(F.lit("quotes").alias("kind"), "batch_id")
     return S.pending_batches(raw, done)
 
 
