@@ -704,8 +704,10 @@ _KINDS_JSON = "[" + ",".join(f'"{k}"' for k in FD.SUMMARY_KEYS.values()) + "]"
   UNION ALL SELECT batch_id, 'files_created', CAST(files_created AS VARCHAR) FROM per
   UNION ALL SELECT batch_id, 'data_types', '{_KINDS_JSON}' FROM per)"""))
 def q_ingest_status(spark, sf):
-    """Status rows of the ingest service per batch (T03 source)."""
+    """Status rows of the ingest service per batch (T03 source); the quotes
+    table has two readers (counts, fetched symbols) and is read as written."""
     tables = FD.normalize_all(B.landing_all(spark, sf, junk=False))
+    tables["quotes"] = materialize(tables["quotes"], "quotes-table")
     summ = FD.ingest_summary(tables, quotes=tables["quotes"])
     return ST.ingest_status(summ)
 
