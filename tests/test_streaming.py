@@ -88,3 +88,15 @@ def test_stream_clean_batch_split_over_micro_batches(spark, tmp_shared):
     q.where("symbol >= 'm'").write.mode("append").partitionBy("batch_id").parquet(src)   # late file, same batch
     ST.stream_clean(spark, src, dst, ck, q.schema, clean_quotes).awaitTermination()
     assert spark.read.parquet(dst).count() == q.count() == 5
+
+
+def test_stream_ingest(spark, tmp_shared):
+    land = B.landing_quote(spark, SF).unionByName(B.landing_candle(spark, SF))
+    land.where("feed = 'candle'").write.parquet(f"{tmp_shared}/land/a")
+    q = ST.stream_ingest(spark, f"{tmp_shared}/land/*", f"{tmp_shared}/out", f"{tmp_shared}/ck")
+    q.awaitTermination()
+    assert spark.read.parquet(f"{tmp_shared}/out/bars").count() == 150
+    land.where("feed = 'quote'").write.parquet(f"{tmp_shared}/land/b")
+    ST.stream_ingest(spark, f"{tmp_shared}/land/*", f"{tmp_shared}/out", f"{tmp_shared}/ck").awaitTermination()
+    assert spark.read.parquet(f"{tmp_shared}/out/quotes").count() == 150
+    assert spark.read.parquet(f"{tmp_shared}/out/bars").count() == 150      # not reprocessed
