@@ -36,9 +36,19 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 
+def utc(spark: SparkSession) -> None:
+    """The engine's clock is UTC (the reference's local clock is not copied);
+    time zones bind when a plan is analyzed, so this is set before building."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def query(name: str, sql: str | None = None):
     def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            utc(spark)
+            return fn(spark, sf_dir)
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn
