@@ -49,7 +49,11 @@ def _append(df: DataFrame, path: str) -> None:
 def run_ingest(spark: SparkSession, landing: DataFrame, root: str) -> DataFrame:
     """Normalize every feed of the landing table into ``root/<table>``
     (partitioned by batch), then write the ingest summary, status and event.
-    Returns the per-batch summary."""
+    The landing rows are first written partitioned by ``feed`` under
+    ``root/landing``, so each of the 12 normalizers reads only its own
+    partition instead of scanning all payloads. Returns the per-batch summary."""
+    S.write_table(landing, f"{root}/landing", batch="feed")
+    landing = S.read_table(spark, f"{root}/landing")
     tables = FD.normalize_all(landing)
     for name, df in tables.items():
         S.write_table(df, f"{root}/{name}")                    # empty feed -> no partition

@@ -45,8 +45,12 @@ def stream_ingest(spark: SparkSession, src: str, root: str, checkpoint: str, fmt
     stream = spark.readStream.schema(LANDING_SCHEMA).format(fmt).load(src)
 
     def run(df: DataFrame, epoch: int) -> None:
-        for name, table in normalize_all(df).items():
-            write_table(table, f"{root}/{name}")
+        df.persist()                  # twelve writes read the micro-batch once
+        try:
+            for name, table in normalize_all(df).items():
+                write_table(table, f"{root}/{name}")
+        finally:
+            df.unpersist()
 
     return (stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
                   .trigger(**(trigger or {"availableNow": True})).start())
