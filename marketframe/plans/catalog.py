@@ -671,7 +671,7 @@ def q_union_batches(spark, sf):
     b2 = B.bars_brand(spark, sf)
     counts = b2.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_days"))
     b = b2.join(counts, "symbol").withColumn("batch_id", F.lit("brand"))
-    return rounded(a.unionByName(b, allowMissingColumns=True).select("symbol", "date", "close", "batch_id", "n_days"))
+    return rounded(S.union_batches(a, b).select("symbol", "date", "close", "batch_id", "n_days"))
 
 
 def _feed_counts_sql():

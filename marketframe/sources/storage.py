@@ -107,6 +107,18 @@ def list_files(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame
                          F.col("modificationTime").alias("mtime")))
 
 
+def union_batches(*dfs: DataFrame) -> DataFrame:
+    """one table from per-batch (or per-symbol) frames whose columns may
+    differ: union by name, missing columns null. A plan-level union - no
+    shuffle, each input keeps its own partitions."""
+    if not dfs:
+        raise ValueError("union_batches needs at least one frame")
+    out = dfs[0]
+    for d in dfs[1:]:
+        out = out.unionByName(d, allowMissingColumns=True)
+    return out
+
+
 def pending_batches(raw: DataFrame, done: DataFrame, keys: Sequence[str] = ("kind", "batch_id")) -> DataFrame:
     """Raw batches not yet processed: anti-join on (kind, batch_id)."""
     return raw.select(*keys).distinct().join(done.select(*keys), list(keys), "left_anti")
