@@ -14,12 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import nan_to_null, round_half_even
-from .clean import (PRICE_COLUMNS, dedup_rows, fill_median, min_rows_gate, null_count,
-                    numeric_columns, quality_score)
-from .indicators import INDICATOR_COLUMNS, indicators_indexed
+from .clean import PRICE_COLUMNS, dedup_rows, fill_median, null_count, numeric_columns
+from .indicators import indicators_indexed
 from .quotes import quote_sentiment
 from ..session import materialize
-from .series import BLK, DEFAULT_BLOCK, IDX, OWN, _cols, fill_indexed, series_index, with_blocks
+from .series import BLK, DEFAULT_BLOCK, IDX, OWN, fill_indexed, series_index, with_blocks
 
 # Step names and the lists the reference writes into its step log.
 STEP_DEDUP = "remove_duplicates"

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import ensure_symbol, label, project_available, round_numeric, with_default
-from .series import IDX, _cols, series_index
+from .series import IDX, series_index
 
 # Sentiment colours, default gray (reference dashboard).
 SENTIMENT_COLORS = {"Strong Bullish": "darkgreen", "Bullish": "lightgreen",
