@@ -153,11 +153,15 @@ def summary_steps(summary: DataFrame) -> DataFrame:
         F.struct(F.lit("data_quality_score").alias("key"),
                  F.col("stats.data_quality_score").cast("string").alias("value")))))
     st = f.select(file_name, F.explode("stats.steps").alias("s"))
+    # the step log's list key is named after the step
+    added_key = (F.when(F.col("s.step") == "technical_indicators", F.lit("indicators_added"))
+                  .when(F.col("s.step") == "market_analysis", F.lit("analysis_added"))
+                  .otherwise(F.lit("added")))
     kv = st.select("input_file", with_default(F.col("s.step"), "Unknown step").alias("step"), F.inline(F.array(
         F.struct(F.lit("rows_removed").alias("key"), F.col("s.rows_removed").cast("string").alias("value")),
         F.struct(F.lit("missing_before").alias("key"), F.col("s.missing_before").cast("string").alias("value")),
         F.struct(F.lit("missing_after").alias("key"), F.col("s.missing_after").cast("string").alias("value")),
-        F.struct(F.lit("added").alias("key"), F.array_join(F.col("s.added"), ",").alias("value")))))
+        F.struct(added_key.alias("key"), F.array_join(F.col("s.added"), ",").alias("value")))))
     return metrics.unionByName(kv.where(F.col("value").isNotNull()))
 
 

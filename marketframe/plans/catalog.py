@@ -356,7 +356,7 @@ def _file_name(kind_col="file_type", batch_col="batch_id"):
     (SELECT unnest([{{'key': 'rows_removed', 'value': CAST(s.rows_removed AS VARCHAR)}},
                     {{'key': 'missing_before', 'value': CAST(s.missing_before AS VARCHAR)}},
                     {{'key': 'missing_after', 'value': CAST(s.missing_after AS VARCHAR)}},
-                    {{'key': 'added', 'value': s.added}}], recursive := true)) kv
+                    {{'key': CASE s.step WHEN 'technical_indicators' THEN 'indicators_added' WHEN 'market_analysis' THEN 'analysis_added' ELSE 'added' END, 'value': s.added}}], recursive := true)) kv
   ) WHERE value IS NOT NULL"""))
 def q_summary_steps(spark, sf):
     """Summary drill-down in long form (file metrics and step key/values)."""
