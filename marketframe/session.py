@@ -22,11 +22,11 @@ DEFAULT_CONF = {
 
 # Settings for a large cluster (about 100 TB of input, ~1000 executors).
 # Explicit-count exchanges are avoided, so AQE sizes every shuffle: it starts
-# from ``initialPartitionNum`` partitions (enough for ~250 MB each at 100 TB of
-# shuffled data) and coalesces to the advisory size; scans split files at
+# from ``initialPartitionNum`` partitions (~1 GB each, sorted with spill, if a
+# full 100 TB were shuffled) and coalesces to the advisory size; scans split at
 # 512 MB; a partition 5x the median and over 1 GB is split by the skew join.
 CLUSTER_CONF = {
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "400000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "100000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.files.maxPartitionBytes": "512m",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
