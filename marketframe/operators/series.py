@@ -58,13 +58,16 @@ def _orderable(dt: T.DataType) -> bool:
 
 def series_index(df: DataFrame, keys: str | Sequence[str] = ("symbol",),
                  order: str | Sequence[str] = ("date",),
-                 num_partitions: int | None = None, with_len: bool = False) -> DataFrame:
+                 num_partitions: int | None = None, with_len: bool = False,
+                 tiebreak: Sequence[str] | None = None) -> DataFrame:
     """Add ``_mf_i``: 0-based position of each row within its series
     (and ``_mf_len``, the series length, with ``with_len``).
 
     Order: ``order`` ascending with nulls last (as pandas ``sort_values``);
     the remaining orderable columns break ties, so rows that still tie are
-    identical and any order among them gives the same result. A random last
+    identical and any order among them gives the same result (``tiebreak``
+    names the tie columns instead, e.g. ``[]`` when ``order`` is unique per
+    key or the table carries wide text columns). A random last
     key spreads such copies (a third of the table may be one repeated row,
     or one repeated value in a median column) over many range partitions
     instead of one; Spark re-runs the whole exchange on a retry because the
@@ -79,8 +82,11 @@ def series_index(df: DataFrame, keys: str | Sequence[str] = ("symbol",),
     ``num_partitions`` fixes the count instead.
     """
     keys, order = _cols(keys), _cols(order)
-    tail = [c for c in df.columns
-            if c not in keys and c not in order and _orderable(df.schema[c].dataType)]
+    if tiebreak is None:
+        tail = [c for c in df.columns
+                if c not in keys and c not in order and _orderable(df.schema[c].dataType)]
+    else:
+        tail = list(tiebreak)
     sort_exprs = ([F.col(k).asc_nulls_first() for k in keys]
                   + [F.col(o).asc_nulls_last() for o in order]
                   + [F.col(c).asc_nulls_first() for c in tail]

@@ -51,3 +51,10 @@ def test_identical_rows_spread_and_index(spark, tmp_shared):
     r = idx.agg(F.min(IDX).alias("lo"), F.max(IDX).alias("hi"), F.countDistinct(IDX).alias("d")).first()
     assert (r.lo, r.hi, r.d) == (0, 8999, 9000)
     assert idx.where((F.col("t") == 5) & (F.col(IDX) >= 3000)).count() == 0   # copies hold positions 0..2999
+
+
+def test_explicit_tiebreak(spark):
+    df = spark.range(0, 100).select(F.lit("A").alias("symbol"), F.col("id").alias("t"),
+                                    F.repeat(F.lit("x"), 1000).alias("blob"))
+    idx = series_index(df, "symbol", "t", tiebreak=[])
+    assert idx.where(F.col(IDX) != F.col("t")).count() == 0
