@@ -61,3 +61,10 @@ def test_chart_series_and_flags(spark):
 def test_table_without_symbol_is_one_series(spark):
     df = spark.createDataFrame([(dt.date(2024, 1, 1), 1.0)], "date date, sma_5 double")
     assert V.indicator_latest(df).first().symbol == "Stock"
+
+
+def test_quote_chart_series(spark):
+    df = spark.createDataFrame([("A", dt.datetime(2024, 1, 1, 9), 10.0), ("A", dt.datetime(2024, 1, 1, 10), None)],
+                               "symbol string, timestamp timestamp, current_price double")
+    rows = V.chart_series(df).collect()
+    assert [(r.series, r.value) for r in rows] == [("current_price", 10.0)]    # nulls dropped
