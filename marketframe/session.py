@@ -57,8 +57,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    file system). Only when it is unset - local tests - a fresh scratch folder
-    is created and registered.
+    file system); unset there, it is an error. Only with a local master
+    (tests) and no setting, a fresh scratch folder is created and registered.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
@@ -67,6 +67,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
             d = None
     if not d:
+        master = spark.conf.get("spark.master", None) or ""
+        if master and not master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is unset: on a cluster it must name a shared folder "
+                               "(stages and stream checkpoints are written there)")
         d = tempfile.mkdtemp(prefix="mf-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         try:
             spark.conf.set("spark.checkpoint.dir", d)
