@@ -67,11 +67,11 @@ def series_index(df: DataFrame, keys: str | Sequence[str] = ("symbol",),
     the remaining orderable columns break ties, so rows that still tie are
     identical and any order among them gives the same result (``tiebreak``
     names the tie columns instead, e.g. ``[]`` when ``order`` is unique per
-    key or the table carries wide text columns). A random last
-    key spreads such copies (a third of the table may be one repeated row,
-    or one repeated value in a median column) over many range partitions
-    instead of one; Spark re-runs the whole exchange on a retry because the
-    key is nondeterministic, and the staged write fixes the positions.
+    key or the table carries wide text columns). A last key - the row's
+    position after a local sort of its input partition - spreads such copies
+    (a third of the table may be one repeated row, or one repeated value in a
+    median column) over many range partitions instead of one, and is the
+    same on every re-run of a task.
 
     The sorted, tagged rows are written once to the shared checkpoint
     folder; the count branch and the row branch both scan that table instead
@@ -92,7 +92,12 @@ def series_index(df: DataFrame, keys: str | Sequence[str] = ("symbol",),
                   + [F.col(c).asc_nulls_first() for c in tail]
                   + [F.col("_mf_salt").asc()])
     df_in = df
-    df = df.withColumn("_mf_salt", F.rand(17))
+    # Salt from the row's position after a local sort of its input partition
+    # (as Spark's own round-robin repartition does): a partition's contents
+    # are deterministic even when the arrival order of a shuffle read is not,
+    # so a re-run task salts every row as the first attempt did.
+    local = [F.col(c).asc_nulls_first() for c in [*keys, *order, *tail]]
+    df = df.sortWithinPartitions(*local).withColumn("_mf_salt", F.monotonically_increasing_id())
     if num_partitions is None:
         ranged = df.repartitionByRange(*sort_exprs)
     else:
