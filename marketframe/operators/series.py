@@ -96,8 +96,11 @@ def series_index(df: DataFrame, keys: str | Sequence[str] = ("symbol",),
     # (as Spark's own round-robin repartition does): a partition's contents
     # are deterministic even when the arrival order of a shuffle read is not,
     # so a re-run task salts every row as the first attempt did.
-    local = [F.col(c).asc_nulls_first() for c in [*keys, *order, *tail]]
-    df = df.sortWithinPartitions(*local).withColumn("_mf_salt", F.monotonically_increasing_id())
+    # The local sort needs only a content hash: rows that differ are placed by
+    # their content anyway, and rows with equal content are interchangeable.
+    hashable = [c for c in df.columns if _orderable(df.schema[c].dataType)]
+    df = (df.sortWithinPartitions(F.xxhash64(*[F.col(c) for c in hashable]))
+            .withColumn("_mf_salt", F.monotonically_increasing_id()))
     if num_partitions is None:
         ranged = df.repartitionByRange(*sort_exprs)
     else:

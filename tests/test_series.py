@@ -45,7 +45,7 @@ def test_identical_rows_spread_and_index(spark, tmp_shared):
     rest = spark.range(0, 6000).select(F.lit("A").alias("symbol"), (F.col("id") + 10).alias("t"))
     df = copies.unionByName(rest)
     # the index's salt: position after a local sort of each input partition
-    salted = df.sortWithinPartitions("symbol", "t").withColumn("s", F.monotonically_increasing_id())
+    salted = df.sortWithinPartitions(F.xxhash64("symbol", "t")).withColumn("s", F.monotonically_increasing_id())
     ranged = salted.repartitionByRange(8, "symbol", "t", "s")
     sizes = [r["count"] for r in ranged.groupBy(F.spark_partition_id().alias("p")).count().collect()]
     assert max(sizes) < 3000                          # the copies did not land in one partition
