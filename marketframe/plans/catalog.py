@@ -648,6 +648,15 @@ def q_feed_quarantine(spark, sf):
     return FD.quarantine(B.landing_all(spark, sf)).select("feed", "symbol", "batch_id", "reason")
 
 
+@query("feed_no_data", f"""SELECT 'quote' AS feed, event_type AS symbol, strftime(CAST(ts AS DATE), '%Y%m%d') || '_000000' AS batch_id
+  FROM events WHERE props IS NOT NULL AND json_valid(props) AND NOT json_exists(props, '$.c')
+  UNION ALL SELECT 'candle', symbol, {BATCH_LIT} FROM (SELECT DISTINCT event_type AS symbol FROM events)""")
+def q_feed_no_data(spark, sf):
+    """Valid responses without data for their feed (the reference's
+    "no data returned" warnings), over all landed stand-ins."""
+    return FD.no_data(B.landing_all(spark, sf)).select("feed", "symbol", "batch_id")
+
+
 @query("symbol_list", "SELECT p_partkey, trim(s) AS symbol FROM part, unnest(string_split(replace(p_name, ' ', ' , '), ',')) AS t(s)")
 def q_symbol_list(spark, sf):
     """Comma-separated symbol lists (part names spaced with commas) split and trimmed."""

@@ -271,6 +271,34 @@ def quarantine(landing: DataFrame) -> DataFrame:
                    .where(F.col("reason").isNotNull()))
 
 
+def guard_passes(feed: Column, payload: Column) -> Column:
+    """The reference's per-feed "data returned" test on a JSON payload."""
+    p = payload
+    candle_ok = F.from_json(p, CANDLE)["s"] == "ok"
+    fin_ok = F.coalesce(F.size(F.from_json(p, FINANCIALS)["data"]) > 0, F.lit(False))
+    ins_ok = F.coalesce(F.size(F.from_json(p, INSIDER)["data"]) > 0, F.lit(False))
+    return (F.when(feed == "quote", has_key(p, "c"))
+             .when(feed == "candle", F.coalesce(candle_ok, F.lit(False)))
+             .when(feed == "profile", has_key(p, "name"))
+             .when(feed == "financials", fin_ok)
+             .when(feed == "insider", ins_ok)
+             .when(feed == "social", has_key(p, "reddit") & has_key(p, "twitter"))
+             .when(feed == "ipo", has_key(p, "ipoCalendar"))
+             .when(feed.isin("company_news", "earnings", "recommendation", "dividend", "market_news"),
+                   non_empty_list(p))
+             .otherwise(F.lit(False)))
+
+
+def no_data(landing: DataFrame) -> DataFrame:
+    """Responses that parsed but carry no data for their feed (the
+    reference's "no data returned" warnings): valid JSON failing the feed's
+    guard. Row-local; malformed bodies are in ``quarantine`` instead."""
+    pl = F.col("payload")
+    valid = pl.isNotNull() & F.try_parse_json(pl).isNotNull()
+    return (landing.where(valid & ~guard_passes(F.col("feed"), pl))
+                   .select("feed", "symbol", "batch_id", "fetched_at"))
+
+
 def ingest_counts(tables: dict[str, DataFrame], batch: str = "batch_id") -> DataFrame:
     """F18 (long form): rows per (batch, feed key) over the union of all feed
     tables - one grouped count, partial aggregation before the shuffle."""

@@ -80,3 +80,12 @@ def test_ingest_summary(spark):
     s = FD.ingest_summary({"quotes": q, "company_news": n}, quotes=q).first()
     assert s.data_summary["quotes"] == 1 and s.data_summary["news"] == 3 and s.data_summary["dividends"] == 0
     assert s.files_created == 2 and s.symbols == ["AAA"]
+
+
+def test_no_data_warnings(spark):
+    rows = [("quote", '{}'), ("quote", '{"c": 1}'), ("candle", '{"s": "no_data"}'),
+            ("company_news", "[]"), ("company_news", news(2)), ("profile", "<html>"),
+            ("financials", '{"data": []}'), ("social", '{"reddit": []}')]
+    land = spark.createDataFrame([(f, "AAA", None, "b", p) for f, p in rows], FD.LANDING_SCHEMA)
+    got = sorted(r.feed for r in FD.no_data(land).collect())
+    assert got == ["candle", "company_news", "financials", "quote", "social"]   # html is quarantined, not here
