@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marketframe.llm import exact_dedup, quality
+from marketframe.llm import exact_dedup, mixing, packing, quality, simhash
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -21,9 +23,39 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return exact_dedup.drop_exact(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the smallest id, of each group linked by SimHash."""
+    return simhash.drop_near(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents in the mixed order; the files written from it hold that order."""
+    return mixing.mixed(docs)
+
+
+def stored_order(docs: DataFrame) -> list[Column] | None:
+    """The order of rows in the files that ``docs`` was read from; None where it
+    was not read from files."""
+    order = [F.col("_metadata.file_name"), F.col("_metadata.row_index")]
+    try:
+        docs.select(*order)
+    except AnalysisException:
+        return None
+    return order
+
+
+def best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences packed along the mixed order: (doc_id, piece, start, length,
+    ids_crc32, sequence_id, offset)."""
+    return packing.pack_documents(docs, order=stored_order(docs))
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_rules),
     ("exact_dedup", exact_duplicates),
+    ("simhash_near_dedup", near_duplicates),
+    ("source_mixing", source_mix),
+    ("best_fit_packing", best_fit),
 ]
 
 #: Packing is not expressible in SQL; the stages are tested against brute force.

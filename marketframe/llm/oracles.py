@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import mixing as M
 from . import quality as Q
 
 _SPACE = r"[\x20\x09-\x0D]"
@@ -71,3 +72,34 @@ FROM b LEFT JOIN out USING (rid)
 
 
 QUALITY = _quality_sql()
+
+
+def _mix_sql() -> str:
+    """Target weights, one period by earliest deadline first (a recursive step per slot) and places."""
+    return f"""
+WITH RECURSIVE n AS (SELECT doc_id, source, coalesce(length(text), 0) + 1 AS size FROM documents),
+sizes AS (SELECT source, sum(size) AS size, pow(sum(size)::DOUBLE, {M.ALPHA}::DOUBLE) AS weight FROM n GROUP BY source),
+shares AS (SELECT source, weight,
+                  greatest(1, floor({M.SLOTS} * weight / (SELECT sum(weight) FROM sizes) + 0.5::DOUBLE))::BIGINT AS w,
+                  row_number() OVER (ORDER BY weight DESC, source NULLS FIRST) - 1 AS lane FROM sizes),
+p AS (SELECT sum(w)::BIGINT AS period, list(w ORDER BY lane) AS ws, count(*)::BIGINT AS k FROM shares),
+run AS (
+  SELECT 0::BIGINT AS t, list_transform(ws, lambda x: 0::BIGINT) AS had, NULL::BIGINT AS pick FROM p
+  UNION ALL
+  SELECT t + 1, list_transform(range(1, k + 1), lambda i: had[i] + (i = pick)::BIGINT), pick
+  FROM (SELECT t, had, k, ws, list_min(list_transform(range(1, k + 1), lambda i:
+               CASE WHEN had[i] < ws[i] AND (had[i] * period) // ws[i] <= t
+                    THEN ((had[i] + 1) * period + ws[i] - 1) // ws[i] * 100000 + i END)) % 100000 AS pick
+        FROM run, p WHERE t < period)),
+cyc AS (SELECT pick - 1 AS lane, list(t - 1 ORDER BY t) AS cycle FROM run WHERE t > 0 GROUP BY pick),
+pos AS (SELECT n.doc_id, n.source, n.size, s.lane, s.w,
+               sum(n.size) OVER (PARTITION BY s.lane ORDER BY md5(n.doc_id::VARCHAR) NULLS FIRST, n.doc_id NULLS FIRST, n.size
+                                 ROWS UNBOUNDED PRECEDING) - n.size AS at_
+        FROM n JOIN shares s ON s.source IS NOT DISTINCT FROM n.source)
+SELECT doc_id, source, size::BIGINT AS size, pos.lane::INT AS lane, (at_ // {M.BLOCK})::BIGINT AS block,
+       ((at_ // {M.BLOCK}) // w * period + cycle[((at_ // {M.BLOCK}) % w + 1)::BIGINT])::BIGINT AS slot, at_::BIGINT AS at
+FROM pos JOIN cyc ON cyc.lane = pos.lane, p
+"""
+
+
+MIX = _mix_sql()

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, oracles, quality
+from . import exact_dedup, mixing, oracles, packing, quality, simhash
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,14 +22,33 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "base_failed", "kept")
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every piece of every document."""
+    out = packing.pack_documents(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slot of every document in a mix with tempered source weights."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group, size and survivor of every document's text."""
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op8_exact_dedup)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_quality_rules, op2_best_fit_packing, op3_source_mixing, op7_simhash, op8_exact_dedup)}
 
 ORACLE: dict[str, str] = {
     "op1_quality_rules": oracles.QUALITY,
+    "op3_source_mixing": oracles.MIX,
     "op8_exact_dedup": oracles.EXACT,
 }
