@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, oracles, packing, quality, simhash
-from .common import table
+from . import exact_dedup, html_extract, language, mixing, oracles, packing, quality, simhash, token_files
+from .common import id_crc32, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +33,11 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Start, length and checksum of every document, read back from the files."""
+    return token_files.write_and_read(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -44,8 +49,21 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those that are not held out."""
+    docs, held_out = table(spark, sf_dir, "documents"), id_crc32("doc_id") % 4 == 2
+    profiles = language.train(docs.filter(~held_out))
+    return language.predict(docs, profiles, {"doc_id": F.col("doc_id"), "held_out": held_out})
+
+
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_quality_rules, op2_best_fit_packing, op3_source_mixing, op7_simhash, op8_exact_dedup)}
+    op1_quality_rules, op2_best_fit_packing, op3_source_mixing, op6_token_files, op7_simhash, op8_exact_dedup,
+    op9_language_id, op10_html_extraction)}
 
 ORACLE: dict[str, str] = {
     "op1_quality_rules": oracles.QUALITY,

@@ -81,10 +81,10 @@ def encoder(path: str) -> Encoder:
 def text_batches(frame, text_col: str, max_chars: int = 4_000_000):
     """(first, last) row ranges of a pandas frame with about ``max_chars``
     characters each, so that the size of a batch follows the texts."""
-    lengths = frame[text_col].str.len().to_numpy()
+    lengths = [len(t) if isinstance(t, str) else 0 for t in frame[text_col]]
     first, total = 0, 0
     for i, n in enumerate(lengths):
-        total += int(n)
+        total += n
         if total >= max_chars:
             yield first, i + 1
             first, total = i + 1, 0
