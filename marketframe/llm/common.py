@@ -12,10 +12,21 @@ SPACE_CLASS = r"[\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\f\r"
 
 
+#: Removes a query's shuffle files when it has ended; a staged table needs them no more.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared checkpoint folder and read back, so
-    that later passes (and lost executors) re-read it instead of recomputing."""
-    return materialize(df, f"llm-{name}")
+    that later passes (and lost executors) re-read it instead of recomputing. The
+    shuffle files behind it are removed as soon as it is written."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEAN, "false")
+    conf.set(_CLEAN, "true")
+    try:
+        return materialize(df, f"llm-{name}")
+    finally:
+        conf.set(_CLEAN, before)
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:

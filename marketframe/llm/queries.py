@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, html_extract, language, mixing, oracles, packing, quality, simhash, token_files
+from . import (exact_dedup, html_extract, language, lm_score, mixing, oracles, packing, quality, simhash,
+               token_files)
 from .common import id_crc32, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +34,11 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code length of every document under a model of those not held out."""
+    return lm_score.score(table(spark, sf_dir, "documents"), id_crc32("doc_id") % 5 == 1)
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Start, length and checksum of every document, read back from the files."""
     return token_files.write_and_read(table(spark, sf_dir, "documents"))
@@ -62,7 +68,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_quality_rules, op2_best_fit_packing, op3_source_mixing, op6_token_files, op7_simhash, op8_exact_dedup,
+    op1_quality_rules, op2_best_fit_packing, op3_source_mixing, op5_lm_scoring, op6_token_files, op7_simhash, op8_exact_dedup,
     op9_language_id, op10_html_extraction)}
 
 ORACLE: dict[str, str] = {
