@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (exact_dedup, html_extract, language, lm_score, mixing, oracles, packing, quality, simhash,
+from . import (chat, exact_dedup, html_extract, language, lm_score, mixing, oracles, packing, quality, simhash,
                token_files)
 from .common import id_crc32, table
 
@@ -34,6 +34,35 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+#: Speaker markers of the transcripts made from the conversations, by style and role.
+MARKER_STYLES = (("System: ", "User: ", "Assistant: "), ("Instructions: ", "Human: ", "AI: "),
+                 ("### System: ", "### User: ", "### Assistant: "), ("<|system|>", "<|user|>", "<|assistant|>"))
+
+
+def transcript_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transcripts as a chat log has them: the turns' lines in order, most turns
+    introduced by a speaker marker in their transcript's style, about a quarter
+    without one. (conv_id, turn, line, role, text); turn and role are the labels."""
+    t = table(spark, sf_dir, "conversations")
+    styles = F.array(*[F.array(*[F.lit(m) for m in s]) for s in MARKER_STYLES])
+    style = F.get(styles, F.pmod(F.xxhash64("conv_id"), F.lit(len(MARKER_STYLES))).cast("int"))
+    bare = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(4)) == 0
+    mark = F.when(bare, F.lit("")).otherwise(F.coalesce(F.get(style, chat.role_index(F.col("role"))), F.lit("")))
+    lines = F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line", "part")
+    return t.select("conv_id", "turn", "role", mark.alias("mark"), lines).select(
+        "conv_id", "turn", "line", "role",
+        F.when(F.col("line") == 0, F.concat("mark", "part")).otherwise(F.col("part")).alias("text"))
+
+
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recovered turns of every transcript; the model learns from the conversations
+    whose crc32(conv_id as text) mod 5 is not 1."""
+    lines = transcript_lines(spark, sf_dir)
+    model = chat.fit(chat.labelled(lines.filter(id_crc32("conv_id") % 5 != 1)))
+    parsed = chat.parse(lines.select("conv_id", "turn", "line", "text"), model, order=["turn", "line"])
+    return chat.turns(parsed).select("conv_id", "turn", "role", "n_lines", "text", "rendered")
+
+
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Code length of every document under a model of those not held out."""
     return lm_score.score(table(spark, sf_dir, "documents"), id_crc32("doc_id") % 5 == 1)
@@ -68,7 +97,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_quality_rules, op2_best_fit_packing, op3_source_mixing, op5_lm_scoring, op6_token_files, op7_simhash, op8_exact_dedup,
+    op1_quality_rules, op2_best_fit_packing, op3_source_mixing, op4_chat_formatting, op5_lm_scoring, op6_token_files, op7_simhash, op8_exact_dedup,
     op9_language_id, op10_html_extraction)}
 
 ORACLE: dict[str, str] = {
