@@ -161,28 +161,40 @@ def _inside(fences: str = "fences") -> Column:
     return ok
 
 
+def _judged(rows: DataFrame, limits: DataFrame) -> DataFrame:
+    """``rows`` (lang, source, stats, base_failed, ..) with ``kept``. The thresholds have one
+    small row per (language, source): Spark broadcasts them when their measured
+    size allows it and otherwise shuffles, where skew-join splitting spreads a
+    hot source."""
+    j = rows.join(limits, F.col("lang").eqNullSafe(F.col("t_lang")) & F.col("source").eqNullSafe(F.col("t_source")),
+                  "left")
+    return j.withColumn("kept", ~F.col("base_failed") & F.coalesce(_inside(), F.lit(True)))
+
+
+def _stats_rows(docs: DataFrame, carry: list[str], text_col: str, lang_col: str, source_col: str) -> DataFrame:
+    row = [F.struct(*[F.col(c) for c in carry]).alias("row")] if carry else []
+    return docs.select(*row, F.col(lang_col).alias("lang"), F.col(source_col).alias("source"),
+                       text_stats(text_col).alias("stats")).withColumn("base_failed", base_failed())
+
+
 def quality(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
             carry: list[str] | None = None, min_group: int = MIN_GROUP) -> DataFrame:
-    """One row per row of ``docs``: ``row`` (struct of the ``carry`` columns, all by
-    default), ``stats``, ``base_failed`` and ``kept``.
-
-    Statistics are computed once and staged; the sketches (over rows that pass
-    the base rule) and the filter join both read the staged rows. The
-    thresholds have one small row per (language, source): Spark broadcasts
-    them when their measured size allows it and otherwise shuffles, where
-    skew-join splitting spreads a hot source.
-    """
-    keep = docs.columns if carry is None else carry
-    rows = stage(docs.select(F.struct(*[F.col(c) for c in keep]).alias("row"), F.col(lang_col).alias("lang"),
-                             F.col(source_col).alias("source"), text_stats(text_col).alias("stats"))
-                     .withColumn("base_failed", base_failed()), "quality")
+    """One row per row of ``docs``: ``row`` (struct of the ``carry`` columns, the id column
+    ``doc_id`` by default), ``stats``, ``base_failed`` and ``kept``. Statistics are computed
+    once and staged without texts; sketches (over rows that pass the base rule)
+    and filter both read the staged rows."""
+    carry = ["doc_id"] if carry is None else carry
+    rows = stage(_stats_rows(docs, carry, text_col, lang_col, source_col), "quality")
     limits = thresholds(rows.filter(~F.col("base_failed")), min_group)
-    j = rows.join(limits, F.col("lang").eqNullSafe(F.col("t_lang")) & F.col("source").eqNullSafe(F.col("t_source")),
-                  "left")
-    kept = ~F.col("base_failed") & F.coalesce(_inside(), F.lit(True))
-    return j.select("row", "stats", "base_failed", kept.alias("kept"))
+    return _judged(rows, limits).select("row", "stats", "base_failed", "kept")
 
 
-def drop_low_quality(docs: DataFrame, **kw) -> DataFrame:
-    """``docs`` without the rows that the rules reject; columns unchanged."""
-    return quality(docs, **kw).filter("kept").select("row.*")
+def drop_low_quality(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
+                     min_group: int = MIN_GROUP) -> DataFrame:
+    """``docs`` without the rows that the rules reject; columns unchanged. A first pass
+    stages the statistics without the rows and builds the thresholds; the filter pass
+    computes the statistics again, which is cheaper than a second copy of all texts."""
+    rows = stage(_stats_rows(docs, [], text_col, lang_col, source_col), "quality")
+    limits = thresholds(rows.filter(~F.col("base_failed")), min_group)
+    wide = _stats_rows(docs, docs.columns, text_col, lang_col, source_col)
+    return _judged(wide, limits).filter("kept").select("row.*")
