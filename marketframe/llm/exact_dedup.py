@@ -19,7 +19,7 @@ gives no rows; other columns are carried through and may have any name.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stage
@@ -64,37 +64,18 @@ def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                support: float = SUPPORT) -> DataFrame:
     """``docs`` without the rows whose text equals that of a row with a larger
     id; of rows repeated with the same id and text one stays. All columns of
-    ``docs`` are returned unchanged."""
+    ``docs`` are returned unchanged.
+
+    Losers of heavy digests go on the map side; the other rows are shuffled
+    once by digest, with the best row of each digest taken before the shuffle
+    already (Spark's group limit for ``row_number() = 1``)."""
     rows = stage(docs.select(F.col(id_col).alias("doc_id"), text_digest(text_col).alias("digest")), "digests")
     heavy = heavy_digests(rows, "digest", support)
-    hot = rows.join(F.broadcast(heavy), "digest", "left_semi")
-    rest = rows.join(F.broadcast(heavy), "digest", "left_anti")
-
-    def keepers(part: DataFrame) -> DataFrame:
-        # (digest, id) -> rows, then the largest id of each digest that has more than one row
-        return (part.groupBy("digest", "doc_id").agg(F.count(F.lit(1)).alias("n"))
-                    .groupBy("digest").agg(F.max(F.struct("doc_id", "n")).alias("best"), F.sum("n").alias("size"))
-                    .filter("size > 1")
-                    .select("digest", F.col("best.doc_id").alias("keep_id"), F.col("best.n").alias("copies")))
-
-    hot_keep = stage(keepers(hot), "winners")
-    rest_keep = stage(keepers(rest), "keepers")
+    winners = stage(rows.join(F.broadcast(heavy), "digest", "left_semi")
+                        .groupBy(F.col("digest").alias("h_digest")).agg(F.max("doc_id").alias("h_id")), "winners")
     wide = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"),
                        F.col(id_col).alias("id"), text_digest(text_col).alias("digest"))
-    named = lambda d, p: d.select(F.col("digest"), F.col("keep_id").alias(f"{p}_id"),
-                                  F.col("copies").alias(f"{p}_n"))
-    # the broadcast side is bounded by 1 / support rows; its losers go before the shuffle
-    j = wide.join(F.broadcast(named(hot_keep, "h")), "digest", "left")
-    j = j.filter(F.col("h_n").isNull() | F.col("id").eqNullSafe(F.col("h_id")))
-    j = j.join(named(rest_keep, "r"), "digest", "left")
-    j = j.filter(F.col("r_n").isNull() | F.col("id").eqNullSafe(F.col("r_id")))
-    copies = F.coalesce(F.col("h_n"), F.col("r_n"), F.lit(1))
-    once = j.filter(copies == 1).select("row.*")
-    if _any(hot_keep, "copies > 1") or _any(rest_keep, "copies > 1"):
-        again = j.filter(copies > 1).dropDuplicates(["digest"])
-        once = once.unionByName(again.select("row.*"))
-    return once
-
-
-def _any(df: DataFrame, cond: str) -> bool:
-    return not df.filter(cond).isEmpty()
+    j = wide.join(F.broadcast(winners), F.col("digest") == F.col("h_digest"), "left")  # 1 / support rows at most
+    j = j.filter(F.col("h_digest").isNull() | F.col("id").eqNullSafe(F.col("h_id")))
+    best = Window.partitionBy("digest").orderBy(F.col("id").desc_nulls_last())
+    return j.withColumn("r", F.row_number().over(best)).filter("r = 1").select("row.*")

@@ -97,8 +97,8 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_quality_rules, op2_best_fit_packing, op3_source_mixing, op4_chat_formatting, op5_lm_scoring, op6_token_files, op7_simhash, op8_exact_dedup,
-    op9_language_id, op10_html_extraction)}
+    op1_quality_rules, op2_best_fit_packing, op3_source_mixing, op4_chat_formatting, op5_lm_scoring, op6_token_files,
+    op7_simhash, op8_exact_dedup, op9_language_id, op10_html_extraction)}
 
 ORACLE: dict[str, str] = {
     "op1_quality_rules": oracles.QUALITY,
