@@ -134,6 +134,15 @@ def _fences(sk: DataFrame, keys: list[str]) -> DataFrame:
                                  F.map_from_entries(F.collect_list(F.struct("ratio", "fence"))).alias("fences")))
 
 
+def _table_fences(sk: DataFrame) -> Column:
+    """Fences of the whole table as constants: one low and high per ratio."""
+    row = _fences(merge_sketches(sk).withColumn("one", F.lit(1)), ["one"]).first()
+    if row is None:
+        return F.lit(None)
+    return F.create_map(*[x for r, f in row["fences"].items() for x in (
+        F.lit(r), F.struct(F.lit(f["low"]).alias("low"), F.lit(f["high"]).alias("high")))])
+
+
 def thresholds(rows: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     """(lang, source, fences) for every (lang, source) of ``rows``: from its own
     sketch, or that of its language or of the table where documents are few.
@@ -142,11 +151,9 @@ def thresholds(rows: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     own = _fences(sk, ["lang", "source"])
     lang = _fences(merge_sketches(sk, "lang"), ["lang"]).select(
         F.col("lang").alias("l_lang"), F.col("size").alias("l_size"), F.col("fences").alias("l_fences"))
-    every = _fences(merge_sketches(sk).withColumn("one", F.lit(1)), ["one"]).select("one", F.col("fences").alias("a_fences"))
-    j = (own.join(lang, F.col("lang").eqNullSafe(F.col("l_lang"))).withColumn("one", F.lit(1))
-            .join(F.broadcast(every), "one"))  # one row
+    j = own.join(lang, F.col("lang").eqNullSafe(F.col("l_lang")))
     pick = (F.when(F.col("size") >= min_group, F.col("fences"))
-             .when(F.col("l_size") >= min_group, F.col("l_fences")).otherwise(F.col("a_fences")))
+             .when(F.col("l_size") >= min_group, F.col("l_fences")).otherwise(_table_fences(sk)))
     return stage(j.select(F.col("lang").alias("t_lang"), F.col("source").alias("t_source"), pick.alias("fences")),
                  "thresholds")
 
