@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from .common import packers, stage
 
 ORDER = 5
-GROUP_CHARS = 40_000_000
+GROUP_CHARS = 16_000_000
 EDGE = 0xFF
 _CHUNK = 4_000_000
 _ONE = np.uint64(8)
@@ -82,37 +82,42 @@ def _batches(texts: list[bytes]) -> Iterator[tuple[int, int]]:
 
 def _distinct(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct windows of texts and their counts."""
-    u, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    held: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+
+    def merge() -> None:
+        both, at = np.unique(np.concatenate([u for u, _ in held]), return_inverse=True)
+        held[:] = [(both, np.bincount(at, weights=np.concatenate([n for _, n in held])).astype(np.int64))]
+
     for a, b in _batches(texts):
-        parts = [w for t in texts[a:b] for w in windows(t, order)]
-        v, m = np.unique(np.concatenate(parts), return_counts=True)
-        both, at = np.unique(np.concatenate([u, v]), return_inverse=True)
-        u, n = both, np.bincount(at, weights=np.concatenate([n, m])).astype(np.int64)
-    return u, n
+        held.append(np.unique(np.concatenate([w for t in texts[a:b] for w in windows(t, order)]), return_counts=True))
+        if sum(len(u) for u, _ in held[1:]) > _CHUNK:
+            merge()
+    if len(held) > 1:
+        merge()
+    return held[0]
 
 
 def _group_counts(order: int):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        group = int(frame["grp"].iloc[0])
         texts = [t.encode("utf-8") for t in frame["text"]]
         held = frame["held_out"].to_numpy(bool)
         learn = [t for t, h in zip(texts, held) if not h]
+        test = [t for t, h in zip(texts, held) if h]
         u, n = _distinct(learn, order)
-        v, _ = _distinct([t for t, h in zip(texts, held) if h], order)
-        new = np.setdiff1d(v, u, assume_unique=True)
+        new = np.setdiff1d(_distinct(test, order)[0], u, assume_unique=True)
         count: Counter[bytes] = Counter()
         for t in learn:
             count.update(words(t))
-        for t, h in zip(texts, held):
-            if h:
-                for w in words(t):
-                    count.setdefault(w, 0)
-        win = np.concatenate([u, new]).astype(np.int64)
-        return pd.concat([
-            pd.DataFrame({"grp": group, "win": pd.array(win, "Int64"), "word": None,
-                          "n": np.concatenate([n, np.zeros(len(new), np.int64)])}),
-            pd.DataFrame({"grp": group, "win": pd.array([None] * len(count), "Int64"),
-                          "word": [w.decode("utf-8") for w in count], "n": list(count.values())})])
+        for t in test:
+            for w in words(t):
+                count.setdefault(w, 0)
+        # windows first (word null), then words (win not used)
+        wins, zeros = len(u) + len(new), np.zeros(len(new), np.int64)
+        return pd.DataFrame({
+            "grp": np.full(wins + len(count), frame["grp"].iloc[0]),
+            "win": np.concatenate([u, new, np.zeros(len(count), np.uint64)]).astype(np.int64),
+            "word": np.array([None] * wins + [w.decode("utf-8") for w in count], dtype=object),
+            "n": np.concatenate([n, zeros, np.fromiter(count.values(), np.int64, len(count))])})
 
     return run
 
@@ -186,21 +191,45 @@ def window_scores(asked: DataFrame, nodes: list[DataFrame], order: int) -> DataF
 
 # ------------------------------------------------------------------ scoring
 
+class Lookup:
+    """Values by 64-bit key, all of which are known to be there: keys in order of a
+    multiplicative hash, reached through the first place of each hash value."""
+
+    _FACTOR = np.uint64(0x9E3779B97F4A7C15)  # 2 ** 64 over the golden ratio, odd
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        bits = max(8, (2 * len(keys)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        h = self._hash(keys)
+        place = np.argsort(h, kind="stable")
+        self.keys, self.values = keys[place], values[place]
+        count = np.bincount(h, minlength=1 << bits)
+        self.first = (np.cumsum(count) - count).astype(np.int32)
+
+    def _hash(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * self._FACTOR) >> self.shift).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        at = self.first[self._hash(keys)]
+        todo = np.flatnonzero(self.keys[at] != keys)
+        while len(todo):
+            at[todo] += 1
+            todo = todo[self.keys[at[todo]] != keys[todo]]
+        return self.values[at]
+
+
 def _score_group(order: int, fields: list[str]):
     def run(docs: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         if not len(docs):
             return pd.DataFrame(columns=fields)
-        by_win = told[told["word"].isna()]
-        win, lp = by_win["win"].to_numpy(np.int64).view(np.uint64), by_win["val"].to_numpy(float)
-        place = np.argsort(win)
-        win, lp = win[place], lp[place]
-        by_word = told[told["word"].notna()]
-        index = {w.encode("utf-8"): i for i, w in enumerate(by_word["word"])}
-        term, known = by_word["val"].to_numpy(float), by_word["known"].to_numpy(bool)
+        is_word = told["word"].notna().to_numpy(bool)
+        lp = Lookup(told["win"].to_numpy(np.int64)[~is_word].view(np.uint64), told["val"].to_numpy(float)[~is_word])
+        index = {w.encode("utf-8"): i for i, w in enumerate(told["word"][is_word])}
+        term, known = told["val"].to_numpy(float)[is_word], told["known"].to_numpy(bool)[is_word]
         rows = []
         for text in docs["text"]:
             raw = text.encode("utf-8")
-            score = sum(float(lp[np.searchsorted(win, w)].sum()) for w in windows(raw, order))
+            score = sum(float(lp.get(w).sum()) for w in windows(raw, order))
             toks = words(raw)
             at = np.fromiter(map(index.__getitem__, toks), np.int64, len(toks))
             rows.append((len(toks), int(known[at].sum()), float(term[at].sum()), score))
@@ -233,11 +262,12 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     counts = by_win.filter("n > 0").select("win", "n")
     lps = stage(window_scores(by_win.select("win", "n"), trie(counts, order), order), "window-scores")
     den = math.log10(n + 0.5 * (v + 1))
-    none = F.lit(None)
-    told = (by_win.select("win", F.explode("grps").alias("grp")).join(lps, "win")
-                  .select("grp", "win", none.cast("string").alias("word"), F.col("lp").alias("val"), F.lit(True).alias("known"))
+    zero, none = F.lit(0).cast("long"), F.lit(None).cast("string")
+    told = (by_win.join(lps, "win")
+                  .select(F.explode("grps").alias("grp"), "win", none.alias("word"), F.col("lp").alias("val"),
+                          F.lit(True).alias("known"))
             .unionByName(by_word.select(
-                F.explode("grps").alias("grp"), none.cast("long").alias("win"), "word",
+                F.explode("grps").alias("grp"), zero.alias("win"), "word",
                 (F.log10(F.col("n") + 0.5) - F.lit(den)).alias("val"), (F.col("n") > 0).alias("known"))))
     fields = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
     kind = src.schema["doc_id"].dataType.simpleString()
