@@ -29,7 +29,7 @@ def default_tokenizer() -> str:
 
 
 class Encoder:
-    def __init__(self, path: str, cache: int = 1_200_000):
+    def __init__(self, path: str, cache: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
