@@ -22,7 +22,7 @@ The tree is never built in one task: parsing emits (host, path, kind, feature)
 rows, and counts and entropies are two grouped sums with partial
 aggregation, so a host with a third of the pages is spread like any other. Only
 the removed paths of a host are gathered (template nodes) and joined to its
-pages.
+pages, which a salt deals to ``SALT`` tasks where the join shuffles.
 
 Defined results: null and empty html give an empty text; a url without a host
 puts the page in the group of hostless pages; repeated rows count as pages and
@@ -39,12 +39,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import dom
+from .common import stage
 from .tokens import text_batches
 
 GAMMA = 0.9
 THRESHOLD = 0.25
 MIN_PAGES = 10
 CONTENT, CHILDREN = 0, 1
+SALT = 16
 
 
 def host_of(url_col: str) -> Column:
@@ -117,8 +119,12 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             threshold: float = THRESHOLD, min_pages: int = MIN_PAGES) -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
     src = _source(pages, id_col, url_col, html_col)
-    gone = boilerplate(style_tree(src), threshold, min_pages)
-    j = src.join(gone, src["host"] == gone["b_host"], "left").select("page_id", "url", "html", "paths")
+    gone = stage(boilerplate(style_tree(src), threshold, min_pages), "boilerplate")
+    # staged, so a small table is broadcast by its size; otherwise the salt spreads the pages of a hot host
+    gone = gone.withColumn("b_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    salted = src.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALT)))
+    j = salted.join(gone, (salted["host"] == gone["b_host"]) & (salted["salt"] == gone["b_salt"]), "left")
+    j = j.select("page_id", "url", "html", "paths")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
