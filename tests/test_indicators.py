@@ -1,4 +1,4 @@
-"""Indicators against pandas goldens, edge series and the per-symbol property."""
+"""Indicators against their definitions, edge series and the per-symbol property."""
 
 import datetime as dt
 
@@ -8,31 +8,14 @@ import pytest
 
 from marketframe.functions.scalar import nan_to_null
 from marketframe.operators import indicators as I
+from tests.goldens import definitions
 
 COLS = I.INDICATOR_COLUMNS
 
 
-def pandas_indicators(g: pd.DataFrame) -> pd.DataFrame:
-    g = g.sort_values("date").reset_index(drop=True).copy()
-    c = g["close"]
-    g["sma_5"] = c.rolling(5).mean()
-    g["sma_20"] = c.rolling(20).mean()
-    g["ema_12"] = c.ewm(span=12).mean()
-    g["ema_26"] = c.ewm(span=26).mean()
-    g["macd"] = g.ema_12 - g.ema_26
-    g["macd_signal"] = g.macd.ewm(span=9).mean()
-    g["macd_histogram"] = g.macd - g.macd_signal
-    delta = c.diff()
-    gain = delta.where(delta > 0, 0).rolling(14).mean()
-    loss = (-delta.where(delta < 0, 0)).rolling(14).mean()
-    g["rsi"] = 100 - (100 / (1 + gain / loss))
-    g["bb_middle"] = c.rolling(20).mean()
-    sd = c.rolling(20).std()
-    g["bb_upper"] = g.bb_middle + sd * 2
-    g["bb_lower"] = g.bb_middle - sd * 2
-    g["daily_return"] = c.pct_change()
-    g["volatility"] = g.daily_return.rolling(20).std()
-    return g
+def golden(g: pd.DataFrame) -> pd.DataFrame:
+    g = g.sort_values("date").reset_index(drop=True)
+    return g.assign(**definitions(g["close"]))
 
 
 def make_bars(series: dict[str, np.ndarray]) -> pd.DataFrame:
@@ -46,7 +29,7 @@ def make_bars(series: dict[str, np.ndarray]) -> pd.DataFrame:
 
 def compare(spark, pdf, block=I.DEFAULT_BLOCK, tol=1e-8):
     out = I.indicators(spark.createDataFrame(pdf), block=block).toPandas()
-    ref = pd.concat([pandas_indicators(g) for _, g in pdf.groupby("symbol")])
+    ref = pd.concat([golden(g) for _, g in pdf.groupby("symbol")])
     m = ref.merge(out, on=["symbol", "date"], suffixes=("_p", "_s"))
     assert len(m) == len(pdf) == len(out)
     for c in COLS:
@@ -57,13 +40,13 @@ def compare(spark, pdf, block=I.DEFAULT_BLOCK, tol=1e-8):
         assert (np.abs((a - b).fillna(0)) / scale).max() < tol, c
 
 
-def test_random_walks_match_pandas(spark):
+def test_random_walks_match_definitions(spark):
     rng = np.random.default_rng(7)
     series = {f"S{k}": 100 + np.cumsum(rng.normal(0, 1, n)) for k, n in enumerate([3, 25, 150, 400])}
     compare(spark, make_bars(series))
 
 
-def test_many_blocks_match_pandas(spark):
+def test_many_blocks_match_definitions(spark):
     rng = np.random.default_rng(11)
     series = {"HOT": 50 + np.cumsum(rng.normal(0, 1, 3000)), "COLD": 10 + rng.random(40)}
     # smallest block the halo allows -> several blocks per long series
@@ -132,17 +115,33 @@ def test_primitives(spark):
 
 def test_hot_series_with_ties_matches_pandas(spark):
     """One key holding every row, several rows per date: order by the tie
-    columns; checked against pandas over the same order."""
+    columns; checked against the definitions over the same order."""
     rng = np.random.default_rng(9)
     n = 2500
     pdf = pd.DataFrame({"symbol": "ALL",
                         "date": [dt.date(2020, 1, 1) + dt.timedelta(days=int(i // 3)) for i in range(n)],
                         "k": rng.permutation(n), "close": 100 + np.cumsum(rng.normal(0, 1, n))})
     out = I.indicators(spark.createDataFrame(pdf), order=["date", "k"], block=900).toPandas()
-    ref = pandas_indicators(pdf.sort_values(["date", "k"]).rename(columns={"date": "d0"}).assign(date=lambda x: range(len(x))))
+    ref = golden(pdf.sort_values(["date", "k"]).rename(columns={"date": "d0"}).assign(date=lambda x: range(len(x))))
     ref = ref.sort_values("date").reset_index(drop=True)
     out = out.sort_values(["date", "k"]).reset_index(drop=True)
     for c in COLS:
         a, b = ref[c].astype(float).to_numpy(), out[c].astype(float).to_numpy()
         assert np.array_equal(np.isnan(a), np.isnan(b)), c
         assert np.nanmax(np.abs(a - b) / np.maximum(1, np.abs(np.nan_to_num(a)))) < 1e-8, c
+
+
+@pytest.mark.parametrize("block", [1, 4000])
+def test_ewm_carries_through_long_null_runs(spark, block):
+    """A null run far longer than the halo: the last value stands, whatever the block."""
+    rng = np.random.default_rng(2)
+    vals = np.concatenate([50 + rng.random(100), np.full(3000, np.nan), 60 + rng.random(5)])
+    df = nan_to_null(spark.createDataFrame(make_bars({"A": vals})))
+    got = I.ewm_mean(df, "close", 12, block=block).toPandas().sort_values("date")["ema_12"].to_numpy(dtype=float)
+    ref = pd.Series(vals).ewm(span=12).mean().to_numpy()
+    assert np.allclose(got, ref, rtol=1e-9) and not np.isnan(got).any()
+    macd = I.indicators(df, which=["macd", "macd_signal", "sma_5"], block=block).toPandas().sort_values("date")
+    line = pd.Series(ref) - pd.Series(vals).ewm(span=26).mean()
+    assert np.allclose(macd["macd"].to_numpy(dtype=float), line, rtol=1e-7, atol=1e-9)
+    assert np.allclose(macd["macd_signal"].to_numpy(dtype=float), line.ewm(span=9).mean(), rtol=1e-7, atol=1e-9)
+    assert macd["sma_5"].notna().sum() == 97

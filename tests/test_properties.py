@@ -8,6 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from marketframe.functions.scalar import nan_to_null
+from tests.goldens import definitions
 from marketframe.operators import clean as C
 from marketframe.operators import indicators as I
 
@@ -41,21 +42,16 @@ def test_fill_matches_pandas(spark, rows, block):
 @settings(max_examples=8, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.too_slow])
 @given(rows=st.lists(st.tuples(st.sampled_from(["HOT", "HOT", "A"]), st.floats(1, 1000, allow_nan=False)),
                      min_size=1, max_size=150), block=st.integers(21, 60))
-def test_rolling_and_returns_match_pandas(spark, rows, block):
+def test_rolling_and_returns_match_definitions(spark, rows, block):
     pdf = frame(rows)
     which = ["sma_5", "sma_20", "rsi", "daily_return", "volatility"]
     got = I.indicators(spark.createDataFrame(pdf, "symbol string, date date, close double"),
                        which=which, block=block).toPandas().sort_values(["symbol", "date"])
     for sym, g in pdf.sort_values(["symbol", "date"]).groupby("symbol"):
-        c = g["close"].reset_index(drop=True)
         mine = got[got.symbol == sym].reset_index(drop=True)
-        delta = c.diff()
-        ref = {"sma_5": c.rolling(5).mean(), "sma_20": c.rolling(20).mean(),
-               "rsi": 100 - 100 / (1 + delta.where(delta > 0, 0).rolling(14).mean()
-                                   / (-delta.where(delta < 0, 0)).rolling(14).mean()),
-               "daily_return": c.pct_change(), "volatility": c.pct_change().rolling(20).std()}
-        for k, v in ref.items():
-            a = v.replace([np.inf, -np.inf], np.nan).to_numpy(dtype=float)
+        ref = definitions(g["close"])
+        for k in which:
+            a = ref[k]
             b = mine[k].to_numpy(dtype=float)
             assert np.array_equal(np.isnan(a), np.isnan(b)) or k == "rsi", k
             ok = ~np.isnan(a) & ~np.isnan(b)
