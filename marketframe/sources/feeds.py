@@ -43,17 +43,18 @@ NEWS_ITEM = _struct(headline=S, summary=S, url=S, datetime=L, source=S, category
 EARNING = _struct(actual=D, estimate=D, period=S, quarter=I, year=I)
 FINANCIALS = _struct(data=T.ArrayType(_struct(year=I, quarter=I, form=S, startDate=S, endDate=S,
                                               filedDate=S, acceptedDate=S)))
-INSIDER = _struct(data=T.ArrayType(_struct(name=S, share=L, change=L, filingDate=S,
+INSIDER = _struct(data=T.ArrayType(_struct(name=S, share=D, change=D, filingDate=S,
                                            transactionDate=S, transactionCode=S)))
 RECOMMENDATION = _struct(buy=I, hold=I, sell=I, strongBuy=I, strongSell=I, period=S)
 SOCIAL_ITEM = _struct(mention=L, positiveMention=L, negativeMention=L, score=D)
 SOCIAL = _struct(reddit=T.ArrayType(SOCIAL_ITEM), twitter=T.ArrayType(SOCIAL_ITEM))
 DIVIDEND = _struct(amount=D, adjustedAmount=D, declarationDate=S, exDate=S, payDate=S,
                    recordDate=S, frequency=S)
-IPO = _struct(ipoCalendar=T.ArrayType(_struct(date=S, exchange=S, name=S, numberOfShares=L,
+IPO = _struct(ipoCalendar=T.ArrayType(_struct(date=S, exchange=S, name=S, numberOfShares=D,
                                               price=S, status=S, symbol=S, totalSharesValue=D)))
 
-# List caps the reference applies to a response, in payload order.
+# The list caps that the reference applies to a response, in payload
+# order. Stored payloads are read whole unless a caller passes one of these as ``cap``.
 CAP_COMPANY_NEWS, CAP_FINANCIALS, CAP_INSIDER, CAP_RECOMMENDATIONS, CAP_MARKET_NEWS = 10, 5, 20, 12, 20
 
 # The 12 feed names and the table each one fills.
@@ -130,14 +131,19 @@ def normalize_profile(landing: DataFrame) -> DataFrame:
                     F.col("p.phone").alias("phone"), F.col("fetched_at").alias("timestamp"), "batch_id")
 
 
-def _news(landing: DataFrame, feed: str, cap: int) -> DataFrame:
+def _first(arr: Column, cap: int | None) -> Column:
+    """The first ``cap`` items in payload order, all by default."""
+    return arr if cap is None else F.slice(arr, 1, cap)
+
+
+def _news(landing: DataFrame, feed: str, cap: int | None) -> DataFrame:
     t = _feed(landing, feed).where(non_empty_list(F.col("payload")))
-    arr = F.slice(F.from_json("payload", T.ArrayType(NEWS_ITEM)), 1, cap)
+    arr = _first(F.from_json("payload", T.ArrayType(NEWS_ITEM)), cap)
     return t.select("symbol", "batch_id", F.posexplode(arr).alias("pos", "n"))
 
 
-def normalize_company_news(landing: DataFrame, cap: int = CAP_COMPANY_NEWS) -> DataFrame:
-    """first ``cap`` news items in payload order; datetime 0/missing -> null."""
+def normalize_company_news(landing: DataFrame, cap: int | None = None) -> DataFrame:
+    """the news items in payload order (the first ``cap``); datetime 0/missing -> null."""
     t = _news(landing, "company_news", cap)
     return t.select("symbol", F.col("n.headline").alias("headline"), F.col("n.summary").alias("summary"),
                     F.col("n.url").alias("url"), epoch_to_ts(F.col("n.datetime")).alias("datetime"),
@@ -145,7 +151,7 @@ def normalize_company_news(landing: DataFrame, cap: int = CAP_COMPANY_NEWS) -> D
                     F.col("n.image").alias("image"), F.col("n.sentiment").alias("sentiment"), "batch_id")
 
 
-def normalize_market_news(landing: DataFrame, cap: int = CAP_MARKET_NEWS) -> DataFrame:
+def normalize_market_news(landing: DataFrame, cap: int | None = None) -> DataFrame:
     """as company news with ``related``, without symbol and sentiment."""
     t = _news(landing, "market_news", cap)
     return t.select(F.col("n.headline").alias("headline"), F.col("n.summary").alias("summary"),
@@ -164,11 +170,11 @@ def normalize_earnings(landing: DataFrame) -> DataFrame:
                     F.col("e.year").alias("year"), F.col("fetched_at").alias("timestamp"), "batch_id")
 
 
-def normalize_financials(landing: DataFrame, freq: str = "annual", cap: int = CAP_FINANCIALS) -> DataFrame:
-    """first ``cap`` reports of ``data``; scalar metadata per report."""
+def normalize_financials(landing: DataFrame, freq: str = "annual", cap: int | None = None) -> DataFrame:
+    """the reports of ``data`` (the first ``cap``); scalar metadata per report."""
     t = _feed(landing, "financials").select("symbol", "batch_id", F.from_json("payload", FINANCIALS).alias("p"))
     t = t.where(F.coalesce(F.size("p.data") > 0, F.lit(False)))
-    t = t.select("symbol", "batch_id", F.explode(F.slice("p.data", 1, cap)).alias("r"))
+    t = t.select("symbol", "batch_id", F.explode(_first(F.col("p.data"), cap)).alias("r"))
     return t.select("symbol", F.lit(freq).alias("frequency"), F.col("r.year").alias("year"),
                     F.col("r.quarter").alias("quarter"), F.col("r.form").alias("form"),
                     to_ts_lenient(F.col("r.startDate")).alias("start_date"),
@@ -177,11 +183,11 @@ def normalize_financials(landing: DataFrame, freq: str = "annual", cap: int = CA
                     to_ts_lenient(F.col("r.acceptedDate")).alias("accepted_date"), "batch_id")
 
 
-def normalize_insider(landing: DataFrame, cap: int = CAP_INSIDER) -> DataFrame:
-    """first ``cap`` transactions of ``data``."""
+def normalize_insider(landing: DataFrame, cap: int | None = None) -> DataFrame:
+    """the transactions of ``data`` (the first ``cap``); counts may be fractional."""
     t = _feed(landing, "insider").select("symbol", "batch_id", F.from_json("payload", INSIDER).alias("p"))
     t = t.where(F.coalesce(F.size("p.data") > 0, F.lit(False)))
-    t = t.select("symbol", "batch_id", F.explode(F.slice("p.data", 1, cap)).alias("x"))
+    t = t.select("symbol", "batch_id", F.explode(_first(F.col("p.data"), cap)).alias("x"))
     return t.select("symbol", F.col("x.name").alias("person_name"), F.col("x.share").alias("share"),
                     F.col("x.change").alias("change"),
                     to_date_lenient(F.col("x.filingDate")).alias("filing_date"),
@@ -189,10 +195,10 @@ def normalize_insider(landing: DataFrame, cap: int = CAP_INSIDER) -> DataFrame:
                     F.col("x.transactionCode").alias("transaction_code"), "batch_id")
 
 
-def normalize_recommendation(landing: DataFrame, cap: int = CAP_RECOMMENDATIONS) -> DataFrame:
-    """first ``cap`` monthly recommendation records."""
+def normalize_recommendation(landing: DataFrame, cap: int | None = None) -> DataFrame:
+    """the monthly recommendation records (the first ``cap``)."""
     t = _feed(landing, "recommendation").where(non_empty_list(F.col("payload")))
-    arr = F.slice(F.from_json("payload", T.ArrayType(RECOMMENDATION)), 1, cap)
+    arr = _first(F.from_json("payload", T.ArrayType(RECOMMENDATION)), cap)
     t = t.select("symbol", "batch_id", F.explode(arr).alias("r"))
     return t.select("symbol", F.col("r.buy").alias("buy"), F.col("r.hold").alias("hold"),
                     F.col("r.sell").alias("sell"), F.col("r.strongBuy").alias("strong_buy"),
@@ -255,10 +261,54 @@ def normalize_all(landing: DataFrame) -> dict[str, DataFrame]:
     return {FEED_TABLES[f]: fn(landing) for f, fn in NORMALIZERS.items()}
 
 
+# Payload type per feed, for the type check of ``quarantine``.
+PAYLOADS: dict[str, T.DataType] = {
+    "quote": QUOTE, "candle": CANDLE, "profile": PROFILE, "company_news": T.ArrayType(NEWS_ITEM),
+    "earnings": T.ArrayType(EARNING), "financials": FINANCIALS, "insider": INSIDER,
+    "recommendation": T.ArrayType(RECOMMENDATION), "social": SOCIAL, "dividend": T.ArrayType(DIVIDEND),
+    "market_news": T.ArrayType(NEWS_ITEM), "ipo": IPO,
+}
+
+
+def _as_text(dt: T.DataType) -> T.DataType:
+    """``dt`` with every scalar as text."""
+    if isinstance(dt, T.ArrayType):
+        return T.ArrayType(_as_text(dt.elementType))
+    if isinstance(dt, T.StructType):
+        return T.StructType([T.StructField(f.name, _as_text(f.dataType)) for f in dt.fields])
+    return S
+
+
+def _lost(raw: Column, typed: Column, dt: T.DataType) -> Column:
+    """True where a value of the payload is there but did not fit its type."""
+    if isinstance(dt, T.StringType):
+        return F.lit(False)
+    if isinstance(dt, T.ArrayType):
+        pairs = F.arrays_zip(raw.alias("r"), typed.alias("t"))
+        own = F.exists(pairs, lambda x: F.coalesce(_lost(x["r"], x["t"], dt.elementType), F.lit(False)))
+        return (raw.isNotNull() & typed.isNull()) | F.coalesce(own, F.lit(False))
+    if isinstance(dt, T.StructType):
+        out = F.lit(False)
+        for f in dt.fields:
+            out = out | F.coalesce(_lost(raw[f.name], typed[f.name], f.dataType), F.lit(False))
+        return out
+    return raw.isNotNull() & typed.isNull()
+
+
+def bad_type(feed: Column, payload: Column) -> Column:
+    """True where a payload holds a non-null value that its column type cannot take."""
+    out = F.lit(False)
+    for name, dt in PAYLOADS.items():
+        lost = _lost(F.from_json(payload, _as_text(dt)), F.from_json(payload, dt), dt)
+        out = F.when(feed == name, lost).otherwise(out)
+    return F.coalesce(out, F.lit(False))
+
+
 def quarantine(landing: DataFrame) -> DataFrame:
-    """landing rows that cannot be used, with a reason: empty body,
-    malformed JSON, or a candle whose value arrays are shorter than ``t``.
-    The other rows (and feeds) continue unaffected."""
+    """landing rows that cannot be used as they are, with a reason: empty body,
+    malformed JSON, a candle whose value arrays are shorter than ``t``, or a
+    value that does not fit its column (``bad_type``; such a value reads as
+    null). The other rows (and feeds) continue unaffected."""
     pl = F.col("payload")
     c = F.from_json(pl, CANDLE)
     n_t = F.size(c["t"])
@@ -266,7 +316,8 @@ def quarantine(landing: DataFrame) -> DataFrame:
         F.array(*[F.coalesce(F.size(c[k]), F.lit(-1)) for k in "ohlcv"]), lambda n: n < n_t)
     reason = (F.when(pl.isNull() | (F.trim(pl) == ""), F.lit("empty_body"))
                .when(F.try_parse_json(pl).isNull(), F.lit("malformed_json"))
-               .when(ragged, F.lit("ragged_candle")))
+               .when(ragged, F.lit("ragged_candle"))
+               .when(bad_type(F.col("feed"), pl), F.lit("bad_type")))
     return (landing.select("feed", "symbol", "batch_id", "fetched_at", reason.alias("reason"))
                    .where(F.col("reason").isNotNull()))
 

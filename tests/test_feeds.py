@@ -31,17 +31,36 @@ def news(n):
     return json.dumps([{"headline": f"h{i}", "datetime": i} for i in range(n)])
 
 
-def test_caps(spark):
-    for n, want in ((0, 0), (9, 9), (10, 10), (11, 10)):
-        assert FD.normalize_company_news(landing(spark, "company_news", [news(n)])).count() == want
-    assert FD.normalize_market_news(landing(spark, "market_news", [news(25)])).count() == 20
+def test_nothing_is_cut_unless_asked(spark):
     recs = json.dumps([{"buy": i, "period": "2024-01-01"} for i in range(13)])
-    assert FD.normalize_recommendation(landing(spark, "recommendation", [recs])).count() == 12
     fin = json.dumps({"data": [{"year": 2000 + i} for i in range(6)]})
-    f = FD.normalize_financials(landing(spark, "financials", [fin])).collect()
-    assert [r.year for r in f] == [2000, 2001, 2002, 2003, 2004] and f[0].frequency == "annual"
     ins = json.dumps({"data": [{"name": f"p{i}", "change": i} for i in range(21)]})
-    assert FD.normalize_insider(landing(spark, "insider", [ins])).count() == 20
+    for feed, fn, payload, cap, n in (
+            ("company_news", FD.normalize_company_news, news(11), FD.CAP_COMPANY_NEWS, 11),
+            ("market_news", FD.normalize_market_news, news(25), FD.CAP_MARKET_NEWS, 25),
+            ("recommendation", FD.normalize_recommendation, recs, FD.CAP_RECOMMENDATIONS, 13),
+            ("financials", FD.normalize_financials, fin, FD.CAP_FINANCIALS, 6),
+            ("insider", FD.normalize_insider, ins, FD.CAP_INSIDER, 21)):
+        land = landing(spark, feed, [payload])
+        assert fn(land).count() == n and fn(land, cap=cap).count() == cap < n
+    assert FD.normalize_company_news(landing(spark, "company_news", [news(0)])).count() == 0
+    f = FD.normalize_financials(landing(spark, "financials", [fin]), cap=5).collect()
+    assert [r.year for r in f] == [2000, 2001, 2002, 2003, 2004] and f[0].frequency == "annual"
+
+
+def test_fractional_counts_survive_and_bad_types_are_reported(spark):
+    ins = json.dumps({"data": [{"name": "p", "share": 100.5, "change": -1500.0}]})
+    r = FD.normalize_insider(landing(spark, "insider", [ins])).first()
+    assert (r.share, r.change) == (100.5, -1500.0)
+    assert FD.quarantine(landing(spark, "insider", [ins])).count() == 0
+    ipo = json.dumps({"ipoCalendar": [{"numberOfShares": 12.5}]})
+    assert FD.normalize_ipo(landing(spark, "ipo", [ipo])).first().number_of_shares == 12.5
+    for feed, bad in (("insider", {"data": [{"share": "many"}]}), ("quote", {"c": "n/a"}),
+                      ("earnings", [{"actual": 1.0}, {"quarter": "Q1"}]), ("social", {"reddit": [{"mention": "x"}], "twitter": []})):
+        got = FD.quarantine(landing(spark, feed, [json.dumps(bad)])).collect()
+        assert [r.reason for r in got] == ["bad_type"], feed
+    for feed, good in (("quote", {"c": None}), ("social", {"reddit": [], "twitter": []}), ("profile", {"name": "n"})):
+        assert FD.quarantine(landing(spark, feed, [json.dumps(good)])).count() == 0
 
 
 def test_news_order_and_datetime(spark):
