@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -54,35 +54,36 @@ def get_session(master: str | None = None, app: str = "marketframe",
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and intermediate tables.
-
-    On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    file system); unset there, it is an error. Only with a local master
-    (tests) and no setting, a fresh scratch folder is created and registered.
-    """
+    """The shared folder for checkpoints and intermediate tables: the setting
+    ``spark.checkpoint.dir``, or else the folder set on the context. There is no
+    default, as a folder of one machine would be lost to the others: a session with
+    neither, on whatever master, is an error (entry points and tests name one)."""
     d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d and hasattr(spark, "_jsc"):  # Spark Connect has no context to ask
+        d = spark.sparkContext.getCheckpointDir()
     if not d:
-        try:  # a directory set on the context (classic sessions only)
-            d = spark.sparkContext.getCheckpointDir()
-        except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
-            d = None
-    if not d:
-        master = spark.conf.get("spark.master", None) or ""
-        if master and not master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir is unset: on a cluster it must name a shared folder "
-                               "(stages and stream checkpoints are written there)")
-        d = tempfile.mkdtemp(prefix="mf-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        try:
-            spark.conf.set("spark.checkpoint.dir", d)
-        except Exception:  # noqa: BLE001 - a core setting may be read-only here
-            pass
-    try:
-        spark.sparkContext.setCheckpointDir(d)
-    except Exception:  # noqa: BLE001
-        pass
+        raise RuntimeError("spark.checkpoint.dir is unset: it must name a folder that the driver and all "
+                           "executors share (stages and stream checkpoints are written there)")
     return d
 
 
+# Folders written by ``materialize`` inside the innermost ``staging`` block.
+_OWNED: list[list[str]] = []
+
+
+@contextmanager
+def staging(spark: SparkSession):
+    """Owner of the intermediate tables written inside the block: they are
+    deleted when it ends, so results must be written to tables of their own."""
+    _OWNED.append([])
+    try:
+        yield
+    finally:
+        for path in _OWNED.pop():
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def materialize(df, name: str = "stage"):
     """Write ``df`` as Parquet to a fresh folder under the shared checkpoint
     directory and return a DataFrame over it.
@@ -90,13 +91,11 @@ def materialize(df, name: str = "stage"):
     Cuts lineage at a stage boundary: later plans start from a small scan
     (with exact size statistics for AQE) instead of re-deriving the stage,
     and a lost executor re-reads the written files instead of recomputing.
+    Inside a ``staging`` block the folder goes when the block ends.
     """
-    import uuid
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if _OWNED:
+        _OWNED[-1].append(path)
     df.write.parquet(path)
     return spark.read.parquet(path)
-
-
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
