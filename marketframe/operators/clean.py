@@ -48,14 +48,23 @@ def fill_prices(df: DataFrame, cols: Sequence[str] | None = None,
     return fill_indexed(t, cols, keys).drop(IDX, BLK, OWN)
 
 
-def _medians_long(df: DataFrame, cols: Sequence[str], batch: list[str]) -> DataFrame:
+def _medians_long(df: DataFrame, cols: Sequence[str], batch: list[str], only_gaps: bool = False) -> DataFrame:
     """(batch..., _mf_col, _mf_med): exact median of every column per batch.
 
     The values of all columns are unpivoted to ``(batch, col, v)``, ranked by
     the series index (a range-partitioned sort, so a huge batch is split over
     many tasks; the index also yields each group's size) and the one or two
-    middle ranks are averaged - pandas' median.
+    middle ranks are averaged - pandas' median. ``only_gaps`` leaves out the
+    columns of batches without a null, which need no median to be filled.
     """
+    if only_gaps:
+        gaps = df.groupBy(*batch).agg(*[F.max(F.col(c).isNull()).alias(f"_mf_g_{c}") for c in cols])
+        gaps = gaps.select(*[F.col(b).alias(f"_mf_k{j}") for j, b in enumerate(batch)],
+                           F.filter(F.array(*[F.when(F.col(f"_mf_g_{c}"), F.lit(c)) for c in cols]),
+                                    lambda c: c.isNotNull()).alias("_mf_gaps")).where(F.size("_mf_gaps") > 0)
+        cond = [df[b].eqNullSafe(gaps[f"_mf_k{j}"]) for j, b in enumerate(batch)]
+        df = df.join(gaps, cond).select(
+            *[df[b] for b in batch], *[F.when(F.array_contains("_mf_gaps", c), df[c]).alias(c) for c in cols])
     kv = F.explode(F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("v"))
                              for c in cols])).alias("kv")
     long = df.select(*batch, kv).select(*batch, F.col("kv.k").alias("_mf_col"),
@@ -93,7 +102,9 @@ def batch_medians(df: DataFrame, cols: Sequence[str], batch: str | Sequence[str]
 def fill_median(df: DataFrame, cols: Sequence[str] | None = None,
                 batch: str | Sequence[str] = "batch_id", approx: bool = False) -> DataFrame:
     """Fill nulls with the batch median, for every numeric column that is not a
-    price column (volume and the rest, C04). An all-null column stays null."""
+    price column (volume and the rest, C04). An all-null column stays null. Filled
+    columns are doubles, as the median of an even number of integers may be a half.
+    Exact medians are taken only where a batch has a null in the column."""
     batch = _cols(batch)
     if cols is None:
         cols = [c for c in numeric_columns(df, exclude=batch) if c not in PRICE_COLUMNS]
@@ -103,10 +114,10 @@ def fill_median(df: DataFrame, cols: Sequence[str] | None = None,
     if approx:
         wide = batch_medians(df, cols, batch, approx=True)
     else:
-        wide = _wide(_medians_long(df, cols, batch), cols, batch)
+        wide = _wide(_medians_long(df, cols, batch, only_gaps=True), cols, batch)
     med = wide.select(*batch, *[F.col(c).alias(f"_mf_m_{c}") for c in cols])
     j = df.join(med, batch, "left")
-    return j.select(*[F.coalesce(F.col(c), F.col(f"_mf_m_{c}")).cast(df.schema[c].dataType).alias(c)
+    return j.select(*[F.coalesce(F.col(c).cast("double"), F.col(f"_mf_m_{c}")).alias(c)
                       if c in cols else F.col(c) for c in df.columns])
 
 

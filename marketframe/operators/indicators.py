@@ -13,7 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .series import (BLK, DEFAULT_BLOCK, IDX, OWN, _cols, diff_col, ewm_block_limit, ewm_col,
+from ..functions.scalar import clip_sign
+from .series import (BLK, DEFAULT_BLOCK, IDX, OWN, _cols, diff_col, ewm_block_limit, ewm_carried, ewm_col,
                      ewm_halo, pct_change_col, rolling_mean_col, rolling_std_col,
                      series_index, with_blocks)
 
@@ -49,6 +50,9 @@ def indicators_indexed(idx: DataFrame, price: str = "close", keys: Sequence[str]
     want = set(names if which is None else which)
     need_ewm = bool(want & {*ema_names, "macd", "macd_signal", "macd_histogram"})
     need_signal = bool(want & {"macd_signal", "macd_histogram"})
+    if need_ewm and _has_nulls(idx, price):
+        return _with_carried_ewm(idx, price, keys, block, ema, signal, names, want, need_signal, gate,
+                                 sma=sma, rsi_n=rsi_n, bb_n=bb_n, bb_k=bb_k, vol_n=vol_n)
     lookbacks = [1]
     lookbacks += [n - 1 for n, nm in zip(sma, sma_names) if nm in want]
     lookbacks += [rsi_n] if "rsi" in want else []
@@ -83,8 +87,7 @@ def indicators_indexed(idx: DataFrame, price: str = "close", keys: Sequence[str]
         t = t.withColumn("macd", F.col(f"ema_{e1}") - F.col(f"ema_{e2}"))
     rolled = {nm: rolling_mean_col(c, n, keys) for n, nm in zip(sma, sma_names) if nm in want}
     if "rsi" in want:
-        gain = F.when(F.col("_mf_delta") > 0, F.col("_mf_delta")).otherwise(F.lit(0.0))
-        loss = F.when(F.col("_mf_delta") < 0, -F.col("_mf_delta")).otherwise(F.lit(0.0))
+        gain, loss = clip_sign(F.col("_mf_delta")), clip_sign(F.col("_mf_delta"), -1)
         rolled["rsi"] = rsi_col(rolling_mean_col(gain, rsi_n, keys), rolling_mean_col(loss, rsi_n, keys))
     if want & {"bb_middle", "bb_upper", "bb_lower"}:
         mid = rolling_mean_col(c, bb_n, keys)
@@ -104,6 +107,29 @@ def indicators_indexed(idx: DataFrame, price: str = "close", keys: Sequence[str]
     return t.select(*idx.columns, *out)
 
 
+def _has_nulls(idx: DataFrame, col: str) -> bool:
+    """Whether a price is missing; the filter reaches the staged Parquet scan, where
+    row groups without nulls are skipped by their statistics."""
+    return not idx.where(F.col(col).isNull()).isEmpty()
+
+
+def _with_carried_ewm(idx, price, keys, block, ema, signal, names, want, need_signal, gate, **params) -> DataFrame:
+    """``indicators_indexed`` for series with missing prices: the EWM columns need their
+    values carried through null runs before the signal is taken, so they are added
+    first and the trailing frames after them."""
+    t = ewm_carried(idx, price, {f"ema_{e}": e for e in ema}, keys, block)
+    t = t.withColumn("macd", F.col(f"ema_{ema[0]}") - F.col(f"ema_{ema[1]}"))
+    if need_signal:
+        t = ewm_carried(t, "macd", {"macd_signal": signal}, keys, block)
+        t = t.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))
+    have = [f"ema_{e}" for e in ema] + ["macd", "macd_signal", "macd_histogram"]
+    rest = [n for n in names if n in want and n not in have]
+    if rest:
+        t = indicators_indexed(t, price, keys, block, ema=ema, signal=signal, which=rest, **params)
+    out = [F.col(n) if gate is None else F.when(F.col(gate), F.col(n)).alias(n) for n in names if n in want]
+    return t.select(*idx.columns, *out)
+
+
 def indicators(df: DataFrame, price: str = "close", keys: str | Sequence[str] = ("symbol",),
                order: str | Sequence[str] = ("date",), block: int = DEFAULT_BLOCK, **params) -> DataFrame:
     """All 13 indicator columns appended to ``df``."""
@@ -141,22 +167,24 @@ def diff(df: DataFrame, col: str = "close", out: str | None = None,
 
 def pct_change(df: DataFrame, col: str = "close", out: str | None = None,
                keys=("symbol",), order=("date",), block: int = DEFAULT_BLOCK) -> DataFrame:
-    """pandas ``pct_change()`` per series; previous 0 -> null."""
+    """Change from the previous row per series; previous 0 or a missing price on
+    either side -> null, nothing is padded (I09, I11)."""
     return _single(df, keys, order, block, 1,
                    lambda t, k: t.withColumn(out or "daily_return", pct_change_col(F.col(col), k)))
 
 
 def ewm_mean(df: DataFrame, col: str = "close", span: float = 12, out: str | None = None,
              keys=("symbol",), order=("date",), block: int = DEFAULT_BLOCK) -> DataFrame:
-    """pandas ``ewm(span=span).mean()`` per series as a blocked running sum
-    with an ``ewm_halo(span)``-row halo (I03)."""
+    """pandas ``ewm(span=span).mean()`` per series as a blocked running sum with an
+    ``ewm_halo(span)``-row halo, carried through null runs (I03)."""
     keys, order = _cols(keys), _cols(order)
-    halo = ewm_halo(span)
-    limit = ewm_block_limit(span)
+    name = out or f"ema_{int(span) if float(span).is_integer() else span}"
+    idx = series_index(df, keys, order)
+    if _has_nulls(idx, col):
+        return ewm_carried(idx, col, {name: span}, keys, block).drop(IDX)
+    halo, limit = ewm_halo(span), ewm_block_limit(span)
     if halo > limit:
         raise ValueError(f"span {span}: halo {halo} exceeds the exponent limit {limit}")
     B = max(min(block, limit), halo + 1)
-    name = out or f"ema_{int(span) if float(span).is_integer() else span}"
-    t = with_blocks(series_index(df, keys, order), B, halo)
-    t = t.select("*", ewm_col(F.col(col), span, keys, B).alias(name)).where(F.col(OWN))
-    return t.drop(IDX, BLK, OWN)
+    t = with_blocks(idx, B, halo)
+    return t.select("*", ewm_col(F.col(col), span, keys, B).alias(name)).where(F.col(OWN)).drop(IDX, BLK, OWN)

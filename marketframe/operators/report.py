@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import nan_to_null, round_half_even
-from .clean import PRICE_COLUMNS, dedup_rows, fill_median, null_count, numeric_columns
+from .clean import PRICE_COLUMNS, dedup_rows, fill_median, min_rows_gate, null_count, numeric_columns
 from .indicators import indicators_indexed
 from .quotes import quote_sentiment
 from ..session import materialize
@@ -38,47 +38,53 @@ STEP_TYPE = T.StructType([
 
 
 def clean_bars(raw: DataFrame, batch: str = "batch_id", keys: Sequence[str] = ("symbol",),
-               order: Sequence[str] = ("date",), min_rows: int = 20,
+               order: Sequence[str] = ("date",), min_rows: int | None = None,
                block: int = DEFAULT_BLOCK, approx_median: bool = False,
                cut_lineage: bool = True) -> DataFrame:
     """Bars batch job: dedup -> price fill -> median fill -> indicators.
 
     Series are ``(batch, *keys)`` in ``order``. One series index serves the
-    price fill and all indicators. Series with ``min_rows`` rows or fewer get
-    null indicators (the columns always exist). With ``cut_lineage`` the
+    price fill and all indicators. Warm-up rows have null indicators, which needs
+    no row gate; with ``min_rows`` all indicators of a batch (file) with that many
+    rows or fewer are null (the columns always exist). With ``cut_lineage`` the
     cleaned stage is written to the shared checkpoint folder (one job) and
     the indicators start from that table.
     """
     series = [batch, *keys] if batch in raw.columns else list(keys)
     d = dedup_rows(nan_to_null(raw))
     prices = [c for c in PRICE_COLUMNS if c in d.columns]
-    idx = series_index(d, series, order, with_len=True)
+    others = [c for c in numeric_columns(d, exclude=[batch, *keys]) if c not in PRICE_COLUMNS]
+    idx = series_index(d, series, order)
     t = fill_indexed(with_blocks(idx, block, 0), prices, series).drop(BLK, OWN)
-    t = t.withColumn("_mf_gate", F.col("_mf_len") > min_rows).drop("_mf_len")
     if cut_lineage:
         t = materialize(t, "clean-bars")
     if batch in t.columns:
-        t = fill_median(t, batch=batch, approx=approx_median)
-    out = indicators_indexed(t, "close", series, block, gate="_mf_gate")
-    return out.drop(IDX, "_mf_gate")
+        t = fill_median(t, others, batch=batch, approx=approx_median)
+    gate = None
+    if min_rows is not None:
+        gate, t = "_mf_gate", min_rows_gate(t, [batch] if batch in t.columns else list(keys), min_rows, "_mf_gate")
+    return indicators_indexed(t, "close", series, block, gate=gate).drop(IDX, "_mf_gate")
 
 
 def clean_quotes(raw: DataFrame, batch: str = "batch_id", keys: Sequence[str] = ("symbol",),
                  order: Sequence[str] = ("timestamp",), strong: float = 2.0,
                  block: int = DEFAULT_BLOCK, approx_median: bool = False,
                  cut_lineage: bool = True) -> DataFrame:
-    """Quotes batch job: dedup -> price fill per symbol across batches by time
-    -> median fill per batch -> change percent and sentiment. With
-    ``cut_lineage`` the filled stage is written to the shared checkpoint
-    folder once and the median fill reads it."""
+    """Quotes batch job: dedup -> price fill per batch (file) and symbol by time
+    -> median fill per batch -> change percent and sentiment. A batch's result
+    depends on that batch only, so batch runs, reruns and streams agree whatever
+    runs together. With ``cut_lineage`` the filled stage is written to the shared
+    checkpoint folder once and the median fill reads it."""
     d = dedup_rows(nan_to_null(raw))
+    series = [batch, *keys] if batch in d.columns else list(keys)
     prices = [c for c in PRICE_COLUMNS if c in d.columns]
-    t = with_blocks(series_index(d, list(keys), list(order)), block, 0)
-    t = fill_indexed(t, prices, list(keys)).drop(IDX, BLK, OWN)
+    others = [c for c in numeric_columns(d, exclude=[batch, *keys]) if c not in PRICE_COLUMNS]
+    t = with_blocks(series_index(d, series, list(order)), block, 0)
+    t = fill_indexed(t, prices, series).drop(IDX, BLK, OWN)
     if cut_lineage:
         t = materialize(t, "clean-quotes")
     if batch in t.columns:
-        t = fill_median(t, batch=batch, approx=approx_median)
+        t = fill_median(t, others, batch=batch, approx=approx_median)
     return quote_sentiment(t, strong)
 
 
@@ -92,29 +98,27 @@ def _step(name, removed=None, before=None, after=None, added=None):
 
 
 def cleaning_report(raw: DataFrame, processed: DataFrame, kind: str, batch: str = "batch_id",
-                    min_rows: int = 20, keys: Sequence[str] = ("symbol",)) -> DataFrame:
+                    min_rows: int | None = None) -> DataFrame:
     """One row per batch: original/final rows, quality score and the steps
     that acted (C06): duplicates removed, missing values before/after the
     fills, indicators added, analysis added.
 
     ``kind`` is ``historical`` (bars) or ``quotes``. Every count is a grouped
-    aggregate per batch; the inputs are whole tables.
+    aggregate per batch; the inputs are whole tables. NaN counts as missing, as it
+    does in the fills. One grouped count over all columns gives the rows of each
+    batch before and after duplicates go. ``min_rows`` is that of ``clean_bars``.
     """
     num_in = numeric_columns(raw, exclude=[batch])
-    orig = raw.groupBy(batch).agg(F.count(F.lit(1)).alias("original_rows"))
-    dd = dedup_rows(raw).groupBy(batch).agg(F.count(F.lit(1)).alias("_mf_dedup_rows"),
-                                            F.sum(null_count(num_in)).alias("_mf_miss_before"))
+    rows = nan_to_null(raw).groupBy(*raw.columns).agg(F.count(F.lit(1)).alias("_mf_copies"))
+    dd = rows.groupBy(batch).agg(F.sum("_mf_copies").alias("original_rows"),
+                                 F.count(F.lit(1)).alias("_mf_dedup_rows"),
+                                 F.sum(null_count(num_in)).alias("_mf_miss_before"))
     out_cols = [c for c in processed.columns if c != batch]
     fin = processed.groupBy(batch).agg(
         F.count(F.lit(1)).alias("final_rows"),
         F.sum(null_count(num_in)).alias("_mf_miss_after"),
         F.sum(null_count(out_cols)).alias("_mf_nulls"))
-    if kind == "historical":
-        series = [batch, *keys]
-        longest = (processed.groupBy(*series).agg(F.count(F.lit(1)).alias("_mf_n"))
-                            .groupBy(batch).agg(F.max("_mf_n").alias("_mf_longest")))
-        fin = fin.join(longest, batch, "left")
-    r = orig.join(dd, batch, "left").join(fin, batch, "left")
+    r = dd.join(fin, batch, "left")
     removed = F.col("original_rows") - F.col("_mf_dedup_rows")
     steps = [
         F.when(removed != 0, _step(STEP_DEDUP, removed=removed)),
@@ -122,7 +126,8 @@ def cleaning_report(raw: DataFrame, processed: DataFrame, kind: str, batch: str
                _step(STEP_MISSING, before=F.col("_mf_miss_before"), after=F.col("_mf_miss_after"))),
     ]
     if kind == "historical" and "close" in processed.columns:
-        steps.append(F.when(F.col("_mf_longest") > min_rows, _step(STEP_INDICATORS, added=INDICATORS_ADDED)))
+        acted = F.lit(True) if min_rows is None else F.col("final_rows") > min_rows
+        steps.append(F.when(acted, _step(STEP_INDICATORS, added=INDICATORS_ADDED)))
     if kind == "quotes" and "current_price" in processed.columns:
         steps.append(_step(STEP_ANALYSIS, added=ANALYSIS_ADDED))
     comp = F.lit(1.0) - F.try_divide(F.col("_mf_nulls").cast("double"),
@@ -134,21 +139,31 @@ def cleaning_report(raw: DataFrame, processed: DataFrame, kind: str, batch: str
         F.filter(F.array(*steps).cast(T.ArrayType(STEP_TYPE)), lambda s: s.isNotNull()).alias("steps"))
 
 
-def run_summary(report: DataFrame, run_ts=None, batch: str = "batch_id") -> DataFrame:
-    """The run's summary document (C08): file count, average of the per-file
-    scores rounded to 2 places and the sorted list of file entries.
-
-    One entry per batch (file), not per data row, so the single output row
-    stays small whatever the data size.
-    """
-    ts = F.current_timestamp() if run_ts is None else F.lit(run_ts).cast("timestamp")
-    entry = F.struct(
+def file_entries(report: DataFrame, run_id: str, batch: str = "batch_id") -> DataFrame:
+    """The file entries of a run (C08), one row per file: run_id, input_file,
+    file_type and stats. A table of its own, as a run may have any number of files."""
+    return report.select(
+        F.lit(run_id).alias("run_id"),
         F.concat(F.when(F.col("file_type") == "quotes", F.lit("stock_quotes_"))
                   .otherwise(F.lit("stock_historical_")), F.col(batch), F.lit(".csv")).alias("input_file"),
         F.col("file_type"),
         F.struct("original_rows", "final_rows", "data_quality_score", "steps", "file_type").alias("stats"))
+
+
+def run_summary(report: DataFrame, run_id: str, run_ts=None) -> DataFrame:
+    """The totals of a run (C08), one row: run_id, timestamp, file count and the
+    average of the per-file scores rounded to 2 places. Its files are the rows of
+    ``file_entries`` with the same run_id."""
+    ts = F.current_timestamp() if run_ts is None else F.lit(run_ts).cast("timestamp")
     return report.agg(
-        ts.alias("timestamp"),
+        F.lit(run_id).alias("run_id"), ts.alias("timestamp"),
         F.count(F.lit(1)).alias("total_files_processed"),
-        round_half_even(F.avg("data_quality_score"), 2).alias("average_quality_score"),
-        F.sort_array(F.collect_list(entry)).alias("files"))
+        round_half_even(F.avg("data_quality_score"), 2).alias("average_quality_score"))
+
+
+def latest_summary(summaries: DataFrame, entries: DataFrame) -> DataFrame:
+    """The newest run's file entries with the run's totals; newest by
+    (timestamp, run_id), found by one grouped maximum."""
+    newest = summaries.agg(F.max(F.struct("timestamp", "run_id", "total_files_processed",
+                                          "average_quality_score")).alias("s")).select("s.*")
+    return entries.join(newest, "run_id")

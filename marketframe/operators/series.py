@@ -14,8 +14,9 @@ series is cut into blocks of ``B`` consecutive rows instead:
    rows of each block into the next one, so trailing frames of up to
    ``halo + 1`` rows are exact inside ``Window.partitionBy(key, b)``.
 3. EWM: weights of rows more than ``H = ceil((46 + ln(1/(1-d))) / -ln d)``
-   back are below 1e-20 of the window mass, so a halo of H rows turns the
-   EWM into a running sum inside the block - exact to double precision.
+   back are below 1e-20 of the mass of a non-null row, so a halo of H rows turns the
+   EWM into a running sum inside the block - exact to double precision; null
+   runs carry the last value (``ewm_carried``).
 4. Unbounded frames that reach the series start (forward/backward fill)
    combine a per-block value with a carry from the block table (``B`` times
    smaller than the data), scanned in two levels so that no task holds a
@@ -180,8 +181,9 @@ def pct_change_col(c: Column, keys: Sequence[str]) -> Column:
 # ---------------------------------------------------------------- fills
 
 def fill_indexed(blocked: DataFrame, cols: Sequence[str], keys: Sequence[str],
-                 fanout: int = 2048) -> DataFrame:
-    """Forward then backward fill of ``cols`` on a blocked frame without halo.
+                 fanout: int = 2048, backward: bool = True) -> DataFrame:
+    """Forward then (unless ``backward`` is false) backward fill of ``cols`` on a
+    blocked frame without halo.
 
     Within a block: ``last``/``first`` ignoring nulls. Across blocks the
     last (first) non-null value of earlier (later) blocks comes from the
@@ -231,8 +233,8 @@ def fill_indexed(blocked: DataFrame, cols: Sequence[str], keys: Sequence[str],
     cond = [blocked[k].eqNullSafe(carry[f"_mf_k{j}"]) for j, k in enumerate(keys)]
     cond.append(blocked[BLK] == carry["_mf_b2"])
     j = blocked.join(carry, cond, "left")
-    filled = {c: F.coalesce(F.col(c), F.last(c, True).over(before), F.col(f"_mf_ff_{c}"),
-                            F.first(c, True).over(after), F.col(f"_mf_bf_{c}")).alias(c)
+    back = lambda c: [F.first(c, True).over(after), F.col(f"_mf_bf_{c}")] if backward else []
+    filled = {c: F.coalesce(F.col(c), F.last(c, True).over(before), F.col(f"_mf_ff_{c}"), *back(c)).alias(c)
               for c in cols}
     return j.select(*[filled.get(c, blocked[c]) for c in blocked.columns])
 
@@ -268,8 +270,10 @@ def ewm_col(x: Column, span: float, keys: Sequence[str], block: int) -> Column:
     ``y_i = sum_j d^(i-j) x_j / sum_j d^(i-j)`` over non-null ``x_j`` (nulls
     keep decaying, as pandas with ``ignore_na=False``), ``d = 1 - 2/(span+1)``,
     written as ``d^l * running_sum(x_j d^-l_j)`` with ``l`` the offset from
-    the block's own first row (halo rows have negative ``l``). Exact when the
-    block carries at least ``ewm_halo(span)`` halo rows.
+    the block's own first row (halo rows have negative ``l``). Exact on rows where
+    ``x`` is not null when the block carries at least ``ewm_halo(span)`` halo rows:
+    such a row has weight 1, all rows before the halo together below 1e-20. On a
+    null row the last value may lie before the halo; ``ewm_carried`` brings it.
     """
     d = ewm_decay(span)
     local = (F.col(IDX) - F.col(BLK) * block).cast("double")
@@ -281,3 +285,20 @@ def ewm_col(x: Column, span: float, keys: Sequence[str], block: int) -> Column:
     num = F.sum(F.when(ok, x * inv).otherwise(F.lit(0.0))).over(w)
     den = F.sum(F.when(ok, inv).otherwise(F.lit(0.0))).over(w)
     return F.when(den > 0, num / den)
+
+
+def ewm_carried(idx: DataFrame, x: str, spans: dict[str, float], keys: Sequence[str], block: int) -> DataFrame:
+    """EWM columns (name -> span) of ``x`` on an indexed frame, for series with nulls: evaluated
+    on the non-null rows, where the halo makes it exact, then carried through null
+    runs of any length by the two-level fill. The result does not depend on ``block``."""
+    keys = list(keys)
+    halo = max(ewm_halo(s) for s in spans.values())
+    limit = min(ewm_block_limit(s) for s in spans.values())
+    if halo > limit:
+        raise ValueError(f"EWM halo {halo} exceeds the exponent limit {limit}")
+    B = max(min(block, limit), halo + 1)
+    t = with_blocks(idx, B, halo)
+    seen = F.col(x).isNotNull()
+    t = t.select("*", *[F.when(seen, ewm_col(F.col(x), s, keys, B)).alias(n) for n, s in spans.items()])
+    t = materialize(t.where(F.col(OWN)).drop(BLK, OWN), "ewm")   # the fill reads it twice
+    return fill_indexed(with_blocks(t, DEFAULT_BLOCK, 0), list(spans), keys, backward=False).drop(BLK, OWN)

@@ -45,11 +45,13 @@ def prefer_processed(processed: DataFrame, raw: DataFrame, batch: str = "batch_i
 
 
 def sentiment_counts(df: DataFrame) -> DataFrame:
-    """Value counts of sentiment with its colour (V02, V03); nulls excluded."""
+    """Value counts of sentiment with its colour, most frequent first, equal counts by
+    name (V02, V03); nulls excluded. At most one row per sentiment is sorted."""
     cmap = F.create_map(*[F.lit(x) for kv in SENTIMENT_COLORS.items() for x in kv])
     return (df.where(F.col("sentiment").isNotNull())
               .groupBy("sentiment").agg(F.count(F.lit(1)).alias("count"))
-              .withColumn("color", F.coalesce(F.element_at(cmap, F.col("sentiment")), F.lit("gray"))))
+              .withColumn("color", F.coalesce(F.element_at(cmap, F.col("sentiment")), F.lit("gray")))
+              .orderBy(F.col("count").desc(), "sentiment"))
 
 
 def change_bars(df: DataFrame) -> DataFrame:
@@ -78,8 +80,13 @@ def recent_quotes(df: DataFrame) -> DataFrame:
         df, ["symbol", "current_price", "change_percent", "volume", "sentiment"]), 2)
 
 
-def market_kpis(df: DataFrame) -> DataFrame:
-    """Average price, market trend (average change %), total volume, active stocks."""
+def market_kpis(df: DataFrame, bars: DataFrame | None = None) -> DataFrame:
+    """Average price, market trend (average change %), total volume, active stocks
+    (V07). Quotes carry no volume, so with ``bars`` it is that of each symbol's
+    latest bar."""
+    if "volume" not in df.columns and bars is not None:
+        last = bars.groupBy(F.col("symbol").alias("_mf_s")).agg(F.max_by("volume", "date").alias("volume"))
+        df = df.join(last, F.col("symbol") == F.col("_mf_s"), "left").drop("_mf_s")
     vol = F.sum("volume") if "volume" in df.columns else F.lit(None).cast("double")
     return df.agg(F.avg("current_price").alias("avg_price"),
                   F.avg("change_percent").alias("market_trend"),
@@ -139,13 +146,14 @@ def status_board(latest_status: DataFrame) -> DataFrame:
                        "message", color.alias("color"))
 
 
-def summary_steps(summary: DataFrame) -> DataFrame:
-    """Summary drill-down (V15): one row per file step key/value, long form.
+def summary_steps(entries: DataFrame) -> DataFrame:
+    """Summary drill-down (V15) from a run's file entries: one row per file step
+    key/value, long form.
 
     File-level metrics come out as step ``file`` rows so that one table
     carries the whole expander content.
     """
-    f = summary.select(F.inline("files"))
+    f = entries
     file_name = with_default(F.col("input_file"), "Unknown File").alias("input_file")
     metrics = f.select(file_name, F.lit("file").alias("step"), F.inline(F.array(
         F.struct(F.lit("original_rows").alias("key"), F.col("stats.original_rows").cast("string").alias("value")),

@@ -79,7 +79,9 @@ def test_clean_bars_gate_and_report(spark):
     raw = bars(spark, rows).withColumn("open", F.col("close"))
     out = R.clean_bars(raw)
     s = out.where("symbol = 'S'").toPandas()
-    assert s["sma_5"].isna().all() and s["ema_12"].isna().all()   # 10 rows: gate keeps nulls
+    assert s["sma_5"].notna().sum() == 6 and s["ema_12"].notna().all()   # 10 rows: warm-up nulls only
+    gated = R.clean_bars(raw, min_rows=36).toPandas()                    # by rows of the batch, not of a symbol
+    assert gated["ema_12"].isna().all() and len(gated) == 35
     a = out.where("symbol = 'A'").toPandas()
     assert a["ema_12"].notna().all()
     rep = R.cleaning_report(raw, out, "historical").first()
@@ -89,8 +91,9 @@ def test_clean_bars_gate_and_report(spark):
     assert steps["handle_missing_values"].missing_before == 2      # close and open of S day 2
     assert steps["handle_missing_values"].missing_after == 0
     assert "technical_indicators" in steps
-    summ = R.run_summary(R.cleaning_report(raw, out, "historical")).first()
-    assert summ.total_files_processed == 1 and summ.files[0].input_file == "stock_historical_b.csv"
+    report = R.cleaning_report(raw, out, "historical")
+    assert R.run_summary(report, "r1").first().total_files_processed == 1
+    assert [(f.run_id, f.input_file) for f in R.file_entries(report, "r1").collect()] == [("r1", "stock_historical_b.csv")]
 
 
 def test_fill_two_level_carry(spark):
@@ -101,3 +104,24 @@ def test_fill_two_level_carry(spark):
     out = sorted((r[IDX], r.close) for r in fill_indexed(t, ["close"], ["symbol"], fanout=2).collect())
     closes = [c for _, c in out]
     assert closes[:70] == [1.0] * 70 and closes[70:140] == [2.0] * 70 and closes[140:] == [3.0] * 10
+
+
+def test_integer_median_is_not_truncated(spark):
+    df = spark.createDataFrame([(1, "b"), (2, "b"), (None, "b")], "v bigint, batch_id string")
+    assert sorted(r.v for r in C.fill_median(df, ["v"]).collect()) == [1.0, 1.5, 2.0]
+
+
+def test_report_counts_nan_as_missing(spark):
+    raw = bars(spark, [("A", i, float("nan") if i == 1 else 1.0, 1.0, "b") for i in range(4)])
+    steps = {s.step: s for s in R.cleaning_report(raw, R.clean_bars(raw), "historical").first().steps}
+    assert steps["handle_missing_values"].missing_before > 0 and steps["handle_missing_values"].missing_after == 0
+
+
+def test_quote_cleaning_does_not_depend_on_what_runs_together(spark):
+    rows = [("A", 10.0, 9.0, "2024-01-01", "b1"), ("A", None, 9.0, "2024-01-02", "b2"), ("A", 30.0, 9.0, "2024-01-03", "b3"),
+            ("A", 5.0, None, "2024-01-02", "b2"), ("B", None, 1.0, "2024-01-02", "b2")]
+    q = spark.createDataFrame(rows, "symbol string, current_price double, previous_close double, t string, batch_id string")
+    q = q.selectExpr("symbol", "current_price", "previous_close", "cast(t as timestamp) as timestamp", "batch_id")
+    key = lambda df: sorted(map(str, df.where("batch_id = 'b2'").collect()))
+    alone = key(R.clean_quotes(q.where("batch_id = 'b2'")))
+    assert key(R.clean_quotes(q)) == key(R.clean_quotes(q.where("batch_id <> 'b1'"))) == alone and len(alone) == 3
