@@ -8,18 +8,21 @@ Spark jobs over shared storage (everything below ``root`` is a table folder).
                  status rows and the result event.
 
 Reruns are idempotent: tables are partitioned by ``batch_id`` with dynamic
-overwrite, and the cleaning run skips batches already in the processed
-tables (anti-join on ``(kind, batch_id)``).
+overwrite, and the cleaning run skips batches that an earlier run has handled
+(anti-join of the file listing on ``(kind, batch_id)``).
 """
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import report as R
-from ..session import materialize
+from ..session import materialize, staging
 from ..sources import feeds as FD
 from ..sources import storage as S
 from ..streaming import streams as ST
@@ -35,33 +38,53 @@ BAR_CSV = T.StructType([T.StructField(n, t) for n, t in [
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
+    """False where no table was written yet; any other fault is raised."""
     try:
-        spark.read.parquet(path).limit(0).collect()
+        spark.read.parquet(path)
         return True
-    except Exception:  # noqa: BLE001 - a missing table reads as "nothing processed"
-        return False
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
 
 
 def _append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def _state(spark: SparkSession, root: str, service: str, status: str, message: str) -> None:
+    _append(ST.service_state(spark, service, status, message), f"{root}/status_log")
+
+
 def run_ingest(spark: SparkSession, landing: DataFrame, root: str) -> DataFrame:
-    """Normalize every feed of the landing table into ``root/<table>``
-    (partitioned by batch), then write the ingest summary, status and event.
-    The landing rows are first written partitioned by ``feed`` under
-    ``root/landing``, so each of the 12 normalizers reads only its own
-    partition instead of scanning all payloads. Returns the per-batch summary."""
-    S.write_table(landing, f"{root}/landing", batch="feed")
-    landing = S.read_table(spark, f"{root}/landing")
-    tables = FD.normalize_all(landing)
+    """Normalize every feed of the landing frame into ``root/<table>``
+    (partitioned by batch), then write the ingest summary, status and event of the
+    batches in it. The rows are first written under ``root/landing`` by (batch_id,
+    feed), which keeps earlier batches and lets each of the 12 normalizers read its
+    own partitions only. A landing frame holds a batch's feed whole; a rerun
+    replaces it. States: ``fetching`` at the start, ``error`` if the run fails.
+    Returns the per-batch summary of this run."""
+    _state(spark, root, "data_ingest", "fetching", "Starting data ingestion")
+    try:
+        with staging(spark):
+            return _ingest(spark, landing, root)
+    except Exception as e:
+        _state(spark, root, "data_ingest", "error", f"Error during ingestion: {type(e).__name__}")
+        raise
+
+
+def _ingest(spark: SparkSession, landing: DataFrame, root: str) -> DataFrame:
+    S.write_table(landing, f"{root}/landing", ["batch_id", "feed"])
+    batches = materialize(landing.select("batch_id").distinct(), "ingest-batches")
+    mine = lambda df: df.join(batches, "batch_id", "left_semi")
+    tables = FD.normalize_all(mine(S.read_table(spark, f"{root}/landing", FD.LANDING_SCHEMA)))
     for name, df in tables.items():
         S.write_table(df, f"{root}/{name}")                    # empty feed -> no partition
-    stored = {name: S.read_table(spark, f"{root}/{name}") for name in tables
+    stored = {name: mine(S.read_table(spark, f"{root}/{name}")) for name in tables
               if _exists(spark, f"{root}/{name}")}
-    summary = FD.ingest_summary(stored, quotes=stored.get("quotes"))
-    S.write_table(summary, f"{root}/ingest_summary")
-    summary = S.read_table(spark, f"{root}/ingest_summary")
+    S.write_table(FD.ingest_summary(stored, quotes=stored.get("quotes")), f"{root}/ingest_summary")
+    ids = [r["batch_id"] for r in batches.collect()]           # the batches of one run
+    summary = S.read_table(spark, f"{root}/ingest_summary").where(F.col("batch_id").isin(ids))
     status = ST.ingest_status(summary).select(
         "service", "field", "value", F.current_timestamp().alias("ts"), F.lit(0).cast("bigint").alias("seq"))
     _append(status, f"{root}/status_log")
@@ -72,36 +95,80 @@ def run_ingest(spark: SparkSession, landing: DataFrame, root: str) -> DataFrame:
     return summary
 
 
+# kind -> (file name pattern, CSV layout, cleaner, table); the layouts' text dates are parsed below
+KINDS = {
+    "quotes": ("stock_quotes_*.csv", QUOTE_CSV, R.clean_quotes, "processed_quotes"),
+    "historical": ("stock_historical_*.csv", BAR_CSV, R.clean_bars, "processed_bars"),
+}
+
+
+def pending_files(spark: SparkSession, raw_dir: str, root: str) -> DataFrame:
+    """(kind, batch_id, path) of raw files whose batch no run has handled yet: the
+    listing's names, parsed and anti-joined before any content is read."""
+    files = S.list_files(spark, raw_dir, "stock_*.csv").select(
+        "path", S.parse_batch(F.col("file_name")).alias("b")).select("b.kind", "b.batch_id", "path")
+    files = files.where(F.col("batch_id").isNotNull())
+    if _exists(spark, f"{root}/handled_batches"):
+        done = spark.read.parquet(f"{root}/handled_batches").select("kind", "batch_id").distinct()
+        files = files.join(done, ["kind", "batch_id"], "left_anti")
+    return files
+
+
 def run_cleaning(spark: SparkSession, raw_dir: str, root: str) -> DataFrame | None:
     """Clean the pending raw batches under ``raw_dir`` (files named
-    ``stock_quotes_<id>.csv`` / ``stock_historical_<id>.csv``) into
-    ``root``. Malformed CSV rows go to ``root/quarantine``; batches already
-    processed are skipped (anti-join on ``(kind, batch_id)``). Returns the
-    run summary (one row), or ``None`` when nothing was pending."""
-    q_raw, q_bad = S.read_raw_batches(spark, raw_dir, QUOTE_CSV, "stock_quotes_*.csv")
-    b_raw, b_bad = S.read_raw_batches(spark, raw_dir, BAR_CSV, "stock_historical_*.csv")
-    _append(q_bad.unionByName(b_bad), f"{root}/quarantine")
-    q_raw = q_raw.withColumn("timestamp", F.try_to_timestamp("timestamp")).drop("kind")
-    b_raw = b_raw.withColumn("date", F.to_date(F.try_to_timestamp("date", F.lit("yyyy-MM-dd")))).drop("kind")
-    reports = []
-    for kind, raw, clean, table in (("quotes", q_raw, R.clean_quotes, "processed_quotes"),
-                                    ("historical", b_raw, R.clean_bars, "processed_bars")):
-        ids = raw.select(F.lit(kind).alias("kind"), "batch_id").distinct()
-        if _exists(spark, f"{root}/{table}"):
-            done = S.read_table(spark, f"{root}/{table}").select(F.lit(kind).alias("kind"), "batch_id")
-            ids = S.pending_batches(ids, done)
-        # written first: the processed table is then written by a plan that does not read it
-        ids = materialize(ids, f"pending-{kind}")
-        pending = raw.join(ids.select("batch_id"), "batch_id", "left_semi")
-        S.write_table(clean(pending), f"{root}/{table}")
-        processed = S.read_table(spark, f"{root}/{table}").join(ids.select("batch_id"), "batch_id", "left_semi")
-        reports.append(R.cleaning_report(pending, processed, kind))
-    rep = materialize(reports[0].unionByName(reports[1]), "run-report")
-    if rep.isEmpty():
+    ``stock_quotes_<id>.csv`` / ``stock_historical_<id>.csv``) into ``root``.
+
+    Only pending files are read. Malformed rows go to ``root/quarantine`` by (kind,
+    batch_id), replaced if a batch runs again; a batch with nothing but such rows
+    counts as handled too. States: ``processing``, then ``completed``, ``idle``
+    (nothing pending) or ``error``. Returns the run's totals (one row), or ``None``
+    when no batch gave rows."""
+    _state(spark, root, "data_clean", "processing", "Starting data cleaning")
+    try:
+        with staging(spark):
+            return _clean(spark, raw_dir, root)
+    except Exception as e:
+        _state(spark, root, "data_clean", "error", f"Error during cleaning: {type(e).__name__}")
+        raise
+
+
+def _clean(spark: SparkSession, raw_dir: str, root: str) -> DataFrame | None:
+    pending = materialize(pending_files(spark, raw_dir, root), "pending-files")
+    if pending.isEmpty():
+        _state(spark, root, "data_clean", "idle", "No new files to process")
         return None
-    S.write_table(rep, f"{root}/cleaning_reports")
-    summary = materialize(R.run_summary(rep), "run-summary")
+    reports, bad = [], []
+    for kind, (_, layout, clean, table) in KINDS.items():
+        paths = [r["path"] for r in pending.where(F.col("kind") == kind).select("path").collect()]  # one per file
+        if not paths:
+            continue
+        raw, wrong = S.read_raw_batches(spark, paths, layout)
+        bad.append(wrong)
+        raw = raw.drop("kind")
+        if kind == "quotes":
+            raw = raw.withColumn("timestamp", F.try_to_timestamp("timestamp"))
+        else:
+            raw = raw.withColumn("date", F.to_date(F.try_to_timestamp("date", F.lit("yyyy-MM-dd"))))
+        S.write_table(clean(raw), f"{root}/{table}")
+        if not _exists(spark, f"{root}/{table}"):
+            continue
+        ids = raw.select("batch_id").distinct()
+        processed = S.read_table(spark, f"{root}/{table}").join(ids, "batch_id", "left_semi")
+        reports.append(R.cleaning_report(raw, processed, kind))
+    S.write_table(S.union_batches(*bad), f"{root}/quarantine", ["kind", "batch_id"])
+    run_id = uuid.uuid4().hex
+    rep = materialize(S.union_batches(*reports), "run-report") if reports else None
+    if rep is None or rep.isEmpty():
+        _append(pending.select("kind", "batch_id", F.lit(run_id).alias("run_id")), f"{root}/handled_batches")
+        _state(spark, root, "data_clean", "error", "No file could be processed")
+        return None
+    S.write_table(rep, f"{root}/cleaning_reports", ["file_type", "batch_id"])
+    entries = R.file_entries(rep, run_id)
+    _append(entries, f"{root}/run_files")
+    summary = materialize(R.run_summary(rep, run_id), "run-summary")
     S.write_summary(summary, f"{root}/run_summaries")
-    _append(ST.clean_status(summary), f"{root}/status_log")
+    _append(ST.clean_status(summary, entries), f"{root}/status_log")
     _append(ST.emit_events(summary).select("message"), f"{root}/events")
-    return summary
+    # last: a run that dies before this is repeated, and its tables are replaced
+    _append(pending.select("kind", "batch_id", F.lit(run_id).alias("run_id")), f"{root}/handled_batches")
+    return spark.read.json(f"{root}/run_summaries").where(F.col("run_id") == run_id)

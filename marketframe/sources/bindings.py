@@ -3,7 +3,7 @@
 These functions only shape rows of the given tables into the schemas the
 jobs expect (bars, quotes, landing payloads, status log). They do none of
 the jobs' work; every query runs the library's operators on their output.
-Each binding has a twin SQL text in ``marketframe.plans.oracle`` so the
+Each binding has a twin SQL text in ``marketframe.plans.sqlparts`` so the
 DuckDB oracle starts from the same rows.
 """
 
@@ -97,6 +97,33 @@ def bars_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.unionByName(rep).withColumn("batch_id", F.lit("20240131_000000"))
 
 
+def bars_brand_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B2 in yearly batches with holes in close and volume and repeated rows;
+    grows with the line items."""
+    b = bars_brand(spark, sf_dir)
+    day = F.dayofmonth("date")
+    g = b.select("symbol", "date", "open", "high", "low", F.when(day % 7 != 3, F.col("close")).alias("close"),
+                 F.when(day % 5 != 2, F.col("volume")).alias("volume"),
+                 F.concat(F.date_format("date", "yyyy"), F.lit("1231_000000")).alias("batch_id"))
+    return g.unionByName(g.where(F.dayofmonth("date").isin(5, 6)))
+
+
+def quotes_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quote per line item, monthly batches, symbol = supplier modulo 50 with a
+    third of all rows on symbol ``HOT``; missing prices and other cells, repeated rows."""
+    li = read(spark, sf_dir, "lineitem")
+    price = F.col("l_extendedprice") / F.col("l_quantity")
+    q = li.select(
+        F.when(F.col("l_orderkey") % 3 == 0, F.lit("HOT")).otherwise(
+            F.concat(F.lit("S"), (F.col("l_suppkey") % 50).cast("string"))).alias("symbol"),
+        F.when(F.col("l_linenumber") % 3 != 2, price).alias("current_price"),
+        F.when(F.col("l_linenumber") % 4 != 1, F.col("l_extendedprice") / 30).alias("previous_close"),
+        F.when(F.col("l_orderkey") % 5 != 1, F.col("l_tax")).alias("change"),
+        F.col("l_shipdate").alias("timestamp"),
+        F.concat(F.date_format("l_shipdate", "yyyyMM"), F.lit("01_000000")).alias("batch_id"), "l_orderkey")
+    return q.unionByName(q.where(F.col("l_orderkey") % 10 == 0)).drop("l_orderkey")
+
+
 def status_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Status updates (service, field, value, ts, seq) from events."""
     ev = read(spark, sf_dir, "events")

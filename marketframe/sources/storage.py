@@ -9,6 +9,7 @@ written to a machine-local temp folder.
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,11 +24,11 @@ HISTORICAL_PREFIX = "stock_historical_"
 BATCH_PATTERN = r"_(\d{8}_\d{6})\.csv$"
 
 
-def write_table(df: DataFrame, path: str, batch: str = "batch_id", fmt: str = "parquet") -> None:
+def write_table(df: DataFrame, path: str, batch: str | Sequence[str] = "batch_id", fmt: str = "parquet") -> None:
     """Partitioned write; reruns replace only the batches they contain.
     An empty frame writes no partition (F16)."""
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(batch).format(fmt).options(**({"header": "true"} if fmt == "csv" else {}))
+       .partitionBy(*([batch] if isinstance(batch, str) else batch)).format(fmt).options(**({"header": "true"} if fmt == "csv" else {}))
        .save(path))
 
 
@@ -44,10 +45,25 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None
     return r.load(path)
 
 
-def read_raw_batches(spark: SparkSession, path: str, schema: T.StructType,
+def header_groups(spark: SparkSession, paths: str | Sequence[str], glob: str = "*.csv") -> dict[str, list[str]]:
+    """Header line -> files that have it. Only first lines are kept; what reaches
+    the driver is one path per file."""
+    lines = spark.read.option("pathGlobFilter", glob).text(paths).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("i"))
+    first = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "i").alias("header"))
+    out: dict[str, list[str]] = {}
+    for r in first.collect():
+        out.setdefault(r["header"], []).append(r["file"])
+    return out
+
+
+def read_raw_batches(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType,
                      glob: str = "*.csv") -> tuple[DataFrame, DataFrame]:
     """Raw CSV batches -> (good rows, quarantined rows).
 
+    Columns are taken by the name in each file's header, in whatever order;
+    a column that a header lacks is null, one that the schema lacks is ignored.
     The file name gives ``kind``/``batch_id`` (S04). Malformed lines are kept
     by the PERMISSIVE reader in a corrupt-record column and routed to the
     quarantine side instead of failing the job; every other batch and row
@@ -57,20 +73,32 @@ def read_raw_batches(spark: SparkSession, path: str, schema: T.StructType,
     record column), and both sides read that table.
     """
     bad_col = "_corrupt_record"
-    full = T.StructType(list(schema.fields) + [T.StructField(bad_col, T.StringType())])
-    df = (spark.read.schema(full).option("header", "true").option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", bad_col).option("pathGlobFilter", glob).csv(path))
-    name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1)
-    df = df.select("*", parse_batch(name).alias("_mf_b"), name.alias("file_name"))
-    df = materialize(df, "raw-batches")
+    types = {f.name: f.dataType for f in schema.fields}
+    parts = []
+    for header, files in header_groups(spark, paths, glob).items():
+        names = [n.strip() for n in next(csv.reader([header]), [])]
+        fields = [(n, types[n]) if n in types and n not in names[:i] else (f"_mf_other_{i}", T.StringType())
+                  for i, n in enumerate(names)]
+        full = T.StructType([T.StructField(n, t) for n, t in fields] + [T.StructField(bad_col, T.StringType())])
+        df = (spark.read.schema(full).option("header", "true").option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", bad_col).csv(files))
+        name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1)
+        known = {n for n, _ in fields}
+        parts.append(df.select(
+            *[F.col(n) if n in known else F.lit(None).cast(t).alias(n) for n, t in types.items()], bad_col,
+            parse_batch(name).alias("_mf_b"), name.alias("file_name")))
+    if not parts:
+        empty = T.StructType([*schema.fields, T.StructField(bad_col, T.StringType()), T.StructField("file_name", T.StringType())])
+        parts = [spark.createDataFrame([], empty).withColumn("_mf_b", parse_batch(F.col("file_name")))]
+    df = materialize(union_batches(*parts), "raw-batches")
     good = df.where(F.col(bad_col).isNull()).select(
         *[F.col(f.name) for f in schema.fields], F.col("_mf_b.kind").alias("kind"),
         F.col("_mf_b.batch_id").alias("batch_id"))
     # ``parsed``: JSON of the fields that did parse - one schema for every
     # kind of file, and Spark refuses scans of the corrupt record column alone
     bad = df.where(F.col(bad_col).isNotNull()).select(
-        "file_name", F.col("_mf_b.batch_id").alias("batch_id"), F.col(bad_col).alias("record"),
-        F.to_json(F.struct(*[F.col(f.name) for f in schema.fields])).alias("parsed"))
+        "file_name", F.col("_mf_b.kind").alias("kind"), F.col("_mf_b.batch_id").alias("batch_id"),
+        F.col(bad_col).alias("record"), F.to_json(F.struct(*[F.col(f.name) for f in schema.fields])).alias("parsed"))
     return good, bad
 
 
@@ -103,7 +131,7 @@ def list_files(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame
     """File discovery as a DataFrame of names (S03) - distributed listing via
     the binary-file source, reading no content."""
     return (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-                 .select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
+                 .select("path", F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
                          F.col("modificationTime").alias("mtime")))
 
 

@@ -23,6 +23,7 @@ from ..sources.storage import write_table
 INGEST_EVENTS = ("data_ingested", "comprehensive_data_ingested")
 PROCESSED_EVENT = "data_processed"
 
+# Fields of the services' messages; pass another schema for messages with more.
 MESSAGE_SCHEMA = T.StructType([
     T.StructField("event", T.StringType()),
     T.StructField("timestamp", T.TimestampType()),
@@ -30,27 +31,36 @@ MESSAGE_SCHEMA = T.StructType([
     T.StructField("files_created", T.LongType()),
     T.StructField("files_processed", T.LongType()),
     T.StructField("data_summary", T.MapType(T.StringType(), T.LongType())),
-    T.StructField("user_id", T.LongType()),
-    T.StructField("value", T.DoubleType()),
+    T.StructField("summary", T.StructType([
+        T.StructField("run_id", T.StringType()), T.StructField("total_files_processed", T.LongType()),
+        T.StructField("average_quality_score", T.DoubleType())])),
 ])
 
 
 def stream_ingest(spark: SparkSession, src: str, root: str, checkpoint: str, fmt: str = "parquet",
                   trigger: dict | None = None):
     """The ingest loop as a stream: landed payload files in ``src`` (landing
-    schema) are normalized per micro-batch into the 12 tables under ``root``
-    (partitioned by batch, idempotent overwrite), each file exactly once.
-    Normalizers are row-local, so a micro-batch costs one pass over its rows."""
+    schema) become the 12 tables under ``root`` (partitioned by batch), each file
+    exactly once.
+
+    A micro-batch is first added to ``root/landing``, partitioned by (batch_id,
+    load), where a load is one epoch of this query: a replayed epoch replaces its
+    own partitions only. The batches that it touched are then rebuilt from all
+    their loads, so a batch whose files arrive in several micro-batches keeps
+    every row, and untouched batches are neither read nor written."""
     from ..sources.feeds import LANDING_SCHEMA, normalize_all
     stream = spark.readStream.schema(LANDING_SCHEMA).format(fmt).load(src)
 
     def run(df: DataFrame, epoch: int) -> None:
-        df.persist()                  # twelve writes read the micro-batch once
-        try:
-            for name, table in normalize_all(df).items():
-                write_table(table, f"{root}/{name}")
-        finally:
-            df.unpersist()
+        session = df.sparkSession
+        query = session.sparkContext.getLocalProperty("sql.streaming.queryId")
+        load = f"{query}-{epoch}"
+        write_table(df.withColumn("load", F.lit(load)), f"{root}/landing", ["batch_id", "load"])
+        landing = session.read.parquet(f"{root}/landing")
+        touched = landing.where(F.col("load") == load).select("batch_id").distinct()
+        whole = landing.join(touched, "batch_id", "left_semi").select(*LANDING_SCHEMA.fieldNames())
+        for name, table in normalize_all(whole).items():
+            write_table(table, f"{root}/{name}")
 
     return (stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
                   .trigger(**(trigger or {"availableNow": True})).start())
@@ -85,6 +95,7 @@ def stream_clean(spark: SparkSession, src: str, dst: str, checkpoint: str,
 
 # ISO-8601 with microseconds, as Python's ``isoformat()`` writes it.
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
+TS_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def to_message(df: DataFrame) -> DataFrame:
@@ -92,22 +103,32 @@ def to_message(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct(*df.columns), {"timestampFormat": TS_FORMAT}).alias("message"))
 
 
-def parse_events(messages: DataFrame, col: str = "message") -> DataFrame:
+def parse_events(messages: DataFrame, col: str = "message", schema: T.StructType = MESSAGE_SCHEMA) -> DataFrame:
     """JSON messages -> typed events; malformed messages get null ``event``."""
-    return messages.select(F.from_json(F.col(col), MESSAGE_SCHEMA, {"timestampFormat": TS_FORMAT})
+    return messages.select(F.from_json(F.col(col), schema, {"timestampFormat": TS_FORMAT})
                            .alias("e")).select("e.*")
 
 
 def event_filter(messages: DataFrame, types: Sequence[str] = INGEST_EVENTS,
-                 col: str = "message") -> DataFrame:
-    """Events of the given types; malformed JSON is skipped. Works on a
-    static or a streaming frame."""
-    return parse_events(messages, col).where(F.col("event").isin(list(types)))
+                 col: str = "message", schema: T.StructType = MESSAGE_SCHEMA) -> DataFrame:
+    """Events of the given types; malformed messages go to
+    ``event_quarantine``. Works on a static or a streaming frame."""
+    return parse_events(messages, col, schema).where(F.col("event").isin(list(types)))
+
+
+def event_quarantine(messages: DataFrame, col: str = "message") -> DataFrame:
+    """Messages that are no events, with a reason: empty, malformed JSON, or
+    JSON without an ``event``. Static or streaming; other columns are kept."""
+    m = F.col(col)
+    reason = (F.when(m.isNull() | (F.trim(m) == ""), F.lit("empty_message"))
+               .when(F.try_parse_json(m).isNull(), F.lit("malformed_json"))
+               .when(F.get_json_object(m, "$.event").isNull(), F.lit("no_event")))
+    return messages.withColumn("reason", reason).where(F.col("reason").isNotNull())
 
 
 def event_stream(spark: SparkSession, src: str, types: Sequence[str] = INGEST_EVENTS) -> DataFrame:
     """T02 as a stream: JSON-lines messages landing in ``src`` (one message
-    per line), filtered to ``types``; malformed lines are skipped."""
+    per line), filtered to ``types``; bad lines are ``event_quarantine``'s."""
     msgs = spark.readStream.text(src).withColumnRenamed("value", "message")
     return event_filter(msgs, types)
 
@@ -123,28 +144,48 @@ def status_latest(log: DataFrame, keys: Sequence[str] = ("service", "field")) ->
 
 def emit_events(summary: DataFrame, event: str = PROCESSED_EVENT) -> DataFrame:
     """The result event of a cleaning run as a row (append it to the
-    event table, e.g. from ``foreachBatch``); ``message`` is its JSON text."""
+    event table, e.g. from ``foreachBatch``); ``message`` is its JSON text. The
+    event carries the run's totals; its files are found by ``run_id``."""
     e = summary.select(F.lit(event).alias("event"), F.col("timestamp"),
                        F.col("total_files_processed").alias("files_processed"),
                        F.col("average_quality_score"), F.struct(*summary.columns).alias("summary"))
     return e.withColumn("message", F.to_json(F.struct("event", "timestamp", "files_processed", "summary")))
 
 
-def clean_status(summary: DataFrame, service: str = "data_clean") -> DataFrame:
-    """The status updates of a cleaning run as long rows
+def service_state(spark: SparkSession, service: str, status: str, message: str) -> DataFrame:
+    """A service's own status update as long rows (service, field, value, ts, seq): the
+    states ``fetching`` / ``processing`` at the start of a run, ``idle`` when
+    nothing is pending, ``error`` when it failed. Message texts are the caller's."""
+    now = F.current_timestamp()
+    fields = F.array(*[F.struct(F.lit(k).alias("field"), v.alias("value")) for k, v in (
+        ("status", F.lit(status)), ("message", F.lit(message)), ("timestamp", F.date_format(now, TS_TEXT)))])
+    return spark.range(1).select(F.lit(service).alias("service"), F.inline(fields), now.alias("ts"),
+                                 F.lit(0).cast("bigint").alias("seq"))
+
+
+def clean_status(summary: DataFrame, files: DataFrame | None = None, service: str = "data_clean") -> DataFrame:
+    """The status update of a cleaning run with a summary as long rows
     ``(service, field, value, ts, seq)``: ``completed`` when files were
-    processed, ``idle`` when there was nothing to do (a run whose batches all
-    failed writes no summary row and is reported by the job as ``error``)."""
+    processed, ``idle`` when there was nothing to do. ``files`` (input_file) adds the
+    sorted JSON list ``processed_files``: file names of this run, no more. Runs
+    without a summary report by ``service_state``."""
     n = F.col("total_files_processed")
-    fields = F.array(
+    # Field names and texts of the status.
+    fields = [
         F.struct(F.lit("status").alias("field"),
                  F.when(n > 0, F.lit("completed")).otherwise(F.lit("idle")).alias("value")),
         F.struct(F.lit("files_processed").alias("field"), n.cast("string").alias("value")),
         F.struct(F.lit("average_quality_score").alias("field"), F.col("average_quality_score").cast("string").alias("value")),
         F.struct(F.lit("message").alias("field"),
-                 F.format_string("Successfully processed %d files", n).alias("value")))
-    return summary.select(F.lit(service).alias("service"), F.inline(fields), F.col("timestamp").alias("ts"),
-                          F.lit(0).cast("bigint").alias("seq"))
+                 F.format_string("Successfully processed %d files", n).alias("value")),
+        F.struct(F.lit("timestamp").alias("field"), F.date_format("timestamp", TS_TEXT).alias("value"))]
+    s = summary
+    if files is not None:
+        names = files.agg(F.to_json(F.array_sort(F.collect_list("input_file"))).alias("_mf_files"))
+        s = s.withColumn("_mf_one", F.lit(1)).join(names.withColumn("_mf_one", F.lit(1)), "_mf_one")
+        fields.append(F.struct(F.lit("processed_files").alias("field"), F.col("_mf_files").alias("value")))
+    return s.select(F.lit(service).alias("service"), F.inline(F.array(*fields)), F.col("timestamp").alias("ts"),
+                    F.lit(0).cast("bigint").alias("seq"))
 
 
 def ingest_status(summary: DataFrame, service: str = "data_ingest", batch: str = "batch_id") -> DataFrame:
@@ -154,6 +195,7 @@ def ingest_status(summary: DataFrame, service: str = "data_ingest", batch: str =
     from ..sources.feeds import SUMMARY_KEYS
     syms = F.coalesce(F.col("symbols"), F.array().cast("array<string>"))
     kinds = F.array(*[F.lit(k) for k in SUMMARY_KEYS.values()])
+    # Field names and texts of the status.
     fields = F.array(
         F.struct(F.lit("status").alias("field"), F.lit("completed").alias("value")),
         F.struct(F.lit("message").alias("field"),
@@ -165,6 +207,13 @@ def ingest_status(summary: DataFrame, service: str = "data_ingest", batch: str =
 
 
 def stream_dedup(df: DataFrame, keys: Sequence[str], ts: str, delay: str = "1 hour") -> DataFrame:
-    """Drop duplicates of ``keys`` arriving within ``delay`` of each other
-    (state is bounded by the watermark)."""
+    """Drop duplicates of ``keys`` arriving within ``delay`` of each other. State is
+    bounded by the watermark: a copy that comes later than ``delay`` after the
+    first is kept. ``stream_dedup_exact`` keeps none."""
     return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
+
+
+def stream_dedup_exact(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """T05 without a time limit: drops every later copy of ``keys``, at the price of
+    state that holds each key once."""
+    return df.dropDuplicates(list(keys))

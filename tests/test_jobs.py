@@ -45,6 +45,42 @@ def test_run_cleaning_and_rerun(spark, tmp_shared):
     s3 = J.run_cleaning(spark, raw, root).first()
     assert s3.total_files_processed == 1
     assert spark.read.parquet(f"{root}/processed_quotes").count() == 20
-    status = spark.read.parquet(f"{root}/status_log").where("field = 'status'").collect()
-    assert {r.value for r in status} == {"completed"}
+    status = spark.read.parquet(f"{root}/status_log").where("field = 'status'").orderBy("ts").collect()
+    assert [r.value for r in status] == ["processing", "completed", "processing", "idle", "processing", "completed"]
     assert spark.read.json(f"{root}/run_summaries").count() == 2
+    assert spark.read.parquet(f"{root}/quarantine").count() == 1            # not repeated by reruns
+    assert spark.read.parquet(f"{root}/run_files").count() == 5
+    files = spark.read.parquet(f"{root}/status_log").where("field = 'processed_files'").collect()
+    assert '["stock_quotes_20240105_000000.csv"]' in {r.value for r in files}
+
+
+def test_failed_cleaning_reports_an_error(spark, tmp_shared, monkeypatch):
+    os.makedirs(f"{tmp_shared}/raw")
+    with open(f"{tmp_shared}/raw/stock_quotes_20240104_000000.csv", "w") as f:
+        f.write("symbol,current_price\nclick,oops\n")                      # nothing usable
+    root = f"{tmp_shared}/out"
+    assert J.run_cleaning(spark, f"{tmp_shared}/raw", root) is None
+    status = lambda: [r.value for r in spark.read.parquet(f"{root}/status_log")
+                      .where("field = 'status'").orderBy("ts").collect()]
+    assert status() == ["processing", "error"]
+    assert J.run_cleaning(spark, f"{tmp_shared}/raw", root) is None          # handled: not read again
+    assert status()[-1] == "idle"
+    monkeypatch.setattr(J, "pending_files", lambda *a: 1 / 0)
+    try:
+        J.run_cleaning(spark, f"{tmp_shared}/raw", root)
+    except ZeroDivisionError:
+        pass
+    assert status()[-1] == "error"
+
+
+def test_two_ingest_runs_keep_both_landings(spark, tmp_shared):
+    land = B.landing_quote(spark, SF)
+    for day in ("20240105_000000", "20240106_000000"):
+        out = J.run_ingest(spark, land.where(F.col("batch_id") == day), tmp_shared).collect()
+        assert [r.batch_id for r in out] == [day]
+    both = land.where(F.col("batch_id").isin("20240105_000000", "20240106_000000"))
+    assert spark.read.parquet(f"{tmp_shared}/landing").count() == both.count()
+    assert spark.read.parquet(f"{tmp_shared}/quotes").count() == 10
+    assert spark.read.parquet(f"{tmp_shared}/events").count() == 2
+    done = spark.read.parquet(f"{tmp_shared}/status_log").where("field = 'files_created'")
+    assert done.count() == 2

@@ -93,3 +93,20 @@ def test_raw_batches_skip_bad_rows(spark, tmp_shared):
     assert sorted((r.batch_id, r.symbol, r.current_price) for r in good.collect()) == [
         ("20240101_000000", "A", 1.5), ("20240102_000000", "A", 2.5)]
     assert [(r.batch_id, r.record) for r in bad.collect()] == [("20240101_000000", "B,not-a-number")]
+
+
+def test_columns_are_taken_by_header_name(spark, tmp_shared):
+    import os
+    d = f"{tmp_shared}/named"
+    os.makedirs(d)
+    files = {"stock_quotes_20240101_000000.csv": "symbol,previous_close,current_price\nA,1.0,2.0\n",
+             "stock_quotes_20240102_000000.csv": "current_price,symbol,extra\n3.0,B,x\n",
+             "stock_quotes_20240103_000000.csv": "symbol,current_price,previous_close\nC,4.0,5.0\n"}
+    for name, text in files.items():
+        with open(f"{d}/{name}", "w") as f:
+            f.write(text)
+    good, bad = S.read_raw_batches(spark, d, spark.createDataFrame(
+        [], "symbol string, current_price double, previous_close double").schema)
+    assert sorted((r.symbol, r.current_price, r.previous_close) for r in good.collect()) == [
+        ("A", 2.0, 1.0), ("B", 3.0, None), ("C", 4.0, 5.0)]
+    assert bad.count() == 0

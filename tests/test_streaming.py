@@ -1,6 +1,7 @@
 """Streaming jobs: exactly-once pickup, equality with batch, dedup, events."""
 
 import datetime as dt
+import shutil
 
 from pyspark.sql import functions as F
 
@@ -100,3 +101,37 @@ def test_stream_ingest(spark, tmp_shared):
     ST.stream_ingest(spark, f"{tmp_shared}/land/*", f"{tmp_shared}/out", f"{tmp_shared}/ck").awaitTermination()
     assert spark.read.parquet(f"{tmp_shared}/out/quotes").count() == 150
     assert spark.read.parquet(f"{tmp_shared}/out/bars").count() == 150      # not reprocessed
+
+
+def test_stream_ingest_keeps_a_batch_split_over_runs(spark, tmp_shared):
+    land = B.landing_quote(spark, SF).where("batch_id = '20240105_000000' AND json_object_keys(payload)[0] = 'c'")
+    assert land.count() == 5
+    run = lambda ck: ST.stream_ingest(spark, f"{tmp_shared}/land/*", f"{tmp_shared}/out", ck).awaitTermination()
+    land.where("symbol < 'm'").write.parquet(f"{tmp_shared}/land/a")
+    run(f"{tmp_shared}/ck")
+    shutil.copytree(f"{tmp_shared}/ck", f"{tmp_shared}/ck-before")
+    land.where("symbol >= 'm'").write.parquet(f"{tmp_shared}/land/b")
+    run(f"{tmp_shared}/ck")
+    assert spark.read.parquet(f"{tmp_shared}/out/quotes").count() == 5
+    run(f"{tmp_shared}/ck-before")     # the second epoch once more, as after a crash before its commit
+    assert spark.read.parquet(f"{tmp_shared}/out/quotes").count() == 5
+    assert spark.read.parquet(f"{tmp_shared}/out/landing").count() == 5
+
+
+def test_event_quarantine(spark):
+    rows = [('{"event": "data_ingested"}',), ("not json",), ("",), (None,), ('{"a": 1}',)]
+    msgs = spark.createDataFrame(rows, "message string")
+    assert sorted(r.reason for r in ST.event_quarantine(msgs).collect()) == [
+        "empty_message", "empty_message", "malformed_json", "no_event"]
+
+
+def test_exact_stream_dedup(spark, tmp_shared):
+    ev = B.read(spark, SF, "events").select("event_id", "ts")
+    ev.write.parquet(f"{tmp_shared}/src/a")
+    s = spark.readStream.schema(ev.schema).parquet(f"{tmp_shared}/src/*")
+    start = lambda: (ST.stream_dedup_exact(s, ["event_id"]).writeStream.format("parquet")
+                     .option("checkpointLocation", f"{tmp_shared}/ck").trigger(availableNow=True).start(f"{tmp_shared}/dst"))
+    start().awaitTermination()
+    ev.limit(50).write.parquet(f"{tmp_shared}/src/b")     # copies that come much later
+    start().awaitTermination()
+    assert spark.read.parquet(f"{tmp_shared}/dst").count() == ev.count()
