@@ -29,7 +29,7 @@ from ..sources import feeds as FD
 from ..sources import storage as S
 from ..streaming import streams as ST
 from . import sqlparts as SP
-from .sqlparts import B1, B2, B3, B4, B6, CLEAN_QUOTES, cte, r4 as sr4, rnd, with_
+from .sqlparts import B1, B2, B3, B4, B6, B7, B8, CLEAN_LINES, CLEAN_QUOTES, cte, r4 as sr4, r6 as sr6, rnd, with_
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -62,12 +62,20 @@ def r4(c) -> Column:
     return (F.floor(c * F.lit(10000.0) + F.lit(0.500001)) / F.lit(10000.0))
 
 
+#: Columns of small numbers, compared at 6 places.
+SMALL = ("daily_return", "volatility")
+
+
+def r6(c: str) -> Column:
+    return F.floor(F.col(c) * F.lit(1000000.0) + F.lit(0.500001)) / F.lit(1000000.0)
+
+
 def rounded(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """r4 on every double column; timestamps as TIMESTAMP_NTZ (UTC wall clock)."""
+    """r4 (r6 on returns and volatility) on every double column; timestamps as TIMESTAMP_NTZ (UTC wall clock)."""
     out = []
     for f in df.schema.fields:
         if isinstance(f.dataType, T.DoubleType) and f.name not in keep:
-            out.append(r4(f.name).alias(f.name))
+            out.append((r6 if f.name in SMALL else r4)(f.name).alias(f.name))
         elif isinstance(f.dataType, T.TimestampType):
             out.append(F.col(f.name).cast("timestamp_ntz").alias(f.name))
         else:
@@ -76,7 +84,8 @@ def rounded(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 
 def sql_r4(cols, alias=True) -> str:
-    return ", ".join(f"{sr4(c)} AS {c}" if alias else sr4(c) for c in cols)
+    near = lambda c: (sr6 if c in SMALL else sr4)(c)
+    return ", ".join(f"{near(c)} AS {c}" if alias else near(c) for c in cols)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -84,6 +93,21 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+_GAPS = "SELECT * REPLACE (CASE WHEN year(date) <> 1994 THEN close END AS close) FROM b2"
+
+
+@query("ewm_gaps", with_(cte("b2", B2), cte("g", _GAPS), SP.indicator_ctes("g", "ind"),
+                         body=f"SELECT symbol, date, {sql_r4(['ema_12', 'macd', 'macd_signal'])}, {sr4('ema_12')} AS ema_12_small, {sr4('macd_signal')} AS macd_signal_small FROM ind"))
+def q_ewm_gaps(spark, sf):
+    """EWM columns of brand series whose prices miss for a year, longer than the halo;
+    the smallest and the default block size give the same values."""
+    b = B.bars_brand(spark, sf).withColumn("close", F.when(F.year("date") != 1994, F.col("close")))
+    big = I.indicators(b, which=["ema_12", "macd", "macd_signal"]).select("symbol", "date", "ema_12", "macd", "macd_signal")
+    small = I.indicators(b, which=["ema_12", "macd_signal"], block=1).select(
+        "symbol", "date", F.col("ema_12").alias("ema_12_small"), F.col("macd_signal").alias("macd_signal_small"))
+    return rounded(big.join(small, ["symbol", "date"]))
+
+
 # ====================================================================== indicators
 
 IND_SRC = [cte("b2", B2)]
@@ -138,11 +162,17 @@ def q_indicators_events(spark, sf):
     return rounded(I.indicators(df, block=21, which=ROLLING).select("symbol", "date", "close", *ROLLING))
 
 
-@query("indicators_hot")
+_HOT_ORDER = ["date", "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity"]
+
+
+@query("indicators_hot", with_(
+    cte("hot", "SELECT 'ALL' AS symbol, CAST(l_shipdate AS DATE) AS date, l_orderkey, l_linenumber, l_extendedprice, l_quantity, l_extendedprice / l_quantity AS close FROM lineitem"),
+    SP.indicator_ctes("hot", "ind", order=", ".join(_HOT_ORDER), reach=900),
+    body=f"SELECT symbol, date, l_orderkey, l_linenumber, {sql_r4(['l_extendedprice', 'l_quantity', 'close'] + SP.INDICATORS)} FROM ind"))
 def q_indicators_hot(spark, sf):
     """All 13 indicators over one series holding every line item (a single
-    hot key): the blocked pass spreads it over all tasks. No SQL oracle (the
-    EWM oracle is quadratic); pytest checks the same code against pandas."""
+    hot key): the blocked pass spreads it over all tasks. The oracle's EWM
+    self-joins look back 900 rows, beyond which weights are below 1e-20."""
     df = B.line_prices(spark, sf)
     order = ["date", "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity"]
     return rounded(I.indicators(df, order=order).select("symbol", *order, "close", *I.INDICATOR_COLUMNS))
@@ -213,6 +243,18 @@ def q_fill_median(spark, sf):
     return C.fill_median(B.bars_gaps(spark, sf), cols=["volume"]).select(*BAR_COLS)
 
 
+@query("dedup_lines", with_(cte("b7", B7), body=f"SELECT DISTINCT symbol, {sr4('current_price')} AS current_price, {sr4('previous_close')} AS previous_close, {sr4('change')} AS change, timestamp, batch_id FROM b7"))
+def q_dedup_lines(spark, sf):
+    """Exact duplicates among the line items' quotes."""
+    return rounded(C.dedup_rows(B.quotes_lines(spark, sf))).distinct()
+
+
+@query("fill_median_brand", with_(cte("b2", B2), cte("b8", B8), body="SELECT symbol, date, open, high, low, close, coalesce(volume, m) AS volume, batch_id FROM b8 JOIN (SELECT batch_id, median(volume) AS m FROM b8 GROUP BY 1) USING (batch_id)"))
+def q_fill_median_brand(spark, sf):
+    """Median fill of volume in yearly batches of all brands."""
+    return C.fill_median(B.bars_brand_gaps(spark, sf), ["volume"])
+
+
 @query("batch_median", with_(*[cte("b1", B1), cte("b3", B3)],
                              body=f"SELECT batch_id, {sr4('median(current_price)')} AS current_price, "
                                   f"{sr4('median(change_percent)')} AS change_percent FROM b3 GROUP BY batch_id"))
@@ -232,6 +274,12 @@ def q_missing_cells(spark, sf):
 
 
 CB_COLS = ["symbol", "date", "open", "high", "low", "close", "volume"] + SP.INDICATORS
+@query("missing_cells_brand", with_(cte("b2", B2), cte("b8", B8), body=f"SELECT batch_id, CAST(sum({NULLS_B4}) AS BIGINT) AS missing_cells, count(*) AS rows FROM b8 GROUP BY batch_id"))
+def q_missing_cells_brand(spark, sf):
+    """Missing cells per yearly batch of all brands."""
+    return C.missing_cells(B.bars_brand_gaps(spark, sf))
+
+
 CB_NULLS = " + ".join(f"CAST({c} IS NULL AS BIGINT)" for c in CB_COLS)
 
 
@@ -244,6 +292,15 @@ def q_clean_bars(spark, sf):
                               *I.INDICATOR_COLUMNS))
 
 
+@query("clean_bars_brand", with_(cte("b2", B2), cte("b8", B8), *SP.clean_bars_ctes("b8"),
+                                 body=f"SELECT symbol, date, batch_id, {sql_r4(['open', 'high', 'low', 'close', 'volume'] + SP.INDICATORS)} FROM cb"))
+def q_clean_bars_brand(spark, sf):
+    """The bars batch job over yearly batches of all brands, with gaps and repeated rows."""
+    out = R.clean_bars(B.bars_brand_gaps(spark, sf))
+    return rounded(out.select("symbol", "date", "batch_id", "open", "high", "low", "close", "volume",
+                              *I.INDICATOR_COLUMNS))
+
+
 @query("quality_score", with_(*B4_SRC, *SP.clean_bars_ctes(),
                               body=f"SELECT batch_id, count(*) AS final_rows, {rnd(f'100 * (1 - CAST(sum({CB_NULLS}) AS DOUBLE) / (count(*) * {len(CB_COLS)}))')} AS data_quality_score FROM cb GROUP BY batch_id"))
 def q_quality_score(spark, sf):
@@ -276,6 +333,29 @@ def q_clean_quotes(spark, sf):
     return rounded(R.clean_quotes(B.quotes_events(spark, sf)).select(*CQ_COLS))
 
 
+CL_DBL = ["current_price", "previous_close", "change", "change_percent_calc"]
+CL_BODY = f"SELECT symbol, {sql_r4(CL_DBL)}, timestamp, batch_id, sentiment FROM cl"
+
+
+@query("clean_quotes_lines", with_(cte("b7", B7), CLEAN_LINES, body=CL_BODY))
+def q_clean_quotes_lines(spark, sf):
+    """The quotes batch job over a quote per line item: missing prices and cells, repeated
+    rows and a symbol with a third of all rows."""
+    return rounded(R.clean_quotes(B.quotes_lines(spark, sf)).select("symbol", *CL_DBL, "timestamp", "batch_id", "sentiment"))
+
+
+@query("stream_clean_lines", with_(cte("b7", B7), CLEAN_LINES, body=CL_BODY))
+def q_stream_clean_lines(spark, sf):
+    """The same by three runs of the file stream, whose files split every batch."""
+    q, root = B.quotes_lines(spark, sf), scratch(spark, "stream-lines")
+    part = F.pmod(F.xxhash64("symbol", "timestamp"), F.lit(3))
+    for k in range(3):
+        q.where(part == k).write.mode("append").partitionBy("batch_id").parquet(f"{root}/src")
+        ST.stream_clean(spark, f"{root}/src", f"{root}/dst", f"{root}/ck", q.schema, R.clean_quotes).awaitTermination()
+    out = S.read_table(spark, f"{root}/dst").withColumn("batch_id", F.col("batch_id").cast("string"))
+    return rounded(out.select("symbol", *CL_DBL, "timestamp", "batch_id", "sentiment"))
+
+
 # cleaning report (C06) over 30 quote batches and one bars batch, flattened one row per step
 NUM_Q = ["current_price", "high_price", "low_price", "open_price", "previous_close", "change", "change_percent"]
 OUT_Q = ["symbol"] + NUM_Q + ["timestamp", "change_percent_calc", "sentiment"]
@@ -285,28 +365,36 @@ def _nulls(cols):
     return " + ".join(f"CAST({c} IS NULL AS BIGINT)" for c in cols)
 
 
-REPORT_CTES = [
-    cte("b1", B1), cte("b3", B3), cte("b4", B4), CLEAN_QUOTES, *SP.clean_bars_ctes(),
-    cte("rep_q", f"""SELECT o.batch_id, 'quotes' AS file_type, o.n AS original_rows, f.n AS final_rows,
-        {rnd(f"100 * (1 - CAST(f.nulls AS DOUBLE) / (f.n * {len(OUT_Q)}))")} AS data_quality_score,
-        o.n - d.n AS removed, d.miss AS missing_before, f.miss AS missing_after, NULL::BIGINT AS longest
-      FROM (SELECT batch_id, count(*) AS n FROM b3 GROUP BY 1) o
-      JOIN (SELECT batch_id, count(*) AS n, sum({_nulls(NUM_Q)}) AS miss FROM (SELECT DISTINCT * FROM b3) GROUP BY 1) d USING (batch_id)
-      JOIN (SELECT batch_id, count(*) AS n, sum({_nulls(NUM_Q)}) AS miss, sum({_nulls(OUT_Q)}) AS nulls FROM cq GROUP BY 1) f USING (batch_id)"""),
-    cte("rep_b", f"""SELECT o.batch_id, 'historical' AS file_type, o.n AS original_rows, f.n AS final_rows,
+def report_ctes(pre, quotes, cleaned, num_q, out_q, bars):
+    """CTEs of the cleaning report: ``rep`` (a row per file) and ``steps``."""
+    return [
+        *pre,
+        cte("rep_q", f"""SELECT o.batch_id, 'quotes' AS file_type, o.n AS original_rows, f.n AS final_rows,
+        {rnd(f"100 * (1 - CAST(f.nulls AS DOUBLE) / (f.n * {len(out_q)}))")} AS data_quality_score,
+        o.n - d.n AS removed, d.miss AS missing_before, f.miss AS missing_after
+      FROM (SELECT batch_id, count(*) AS n FROM {quotes} GROUP BY 1) o
+      JOIN (SELECT batch_id, count(*) AS n, sum({_nulls(num_q)}) AS miss FROM (SELECT DISTINCT * FROM {quotes}) GROUP BY 1) d USING (batch_id)
+      JOIN (SELECT batch_id, count(*) AS n, sum({_nulls(num_q)}) AS miss, sum({_nulls(out_q)}) AS nulls FROM {cleaned} GROUP BY 1) f USING (batch_id)"""),
+        cte("rep_b", f"""SELECT o.batch_id, 'historical' AS file_type, o.n AS original_rows, f.n AS final_rows,
         {rnd(f"100 * (1 - CAST(f.nulls AS DOUBLE) / (f.n * {len(CB_COLS)}))")} AS data_quality_score,
-        o.n - d.n AS removed, d.miss AS missing_before, f.miss AS missing_after, l.longest
-      FROM (SELECT batch_id, count(*) AS n FROM b4 GROUP BY 1) o
-      JOIN (SELECT batch_id, count(*) AS n, sum({NULLS_B4}) AS miss FROM (SELECT DISTINCT * FROM b4) GROUP BY 1) d USING (batch_id)
-      JOIN (SELECT batch_id, count(*) AS n, sum({NULLS_B4}) AS miss, sum({CB_NULLS}) AS nulls FROM cb GROUP BY 1) f USING (batch_id)
-      JOIN (SELECT batch_id, max(n) AS longest FROM (SELECT batch_id, symbol, count(*) AS n FROM cb GROUP BY 1, 2) GROUP BY 1) l USING (batch_id)"""),
-    cte("rep", "SELECT * FROM rep_q UNION ALL SELECT * FROM rep_b"),
-    cte("steps", f"""
-      SELECT batch_id, 1 AS k, 'remove_duplicates' AS step, removed AS rows_removed, NULL::BIGINT AS missing_before, NULL::BIGINT AS missing_after, NULL AS added FROM rep WHERE removed <> 0
-      UNION ALL SELECT batch_id, 2, 'handle_missing_values', NULL, missing_before, missing_after, NULL FROM rep WHERE missing_before > 0
-      UNION ALL SELECT batch_id, 3, 'technical_indicators', NULL, NULL, NULL, '{",".join(R.INDICATORS_ADDED)}' FROM rep WHERE file_type = 'historical' AND longest > 20
-      UNION ALL SELECT batch_id, 4, 'market_analysis', NULL, NULL, NULL, '{",".join(R.ANALYSIS_ADDED)}' FROM rep WHERE file_type = 'quotes'"""),
-]
+        o.n - d.n AS removed, d.miss AS missing_before, f.miss AS missing_after
+      FROM (SELECT batch_id, count(*) AS n FROM {bars} GROUP BY 1) o
+      JOIN (SELECT batch_id, count(*) AS n, sum({NULLS_B4}) AS miss FROM (SELECT DISTINCT * FROM {bars}) GROUP BY 1) d USING (batch_id)
+      JOIN (SELECT batch_id, count(*) AS n, sum({NULLS_B4}) AS miss, sum({CB_NULLS}) AS nulls FROM cb GROUP BY 1) f USING (batch_id)"""),
+        cte("rep", "SELECT * FROM rep_q UNION ALL SELECT * FROM rep_b"),
+        cte("steps", f"""
+      SELECT batch_id, file_type, 1 AS k, 'remove_duplicates' AS step, removed AS rows_removed, NULL::BIGINT AS missing_before, NULL::BIGINT AS missing_after, NULL AS added FROM rep WHERE removed <> 0
+      UNION ALL SELECT batch_id, file_type, 2, 'handle_missing_values', NULL, missing_before, missing_after, NULL FROM rep WHERE missing_before > 0
+      UNION ALL SELECT batch_id, file_type, 3, 'technical_indicators', NULL, NULL, NULL, '{",".join(R.INDICATORS_ADDED)}' FROM rep WHERE file_type = 'historical'
+      UNION ALL SELECT batch_id, file_type, 4, 'market_analysis', NULL, NULL, NULL, '{",".join(R.ANALYSIS_ADDED)}' FROM rep WHERE file_type = 'quotes'"""),
+    ]
+
+
+REPORT_CTES = report_ctes([cte("b1", B1), cte("b3", B3), cte("b4", B4), CLEAN_QUOTES, *SP.clean_bars_ctes()],
+                          "b3", "cq", NUM_Q, OUT_Q, "b4")
+NUM_L = ["current_price", "previous_close", "change"]
+LINE_CTES = report_ctes([cte("b2", B2), cte("b7", B7), cte("b8", B8), CLEAN_LINES, *SP.clean_bars_ctes("b8")],
+                        "b7", "cl", NUM_L, ["symbol", *NUM_L, "timestamp", "change_percent_calc", "sentiment"], "b8")
 
 
 def _report(spark, sf):
@@ -320,13 +408,13 @@ def _report(spark, sf):
     return materialize(rq.unionByName(rb), "report")
 
 
-@query("cleaning_report", with_(*REPORT_CTES, body="""SELECT r.batch_id, r.file_type, r.original_rows, r.final_rows, r.data_quality_score,
+_REPORT_BODY = """SELECT r.batch_id, r.file_type, r.original_rows, r.final_rows, r.data_quality_score,
     s.step, CAST(s.rows_removed AS BIGINT) AS rows_removed, CAST(s.missing_before AS BIGINT) AS missing_before,
     CAST(s.missing_after AS BIGINT) AS missing_after, s.added
-  FROM rep r LEFT JOIN steps s USING (batch_id)"""))
-def q_cleaning_report(spark, sf):
-    """Per batch report, one row per step that acted (30 quote batches + 1 bars batch)."""
-    rep = _report(spark, sf)
+  FROM rep r LEFT JOIN steps s USING (batch_id, file_type)"""
+
+
+def _report_rows(rep):
     return rep.select("batch_id", "file_type", "original_rows", "final_rows", "data_quality_score",
                       F.explode_outer("steps").alias("s")).select(
         "batch_id", "file_type", "original_rows", "final_rows", "data_quality_score",
@@ -335,11 +423,40 @@ def q_cleaning_report(spark, sf):
         F.array_join("s.added", ",").alias("added"))
 
 
+@query("cleaning_report", with_(*REPORT_CTES, body=_REPORT_BODY))
+def q_cleaning_report(spark, sf):
+    """Per batch report, one row per step that acted (30 quote batches + 1 bars batch)."""
+    return _report_rows(_report(spark, sf))
+
+
+@query("cleaning_report_lines", with_(*LINE_CTES, body=_REPORT_BODY))
+def q_cleaning_report_lines(spark, sf):
+    """The report of monthly quote batches (a quote per line item) and yearly bar batches
+    of all brands, with gaps and repeated rows in both."""
+    q_raw = materialize(B.quotes_lines(spark, sf), "raw-quotes")
+    b_raw = materialize(B.bars_brand_gaps(spark, sf), "raw-bars")
+    rq = R.cleaning_report(q_raw, materialize(R.clean_quotes(q_raw), "processed-quotes"), "quotes")
+    rb = R.cleaning_report(b_raw, materialize(R.clean_bars(b_raw), "processed-bars"), "historical")
+    return _report_rows(rq.unionByName(rb))
+
+
 @query("run_summary", with_(*REPORT_CTES, body=f"SELECT count(*) AS total_files_processed, {rnd('avg(data_quality_score)')} AS average_quality_score, count(*) AS file_entries FROM rep"))
 def q_run_summary(spark, sf):
-    """Run summary over the cleaning report: files, average score, entries."""
-    s = R.run_summary(_report(spark, sf))
-    return s.select("total_files_processed", "average_quality_score", F.size("files").cast("bigint").alias("file_entries"))
+    """Run totals over the cleaning report, with the number of its file entries."""
+    rep = _report(spark, sf)
+    n = R.file_entries(rep, "run").groupBy("run_id").agg(F.count(F.lit(1)).alias("file_entries"))
+    return R.run_summary(rep, "run").join(n, "run_id").select("total_files_processed", "average_quality_score", "file_entries")
+
+
+@query("latest_summary", with_(*REPORT_CTES, body=f"SELECT CASE WHEN file_type = 'quotes' THEN 'stock_quotes_' ELSE 'stock_historical_' END || batch_id || '.csv' AS input_file, file_type, original_rows, count(*) OVER () AS total_files_processed, {rnd('avg(data_quality_score) OVER ()')} AS average_quality_score FROM rep"))
+def q_latest_summary(spark, sf):
+    """File entries and totals of the newest of two runs (V16); the older one holds quotes only."""
+    rep = _report(spark, sf)
+    old = rep.where("file_type = 'quotes'")
+    sums = R.run_summary(old, "a", "2024-01-01 00:00:00").unionByName(R.run_summary(rep, "b", "2024-01-02 00:00:00"))
+    files = R.file_entries(old, "a").unionByName(R.file_entries(rep, "b"))
+    return R.latest_summary(sums, files).select("input_file", "file_type", F.col("stats.original_rows").alias("original_rows"),
+                                                "total_files_processed", "average_quality_score")
 
 
 def _file_name(kind_col="file_type", batch_col="batch_id"):
@@ -352,7 +469,7 @@ def _file_name(kind_col="file_type", batch_col="batch_id"):
   UNION ALL SELECT {_file_name()}, 'file', 'data_quality_score', CAST(data_quality_score AS VARCHAR) FROM rep
   UNION ALL SELECT * FROM (
     SELECT {_file_name('r.file_type', 'r.batch_id')} AS input_file, s.step, kv.key, kv.value
-    FROM rep r JOIN steps s USING (batch_id),
+    FROM rep r JOIN steps s USING (batch_id, file_type),
     (SELECT unnest([{{'key': 'rows_removed', 'value': CAST(s.rows_removed AS VARCHAR)}},
                     {{'key': 'missing_before', 'value': CAST(s.missing_before AS VARCHAR)}},
                     {{'key': 'missing_after', 'value': CAST(s.missing_after AS VARCHAR)}},
@@ -360,25 +477,28 @@ def _file_name(kind_col="file_type", batch_col="batch_id"):
   ) WHERE value IS NOT NULL"""))
 def q_summary_steps(spark, sf):
     """Summary drill-down in long form (file metrics and step key/values)."""
-    s = R.run_summary(_report(spark, sf))
-    return V.summary_steps(s)
+    return V.summary_steps(R.file_entries(_report(spark, sf), "run"))
 
 
 @query("clean_status", with_(*REPORT_CTES, body=f"""SELECT 'data_clean' AS service, field, value FROM (
   SELECT 'status' AS field, CASE WHEN count(*) > 0 THEN 'completed' ELSE 'idle' END AS value FROM rep
   UNION ALL SELECT 'files_processed', CAST(count(*) AS VARCHAR) FROM rep
   UNION ALL SELECT 'average_quality_score', CAST({rnd('avg(data_quality_score)')} AS VARCHAR) FROM rep
-  UNION ALL SELECT 'message', 'Successfully processed ' || count(*) || ' files' FROM rep)"""))
+  UNION ALL SELECT 'message', 'Successfully processed ' || count(*) || ' files' FROM rep
+  UNION ALL SELECT 'timestamp', '2024-01-31T12:00:00.000000'
+  UNION ALL SELECT 'processed_files', CAST(to_json(list(f ORDER BY f)) AS VARCHAR) FROM (SELECT
+    CASE WHEN file_type = 'quotes' THEN 'stock_quotes_' ELSE 'stock_historical_' END || batch_id || '.csv' AS f FROM rep))"""))
 def q_clean_status(spark, sf):
-    """Status updates of the cleaning run (C09 outcome, T03 input)."""
-    st = ST.clean_status(R.run_summary(_report(spark, sf)))
+    """Status updates of the cleaning run (C09 outcome, T03 input) with its file list."""
+    rep = _report(spark, sf)
+    st = ST.clean_status(R.run_summary(rep, "run", "2024-01-31 12:00:00"), R.file_entries(rep, "run"))
     return st.select("service", "field", "value")
 
 
 @query("clean_events", with_(*REPORT_CTES, body=f"SELECT 'data_processed' AS event, count(*) AS files_processed, {rnd('avg(data_quality_score)')} AS average_quality_score FROM rep"))
 def q_clean_events(spark, sf):
     """Result event of the cleaning run."""
-    e = ST.emit_events(R.run_summary(_report(spark, sf)))
+    e = ST.emit_events(R.run_summary(_report(spark, sf), "run"))
     return e.select("event", "files_processed", "average_quality_score")
 
 
@@ -440,9 +560,38 @@ def q_metrics_table(spark, sf):
     return V.metrics_table(V.latest_batch(_stored_quotes(spark, sf)))
 
 
-@query("market_kpis", with_(*QUOTE_SRC, CLEAN_QUOTES, body=f"SELECT {sr4('avg(current_price)')} AS avg_price, {sr4('avg(change_percent)')} AS market_trend, NULL::DOUBLE AS total_volume, count(*) AS active_stocks FROM {LATEST_PROC}"))
+@query("market_kpis", with_(*QUOTE_SRC, CLEAN_QUOTES, body=f"SELECT {sr4('avg(current_price)')} AS avg_price, {sr4('avg(change_percent)')} AS market_trend, sum(volume) AS total_volume, count(*) AS active_stocks FROM {LATEST_PROC} LEFT JOIN (SELECT symbol, arg_max_null(volume, date) AS volume FROM b1 GROUP BY symbol) v USING (symbol)"))
 def q_market_kpis(spark, sf):
-    return rounded(V.market_kpis(_preferred(spark, sf)))
+    """Key figures of the newest batch; the volume is that of each symbol's latest bar."""
+    return rounded(V.market_kpis(_preferred(spark, sf), B.bars_events(spark, sf)))
+
+
+_NEW_LINES = "(SELECT * FROM cl WHERE batch_id = (SELECT max(batch_id) FROM cl))"
+
+
+def _clean_lines(spark, sf):
+    """Processed quotes of the line items, stored as the cleaning job stores them."""
+    path = scratch(spark, "processed-lines")
+    S.write_table(R.clean_quotes(B.quotes_lines(spark, sf)), path)
+    return S.read_table(spark, path).withColumn("batch_id", F.col("batch_id").cast("string"))
+
+
+@query("sentiment_counts_lines", with_(cte("b7", B7), CLEAN_LINES, body=f"SELECT sentiment, count(*) AS count, CASE sentiment {SENT_COLORS} ELSE 'gray' END AS color FROM cl WHERE sentiment IS NOT NULL GROUP BY sentiment"))
+def q_sentiment_counts_lines(spark, sf):
+    """Sentiment counts over the processed quotes of all line items."""
+    return V.sentiment_counts(_clean_lines(spark, sf))
+
+
+@query("market_kpis_lines", with_(cte("b7", B7), CLEAN_LINES, body=f"SELECT {sr4('avg(current_price)')} AS avg_price, {sr4('avg(change)')} AS market_trend, NULL::DOUBLE AS total_volume, count(*) AS active_stocks FROM {_NEW_LINES}"))
+def q_market_kpis_lines(spark, sf):
+    """Key figures of the newest monthly batch of the line items' quotes."""
+    return rounded(V.market_kpis(V.latest_batch(_clean_lines(spark, sf)).withColumn("change_percent", F.col("change"))))
+
+
+@query("recent_quotes_lines", with_(cte("b7", B7), CLEAN_LINES, body=f"SELECT symbol, {rnd('current_price')} AS current_price, sentiment FROM {_NEW_LINES}"))
+def q_recent_quotes_lines(spark, sf):
+    """The recent-data table of the newest monthly batch of the line items' quotes."""
+    return V.recent_quotes(V.latest_batch(_clean_lines(spark, sf)))
 
 
 @query("recent_quotes", with_(*QUOTE_SRC, CLEAN_QUOTES, body=f"SELECT symbol, {rnd('current_price')} AS current_price, {rnd('change_percent')} AS change_percent, sentiment FROM {LATEST_PROC}"))
@@ -470,9 +619,9 @@ def q_latest_series(spark, sf):
 
 
 @query("symbol_kpis", with_(*IND_SRC, SP.indicator_ctes("b2", "ind"),
-                            body=f"SELECT symbol, {sr4('arg_max_null(close, date)')} AS current_price, {sr4('avg(volume)')} AS avg_volume, {sr4('arg_max_null(volatility, date)')} AS volatility, {sr4('arg_max_null(rsi, date)')} AS rsi FROM ind GROUP BY symbol"))
+                            body=f"SELECT symbol, {sr4('arg_max_null(close, date)')} AS current_price, {sr4('avg(volume)')} AS avg_volume, {sr6('arg_max_null(volatility, date)')} AS volatility, {sr4('arg_max_null(rsi, date)')} AS rsi FROM ind GROUP BY symbol"))
 def q_symbol_kpis(spark, sf):
-    return rounded(V.symbol_kpis(I.indicators(B.bars_brand(spark, sf))))
+    return rounded(V.symbol_kpis(I.indicators(B.bars_brand(spark, sf), which=["volatility", "rsi"])))
 
 
 _TECH = " UNION ALL ".join(
@@ -483,7 +632,7 @@ _TECH = " UNION ALL ".join(
 @query("indicator_latest", with_(*IND_SRC, SP.indicator_ctes("b2", "ind"),
                                  body=f"SELECT symbol, indicator, label, value FROM ({_TECH}) WHERE n > 0"))
 def q_indicator_latest(spark, sf):
-    return rounded(V.indicator_latest(I.indicators(B.bars_brand(spark, sf))))
+    return rounded(V.indicator_latest(I.indicators(B.bars_brand(spark, sf), which=list(V.TECHNICAL_COLUMNS))))
 
 
 STATUS_SRC = [cte("b6", B6), cte("sl", "SELECT service, field, arg_max(value, (ts, seq)) AS value, max(ts) AS ts FROM b6 GROUP BY 1, 2")]
@@ -512,7 +661,8 @@ _CHART = " UNION ALL ".join(
 @query("chart_series", with_(cte("b1", B1), SP.indicator_ctes("b1", "ind"), body=_CHART))
 def q_chart_series(spark, sf):
     """Long-form chart rows of the event-type series with indicators."""
-    return rounded(V.chart_series(I.indicators(B.bars_events(spark, sf))))
+    return rounded(V.chart_series(I.indicators(
+        B.bars_events(spark, sf), which=[c for c in V.CHART_SERIES if c in I.INDICATOR_COLUMNS])))
 
 
 @query("rsi_flags", with_(*IND_SRC, SP.indicator_ctes("b2", "ind"),
@@ -589,11 +739,11 @@ _feed_query("feed_profile", "profile", f"""SELECT s_name AS symbol, s_name AS na
 _feed_query("feed_company_news", "company_news", f"""SELECT lang AS symbol, text AS headline, NULL::VARCHAR AS summary, NULL::VARCHAR AS url,
   CASE WHEN doc_id <> 0 THEN make_timestamp(doc_id * 1000000) END AS datetime, source, lang AS category,
   NULL::VARCHAR AS image, NULL::VARCHAR AS sentiment, {BATCH_LIT} AS batch_id
-  FROM (SELECT *, row_number() OVER (PARTITION BY lang, floor(doc_id / 16) ORDER BY doc_id) AS rn FROM documents) WHERE rn <= 10""")
+  FROM (SELECT *, row_number() OVER (PARTITION BY lang, floor(doc_id / 16) ORDER BY doc_id) AS rn FROM documents)""")
 _feed_query("feed_market_news", "market_news", f"""SELECT text AS headline, NULL::VARCHAR AS summary, NULL::VARCHAR AS url,
   CASE WHEN doc_id <> 0 THEN make_timestamp(doc_id * 1000000) END AS datetime, source, lang AS category,
   NULL::VARCHAR AS image, lang AS related, {BATCH_LIT} AS batch_id
-  FROM (SELECT *, row_number() OVER (PARTITION BY floor(doc_id / 32) ORDER BY doc_id) AS rn FROM documents) WHERE rn <= 20""")
+  FROM (SELECT *, row_number() OVER (PARTITION BY floor(doc_id / 32) ORDER BY doc_id) AS rn FROM documents)""")
 QUARTERS = """SELECT o_orderstatus, year(o_orderdate) AS y, quarter(o_orderdate) AS q, avg(o_totalprice) AS avg_p,
   min(o_totalprice) AS min_p, max(o_totalprice) AS max_p, min(CAST(o_orderdate AS DATE)) AS first_d,
   max(CAST(o_orderdate AS DATE)) AS last_d FROM orders GROUP BY 1, 2, 3"""
@@ -611,17 +761,17 @@ _feed_query("feed_recommendation", "recommendation", f"""SELECT o_orderstatus AS
       CAST(sum(CAST(left(o_orderpriority, 1) = '4' AS INTEGER)) AS INTEGER) AS sell,
       CAST(sum(CAST(left(o_orderpriority, 1) = '1' AS INTEGER)) AS INTEGER) AS strong_buy,
       CAST(sum(CAST(left(o_orderpriority, 1) = '5' AS INTEGER)) AS INTEGER) AS strong_sell
-    FROM orders GROUP BY 1, 2)) WHERE rn <= 12""")
+    FROM orders GROUP BY 1, 2))""")
 _feed_query("feed_financials", "financials", f"""SELECT p_brand AS symbol, 'annual' AS frequency, CAST(y AS INTEGER) AS year, NULL::INTEGER AS quarter,
   NULL::VARCHAR AS form, s AS start_date, e AS end_date, NULL::TIMESTAMP AS filed_date, NULL::TIMESTAMP AS accepted_date, {BATCH_LIT} AS batch_id
   FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY y DESC) AS rn FROM (
     SELECT p_brand, year(l_shipdate) AS y, date_trunc('second', min(l_shipdate)) AS s, date_trunc('second', max(l_shipdate)) AS e
-    FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2)) WHERE rn <= 5""")
-_feed_query("feed_insider", "insider", f"""SELECT 'S' || l_suppkey AS symbol, CAST(l_orderkey AS VARCHAR) AS person_name, l_partkey AS share,
-  CAST(trunc(l_quantity) AS BIGINT) AS change, CAST(l_shipdate AS DATE) AS filing_date, CAST(l_shipdate AS DATE) AS transaction_date,
+    FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2))""")
+_feed_query("feed_insider", "insider", f"""SELECT 'S' || l_suppkey AS symbol, CAST(l_orderkey AS VARCHAR) AS person_name, CAST(l_partkey AS DOUBLE) AS share,
+  CAST(trunc(l_quantity) AS DOUBLE) AS change, CAST(l_shipdate AS DATE) AS filing_date, CAST(l_shipdate AS DATE) AS transaction_date,
   l_returnflag AS transaction_code, {BATCH_LIT} AS batch_id FROM (
   SELECT *, row_number() OVER (PARTITION BY l_suppkey, date_trunc('month', l_shipdate)
-    ORDER BY CAST(l_shipdate AS DATE) DESC, l_orderkey, l_linenumber, l_partkey, l_quantity, l_returnflag) AS rn FROM lineitem) WHERE rn <= 20""")
+    ORDER BY CAST(l_shipdate AS DATE) DESC, l_orderkey, l_linenumber, l_partkey, l_quantity, l_returnflag) AS rn FROM lineitem)""")
 _SOC = ", ".join(
     f"""CASE WHEN {s}_n > 0 THEN {s}_n ELSE 0 END AS {s}_mention, CASE WHEN {s}_n > 0 THEN {s}_pos ELSE 0 END AS {s}_positive_mention,
   CASE WHEN {s}_n > 0 THEN {s}_neg ELSE 0 END AS {s}_negative_mention, CASE WHEN {s}_n > 0 THEN {sr4(f'{s}_score')} ELSE 0.0 END AS {s}_score"""
@@ -635,7 +785,7 @@ _SOC_AGG = ", ".join(
 _feed_query("feed_social", "social", f"""SELECT sym AS symbol, {_SOC}, CAST(d AS TIMESTAMP) AS timestamp, strftime(d, '%Y%m%d') || '_000000' AS batch_id
   FROM (SELECT event_type AS sym, CAST(ts AS DATE) AS d, {_SOC_AGG} FROM events GROUP BY 1, 2)""",
             dbl=["reddit_score", "twitter_score"])
-_feed_query("feed_ipo", "ipo", f"""SELECT NULL::DATE AS date, p_brand AS exchange, p_name AS name, CAST(p_size AS BIGINT) AS number_of_shares,
+_feed_query("feed_ipo", "ipo", f"""SELECT NULL::DATE AS date, p_brand AS exchange, p_name AS name, CAST(p_size AS DOUBLE) AS number_of_shares,
   CAST(p_retailprice AS VARCHAR) AS price, p_type AS status, 'P' || p_partkey AS symbol, {sr4('p_size * p_retailprice')} AS total_shares_value,
   {BATCH_LIT} AS batch_id FROM part""", dbl=["total_shares_value"])
 
@@ -688,14 +838,14 @@ def _feed_counts_sql():
         "quotes": "SELECT batch_id FROM b3",
         "historical": f"SELECT {BATCH_LIT} AS batch_id FROM b1",
         "profiles": f"SELECT {BATCH_LIT} AS batch_id FROM supplier JOIN nation ON s_nationkey = n_nationkey",
-        "news": f"SELECT {BATCH_LIT} AS batch_id FROM (SELECT row_number() OVER (PARTITION BY lang, floor(doc_id / 16) ORDER BY doc_id) AS rn FROM documents) WHERE rn <= 10",
+        "news": f"SELECT {BATCH_LIT} AS batch_id FROM (SELECT row_number() OVER (PARTITION BY lang, floor(doc_id / 16) ORDER BY doc_id) AS rn FROM documents)",
         "earnings": f"SELECT {BATCH_LIT} AS batch_id FROM qt",
-        "financials": f"SELECT {BATCH_LIT} AS batch_id FROM (SELECT row_number() OVER (PARTITION BY p_brand ORDER BY y DESC) AS rn FROM (SELECT DISTINCT p_brand, year(l_shipdate) AS y FROM lineitem JOIN part ON l_partkey = p_partkey)) WHERE rn <= 5",
-        "insider": f"SELECT {BATCH_LIT} AS batch_id FROM (SELECT row_number() OVER (PARTITION BY l_suppkey, date_trunc('month', l_shipdate) ORDER BY l_orderkey) AS rn FROM lineitem) WHERE rn <= 20",
-        "recommendations": f"SELECT {BATCH_LIT} AS batch_id FROM (SELECT row_number() OVER (PARTITION BY o_orderstatus ORDER BY m DESC) AS rn FROM (SELECT DISTINCT o_orderstatus, date_trunc('month', o_orderdate) AS m FROM orders)) WHERE rn <= 12",
+        "financials": f"SELECT {BATCH_LIT} AS batch_id FROM (SELECT row_number() OVER (PARTITION BY p_brand ORDER BY y DESC) AS rn FROM (SELECT DISTINCT p_brand, year(l_shipdate) AS y FROM lineitem JOIN part ON l_partkey = p_partkey))",
+        "insider": f"SELECT {BATCH_LIT} AS batch_id FROM (SELECT row_number() OVER (PARTITION BY l_suppkey, date_trunc('month', l_shipdate) ORDER BY l_orderkey) AS rn FROM lineitem)",
+        "recommendations": f"SELECT {BATCH_LIT} AS batch_id FROM (SELECT row_number() OVER (PARTITION BY o_orderstatus ORDER BY m DESC) AS rn FROM (SELECT DISTINCT o_orderstatus, date_trunc('month', o_orderdate) AS m FROM orders))",
         "sentiment": "SELECT DISTINCT event_type, strftime(CAST(ts AS DATE), '%Y%m%d') || '_000000' AS batch_id FROM events",
         "dividends": f"SELECT {BATCH_LIT} AS batch_id FROM qt",
-        "market_news": f"SELECT {BATCH_LIT} AS batch_id FROM (SELECT row_number() OVER (PARTITION BY floor(doc_id / 32) ORDER BY doc_id) AS rn FROM documents) WHERE rn <= 20",
+        "market_news": f"SELECT {BATCH_LIT} AS batch_id FROM (SELECT row_number() OVER (PARTITION BY floor(doc_id / 32) ORDER BY doc_id) AS rn FROM documents)",
         "ipo_calendar": f"SELECT {BATCH_LIT} AS batch_id FROM part",
     }
     return " UNION ALL ".join(f"SELECT batch_id, '{k}' AS feed, count(*) AS rows FROM ({v}) GROUP BY batch_id" for k, v in parts.items())
@@ -813,10 +963,22 @@ def q_event_filter(spark, sf):
     msgs = ST.to_message(ev.select(F.col("event_type").alias("event"), F.col("ts").alias("timestamp"),
                                    "user_id", "value"))
     junk = B.read(spark, sf, "pages").select(F.col("html").alias("message"))
-    out = ST.event_filter(msgs.unionByName(junk), ["purchase", "signup"])
+    schema = T.StructType([*ST.MESSAGE_SCHEMA.fields, T.StructField("user_id", T.LongType()),
+                           T.StructField("value", T.DoubleType())])
+    out = ST.event_filter(msgs.unionByName(junk), ["purchase", "signup"], schema=schema)
     return rounded(out.select("event", "timestamp", "user_id", "value"), keep=("value",))
 
 
+@query("event_quarantine", "SELECT page_id, CASE WHEN html IS NULL OR trim(html) = '' THEN 'empty_message' WHEN NOT json_valid(html) THEN 'malformed_json' END AS reason FROM pages WHERE html IS NULL OR trim(html) = '' OR NOT json_valid(html) UNION ALL SELECT event_id, 'no_event' FROM events WHERE props IS NOT NULL AND json_valid(props)")
+def q_event_quarantine(spark, sf):
+    """Messages that are no events with the reason: raw pages, and event properties
+    (JSON without an event) (P13, T02)."""
+    pages = B.read(spark, sf, "pages").select("page_id", F.col("html").alias("message"))
+    props = B.read(spark, sf, "events").where("props IS NOT NULL").select(F.col("event_id").alias("page_id"),
+                                                                         F.col("props").alias("message"))
+    return ST.event_quarantine(pages.unionByName(props)).select("page_id", "reason")
+
+
 @query("stream_dedup", "SELECT event_id, ts, event_type, value FROM events")
 def q_stream_dedup(spark, sf):
     """Events landed twice for days 5 and 6, de-duplicated by a watermarked

