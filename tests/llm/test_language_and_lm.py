@@ -154,3 +154,12 @@ def test_model_beats_unseen_noise(spark):
     df = spark.createDataFrame(train + test, "doc_id long, text string")
     got = {r.doc_id: r.score for r in lm_score.score(df, F.col("doc_id") >= 100).collect()}
     assert got[100] > got[101] + 10
+
+
+def test_lookup_finds_every_key():
+    rng = np.random.default_rng(8)
+    for n in (1, 2, 1000, 50_000):
+        keys = np.unique(rng.integers(0, 1 << 48, n, dtype=np.uint64))
+        table = lm_score.Lookup(keys, np.arange(len(keys)).astype(float))
+        ask = rng.permutation(np.repeat(np.arange(len(keys)), 3))
+        assert (table.get(keys[ask]) == ask).all()
