@@ -29,6 +29,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
         conf.set(_CLEAN, before)
 
 
+def unstage(df: DataFrame) -> None:
+    """Deletes the folder of a table that ``stage`` wrote and nothing reads any more."""
+    spark = df.sparkSession
+    files = df.inputFiles()
+    if files:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder path below the shared checkpoint folder."""
     import uuid

@@ -42,12 +42,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import packers, stage
+from .common import packers, stage, unstage
 
 ORDER = 5
 GROUP_CHARS = 16_000_000
 EDGE = 0xFF
-_CHUNK = 4_000_000
+_CHUNK = 1_000_000
 _ONE = np.uint64(8)
 
 
@@ -257,6 +257,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
         F.sum("n").alias("n"), F.collect_list("grp").alias("grps")), "windows")  # a list has one entry a group
     by_word = stage(asked.filter("word is not null").groupBy("word").agg(
         F.sum("n").alias("n"), F.collect_list("grp").alias("grps")), "words")
+    unstage(asked)  # the two tables hold all of it
     n, v = by_word.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
 
     counts = by_win.filter("n > 0").select("win", "n")
