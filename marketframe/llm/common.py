@@ -12,8 +12,10 @@ SPACE_CLASS = r"[\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\f\r"
 
 
-#: Removes a query's shuffle files when it has ended; a staged table needs them no more.
-_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Settings while a table is staged: its query's shuffle files go when it has ended, as the
+#: table needs them no more, and batches sent to Python are bounded by bytes, as texts may be long.
+_STAGING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+            "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -21,12 +23,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     that later passes (and lost executors) re-read it instead of recomputing. The
     shuffle files behind it are removed as soon as it is written."""
     conf = df.sparkSession.conf
-    before = conf.get(_CLEAN, "false")
-    conf.set(_CLEAN, "true")
+    before = {k: conf.get(k, None) for k in _STAGING}
+    for k, v in _STAGING.items():
+        conf.set(k, v)
     try:
         return materialize(df, f"llm-{name}")
     finally:
-        conf.set(_CLEAN, before)
+        for k, v in before.items():
+            conf.unset(k) if v is None else conf.set(k, v)
 
 
 def unstage(df: DataFrame) -> None:
