@@ -8,8 +8,8 @@ with the earliest deadline runs. After any number of slots each source has had
 its share of them with less than one block of deviation.
 
 The schedule repeats after ``W`` slots, since every source then has had exactly
-``w`` blocks. One period is computed as a fold over its slots, on a table of
-parameter size (W slots, at most ``W`` sources with a share); block k of a
+``w`` blocks. One period is computed as a fold over its slots and the distinct shares,
+as sources of one share take turns; block k of a
 source with cycle table ``c`` then runs in slot ``(k div w) W + c[k mod w]``, a
 row-local expression. No driver loop and no global sort decide the schedule.
 
@@ -60,34 +60,49 @@ def slot_shares(weights: DataFrame, slots: int = SLOTS) -> DataFrame:
                    .withColumn("period", F.sum("w").over(every)))
 
 
+#: Slots of one inner fold: bounds what is copied when a slot is appended.
+CHUNK = 512
+
+
+def _fold(n: str) -> Column:
+    """The fold over slots 0 to ``n`` - 1 as array<struct<c, j>>: in each slot job j of class c
+    runs. ``s`` holds the classes in order, (w, m, jobs): m sources of share w, which all have
+    the windows of block j div m, in turns. Where nothing is released (sources are used
+    up) the earliest deadline of all that is left runs."""
+    # had: jobs each class has had; p: the class and job that run in slot t
+    due = """transform(s, (x, i) -> if(st.had[i] < x.jobs {released},
+        struct(((st.had[i] div x.m + 1) * period + x.w - 1) div x.w AS d, i AS c, st.had[i] AS j), null))"""
+    pick = (f"coalesce(array_min({due.format(released='AND (st.had[i] div x.m) * period div x.w <= t')}), "
+            f"array_min({due.format(released='')}))")
+    step = f"""transform(array({pick}), p -> struct(
+        transform(st.had, (h, i) -> if(i = p.c, h + 1L, h)) AS had,
+        concat(st.runs, array(struct(p.c AS c, p.j AS j))) AS runs))[0]"""
+    none = "CAST(array() AS array<struct<c: int, j: bigint>>)"
+    inner = f"""aggregate(sequence(g * {CHUNK}L, least((g + 1) * {CHUNK}L, {n}) - 1),
+        struct(o.had AS had, {none} AS runs), (st, t) -> {step})"""
+    return F.expr(f"""flatten(aggregate(sequence(0L, ({n} - 1) div {CHUNK}L),
+        struct(transform(s, x -> 0L) AS had, CAST(array() AS array<array<struct<c: int, j: bigint>>>) AS runs),
+        (o, g) -> transform(array({inner}), e -> struct(e.had AS had, concat(o.runs, array(e.runs)) AS runs))[0],
+        o -> o.runs))""")
+
+
 def period_table(shares: DataFrame) -> DataFrame:
     """(source, w, period, cycle): ``cycle[j]`` is the slot of the source's j-th
     block in one period, by earliest deadline first among released blocks.
 
-    The fold walks the slots; its state is the number of blocks each source has
-    had. Sources are taken by name where deadlines are equal.
+    Sources of equal share have equal windows and take turns by name, so the fold walks
+    over classes of equal share, of which there are at most sqrt(2 period), however many
+    sources there are. Where deadlines are equal, larger shares come first.
     """
-    all_shares = shares.groupBy("period").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("source").isNotNull().alias("k"), "source", "w"))).alias("s"))
-
-    def slot(state, t):
-        # (deadline, index) of every source whose next block is released at t
-        key = F.transform(F.col("s"), lambda s, i: F.when(
-            (F.get(state["had"], i) < s["w"]) & (F.floor(F.get(state["had"], i) * F.col("period") / s["w"]) <= t),
-            F.struct(F.ceil((F.get(state["had"], i) + 1) * F.col("period") / s["w"]).alias("d"), i.alias("i"))))
-        pick = F.array_min(key)["i"]
-        return F.struct(
-            F.transform(state["had"], lambda h, i: h + F.when(i == pick, F.lit(1)).otherwise(F.lit(0))).alias("had"),
-            F.concat(state["runs"], F.array(pick)).alias("runs"))
-
-    start = F.struct(F.transform(F.col("s"), lambda s: F.lit(0)).alias("had"),
-                     F.array().cast("array<int>").alias("runs"))
-    runs = all_shares.select("s", "period", F.aggregate(
-        F.sequence(F.lit(0).cast("long"), F.col("period") - 1), start, slot, lambda x: x["runs"]).alias("runs"))
-    slots = runs.select("period", F.posexplode("runs").alias("slot", "i"), "s")
-    return (slots.groupBy("period", F.get("s", F.col("i")).alias("s"))
-                 .agg(F.array_sort(F.collect_list(F.col("slot").cast("long"))).alias("cycle"))
-                 .select("s.source", "s.w", "period", "cycle"))
+    classes = shares.groupBy("period", "w").agg(F.count(F.lit(1)).alias("m")).groupBy("period").agg(
+        F.array_sort(F.collect_list(F.struct((-F.col("w")).alias("o"), "w", "m", (F.col("w") * F.col("m")).alias("jobs")))).alias("s"))
+    runs = classes.select("period", "s", F.posexplode(_fold("period")).alias("slot", "p"))
+    turn = runs.select("slot", F.expr("s[p.c].w").alias("t_w"), F.expr("p.j % s[p.c].m").alias("t_r"))
+    named = Window.partitionBy("w").orderBy(F.col("source").isNotNull(), "source")
+    ranked = shares.withColumn("r", F.row_number().over(named).cast("long") - 1)
+    return (ranked.join(turn, (F.col("w") == F.col("t_w")) & (F.col("r") == F.col("t_r")))
+                  .groupBy("source", "w", "period")
+                  .agg(F.array_sort(F.collect_list(F.col("slot").cast("long"))).alias("cycle")))
 
 
 # ------------------------------------------------------------------ places of documents
@@ -96,45 +111,43 @@ def size_of(text_col: str) -> Column:
     return F.coalesce(F.length(F.col(text_col).cast("string")), F.lit(0)).cast("long") + 1
 
 
-def _classes(sizes: DataFrame, weights: DataFrame | None, alpha: float, max_sources: int) -> DataFrame:
-    """(source, lane, weight): the ``max_sources`` heaviest sources have a lane of their
-    own, all others share one lane. ``lane`` is a number from 0 in order of weight."""
+def _classes(sizes: DataFrame, weights: DataFrame | None, alpha: float, max_sources: int | None) -> DataFrame:
+    """(lane_source, lane, weight): every source, or the ``max_sources`` heaviest, have a lane
+    of their own. ``lane`` is a number from 0 in order of weight."""
     if weights is None:
         t = tempered_weights(sizes, alpha)
     else:
         given = weights.select(F.col("source").alias("w_source"), F.col("weight").cast("double").alias("w"))
         t = (sizes.join(given, F.col("source").eqNullSafe(F.col("w_source")), "left")
                   .select("source", F.coalesce("w", F.lit(0.0)).alias("weight")))
-    top = t.orderBy(F.col("weight").desc(), F.col("source").asc_nulls_first()).limit(max_sources)
-    lanes = top.groupBy().agg(F.collect_list(F.struct((-F.col("weight")).alias("o"), F.col("source").isNotNull().alias("k"),
-                                                      "source", "weight")).alias("s"))
-    return lanes.select(F.posexplode(F.array_sort("s")).alias("lane", "s")).select(
-        F.col("s.source").alias("lane_source"), "lane", F.col("s.weight").alias("weight"))
+    # one row per source
+    order = Window.partitionBy(F.lit(0)).orderBy(F.col("weight").desc(), F.col("source").asc_nulls_first())
+    lanes = t.select(F.col("source").alias("lane_source"), (F.row_number().over(order) - 1).alias("lane"), "weight")
+    return lanes if max_sources is None else lanes.filter(F.col("lane") < max_sources)
 
 
 def mix(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source", block: int = BLOCK, slots: int = SLOTS, alpha: float = ALPHA,
-        max_sources: int = 256) -> DataFrame:
+        max_sources: int | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, source, size, lane, block, slot and
     ``at`` (characters of its lane before it). The mixed order is that of
     (slot, at, doc_id).
 
     ``weights`` has (source, weight); without it each source weighs its share
-    of all characters to the power ``alpha``. The ``max_sources`` heaviest sources
-    are scheduled one by one and the rest as one source together, so the
-    schedule has parameter size and its broadcast is bounded.
+    of all characters to the power ``alpha``. Every source has a lane of its own;
+    only where ``max_sources`` is given, the sources beyond the heaviest share one.
     """
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size_of(text_col).alias("size"))
     narrow = stage(narrow, "mix-rows")
     sizes = stage(source_sizes(narrow, F.col("source"), F.col("size")), "mix-sizes")
     named = stage(_classes(sizes, weights, alpha, max_sources), "mix-lanes")
-    own = sizes.join(F.broadcast(named), F.col("source").eqNullSafe(F.col("lane_source")), "left")
-    rest = F.lit(max_sources)
+    own = sizes.join(named, F.col("source").eqNullSafe(F.col("lane_source")), "left")
+    rest = F.lit(max_sources if max_sources is not None else -1)  # a shared lane only where asked for
     lanes = own.groupBy(F.coalesce("lane", rest).alias("source")).agg(
         F.sum(F.coalesce("weight", F.lit(0.0))).alias("weight"))
     cycles = stage(period_table(slot_shares(lanes, slots)).withColumnRenamed("source", "c_lane"), "mix-cycles")
 
-    keyed = (narrow.join(F.broadcast(named), F.col("source").eqNullSafe(F.col("lane_source")), "left")
+    keyed = (narrow.join(named, F.col("source").eqNullSafe(F.col("lane_source")), "left")
                    .select("doc_id", "source", "size", F.coalesce("lane", rest).alias("lane"),
                            F.md5(F.col("doc_id").cast("string")).alias("h")))
     order = ["lane", "h", "doc_id", "size"]
@@ -150,7 +163,7 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id
     at = (run.join(parts, (run["lane"] == parts["p_lane"]) & (run["part"] == parts["p_part"]))
              .withColumn("at", F.col("base") + F.col("here"))
              .withColumn("block", F.floor(F.col("at") / F.lit(block)).cast("long")))
-    done = at.join(F.broadcast(cycles), F.col("lane") == F.col("c_lane"))
+    done = at.join(cycles, F.col("lane") == F.col("c_lane"))
     slot = F.expr("(block div w) * period + cycle[cast(block % w as int)]")
     return done.select("doc_id", "source", "size", "lane", "block", slot.alias("slot"), "at")
 

@@ -1,6 +1,8 @@
 import random
 
-from marketframe.llm import mixing
+import duckdb
+
+from marketframe.llm import mixing, oracles, queries
 from tests.llm.edge import ROWS, edge_docs, empty_docs
 
 
@@ -62,3 +64,16 @@ def test_files_hold_the_mixed_order(spark, tmp_shared):
     got = [r.doc_id for r in back.orderBy(*order).select("doc_id").collect()]
     want = [r.doc_id for r in sorted(mixing.mix(docs, block=5000).collect(), key=lambda r: (r.slot, r.at, r.doc_id))]
     assert got == want
+
+
+def test_more_than_256_sources_match_the_oracle(spark, tmp_shared):
+    rows = [(i, "x" * (1 + i * i % 977), f"s{i % 300}" if i % 300 else None) for i in range(1500)]
+    rows += [(5000 + i, "y" * 150_000, f"s{i % 3}") for i in range(12)]  # more than one block
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_shared}/documents.parquet")
+    got = queries.op3_source_mixing(spark, tmp_shared)
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_shared}/documents.parquet/*.parquet')")
+    want = con.sql(oracles.MIX)
+    assert got.columns == want.columns
+    got, want = sorted(map(tuple, got.collect())), sorted(want.fetchall())
+    assert len(got) == len(rows) and len({r[3] for r in got}) == 301 and got == want
