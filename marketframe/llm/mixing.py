@@ -1,29 +1,34 @@
 """Mixing sources to target weights by Pfair scheduling (built-in expressions only).
 
 Each source is put in a shuffled order and cut into blocks of ``BLOCK``
-characters. A target weight is an integer share ``w`` of ``W`` slots. Block k (from
+characters. With a share ``w`` of ``W``, block k (from
 0) of a source may start at slot ``floor(k W / w)``, its release time, and must be
 done by ``ceil((k + 1) W / w)``, its deadline; in every slot the released block
 with the earliest deadline runs. After any number of slots each source has had
-its share of them with less than one block of deviation.
-
-The schedule repeats after ``W`` slots, since every source then has had exactly
-``w`` blocks. One period is computed as a fold over its slots and the distinct shares,
-as sources of one share take turns; block k of a
-source with cycle table ``c`` then runs in slot ``(k div w) W + c[k mod w]``, a
-row-local expression. No driver loop and no global sort decide the schedule.
+its share of them with less than one block of deviation, until a source is used up.
+
+By default the shares are the target weights themselves (in units of 2 ** -31) and
+the schedule has a slot for every block; where sources are used up, the
+earliest deadline of what is left runs. With ``slots`` given, shares are rounded to
+whole slots of a period of about that length, and the bound holds against the rounded
+shares only. That schedule repeats after ``W`` slots, since every source then has had
+exactly ``w`` blocks: block k of a source with cycle table ``c`` runs in slot
+``(k div w) W + c[k mod w]``, and a source that is used up leaves its slots
+empty, the others close up in slot order.
+
+Either schedule is a fold over its slots and the distinct shares, as sources of one
+share take turns. It runs in one task: as many steps as there are blocks (or slots of a
+period), each over the distinct shares. No driver loop and no global sort decide it.
+Every document is kept.
 
 Positions inside a source come from a range partitioning by (source, hash of the
 id), so a source with a third of the rows spreads over many tasks, and a prefix
 sum over per-partition totals.
 
-A source that is used up leaves its slots empty, the others close up in
-slot order. Every document is kept.
-
 Defined results: a null text has no characters but takes one unit, like every
 document takes one more than its characters; null sources are one source; ties are
 broken by id and length, rows that still tie are alike; an empty table gives
-no rows; sources missing from given weights get the smallest share, one slot;
+no rows; sources missing from given weights get the smallest share, one unit or slot;
 other columns are returned unchanged.
 """
 
@@ -36,6 +41,8 @@ from .common import stage
 
 BLOCK = 262_144
 SLOTS = 1000
+#: Units that target weights are counted in; windows of 2 ** 31 blocks still fit a long.
+UNITS = 1 << 31
 #: Target weight of a source: its share of all characters to this power.
 ALPHA = 0.7
 
@@ -105,6 +112,26 @@ def period_table(shares: DataFrame) -> DataFrame:
                   .agg(F.array_sort(F.collect_list(F.col("slot").cast("long"))).alias("cycle")))
 
 
+def block_table(lanes: DataFrame) -> DataFrame:
+    """(c_lane, c_block, slot) of every block of (source, weight, blocks), by earliest
+    deadline first with windows from the target weights."""
+    every = Window.partitionBy(F.lit(0))  # one row per source
+    part = F.coalesce(F.try_divide(F.col("weight"), F.sum("weight").over(every)), F.lit(0.0))
+    shares = (lanes.select("source", "blocks", F.greatest(F.lit(1), F.round(part * UNITS)).cast("long").alias("w"))
+                   .withColumn("period", F.sum("w").over(every)).withColumn("n", F.sum("blocks").over(every)))
+    alike = Window.partitionBy("w", "blocks").orderBy(F.col("source").isNotNull(), "source")
+    ranked = stage(shares.withColumn("r", F.row_number().over(alike).cast("long") - 1), "mix-shares")
+    classes = ranked.groupBy("period", "n", "w", "blocks").agg(F.count(F.lit(1)).alias("m")).groupBy("period", "n").agg(
+        F.array_sort(F.collect_list(F.struct((-F.col("w")).alias("o"), "w", "blocks", "m",
+                                             (F.col("blocks") * F.col("m")).alias("jobs")))).alias("s"))
+    runs = classes.select("s", F.posexplode(_fold("n")).alias("slot", "p"))
+    turn = runs.select(F.col("slot").cast("long").alias("slot"), F.expr("s[p.c].w").alias("t_w"),
+                       F.expr("s[p.c].blocks").alias("t_blocks"), F.expr("p.j % s[p.c].m").alias("t_r"),
+                       F.expr("p.j div s[p.c].m").alias("c_block"))
+    return (turn.join(ranked, (F.col("w") == F.col("t_w")) & (F.col("blocks") == F.col("t_blocks")) & (F.col("r") == F.col("t_r")))
+                .select(F.col("source").alias("c_lane"), "c_block", "slot"))
+
+
 # ------------------------------------------------------------------ places of documents
 
 def size_of(text_col: str) -> Column:
@@ -127,7 +154,7 @@ def _classes(sizes: DataFrame, weights: DataFrame | None, alpha: float, max_sour
 
 
 def mix(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text",
-        source_col: str = "source", block: int = BLOCK, slots: int = SLOTS, alpha: float = ALPHA,
+        source_col: str = "source", block: int = BLOCK, slots: int | None = None, alpha: float = ALPHA,
         max_sources: int | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, source, size, lane, block, slot and
     ``at`` (characters of its lane before it). The mixed order is that of
@@ -135,7 +162,8 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id
 
     ``weights`` has (source, weight); without it each source weighs its share
     of all characters to the power ``alpha``. Every source has a lane of its own;
-    only where ``max_sources`` is given, the sources beyond the heaviest share one.
+    only where ``max_sources`` is given, the sources beyond the heaviest share one. Shares
+    are the weights themselves, or rounded to a period of ``slots`` where that is given.
     """
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size_of(text_col).alias("size"))
     narrow = stage(narrow, "mix-rows")
@@ -144,8 +172,12 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id
     own = sizes.join(named, F.col("source").eqNullSafe(F.col("lane_source")), "left")
     rest = F.lit(max_sources if max_sources is not None else -1)  # a shared lane only where asked for
     lanes = own.groupBy(F.coalesce("lane", rest).alias("source")).agg(
-        F.sum(F.coalesce("weight", F.lit(0.0))).alias("weight"))
-    cycles = stage(period_table(slot_shares(lanes, slots)).withColumnRenamed("source", "c_lane"), "mix-cycles")
+        F.sum(F.coalesce("weight", F.lit(0.0))).alias("weight"),
+        (F.floor((F.sum("size") - 1) / F.lit(block)) + 1).cast("long").alias("blocks"))
+    if slots is None:
+        cycles = stage(block_table(lanes), "mix-blocks")
+    else:
+        cycles = stage(period_table(slot_shares(lanes, slots)).withColumnRenamed("source", "c_lane"), "mix-cycles")
 
     keyed = (narrow.join(named, F.col("source").eqNullSafe(F.col("lane_source")), "left")
                    .select("doc_id", "source", "size", F.coalesce("lane", rest).alias("lane"),
@@ -163,8 +195,12 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id
     at = (run.join(parts, (run["lane"] == parts["p_lane"]) & (run["part"] == parts["p_part"]))
              .withColumn("at", F.col("base") + F.col("here"))
              .withColumn("block", F.floor(F.col("at") / F.lit(block)).cast("long")))
-    done = at.join(cycles, F.col("lane") == F.col("c_lane"))
-    slot = F.expr("(block div w) * period + cycle[cast(block % w as int)]")
+    if slots is None:
+        done = at.join(cycles, (F.col("lane") == F.col("c_lane")) & (F.col("block") == F.col("c_block")))
+        slot = F.col("slot")
+    else:
+        done = at.join(cycles, F.col("lane") == F.col("c_lane"))
+        slot = F.expr("(block div w) * period + cycle[cast(block % w as int)]")
     return done.select("doc_id", "source", "size", "lane", "block", slot.alias("slot"), "at")
 
 

@@ -30,8 +30,9 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Slot of every document in a mix with tempered source weights."""
-    return mixing.mix(table(spark, sf_dir, "documents"))
+    """Slot of every document in a mix with tempered source weights, in the rounded
+    shares of a period that its SQL has."""
+    return mixing.mix(table(spark, sf_dir, "documents"), slots=mixing.SLOTS)
 
 
 #: Speaker markers of the transcripts made from the conversations, by style and role.

@@ -77,3 +77,20 @@ def test_more_than_256_sources_match_the_oracle(spark, tmp_shared):
     assert got.columns == want.columns
     got, want = sorted(map(tuple, got.collect())), sorted(want.fetchall())
     assert len(got) == len(rows) and len({r[3] for r in got}) == 301 and got == want
+
+
+def test_shares_hold_against_target_weights(spark):
+    weights = {"a": 0.0001, "b": 0.43217, "c": 0.31133, "d": 0.2001, "e": 0.0563}
+    n = {"a": 5, "b": 1400, "c": 1100, "d": 700, "e": 250}  # one block each document
+    rows = [(f"{s}{i}", "x" * 9, s) for s in n for i in range(n[s])]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, source string")
+    out = mixing.mix(docs, spark.createDataFrame(list(weights.items()), "source string, weight double"), block=10).collect()
+    assert sorted(r.slot for r in out) == list(range(len(rows)))
+    total, had = sum(weights.values()), dict.fromkeys(n, 0)
+    for t, r in enumerate(sorted(out, key=lambda r: r.slot), 1):
+        assert r.block == had[r.source]
+        had[r.source] += 1
+        assert all(abs(had[s] - t * weights[s] / total) < 1 for s in n)
+        if had[r.source] == n[r.source]:
+            break
+    assert t > 3000
