@@ -18,7 +18,8 @@ distance.
 
 Defined results: null and empty texts have no words and the fingerprint zero,
 which is linked like any other; a null id never names a component that has
-another id; rows repeated with one id share its result; an empty table
+another id; ``drop_near`` decides by row, so an id repeated on other texts, or none, makes no
+difference to what is kept of a component; an empty table
 gives no rows; other columns are ignored by ``near_duplicates`` and returned
 unchanged by ``drop_near``.
 """
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stage
@@ -69,19 +70,23 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
-                 seed: int = SEED) -> DataFrame:
-    """(doc_id, fp): the fingerprint of each row as a signed 64-bit integer."""
+                 seed: int = SEED, key: Column | None = None) -> DataFrame:
+    """(doc_id, fp): the fingerprint of each row as a signed 64-bit integer; with
+    ``key`` (binary) a third column of that name."""
     src = docs.select(F.col(id_col).alias("doc_id"),
-                      F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+                      F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
+                      *([] if key is None else [key.alias("key")]))
+    more = [] if key is None else ["key"]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for a, b in text_batches(frame, "text"):
                 part = frame.iloc[a:b]
                 fp = np.array([fingerprint(t, shingle, seed) for t in part["text"]], dtype=np.uint64).view(np.int64)
-                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "fp": fp})
+                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "fp": fp, **{c: part[c].to_numpy() for c in more}})
 
-    return src.mapInPandas(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, fp long")
+    kinds = "".join(f", {c} binary" for c in more)
+    return src.mapInPandas(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, fp long{kinds}")
 
 
 # ------------------------------------------------------------------ candidate buckets
@@ -187,18 +192,23 @@ def link_fingerprints(nodes: DataFrame, distance: int = DISTANCE, limit: int = L
                          .select("fp", "mask"), "large-buckets")
 
 
+def _lowest(rows: DataFrame, low: Column, distance: int, limit: int) -> DataFrame:
+    """(node_fp, low): the smallest ``low`` of the component of each distinct fingerprint."""
+    nodes = stage(rows.groupBy("fp").agg(F.min(low).alias("low")), "nodes")
+    comp = components(link_fingerprints(nodes, distance, limit))
+    rooted = nodes.join(comp, nodes["fp"] == comp["node"], "left").select(
+        nodes["fp"], "low", F.coalesce("root", "fp").alias("root"))
+    lowest = rooted.groupBy("root").agg(F.min("low").alias("low"))
+    return rooted.drop("low").join(lowest, "root").select(F.col("fp").alias("node_fp"), "low")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                     distance: int = DISTANCE, seed: int = SEED, limit: int = LIMIT) -> DataFrame:
     """One row per row of ``docs``: doc_id, fp (signed 64-bit fingerprint) and
     component_id, the smallest doc_id reachable over links, itself included."""
     rows = stage(fingerprints(docs, id_col, text_col, shingle, seed), "fingerprints")
-    nodes = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "nodes")
-    comp = components(link_fingerprints(nodes, distance, limit))
-    low = nodes.join(comp, nodes["fp"] == comp["node"], "left").select(
-        nodes["fp"], "low", F.coalesce("root", "fp").alias("root"))
-    ids = low.groupBy("root").agg(F.min("low").alias("component_id"))
-    by_fp = low.join(ids, "root").select(F.col("fp").alias("node_fp"), "component_id")
-    return rows.join(by_fp, rows["fp"] == by_fp["node_fp"]).select("doc_id", "fp", "component_id")
+    by_fp = _lowest(rows, F.col("doc_id"), distance, limit)
+    return rows.join(by_fp, rows["fp"] == by_fp["node_fp"]).select("doc_id", "fp", F.col("low").alias("component_id"))
 
 
 def hex_fingerprint(fp: str = "fp"):
@@ -206,17 +216,30 @@ def hex_fingerprint(fp: str = "fp"):
     return F.lower(F.lpad(F.hex(F.col(fp)), 16, "0"))
 
 
-def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """``docs`` with one document of each component, that with the smallest id.
-    Rows without an id cannot be named by a component and stay; of rows that
-    share an id that stays, one stays."""
-    near = stage(near_duplicates(docs, id_col, text_col, **kw).filter(F.col("doc_id").isNotNull()), "near")
-    ids = near.groupBy("doc_id").agg(F.min(F.col("component_id") == F.col("doc_id")).alias("stays"),
-                                     F.count(F.lit(1)).alias("n"))
-    losers = ids.filter(~F.col("stays")).select(F.col("doc_id").alias("loser"))
-    out = docs.join(losers, docs[id_col] == losers["loser"], "left_anti")
-    repeated = stage(ids.filter("stays and n > 1").select(F.col("doc_id").alias("twice")), "repeated-ids")
+def _row_key(docs: DataFrame, text_col: str) -> Column:
+    """16 bytes of a SHA-256 of the whole row: the same whenever the row is read or
+    computed again. Rows that share it are alike in every column."""
+    text = F.coalesce(F.sha2(F.col(text_col).cast("string").cast("binary"), 256), F.lit(""))
+    rest = F.to_json(F.struct(*[F.col(c) for c in docs.columns if c != text_col]))
+    return F.substring(F.unhex(F.sha2(F.concat_ws(" ", text, rest), 256)), 1, 16)
+
+
+def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+              distance: int = DISTANCE, seed: int = SEED, limit: int = LIMIT) -> DataFrame:
+    """``docs`` with one row of each component, that with the smallest id. Rows
+    without an id come after all others; of rows that share the id, the smallest
+    fingerprint and then row key stays, so an id on different texts can stay on several rows."""
+    key = _row_key(docs, text_col)
+    rows = stage(fingerprints(docs, id_col, text_col, shingle, seed, key), "fingerprints")
+    by_fp = _lowest(rows, F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp", "key"), distance, limit)
+    near = stage(rows.join(by_fp, rows["fp"] == by_fp["node_fp"])
+                     .select("key", (F.col("key") == F.col("low.key")).alias("stays")), "near")
+    losers = stage(near.filter(~F.col("stays")).select(F.col("key").alias("l_key")), "losers")
+    wide = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), key.alias("key"))
+    out = wide.join(losers, wide["key"] == losers["l_key"], "left_anti")
+    repeated = stage(near.filter("stays").groupBy(F.col("key").alias("r_key")).agg(F.count(F.lit(1)).alias("n"))
+                         .filter("n > 1").select("r_key"), "repeated-rows")
     if not repeated.isEmpty():
-        again = docs.join(repeated, docs[id_col] == repeated["twice"], "left_semi").dropDuplicates([id_col])
-        out = out.join(repeated, out[id_col] == repeated["twice"], "left_anti").unionByName(again)
-    return out
+        again = wide.join(repeated, wide["key"] == repeated["r_key"], "left_semi").dropDuplicates(["key"])
+        out = out.join(repeated, out["key"] == repeated["r_key"], "left_anti").unionByName(again)
+    return out.select("row.*")

@@ -93,3 +93,13 @@ def test_near_duplicates_on_documents(spark):
     got = simhash.near_duplicates(docs).collect()
     assert {r.doc_id: r.component_id for r in got} == want
     assert {r.doc_id: np.int64(r.fp).view(np.uint64) for r in got} == {r.doc_id: brute_fp(r.text) for r in rows}
+
+
+def test_drop_near_decides_by_row(spark):
+    a, b, c, d, e, f = (" ".join(f"{x}{i * i}" for i in range(40)) for x in "abcdef")  # upper case has the same fingerprint
+    rows = [(5, a), (7, a.upper()), (5, b), (2, b.upper()), (None, c), (None, c.upper()), (9, d), (9, e), (9, d),
+            (11, f), (11, f.upper())]
+    kept = [tuple(r) for r in simhash.drop_near(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(r for r in kept if r[0] in (2, 5, 7, 9)) == [(2, b.upper()), (5, a), (9, d), (9, e)]
+    assert [r[1].lower() for r in kept if r[0] is None] == [c] and [r[1].lower() for r in kept if r[0] == 11] == [f]
+    assert len(kept) == 6
