@@ -57,6 +57,7 @@ class Element:
     parent: "Element | None"
     noise: bool  # by its own mark-up or that of an element around it
     main: bool  # inside an article or main element
+    named: bool = False  # a word of its own class, id or role names noise
     children: list[str] = field(default_factory=list)
 
     def paths(self) -> list[int]:
@@ -85,9 +86,13 @@ def _is_noise(tag: str, attrs: dict[str, str], main: bool) -> bool:
     names = f"{attrs.get('class', '')} {attrs.get('id', '')} {attrs.get('role', '')}".lower().split()
     if tag in MAIN_TAGS:  # named as a whole only: "comment", but not "has-sidebar"
         return any(n in NOISE_WORDS for n in names)
-    if tag == "header" and not main:
-        return True
-    for name in names:
+    return tag == "header" and not main or any(r in NOISE_WORDS for r in attrs.get("role", "").lower().split())
+
+
+def _is_named(tag: str, attrs: dict[str, str], main: bool) -> bool:
+    if tag in PAGE or tag in MAIN_TAGS:
+        return False
+    for name in f"{attrs.get('class', '')} {attrs.get('id', '')} {attrs.get('role', '')}".lower().split():
         words = _NAMES.findall(name)
         if {"has", "no", "with", "without"} & set(words[:1]):
             continue
@@ -96,6 +101,31 @@ def _is_noise(tag: str, attrs: dict[str, str], main: bool) -> bool:
     return False
 
 
+def _drop_named(elements: list[Element]) -> None:
+    """Elements named by a word become noise with all in them, but for those around the
+    page's article: of the outermost articles (main elements where there is none), those
+    in the fewest named elements keep them."""
+    def around(e: Element) -> list[Element]:
+        out = []
+        while e.parent is not None:
+            e = e.parent
+            out.append(e)
+        return out
+
+    spared: set[int] = set()
+    if any(e.named for e in elements):
+        for tag in ("article", "main"):
+            wraps = [up for e in elements if e.tag == tag and not e.noise
+                     for up in [around(e)] if not any(a.tag == tag for a in up)]
+            if wraps:
+                held = [[id(a) for a in up if a.named] for up in wraps]
+                fewest = min(map(len, held))
+                spared = {x for h in held if len(h) == fewest for x in h}
+                break
+    for e in elements[1:]:  # parents come first
+        e.noise = e.noise or e.parent.noise or (e.named and id(e) not in spared)
+
+
 def walk(html: str) -> tuple[list[tuple[Element, str]], list[Element]]:
     """The text blocks of a page in order, each with the element it lies in, and
     all elements. Text in an element that is noise by its mark-up is left out. Character references are decoded, white space in a block is one
@@ -173,7 +203,10 @@ def walk(html: str) -> tuple[list[tuple[Element, str]], list[Element]]:
         if name in VOID:
             continue
         noise = up.noise or _is_noise(name, attrs, up.main)
-        e = Element(name, digest(up.path, style), up, noise, up.main or (name in MAIN_TAGS and not noise))
+        named = not noise and _is_named(name, attrs, up.main)
+        if named and name in INLINE:  # holds no article
+            noise = True
+        e = Element(name, digest(up.path, style), up, noise, up.main or (name in MAIN_TAGS and not noise), named)
         elements.append(e)
         if name in RAW:
             end = re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I).search(html, pos)
@@ -181,4 +214,5 @@ def walk(html: str) -> tuple[list[tuple[Element, str]], list[Element]]:
             continue
         stack.append(e)
     close()
-    return blocks, elements
+    _drop_named(elements)
+    return [(e, text) for e, text in blocks if not e.noise], elements

@@ -15,8 +15,10 @@ A branch whose composite importance is below ``THRESHOLD`` on at least
 ``MIN_PAGES`` pages is boilerplate and removed from every page. Mark-up that names
 its own role decides first: what is marked as menu, header, footer, sidebar,
 notice, advert, form, script or comments goes whatever its entropy (such
-texts may differ on every page), and what lies in an article or main element is not
-judged by repetition (copies of an article are still articles).
+texts may differ on every page), but not what is around the page's article. In an article or
+main element the threshold is multiplied by the content importance of the whole articles
+that the branch lies in: copies of an article are still articles, while a block that
+different articles repeat goes.
 
 The tree is never built in one task: parsing emits (host, path, kind, feature)
 rows, and counts and entropies are two grouped sums with partial
@@ -45,7 +47,7 @@ from .tokens import text_batches
 GAMMA = 0.9
 THRESHOLD = 0.25
 MIN_PAGES = 10
-CONTENT, CHILDREN = 0, 1
+CONTENT, CHILDREN, WHOLE = 0, 1, 2
 SALT = 16
 
 
@@ -60,13 +62,24 @@ def _source(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataF
 
 def features(html: str) -> set[tuple[int, int, int]]:
     """(path, kind, feature) of a page, each once: the texts in each branch and the
-    child sequence of each element. Branches that are noise by their mark-up
-    are left out."""
+    child sequence of each element, and for branches in an article its whole text. Branches
+    that are noise by their mark-up are left out."""
     blocks, elements = dom.walk(html)
     out = set()
+    articles: dict[int, tuple[set[int], list[str]]] = {}
     for e, text in blocks:
         content = dom.digest(text)
         out.update((p, CONTENT, content) for p in e.paths())
+        if e.main:
+            top = e
+            while top.parent.main:
+                top = top.parent
+            paths, texts = articles.setdefault(id(top), (set(), []))
+            paths.update(e.paths()[:len(e.paths()) - len(top.parent.paths())])
+            texts.append(text)
+    for paths, texts in articles.values():
+        whole = dom.digest(*texts)
+        out.update((p, WHOLE, whole) for p in paths)
     for e in elements:
         if e.children and not e.noise and e.tag not in dom.PAGE:
             out.add((e.path, CHILDREN, dom.digest(*e.children)))
@@ -74,8 +87,9 @@ def features(html: str) -> set[tuple[int, int, int]]:
 
 
 def style_tree(src: DataFrame) -> DataFrame:
-    """(host, path, pages, importance) of every style path below the body that is
-    not noise by its mark-up."""
+    """(host, path, pages, importance, whole) of every style path below the body that is
+    not noise by its mark-up; ``whole`` is the content importance of the whole articles
+    that the branch lies in, 1 outside articles."""
     def parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for a, b in text_batches(frame, "html"):
@@ -85,11 +99,12 @@ def style_tree(src: DataFrame) -> DataFrame:
     seen = src.select("host", "html").mapInPandas(parse, "host string, path long, kind int, feature long")
     n = seen.groupBy("host", "path", "kind", "feature").agg(F.count(F.lit(1)).alias("n"))
     x = F.col("n").cast("double")
-    content = F.col("kind") == CONTENT
+    content, child, whole = (F.col("kind") == k for k in (CONTENT, CHILDREN, WHOLE))
     t = n.groupBy("host", "path").agg(
         F.sum(F.when(content, x)).alias("texts"), F.sum(F.when(content, x * F.log(x))).alias("text_nlogn"),
-        F.sum(F.when(~content, x)).alias("pages"), F.sum(F.when(~content, x * F.log(x))).alias("child_nlogn"),
-        F.count(F.when(~content, x)).alias("styles"))
+        F.sum(F.when(child, x)).alias("pages"), F.sum(F.when(child, x * F.log(x))).alias("child_nlogn"),
+        F.count(F.when(child, x)).alias("styles"),
+        F.sum(F.when(whole, x)).alias("wholes"), F.sum(F.when(whole, x * F.log(x))).alias("whole_nlogn"))
     # a leaf has no child sequences: its pages are counted by its texts
     m = F.coalesce("pages", "texts")
     base = F.log(F.greatest(m, F.lit(2.0)))
@@ -99,12 +114,14 @@ def style_tree(src: DataFrame) -> DataFrame:
     g = F.pow(F.lit(GAMMA), F.col("styles").cast("double"))
     both = F.when(F.col("styles") == 0, text_imp).otherwise(
         (F.lit(1.0) - g) * child_imp + g * F.coalesce(text_imp, F.lit(0.0)))
-    return t.select("host", "path", m.cast("long").alias("pages"), both.alias("importance"))
+    one = F.greatest(F.lit(0.0), F.lit(1.0) - F.col("whole_nlogn") / F.col("wholes") / F.log(F.greatest("wholes", F.lit(2.0))))
+    return t.select("host", "path", m.cast("long").alias("pages"), both.alias("importance"),
+                    F.when(F.col("wholes").isNull(), F.lit(1.0)).otherwise(one).alias("whole"))
 
 
 def boilerplate(tree: DataFrame, threshold: float = THRESHOLD, min_pages: int = MIN_PAGES) -> DataFrame:
     """(host, paths): the removed branches of each host."""
-    low = tree.filter((F.col("pages") >= min_pages) & (F.col("importance") < threshold))
+    low = tree.filter((F.col("pages") >= min_pages) & (F.col("importance") < threshold * F.col("whole")))
     return low.groupBy(F.col("host").alias("b_host")).agg(F.collect_list("path").alias("paths"))
 
 
@@ -112,7 +129,7 @@ def main_text(html: str, removed: frozenset[int]) -> str:
     """The page's blocks outside noise and ``removed`` branches, joined by an empty line."""
     blocks, _ = dom.walk(html)
     return "\n\n".join(text for e, text in blocks
-                       if e.main or not removed or removed.isdisjoint(e.paths()))
+                       if not removed or removed.isdisjoint(e.paths()))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",

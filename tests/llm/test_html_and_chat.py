@@ -31,6 +31,19 @@ def test_named_parts_of_a_page_go():
     assert text_of(page) == "T\n\none\n\ntwo three"
 
 
+def test_a_word_around_the_article_does_not_drop_it():
+    article = "<article><h1>T</h1><p>one</p></article>"
+    side = "<div class=sidebar><article><p>teaser</p></article></div><div class='cookie-notice'>c</div>"
+    comments = "<section class=comments><article class='comment-body'><p>hey</p></article></section>"
+    for wrap in ("class='content-with-sidebar'", "class='layout-sidebar-right'", "id='search-page'"):
+        assert text_of(f"<body><div {wrap}>{article}</div></body>") == "T\n\none"
+        assert text_of(f"<body><div {wrap}><div class=x-widget>{side}w</div>{article}{comments}</div></body>") == "T\n\none"
+        assert text_of(f"<main><div {wrap}>{article}</div></main>") == "T\n\none"
+        assert text_of(f"<div {wrap}><main><p>m</p></main><div class=ad>a</div></div>") == "m"
+    assert text_of(f"{article}{side}{comments}") == "T\n\none"
+    assert text_of("<div role=search><article>a</article></div>b") == "b"  # a role is the author's own statement
+
+
 def pages(host, n):
     body = ("<div class=top>Welcome to our site</div><div class=body><h2>Title {i}</h2><p>Own words number {i}.</p>"
             "<p>More of page {i}.</p></div><div class=legal><p>All rights reserved.</p></div>")
@@ -51,6 +64,18 @@ def test_style_tree_removes_repeated_branches_only(spark):
     assert len(tree) > len(low) >= 2 and all(0 <= r.importance <= 1 for r in tree)
 
 
+def test_repeated_blocks_in_articles_go_and_copied_articles_stay(spark):
+    page = "<body><{t}><h1>Title {i}</h1><p>Own {i}.</p><p>More {i}.</p><div class=about><p>Written by our staff.</p></div></{t}></body>"
+    rows = [(100 * k + i, f"http://{t}.example/{i}", page.format(t=t, i=i)) for k, t in enumerate(("article", "main")) for i in range(30)]
+    rows += [(1000 + i, f"http://copies.example/{i}", page.format(t="article", i=min(i, 3))) for i in range(40)]  # 37 of one text
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.extract(df).collect()}
+    for k, i in itertools.product((0, 1), range(30)):
+        assert got[100 * k + i] == f"Title {i}\n\nOwn {i}.\n\nMore {i}."
+    for i in range(40):
+        assert got[1000 + i].startswith(f"Title {min(i, 3)}\n\nOwn {min(i, 3)}.\n\nMore {min(i, 3)}.")
+
+
 def test_extract_edges(spark):
     rows = [(1, None, "<p>a</p>", "x"), (2, "no url", None, "x"), (None, "http://h/", "", "x"), (1, None, "<p>a</p>", "x"),
             (3, "http://h:8080/?q=[", "<p>" + "word " * 100_000 + "</p>", "x")]
