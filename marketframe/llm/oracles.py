@@ -103,3 +103,21 @@ FROM pos JOIN cyc ON cyc.lane = pos.lane, p
 
 
 MIX = _mix_sql()
+
+
+LEAKS = r"""
+WITH lower_ AS (SELECT row_number() OVER () AS rid, doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+d AS (SELECT rid, doc_id, regexp_extract_all(text, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM lower_),
+i AS (SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+n AS (SELECT item, ws, least(len(ws), 10) AS n FROM i WHERE len(ws) > 0),
+iw AS (SELECT DISTINCT item, n, array_to_string(ws[s:s + n - 1], ' ') AS win FROM (SELECT item, ws, n, unnest(range(1, len(ws) - n + 2)) AS s FROM n)),
+dw AS (SELECT rid, n, s, array_to_string(ws[s:s + n - 1], ' ') AS win
+       FROM (SELECT rid, ws, n, unnest(range(1, len(ws) - n + 2)) AS s FROM d, (SELECT DISTINCT n FROM n) WHERE len(ws) >= n)),
+f AS (SELECT rid, s, dw.n, item FROM dw JOIN iw USING (win)),
+h AS (SELECT rid, count(DISTINCT at_)::BIGINT AS n_hit FROM (SELECT rid, unnest(range(s, s + n)) AS at_ FROM (SELECT DISTINCT rid, s, n FROM f)) GROUP BY rid),
+g AS (SELECT rid, count(DISTINCT item)::BIGINT AS n_items, array_to_string(list_sort(list_distinct(list(item))), ',') AS items FROM f GROUP BY rid)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (rid) LEFT JOIN g USING (rid)
+"""
