@@ -121,3 +121,28 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN h USING (rid) LEFT JOIN g USING (rid)
 """
+
+
+DIVERGENCE = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+w AS (SELECT rid, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT rid) >= 3),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY ALL),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+g AS (SELECT lang, source FROM d GROUP BY ALL),
+gn AS (SELECT lang, source, coalesce(sum(n), 0) AS size FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+p AS (SELECT gn.lang, gn.source, kept.term, coalesce(n, 0) AS n,
+             1 + (1000000000::HUGEINT * (coalesce(n, 0) + 1)) // (size + v) AS p
+      FROM gn JOIN v USING (lang) JOIN kept USING (lang) LEFT JOIN c ON c.lang = gn.lang AND c.source = gn.source AND c.term = kept.term),
+lp AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 1)) // (size + v) AS q
+       FROM (SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL) JOIN (SELECT lang, sum(n) AS size FROM c GROUP BY lang) USING (lang) JOIN v USING (lang)),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value FROM p JOIN lp USING (lang, term) WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank_ FROM (FROM pairs UNION ALL FROM terms))
+SELECT lang, source, part, item, value, rank_::INT AS rank FROM r WHERE part = 'pair' OR rank_ <= 200
+"""

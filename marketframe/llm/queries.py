@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat, decontaminate, exact_dedup, html_extract, language, lm_score, mixing, oracles, packing, quality,
-               simhash, token_files)
+from . import (chat, decontaminate, divergence, exact_dedup, html_extract, language, lm_score, mixing, oracles, packing,
+               quality, simhash, token_files)
 from .common import id_crc32, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,6 +97,11 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of every source from the others of its language, and its most divergent terms."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def op13_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words and items of the benchmark found in every document."""
     out = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -106,11 +111,13 @@ def op13_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_quality_rules, op2_best_fit_packing, op3_source_mixing, op4_chat_formatting, op5_lm_scoring, op6_token_files,
-    op7_simhash, op8_exact_dedup, op9_language_id, op10_html_extraction, op13_benchmark_decontamination)}
+    op7_simhash, op8_exact_dedup, op9_language_id, op10_html_extraction, op12_source_divergence,
+    op13_benchmark_decontamination)}
 
 ORACLE: dict[str, str] = {
     "op1_quality_rules": oracles.QUALITY,
     "op3_source_mixing": oracles.MIX,
     "op8_exact_dedup": oracles.EXACT,
+    "op12_source_divergence": oracles.DIVERGENCE,
     "op13_benchmark_decontamination": oracles.LEAKS,
 }
