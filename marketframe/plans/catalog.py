@@ -991,3 +991,6 @@ def q_stream_dedup(spark, sf):
          .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start(f"{base}/dst"))
     q.awaitTermination()
     return rounded(spark.read.parquet(f"{base}/dst"), keep=("value",))
+
+
+from . import catalog_runs  # noqa: E402, F401  (adds its queries)

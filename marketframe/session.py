@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -67,19 +69,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-# Folders written by ``materialize`` inside the innermost ``staging`` block.
-_OWNED: list[list[str]] = []
+# Folders written by ``materialize`` inside the innermost ``staging`` block of this thread (a
+# stream's batch function runs in a thread of its own, beside a job's).
+_OWNED: ContextVar[list[str] | None] = ContextVar("mf_owned", default=None)
 
 
 @contextmanager
 def staging(spark: SparkSession):
     """Owner of the intermediate tables written inside the block: they are
     deleted when it ends, so results must be written to tables of their own."""
-    _OWNED.append([])
+    mine: list[str] = []
+    token = _OWNED.set(mine)
     try:
         yield
     finally:
-        for path in _OWNED.pop():
+        _OWNED.reset(token)
+        for path in mine:
             where = spark._jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
@@ -95,7 +100,21 @@ def materialize(df, name: str = "stage"):
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    if _OWNED:
-        _OWNED[-1].append(path)
+    if (owned := _OWNED.get()) is not None:
+        owned.append(path)
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def vacuum_stages(spark: SparkSession, older_than_seconds: float = 7 * 86_400) -> int:
+    """Deletes the intermediate tables below the checkpoint folder that ``materialize`` wrote longer
+    ago than that (those of queries have no owner that would). Returns how many went."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(checkpoint_dir(spark))
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    now = spark.sql("SELECT unix_millis(current_timestamp())").first()[0]
+    gone = 0
+    for f in fs.listStatus(where) if fs.exists(where) else []:
+        if (f.isDirectory() and re.search(r"-[0-9a-f]{32}$", f.getPath().getName())
+                and f.getModificationTime() <= now - 1000 * older_than_seconds):
+            gone += fs.delete(f.getPath(), True)
+    return gone

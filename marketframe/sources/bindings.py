@@ -337,6 +337,25 @@ def landing_junk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _landing(pg, "profile", F.col("page_id"), F.col("html"))
 
 
+def landing_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses with more keys than the feeds read. Insider responses per supplier and ship year with a
+    price (a number, text on the 7th lines), a nested filing and the symbol in the body; and the quote
+    responses of B5, of which those from event properties hold other keys only."""
+    li = read(spark, sf_dir, "lineitem")
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    text = F.col("l_linenumber") == 7
+    base = F.to_json(F.struct(F.col("l_orderkey").cast("string").alias("name"), F.col("l_partkey").alias("share"),
+                              F.struct(F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status")).alias("filing")))
+    shown = F.when(text, F.concat(F.lit('"'), cents.cast("string"), F.lit('"'))).otherwise(cents.cast("string"))
+    item = F.concat(F.lit('{"price":'), shown, F.lit(","), F.expr("substring(base, 2)"))
+    g = (li.withColumn("base", base).withColumn("item", item)
+           .groupBy("l_suppkey", F.date_format("l_shipdate", "yyyy").alias("y")).agg(F.array_sort(F.collect_list("item")).alias("a")))
+    symbol = F.concat(F.lit("S"), F.col("l_suppkey").cast("string"))
+    body = F.concat(F.lit('{"symbol":"'), symbol, F.lit('","data":['), F.array_join("a", ","), F.lit("]}"))
+    wide = _landing(g, "insider", symbol, body, F.concat(F.col("y"), F.lit("0101_000000")))
+    return wide.unionByName(landing_quote(spark, sf_dir))
+
+
 LANDING_BUILDERS = {
     "quote": landing_quote, "candle": landing_candle, "profile": landing_profile,
     "company_news": landing_company_news, "earnings": landing_earnings,

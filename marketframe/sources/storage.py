@@ -45,11 +45,16 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None
     return r.load(path)
 
 
+def file_path() -> Column:
+    """Path of the file that a row was scanned from, as it is named (``_metadata`` has it URI-encoded)."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def header_groups(spark: SparkSession, paths: str | Sequence[str], glob: str = "*.csv") -> dict[str, list[str]]:
     """Header line -> files that have it. Only first lines are kept; what reaches
     the driver is one path per file."""
     lines = spark.read.option("pathGlobFilter", glob).text(paths).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        "value", file_path().alias("file"), F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("i"))
     first = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "i").alias("header"))
     out: dict[str, list[str]] = {}
@@ -82,7 +87,7 @@ def read_raw_batches(spark: SparkSession, paths: str | Sequence[str], schema: T.
         full = T.StructType([T.StructField(n, t) for n, t in fields] + [T.StructField(bad_col, T.StringType())])
         df = (spark.read.schema(full).option("header", "true").option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", bad_col).csv(files))
-        name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1)
+        name = F.regexp_extract(file_path(), r"([^/]+)$", 1)
         known = {n for n, _ in fields}
         parts.append(df.select(
             *[F.col(n) if n in known else F.lit(None).cast(t).alias(n) for n, t in types.items()], bad_col,

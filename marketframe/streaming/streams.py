@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize, staging
+from ..sources import commits as C
 from ..sources.storage import write_table
 
 # Event names; the cleaner accepts both ingest names (the
@@ -43,24 +45,30 @@ def stream_ingest(spark: SparkSession, src: str, root: str, checkpoint: str, fmt
     schema) become the 12 tables under ``root`` (partitioned by batch), each file
     exactly once.
 
-    A micro-batch is first added to ``root/landing``, partitioned by (batch_id,
-    load), where a load is one epoch of this query: a replayed epoch replaces its
-    own partitions only. The batches that it touched are then rebuilt from all
+    An epoch is a run of the store (``sources.commits``): its rows, ``landing`` by
+    (batch_id, load) and the tables rebuilt from them, are committed together, and a replayed
+    epoch that had been committed does nothing. The batches that it touched are rebuilt from all
     their loads, so a batch whose files arrive in several micro-batches keeps
     every row, and untouched batches are neither read nor written."""
     from ..sources.feeds import LANDING_SCHEMA, normalize_all
     stream = spark.readStream.schema(LANDING_SCHEMA).format(fmt).load(src)
 
     def run(df: DataFrame, epoch: int) -> None:
-        session = df.sparkSession
-        query = session.sparkContext.getLocalProperty("sql.streaming.queryId")
-        load = f"{query}-{epoch}"
-        write_table(df.withColumn("load", F.lit(load)), f"{root}/landing", ["batch_id", "load"])
-        landing = session.read.parquet(f"{root}/landing")
-        touched = landing.where(F.col("load") == load).select("batch_id").distinct()
-        whole = landing.join(touched, "batch_id", "left_semi").select(*LANDING_SCHEMA.fieldNames())
-        for name, table in normalize_all(whole).items():
-            write_table(table, f"{root}/{name}")
+        session, load = df.sparkSession, epoch_run(df, epoch)
+        if C.is_committed(session, root, load):
+            return
+        with staging(session):
+            C.stage_rows(df.withColumn("load", F.lit(load)), root, "stream_landing", load, ["batch_id", "load"])
+            own = C.staged_rows(session, root, "stream_landing", load)
+            tables = {}
+            if own is not None:
+                ids = [r["batch_id"] for r in own.select("batch_id").distinct().collect()]  # of one micro-batch
+                whole = C.read(session, root, "stream_landing", load).where(F.col("batch_id").isin(ids))
+                tables = normalize_all(whole.select(*LANDING_SCHEMA.fieldNames()))
+                for name, table in tables.items():
+                    C.stage_rows(table, root, name, load)
+            C.commit(session, root, load, "stream_ingest",
+                     {"stream_landing": ["batch_id", "load"], **{name: ["batch_id"] for name in tables}})
 
     return (stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
                   .trigger(**(trigger or {"availableNow": True})).start())
@@ -68,31 +76,44 @@ def stream_ingest(spark: SparkSession, src: str, root: str, checkpoint: str, fmt
 
 def stream_clean(spark: SparkSession, src: str, dst: str, checkpoint: str,
                  schema: T.StructType, clean: Callable[[DataFrame], DataFrame],
-                 fmt: str = "parquet", trigger: dict | None = None, batch: str = "batch_id"):
+                 fmt: str = "parquet", trigger: dict | None = None, batch: str = "batch_id",
+                 landing: str | None = None):
     """Every new file of ``src`` is picked up once; the batches it
     belongs to are cleaned and written to ``dst``.
 
-    Each micro-batch cleans the complete source rows of the batches it
-    touched (a semi-join of the static source with the micro-batch's batch
-    ids), so when one batch's files arrive in two micro-batches the second
-    overwrite still holds the whole batch. ``trigger`` defaults to
+    Each micro-batch first adds its rows to ``landing`` (beside the checkpoint by default), by
+    (batch, load) with a load per epoch, and then cleans the complete rows of the batches it
+    touched from there: when one batch's files arrive in two micro-batches the second
+    overwrite still holds the whole batch, and neither the source nor other batches are
+    read again. ``trigger`` defaults to
     ``availableNow`` (process what is there, stop); pass
     ``{"processingTime": "15 minutes"}`` for the reference's cadence. A
     failed micro-batch is retried from the checkpoint; the partitioned
-    dynamic overwrite makes the retry idempotent.
+    dynamic overwrite makes the retry idempotent. Intermediate tables go when a micro-batch ends.
     """
     stream = spark.readStream.schema(schema).format(fmt).load(src)
+    landing = landing or f"{checkpoint.rstrip('/')}-landing"
 
     def run(df: DataFrame, epoch: int) -> None:
-        touched = df.select(batch).distinct()
-        whole = spark.read.schema(schema).format(fmt).load(src).join(touched, batch, "left_semi")
-        write_table(clean(whole), dst, batch)
+        session, load = df.sparkSession, epoch_run(df, epoch)
+        with staging(session):
+            write_table(df.withColumn("load", F.lit(load)), landing, [batch, "load"])
+            if not C.exists(session, landing):
+                return
+            rows = session.read.schema(T.StructType([*schema.fields, T.StructField("load", T.StringType())])).parquet(landing)
+            touched = rows.where(F.col("load") == load).select(batch).distinct()
+            write_table(clean(rows.join(touched, batch, "left_semi").select(*schema.fieldNames())), dst, batch)
 
     q = (stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
                .trigger(**(trigger or {"availableNow": True})).start())
     return q
 
 
+def epoch_run(df: DataFrame, epoch: int) -> str:
+    """Run id of a micro-batch: the same when the epoch is replayed."""
+    return f"s{df.sparkSession.sparkContext.getLocalProperty('sql.streaming.queryId')}-{epoch}"
+
+
 # ISO-8601 with microseconds, as Python's ``isoformat()`` writes it.
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
 TS_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -133,6 +154,36 @@ def event_stream(spark: SparkSession, src: str, types: Sequence[str] = INGEST_EV
     return event_filter(msgs, types)
 
 
+def clean_on_events(spark: SparkSession, events: str, raw_dir: str, root: str, checkpoint: str,
+                    types: Sequence[str] = INGEST_EVENTS, trigger: dict | None = None):
+    """The cleaning run as a consumer of events. Messages that land in ``events`` (text, one JSON
+    message a line) start ``run_cleaning`` over ``raw_dir`` whenever a micro-batch holds one of ``types``:
+    one run however many there are. The run's id is the epoch's, and its commit takes the
+    events along (table ``handled_events``), so a replayed epoch cleans nothing again; bad
+    messages are kept in ``bad_events`` with a reason."""
+    from ..plans.jobs import run_cleaning
+    stream = spark.readStream.text(events).withColumnRenamed("value", "message")
+
+    def run(df: DataFrame, epoch: int) -> None:
+        session, run_id = df.sparkSession, epoch_run(df, epoch)
+        if C.is_committed(session, root, run_id):
+            return
+        df.persist()
+        try:
+            wanted = event_filter(df, types).select("event", "timestamp")
+            also = {"handled_events": wanted.withColumn("run_id", F.lit(run_id)), "bad_events": event_quarantine(df)}
+            if not wanted.isEmpty():
+                run_cleaning(session, raw_dir, root, run_id, also)
+            elif not also["bad_events"].isEmpty():
+                C.stage_rows(also["bad_events"], root, "bad_events", run_id, [])
+                C.commit(session, root, run_id, "events", {"bad_events": []})
+        finally:
+            df.unpersist()
+
+    return (stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+                  .trigger(**(trigger or {"availableNow": True})).start())
+
+
 def status_latest(log: DataFrame, keys: Sequence[str] = ("service", "field")) -> DataFrame:
     """Last write wins per (service, field) by (ts, seq); a field that a
     later update does not mention keeps its older value. A grouped
@@ -142,6 +193,39 @@ def status_latest(log: DataFrame, keys: Sequence[str] = ("service", "field")) ->
     return log.groupBy(*keys).agg(F.max_by("value", order).alias("value"), F.max("ts").alias("ts"))
 
 
+STATUS_SCHEMA = "service string, field string, value string, ts timestamp, seq long"
+
+
+def stream_status(log: DataFrame, root: str, checkpoint: str, trigger: dict | None = None, table: str = "status_current"):
+    """T03 as a stream: a streaming status log (service, field, value, ts, seq) kept as the current
+    value of every field in ``table`` of the store ``root``. The state store holds one
+    (value, ts, seq) per field (``max_by`` in update mode); a micro-batch hands over the fields
+    that changed, and the partitions of their services are written anew with them and committed
+    under the epoch's id, so a replayed epoch changes nothing and a reader sees whole services."""
+    order = F.struct("ts", "seq")
+    latest = log.groupBy("service", "field").agg(F.max_by(F.struct("value", "ts", "seq"), order).alias("w"))
+
+    def run(df: DataFrame, epoch: int) -> None:
+        session, run_id = df.sparkSession, epoch_run(df, epoch)
+        if C.is_committed(session, root, run_id):
+            return
+        df.persist()
+        try:
+            changed = df.select("service", "field", "w.*")
+            before = C.read(session, root, table)
+            if before is not None:
+                touched = changed.select("service").distinct()
+                changed = changed.unionByName(before.join(touched, "service", "left_semi"))
+            now = changed.groupBy("service", "field").agg(F.max_by(F.struct("value", "ts", "seq"), order).alias("w"))
+            C.stage_rows(now.select("service", "field", "w.*"), root, table, run_id, ["service"])
+            C.commit(session, root, run_id, "stream_status", {table: ["service"]})
+        finally:
+            df.unpersist()
+
+    return (latest.writeStream.outputMode("update").foreachBatch(run).option("checkpointLocation", checkpoint)
+                  .trigger(**(trigger or {"availableNow": True})).start())
+
+
 def emit_events(summary: DataFrame, event: str = PROCESSED_EVENT) -> DataFrame:
     """The result event of a cleaning run as a row (append it to the
     event table, e.g. from ``foreachBatch``); ``message`` is its JSON text. The
@@ -217,3 +301,32 @@ def stream_dedup_exact(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """T05 without a time limit: drops every later copy of ``keys``, at the price of
     state that holds each key once."""
     return df.dropDuplicates(list(keys))
+
+
+def stream_dedup_store(df: DataFrame, keys: Sequence[str], ts: str, dst: str, seen: str, checkpoint: str,
+                       delay: str = "1 hour", buckets: int = 64, trigger: dict | None = None):
+    """T05, exact with bounded state: the first row of every ``keys`` goes to ``dst`` and no later copy
+    ever does. Copies within ``delay`` are dropped by the state store, whose keys leave
+    it with the watermark; older ones by an anti-join with the keys stored in ``seen``, which lie by
+    (hash bucket, epoch). Rows and keys of an epoch are replaced when it is replayed, and it does not
+    count its own keys as seen."""
+    recent = stream_dedup(df, keys, ts, delay)
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    schema = T.StructType([*[df.schema[k] for k in keys], T.StructField("kb", T.IntegerType()),
+                           T.StructField("epoch", T.LongType())])
+
+    def run(rows: DataFrame, epoch: int) -> None:
+        session = rows.sparkSession
+        rows = rows.dropDuplicates(list(keys)).withColumn("kb", bucket)
+        if C.exists(session, seen):
+            old = session.read.schema(schema).parquet(seen).where(F.col("epoch") < epoch)
+            on = [rows[k].eqNullSafe(old[k]) for k in keys] + [rows["kb"] == old["kb"]]
+            rows = rows.join(old, on, "left_anti")
+        # keys first: a run that dies between the two writes is replayed and writes both again
+        with staging(session):
+            rows = materialize(rows.withColumn("epoch", F.lit(epoch).cast("long")), "stream-first")
+            write_table(rows.select(*keys, "kb", "epoch"), seen, ["kb", "epoch"])
+            write_table(rows.drop("kb"), dst, "epoch")
+
+    return (recent.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+                  .trigger(**(trigger or {"availableNow": True})).start())
