@@ -89,25 +89,27 @@ def _run(block: dict[tuple[str, str], tuple[Counter, Counter]]) -> Iterator[pa.R
         yield from t.sort_by([("lang", "ascending"), ("term", "ascending"), ("source", "ascending")]).to_batches(1 << 16)
 
 
-def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents (lang, source, text) to sorted runs of postings."""
-    block: dict[tuple[str, str], tuple[Counter, Counter]] = {}
-    held = 0
-    for batch in batches:
-        texts = batch.column(2).cast(pa.binary()).to_pylist()
-        for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts):
-            n, docs = block.setdefault((lang, source), (Counter(), Counter()))
-            before, seen = len(n), set()
-            for piece in _pieces(text.lower()):
-                terms = _TERM.findall(piece)
-                n.update(terms)
-                seen.update(terms)
-            docs.update(seen)
-            held += len(n) - before
-            if held >= BLOCK:
-                yield from _run(block)
-                block, held = {}, 0
-    yield from _run(block)
+def _postings(most: int):
+    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Documents (lang, source, text) to sorted runs of about ``most`` postings."""
+        block: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+        held = 0
+        for batch in batches:
+            texts = batch.column(2).cast(pa.binary()).to_pylist()
+            for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts):
+                n, docs = block.setdefault((lang, source), (Counter(), Counter()))
+                before, seen = len(n), set()
+                for piece in _pieces(text.lower()):
+                    terms = _TERM.findall(piece)
+                    n.update(terms)
+                    seen.update(terms)
+                docs.update(seen)
+                held += len(n) - before
+                if held >= most:
+                    yield from _run(block)
+                    block, held = {}, 0
+        yield from _run(block)
+    return index
 
 
 def _starts(*columns: pa.Array) -> np.ndarray:
@@ -162,12 +164,12 @@ def _merge(min_docs: int):
 
 
 def frequencies(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
-                min_docs: int = MIN_DOCS) -> DataFrame:
+                min_docs: int = MIN_DOCS, block: int = BLOCK) -> DataFrame:
     """(lang, term, source, n, total, head): occurrences of every kept term in a group and in its
     language; ``head`` is 1 on one row of each term. Terms are the UTF-8 bytes."""
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     rows = docs.select(text(lang_col).alias("lang"), text(source_col).alias("source"), text(text_col).alias("text"))
-    runs = rows.mapInArrow(_postings, _RUN)
+    runs = rows.mapInArrow(_postings(block), _RUN)
     return runs.repartition("lang", "term").sortWithinPartitions("lang", "term", "source").mapInArrow(_merge(min_docs), _MERGED)
 
 
@@ -292,10 +294,10 @@ def term_values(freq: DataFrame, grouped: DataFrame) -> DataFrame:
 
 
 def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
-          min_docs: int = MIN_DOCS, top: int = TOP) -> DataFrame:
+          min_docs: int = MIN_DOCS, top: int = TOP, block: int = BLOCK) -> DataFrame:
     """(lang, source, part, item, value, rank): per group every other source of its language
     (``pair``) and its ``top`` most divergent terms (``term``), from the largest value on."""
-    freq = stage(frequencies(docs, text_col, lang_col, source_col, min_docs), "divergence-freq")
+    freq = stage(frequencies(docs, text_col, lang_col, source_col, min_docs, block), "divergence-freq")
     grouped = stage(groups(docs, freq, lang_col, source_col), "divergence-groups")
     rank = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), "item"))
     pairs = pair_values(freq, grouped).withColumn("rank", rank)

@@ -146,3 +146,63 @@ terms AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q)
 r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank_ FROM (FROM pairs UNION ALL FROM terms))
 SELECT lang, source, part, item, value, rank_::INT AS rank FROM r WHERE part = 'pair' OR rank_ <= 200
 """
+
+
+def _repair_sql() -> str:
+    """Cheapest edits from the last row backwards: per state the least (cost, edits) and its lines. A
+    conversation's states are 1 nothing yet, 2 after system, 3 after user and 4 after assistant."""
+    best = lambda *ways: f"list_sort([{', '.join(ways)}])[1]"
+    way = lambda cost, edit, line, then: ("{'c': (%s + %s.c)::BIGINT, 'e': '%s' || %s.e, 't': %s}" % (
+        cost, then, edit, then, f"list_prepend({line}, {then}.t)" if line else f"{then}.t"))
+    kept = "role || ':' || text"
+    steps = []  # without inserts: keep, give another role or delete
+    for s, (role, nxt) in enumerate((("user", 3), ("user", 3), ("assistant", 4), ("user", 3)), 1):
+        no = "{'c': 1000000000::BIGINT, 'e': '', 't': []::VARCHAR[]}"
+        keep = way("cut_", "K", kept, f"v{nxt}")
+        keeps = f"CASE WHEN must THEN {no} WHEN initial = '{role[0]}' THEN {keep} "
+        keeps += f"WHEN initial = 's' THEN {way('cut_', 'K', kept, 'v2')} ELSE {no} END" if s == 1 else f"ELSE {no} END"
+        rerole = f"CASE WHEN must THEN {no} ELSE {way('2 + cut_', 'R', f"'{role}:' || text", f'v{nxt}')} END"
+        steps.append(f"{best(keeps, rerole, way('3', 'D', None, f'v{s}'))} AS b{s}")
+    more = lambda s: [f"b{s}"] + ([way("2", "I", "'user:'", "b3"), way("4", "II", "'user:'", "x4")] if s != 3 else
+                                  [way("2", "I", "'assistant:'", "b4")])
+    # a second insert's line stands between: x4 is b4 with the assistant's line before its lines
+    values = ", ".join(f"{best(*more(s))} AS v{s}" for s in range(1, 5))
+    base = lambda c, e, lines: "{'c': %d::BIGINT, 'e': '%s', 't': %s::VARCHAR[]}" % (c, e, lines)
+    return f"""
+WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda n: list_reduce(list_concat([n::BIGINT], [1, 2, 3, 4, 5, 6, 7, 8]),
+         lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS tab),
+k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ascii(c)::BIGINT) AS bytes
+      FROM conversations),
+z AS (SELECT k.* EXCLUDE (bytes), xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], bytes),
+         lambda c, x: xor(tab[(xor(c, x) & 255) + 1], c >> 8))) % 20 AS kind FROM k, crc),
+dam AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+          CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+          unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy FROM z WHERE kind <> 0),
+r0 AS (SELECT *, regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS final,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS nth FROM dam),
+r AS (SELECT *, CASE WHEN final = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN final NOT IN ('.', '!', '?') THEN 'truncated' END AS fault,
+         role[1] AS initial, lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) AS previous FROM r0),
+f AS (SELECT *, coalesce(fault IN ('blank', 'duplicate'), false) AS must, coalesce(fault = 'truncated', false)::INT AS cut_ FROM r),
+c AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+        count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+        count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+        count(*) FILTER (WHERE i > 1 AND previous || initial NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n FROM f GROUP BY conv_id),
+dp AS (
+  SELECT conv_id, n AS i, {base(0, '', '[]')} AS v1, {base(4, 'II', "['user:', 'assistant:']")} AS v2,
+         {base(2, 'I', "['assistant:']")} AS v3, {base(0, '', '[]')} AS v4 FROM c
+  UNION ALL
+  SELECT conv_id, i, {values} FROM (
+    SELECT *, {{'c': b4.c, 'e': b4.e, 't': list_prepend('assistant:', b4.t)}} AS x4 FROM (
+      SELECT f.conv_id, f.i - 1 AS i, {', '.join(steps)}
+      FROM dp JOIN f ON f.conv_id IS NOT DISTINCT FROM dp.conv_id AND f.i = dp.i)))
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(v1.c, 0) AS cost,
+       coalesce(v1.e, '') AS audit, sha256(coalesce(array_to_string(v1.t, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN dp ON dp.conv_id IS NOT DISTINCT FROM o.conv_id AND dp.i = 0
+"""
+
+
+REPAIR = _repair_sql()

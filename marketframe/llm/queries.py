@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat, decontaminate, divergence, exact_dedup, html_extract, language, lm_score, mixing, oracles, packing,
-               quality, simhash, token_files)
+from . import (chat, conv_repair, decontaminate, divergence, exact_dedup, html_extract, language, lm_score, mixing, oracles,
+               packing, quality, simhash, token_files)
 from .common import id_crc32, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,6 +97,26 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
+def damaged_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations with rows dropped, emptied, cut, repeated or given to the user, by a
+    checksum of their id and turn."""
+    t = table(spark, sf_dir, "conversations")
+    shown = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(shown("conv_id"), F.lit(":"), shown("turn")).cast("binary")) % 20
+    t = t.select("conv_id", "turn", shown("role").alias("role"), shown("text").alias("text"), kind.alias("kind"))
+    text = F.when(F.col("kind") == 1, F.lit("")).when(F.col("kind") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    role = F.when(F.col("kind") == 4, F.lit("user")).otherwise(F.col("role"))
+    copies = F.explode(F.when(F.col("kind") == 3, F.sequence(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy")
+    return t.filter(F.col("kind") != 0).select("conv_id", "turn", role.alias("role"), text.alias("text"), copies).drop("copy")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest repair and repaired text of every damaged conversation."""
+    edited, solved = conv_repair.repair(damaged_conversations(spark, sf_dir))
+    convs = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("conv")).distinct()
+    return conv_repair.report(convs, edited, solved).withColumnRenamed("conv", "conv_id")
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Divergence of every source from the others of its language, and its most divergent terms."""
     return divergence.audit(table(spark, sf_dir, "documents"))
@@ -111,13 +131,14 @@ def op13_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_quality_rules, op2_best_fit_packing, op3_source_mixing, op4_chat_formatting, op5_lm_scoring, op6_token_files,
-    op7_simhash, op8_exact_dedup, op9_language_id, op10_html_extraction, op12_source_divergence,
-    op13_benchmark_decontamination)}
+    op7_simhash, op8_exact_dedup, op9_language_id, op10_html_extraction, op11_conversation_repair,
+    op12_source_divergence, op13_benchmark_decontamination)}
 
 ORACLE: dict[str, str] = {
     "op1_quality_rules": oracles.QUALITY,
     "op3_source_mixing": oracles.MIX,
     "op8_exact_dedup": oracles.EXACT,
+    "op11_conversation_repair": oracles.REPAIR,
     "op12_source_divergence": oracles.DIVERGENCE,
     "op13_benchmark_decontamination": oracles.LEAKS,
 }
