@@ -110,3 +110,9 @@ def date_window(df: DataFrame, col: str, days_back: int = 0, days_ahead: int = 0
                                                   else F.lit(as_of).cast("date"))
     d = F.col(col).cast("date")
     return df.where(d.between(F.date_sub(ref, days_back), F.date_add(ref, days_ahead)))
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once per row: bound as a lambda variable, where a
+    plain reference is evaluated again in every use."""
+    return F.transform(F.array(value), body)[0]

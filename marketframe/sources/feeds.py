@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.scalar import epoch_to_ts
+from ..functions.scalar import epoch_to_ts, let
 
 LANDING_SCHEMA = T.StructType([
     T.StructField("feed", T.StringType()),
@@ -297,10 +297,13 @@ def _lost(raw: Column, typed: Column, dt: T.DataType) -> Column:
 
 def bad_type(feed: Column, payload: Column) -> Column:
     """True where a payload holds a non-null value that its column type cannot take."""
+    def lost(dt: T.DataType) -> Column:  # each payload is parsed twice, however many fields are compared
+        both = F.struct(F.from_json(payload, _as_text(dt)).alias("raw"), F.from_json(payload, dt).alias("typed"))
+        return let(both, lambda x: _lost(x["raw"], x["typed"], dt))
+
     out = F.lit(False)
     for name, dt in PAYLOADS.items():
-        lost = _lost(F.from_json(payload, _as_text(dt)), F.from_json(payload, dt), dt)
-        out = F.when(feed == name, lost).otherwise(out)
+        out = F.when(feed == name, lost(dt)).otherwise(out)
     return F.coalesce(out, F.lit(False))
 
 
@@ -310,10 +313,8 @@ def quarantine(landing: DataFrame) -> DataFrame:
     value that does not fit its column (``bad_type``; such a value reads as
     null). The other rows (and feeds) continue unaffected."""
     pl = F.col("payload")
-    c = F.from_json(pl, CANDLE)
-    n_t = F.size(c["t"])
-    ragged = (F.col("feed") == "candle") & (c["s"] == "ok") & F.exists(
-        F.array(*[F.coalesce(F.size(c[k]), F.lit(-1)) for k in "ohlcv"]), lambda n: n < n_t)
+    ragged = F.when(F.col("feed") == "candle", let(F.from_json(pl, CANDLE), lambda c: (c["s"] == "ok") & F.exists(
+        F.array(*[F.coalesce(F.size(c[k]), F.lit(-1)) for k in "ohlcv"]), lambda n: n < F.size(c["t"]))))
     reason = (F.when(pl.isNull() | (F.trim(pl) == ""), F.lit("empty_body"))
                .when(F.try_parse_json(pl).isNull(), F.lit("malformed_json"))
                .when(ragged, F.lit("ragged_candle"))

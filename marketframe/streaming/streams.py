@@ -45,30 +45,24 @@ def stream_ingest(spark: SparkSession, src: str, root: str, checkpoint: str, fmt
     schema) become the 12 tables under ``root`` (partitioned by batch), each file
     exactly once.
 
-    An epoch is a run of the store (``sources.commits``): its rows, ``landing`` by
-    (batch_id, load) and the tables rebuilt from them, are committed together, and a replayed
-    epoch that had been committed does nothing. The batches that it touched are rebuilt from all
+    A micro-batch is first added to ``root/landing``, partitioned by (batch_id,
+    load), where a load is one epoch of this query: a replayed epoch replaces its
+    own partitions only. The batches that it touched are then rebuilt from all
     their loads, so a batch whose files arrive in several micro-batches keeps
-    every row, and untouched batches are neither read nor written."""
+    every row, and untouched batches are neither read nor written. ``root`` is a folder of the
+    stream's own, with plain tables; that of ``run_ingest`` has a commit log."""
     from ..sources.feeds import LANDING_SCHEMA, normalize_all
     stream = spark.readStream.schema(LANDING_SCHEMA).format(fmt).load(src)
 
     def run(df: DataFrame, epoch: int) -> None:
         session, load = df.sparkSession, epoch_run(df, epoch)
-        if C.is_committed(session, root, load):
-            return
         with staging(session):
-            C.stage_rows(df.withColumn("load", F.lit(load)), root, "stream_landing", load, ["batch_id", "load"])
-            own = C.staged_rows(session, root, "stream_landing", load)
-            tables = {}
-            if own is not None:
-                ids = [r["batch_id"] for r in own.select("batch_id").distinct().collect()]  # of one micro-batch
-                whole = C.read(session, root, "stream_landing", load).where(F.col("batch_id").isin(ids))
-                tables = normalize_all(whole.select(*LANDING_SCHEMA.fieldNames()))
-                for name, table in tables.items():
-                    C.stage_rows(table, root, name, load)
-            C.commit(session, root, load, "stream_ingest",
-                     {"stream_landing": ["batch_id", "load"], **{name: ["batch_id"] for name in tables}})
+            write_table(df.withColumn("load", F.lit(load)), f"{root}/landing", ["batch_id", "load"])
+            landing = session.read.parquet(f"{root}/landing")
+            touched = landing.where(F.col("load") == load).select("batch_id").distinct()
+            whole = landing.join(touched, "batch_id", "left_semi").select(*LANDING_SCHEMA.fieldNames())
+            for name, table in normalize_all(whole).items():
+                write_table(table, f"{root}/{name}")
 
     return (stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
                   .trigger(**(trigger or {"availableNow": True})).start())
@@ -208,19 +202,16 @@ def stream_status(log: DataFrame, root: str, checkpoint: str, trigger: dict | No
     def run(df: DataFrame, epoch: int) -> None:
         session, run_id = df.sparkSession, epoch_run(df, epoch)
         if C.is_committed(session, root, run_id):
+            df.write.format("noop").mode("overwrite").save()  # the state store takes part in every epoch
             return
-        df.persist()
-        try:
-            changed = df.select("service", "field", "w.*")
+        with staging(session):
+            changed = materialize(df.select("service", "field", "w.*"), "status-changed")
             before = C.read(session, root, table)
             if before is not None:
-                touched = changed.select("service").distinct()
-                changed = changed.unionByName(before.join(touched, "service", "left_semi"))
+                changed = changed.unionByName(before.join(changed.select("service").distinct(), "service", "left_semi"))
             now = changed.groupBy("service", "field").agg(F.max_by(F.struct("value", "ts", "seq"), order).alias("w"))
             C.stage_rows(now.select("service", "field", "w.*"), root, table, run_id, ["service"])
             C.commit(session, root, run_id, "stream_status", {table: ["service"]})
-        finally:
-            df.unpersist()
 
     return (latest.writeStream.outputMode("update").foreachBatch(run).option("checkpointLocation", checkpoint)
                   .trigger(**(trigger or {"availableNow": True})).start())
