@@ -195,7 +195,11 @@ def fill_indexed(blocked: DataFrame, cols: Sequence[str], keys: Sequence[str],
     if not cols:
         return blocked
     keys = list(keys)
-    w = block_window(keys)
+    # the data crosses once: the in-block windows and the join with the carries are both on the
+    # normalized keys, so one exchange and one sort serve them
+    norm = [f"_mf_n{j}{part}" for j in range(len(keys)) for part in ("", "z")]
+    normalized = [c for j, k in enumerate(keys) for c in _normalized(blocked, k, f"_mf_n{j}")]
+    w = Window.partitionBy(*norm, BLK).orderBy(IDX)
     before = w.rowsBetween(Window.unboundedPreceding, 0)
     after = w.rowsBetween(0, Window.unboundedFollowing)
     SB = "_mf_sb"
@@ -227,16 +231,26 @@ def fill_indexed(blocked: DataFrame, cols: Sequence[str], keys: Sequence[str],
           for c in cols])
     cs = [lvl1[k].eqNullSafe(sup[f"_mf_s{j}"]) for j, k in enumerate(keys)] + [lvl1[SB] == sup["_mf_sb2"]]
     carry = lvl1.join(sup, cs, "left").select(
-        *[lvl1[k].alias(f"_mf_k{j}") for j, k in enumerate(keys)], lvl1[BLK].alias("_mf_b2"),
+        *[c for j, k in enumerate(keys) for c in _normalized(lvl1, k, f"_mf_n{j}")], BLK,
         *[F.coalesce(F.col(f"_mf_ff1_{c}"), F.col(f"_mf_ff2_{c}")).alias(f"_mf_ff_{c}") for c in cols],
         *[F.coalesce(F.col(f"_mf_bf1_{c}"), F.col(f"_mf_bf2_{c}")).alias(f"_mf_bf_{c}") for c in cols])
-    cond = [blocked[k].eqNullSafe(carry[f"_mf_k{j}"]) for j, k in enumerate(keys)]
-    cond.append(blocked[BLK] == carry["_mf_b2"])
-    j = blocked.join(carry, cond, "left")
-    back = lambda c: [F.first(c, True).over(after), F.col(f"_mf_bf_{c}")] if backward else []
-    filled = {c: F.coalesce(F.col(c), F.last(c, True).over(before), F.col(f"_mf_ff_{c}"), *back(c)).alias(c)
-              for c in cols}
-    return j.select(*[filled.get(c, blocked[c]) for c in blocked.columns])
+    own = blocked.select("*", *normalized)
+    own = own.select("*", *[F.last(c, True).over(before).alias(f"_mf_fw_{c}") for c in cols],
+                     *([F.first(c, True).over(after).alias(f"_mf_bw_{c}") for c in cols] if backward else []))
+    j = own.join(carry, [*norm, BLK], "left")
+    back = lambda c: [F.col(f"_mf_bw_{c}"), F.col(f"_mf_bf_{c}")] if backward else []
+    filled = {c: F.coalesce(F.col(f"_mf_fw_{c}"), F.col(f"_mf_ff_{c}"), *back(c)).alias(c) for c in cols}
+    return j.select(*[filled.get(c, F.col(c)) for c in blocked.columns])
+
+
+def _normalized(df: DataFrame, key: str, name: str) -> list[Column]:
+    """A key as two columns without nulls (value or a stand-in, and whether it is null), whose plain
+    equality is the key's null-safe one."""
+    kind = df.schema[key].dataType
+    stand_in = (F.lit("") if isinstance(kind, T.StringType) else F.lit(0).cast(kind) if isinstance(kind, T.NumericType)
+                else F.lit("1970-01-01").cast(kind) if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)) else None)
+    value = F.coalesce(df[key], stand_in) if stand_in is not None else F.coalesce(df[key].cast("string"), F.lit(""))
+    return [value.alias(name), df[key].isNull().alias(f"{name}z")]
 
 
 # ---------------------------------------------------------------- EWM

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import incremental as INC
 from ..operators import indicators as I
+from ..operators import sketches as SK
 from ..operators.carry import carry_prices
 from ..session import materialize
 from ..sources import bindings as B
@@ -16,7 +17,7 @@ from ..sources import storage as S
 from ..streaming import streams as ST
 from . import sqlparts as SP
 from .catalog import query, r4, rounded, scratch, sql_r4
-from .sqlparts import B2, B6, B7, cte, r4 as sr4, with_
+from .sqlparts import B2, B6, B7, B8, cte, r4 as sr4, with_
 
 
 # ====================================================================== committed runs
@@ -111,6 +112,46 @@ def q_carry_prices(spark, sf):
     return rounded(early.unionByName(late))
 
 
+# ====================================================================== sketches and data skipping
+
+@query("median_sketch", with_(cte("b7", B7), body="""
+SELECT batch_id, c AS column_name, count(v) AS n, true AS within FROM (
+  SELECT batch_id, unnest(['previous_close', 'change']) AS c, unnest([previous_close, change]) AS v FROM b7)
+GROUP BY 1, 2 HAVING count(v) > 0"""))
+def q_median_sketch(spark, sf):
+    """Medians of monthly batches from sketches that three loads of the line items' quotes left and a merge joined; the
+    rank of each, counted over all values, is within the sketches' bound."""
+    q = B.quotes_lines(spark, sf)
+    cols = ["previous_close", "change"]
+    load = F.pmod(F.xxhash64(*q.columns), F.lit(3))
+    stored = None
+    for k in range(3):
+        s = SK.value_sketches(q.where(load == k), cols)
+        stored = s if stored is None else stored.unionByName(s)
+    merged = SK.merge_sketches(materialize(stored, "sketches"))
+    med = merged.select("batch_id", F.col("_mf_col").alias("column_name"), "n",
+                        F.kll_sketch_get_quantile_double("sketch", F.lit(0.5)).alias("median"))
+    kv = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in cols])).alias("kv")
+    long = q.select(F.col("batch_id").alias("b"), kv).select("b", "kv.c", "kv.v").where("v IS NOT NULL")
+    ranks = long.join(med, (F.col("b") == F.col("batch_id")) & (F.col("c") == F.col("column_name"))).groupBy(
+        "batch_id", "column_name").agg(F.max("n").alias("n"), F.count(F.when(F.col("v") < F.col("median"), 1)).alias("below"),
+                                       F.count(F.when(F.col("v") <= F.col("median"), 1)).alias("upto"))
+    slack = 2 * SK.rank_error() * F.col("n") + 1     # three merged sketches, and the bound holds with 99 %
+    return ranks.select("batch_id", "column_name", "n",
+                        ((F.col("below") - slack <= F.col("n") / 2) & (F.col("upto") + slack >= F.col("n") / 2)).alias("within"))
+
+
+@query("clustered_symbol", with_(cte("b8", B8), body=f"""SELECT symbol, date, batch_id, {sr4('close')} AS close FROM b8
+    WHERE symbol IN ('Brand#11', 'Brand#34')"""))
+def q_clustered_symbol(spark, sf):
+    """Two symbols out of brand bars in yearly batches, stored by symbol with Bloom filters: the filter skips
+    row groups by their statistics."""
+    path = scratch(spark, "clustered")
+    S.write_clustered(B.bars_brand_gaps(spark, sf), path)
+    t = spark.read.parquet(path).where(F.col("symbol").isin("Brand#11", "Brand#34"))
+    return rounded(t.select("symbol", "date", F.col("batch_id").cast("string").alias("batch_id"), "close"))
+
+
 # ====================================================================== rescued fields
 
 @query("feed_rescued", """

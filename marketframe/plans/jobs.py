@@ -156,7 +156,7 @@ def _clean(spark: SparkSession, raw_dir: str, root: str, run: str, also: dict[st
             raw = raw.withColumn("timestamp", F.try_to_timestamp("timestamp"))
         else:
             raw = raw.withColumn("date", F.to_date(F.try_to_timestamp("date", F.lit("yyyy-MM-dd"))))
-        C.stage_rows(clean(raw), root, table, run)
+        C.stage_rows(clean(raw), root, table, run, cluster=["symbol", "timestamp" if kind == "quotes" else "date"])
         processed = C.staged_rows(spark, root, table, run)
         if processed is not None:
             reports.append(R.cleaning_report(raw, processed, kind))

@@ -28,6 +28,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .storage import clustered, skipping_options
+
 RUN = "mf_run"
 LOG = "commits"
 LOG_SCHEMA = ("run_id string, job string, seq long, committed_at timestamp, table string, by array<string>, "
@@ -66,10 +68,14 @@ def run_path(root: str, table: str, run_id: str) -> str:
 
 
 def stage_rows(df: DataFrame, root: str, table: str, run_id: str, by: Sequence[str] = ("batch_id",),
-               fmt: str = "parquet") -> None:
+               fmt: str = "parquet", cluster: Sequence[str] = ()) -> None:
     """Writes a run's rows of a table where readers do not look before ``commit``. A repeated
-    call replaces them."""
+    call replaces them. With ``cluster`` (a series and its order) they are laid out for data
+    skipping, see ``storage.clustered``."""
+    if cluster:
+        df = clustered(df, by, cluster)
     w = df.write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "static")
+    w = w.options(**skipping_options(cluster[0])) if cluster else w
     (w.partitionBy(*by) if by else w).save(run_path(root, table, run_id))
 
 
