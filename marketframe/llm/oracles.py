@@ -18,8 +18,8 @@ FROM d
 
 
 def _quality_sql(min_group: int = Q.MIN_GROUP) -> str:
-    ratios = ", ".join("{'ratio': '%s', 'x': %s::DOUBLE / greatest(%s, 1)::DOUBLE, 'floor_': %s::DOUBLE, 'low': %s}"
-                       % (r, n, d, f, str(low).lower()) for r, (n, d, f, low) in Q.RATIOS.items())
+    ratios = ", ".join("{'ratio': '%s', 'x': %s::DOUBLE / greatest(%s, 1)::DOUBLE, 'floor_': %s::DOUBLE, 'low': %s::DOUBLE}"
+                       % (r, n, d, f, "NULL" if low is None else low) for r, (n, d, f, low) in Q.RATIOS.items())
     return f"""
 WITH w AS (
   SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS text,
@@ -38,31 +38,32 @@ m AS (
          length(regexp_replace(text, '{_SPACE}', '', 'g'))::BIGINT AS word_chars,
          (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
          len(lines)::BIGINT AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
-         coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+         coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+         len(list_filter(range(2, len(words) + 1), lambda i: words[i] = words[i - 1]))::BIGINT AS n_stutter
   FROM w LEFT JOIN rep USING (rid)),
 b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m),
 v AS (SELECT rid, lang, source, base_failed, r.ratio, r.x, r.floor_, r.low FROM (
   SELECT rid, lang, source, base_failed,
          unnest([{ratios}]) AS r FROM b)),
-k AS (SELECT lang, source, ratio, floor_, CASE WHEN x > 0 THEN ceil(ln(x) / ln({Q.GAMMA}::DOUBLE))::INT END AS bucket
+k AS (SELECT lang, source, ratio, floor_, low, CASE WHEN x > 0 THEN ceil(ln(x) / ln({Q.GAMMA}::DOUBLE))::INT END AS bucket
       FROM v WHERE NOT base_failed),
-lv AS (SELECT 1 AS level, lang, source, ratio, floor_, bucket FROM k
-       UNION ALL SELECT 2, lang, NULL, ratio, floor_, bucket FROM k
-       UNION ALL SELECT 3, NULL, NULL, ratio, floor_, bucket FROM k),
-s AS (SELECT level, lang, source, ratio, floor_, bucket, count(*) AS n FROM lv GROUP BY ALL),
+lv AS (SELECT 1 AS level, lang, source, ratio, floor_, low AS low_, bucket FROM k
+       UNION ALL SELECT 2, lang, NULL, ratio, floor_, low, bucket FROM k
+       UNION ALL SELECT 3, NULL, NULL, ratio, floor_, low, bucket FROM k),
+s AS (SELECT level, lang, source, ratio, floor_, low_, bucket, count(*) AS n FROM lv GROUP BY ALL),
 c AS (SELECT *, sum(n) OVER (PARTITION BY level, lang, source, ratio ORDER BY bucket NULLS FIRST) AS cum,
              sum(n) OVER (PARTITION BY level, lang, source, ratio) AS size FROM s),
-q AS (SELECT level, lang, source, ratio, floor_, max(size) AS size,
+q AS (SELECT level, lang, source, ratio, floor_, low_, max(size) AS size,
              arg_min(coalesce(2.0 * pow({Q.GAMMA}::DOUBLE, bucket::DOUBLE) / {Q.GAMMA + 1.0}::DOUBLE, 0.0), cum) FILTER (WHERE cum * 100 >= size * 50) AS m,
              arg_min(coalesce(2.0 * pow({Q.GAMMA}::DOUBLE, bucket::DOUBLE) / {Q.GAMMA + 1.0}::DOUBLE, 0.0), cum) FILTER (WHERE cum * 100 >= size * 5) AS l
-      FROM c GROUP BY level, lang, source, ratio, floor_),
-f AS (SELECT level, lang, source, ratio, size, m - {Q.K} * greatest(m - l, floor_) AS low, m + {Q.K} * greatest(m - l, floor_) AS high FROM q),
+      FROM c GROUP BY level, lang, source, ratio, floor_, low_),
+f AS (SELECT level, lang, source, ratio, size, m - {Q.K} * greatest(m - l, low_) AS low, m + {Q.K} * greatest(m - l, floor_) AS high FROM q),
 t AS (SELECT a.lang, a.source, a.ratio,
              CASE WHEN a.size >= {min_group} THEN a.low WHEN l.size >= {min_group} THEN l.low ELSE g.low END AS low,
              CASE WHEN a.size >= {min_group} THEN a.high WHEN l.size >= {min_group} THEN l.high ELSE g.high END AS high
       FROM f a JOIN f l ON l.level = 2 AND l.ratio = a.ratio AND l.lang IS NOT DISTINCT FROM a.lang
       JOIN f g ON g.level = 3 AND g.ratio = a.ratio WHERE a.level = 1),
-out AS (SELECT v.rid, bool_or(v.x > t.high OR (v.low AND v.x < t.low)) AS bad
+out AS (SELECT v.rid, bool_or(v.x > t.high OR (v.low IS NOT NULL AND v.x < t.low)) AS bad
         FROM v JOIN t ON t.ratio = v.ratio AND t.lang IS NOT DISTINCT FROM v.lang AND t.source IS NOT DISTINCT FROM v.source
         GROUP BY v.rid)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

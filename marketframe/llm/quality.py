@@ -8,9 +8,10 @@ source with fewer than ``MIN_GROUP`` documents are merged into the sketch of
 its language, and those of a small language into the sketch of the table.
 
 A threshold is a fence around the median of the sketch: ``median + K * max(median -
-q05, floor)`` and, for two-sided ratios, the same below. The lower half gives the
+q05, floor)`` and, for two-sided ratios, the same below with a floor of its own. The lower half gives the
 spread, so up to half of a source may be junk; the floor keeps a uniform
-source from rejecting small natural variation. The thresholds are then joined
+source from rejecting small natural variation. The ratios: symbols a word, words equal to the one
+before them, repeated lines, and word length (repeated windows are the base rule's). The thresholds are then joined
 to the documents, which are filtered by them.
 
 Sketches are deterministic: the same documents give the same thresholds
@@ -36,12 +37,12 @@ K = 4.0
 WINDOW = 5
 SYMBOLS = "#*$%&|<>"
 
-#: ratio -> (numerator, denominator, spread floor, also a lower fence)
-RATIOS: dict[str, tuple[str, str, float, bool]] = {
-    "symbol_ratio": ("n_symbols", "n_words", 0.05, False),
-    "repeat_ratio": ("n_repeat_words", "n_words", 0.05, False),
-    "dup_line_ratio": ("n_dup_lines", "n_lines", 0.125, False),
-    "word_length": ("word_chars", "n_words", 1.25, True),
+#: ratio -> (numerator, denominator, spread floor above the median, and below it (None: no lower fence))
+RATIOS: dict[str, tuple[str, str, float, float | None]] = {
+    "symbol_ratio": ("n_symbols", "n_words", 0.05, None),
+    "stutter_ratio": ("n_stutter", "n_words", 0.05, None),
+    "dup_line_ratio": ("n_dup_lines", "n_lines", 0.1, None),
+    "word_length": ("word_chars", "n_words", 1.25, 0.75),
 }
 
 
@@ -50,14 +51,17 @@ def _clean(text: Column) -> Column:
     return F.translate(text, SPACE_CHARS, "")
 
 
-def _windows(words: Column) -> Column:
-    """64-bit hashes of all runs of ``WINDOW`` words."""
-    hashed = F.transform(words, lambda w: F.xxhash64(w))
-    return let(hashed, lambda h: F.when(
-        F.size(h) >= WINDOW,
-        F.transform(F.sequence(F.lit(0), F.size(h) - F.lit(WINDOW)),
-                    lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(WINDOW)])))
-        .otherwise(F.array().cast("array<bigint>")))
+def _windows(h: Column) -> Column:
+    """64-bit hashes of all runs of ``WINDOW`` words, from the words' hashes."""
+    return F.when(F.size(h) >= WINDOW,
+                  F.transform(F.sequence(F.lit(0), F.size(h) - F.lit(WINDOW)),
+                              lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(WINDOW)]))
+                  ).otherwise(F.array().cast("array<bigint>"))
+
+
+def _stutters(h: Column) -> Column:
+    """Words equal to the word before them, from the words' hashes."""
+    return F.size(F.filter(h, lambda x, i: (i > 0) & (F.get(h, i - 1) == x)))
 
 
 def _covered(wins: Column) -> Column:
@@ -75,19 +79,19 @@ def _covered(wins: Column) -> Column:
 
 
 def text_stats(text_col: str) -> Column:
-    """Struct of n_words, word_chars, n_symbols, n_lines, n_dup_lines and
-    n_repeat_words (all long) of the whole text."""
+    """Struct of n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words
+    and n_stutter (all long) of the whole text."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     words = F.array_remove(F.split(text, SPACE_CLASS), "")
     lines = F.filter(F.split(text, "\n"), lambda s: _clean(s) != "")
     long = lambda c, n: c.cast("bigint").alias(n)
 
     def of(ws):
-        return let(lines, lambda ls: F.struct(
+        return let(F.transform(ws, lambda w: F.xxhash64(w)), lambda h: let(lines, lambda ls: F.struct(
             long(F.size(ws), "n_words"), long(F.length(_clean(text)), "word_chars"),
             long(F.length(text) - F.length(F.translate(text, SYMBOLS, "")), "n_symbols"),
             long(F.size(ls), "n_lines"), long(F.size(ls) - F.size(F.array_distinct(ls)), "n_dup_lines"),
-            long(let(_windows(ws), _covered), "n_repeat_words")))
+            long(let(_windows(h), _covered), "n_repeat_words"), long(_stutters(h), "n_stutter"))))
 
     return let(words, of)
 
@@ -126,9 +130,10 @@ def _fences(sk: DataFrame, keys: list[str]) -> DataFrame:
     q = t.groupBy(*by).agg(F.max("size").alias("size"), at(50).alias("m"), at(5).alias("l"))
     value = lambda c: F.when(F.col(f"{c}.bucket").isNull(), F.lit(0.0)).otherwise(
         F.lit(2.0) * F.pow(F.lit(GAMMA), F.col(f"{c}.bucket").cast("double")) / F.lit(GAMMA + 1.0))
-    floors = F.create_map(*[x for r, (_, _, f, _) in RATIOS.items() for x in (F.lit(r), F.lit(f))])
-    spread = F.lit(K) * F.greatest(value("m") - value("l"), F.element_at(floors, F.col("ratio")))
-    fence = F.struct((value("m") - spread).alias("low"), (value("m") + spread).alias("high"))
+    floor = lambda side: F.element_at(F.create_map(*[
+        x for r, v in RATIOS.items() for x in (F.lit(r), F.lit(v[side]).cast("double"))]), F.col("ratio"))
+    spread = lambda side: F.lit(K) * F.greatest(value("m") - value("l"), floor(side))
+    fence = F.struct((value("m") - spread(3)).alias("low"), (value("m") + spread(2)).alias("high"))
     return (q.select(*keys, "size", "ratio", fence.alias("fence"))
              .groupBy(*keys).agg(F.max("size").alias("size"),
                                  F.map_from_entries(F.collect_list(F.struct("ratio", "fence"))).alias("fences")))
@@ -163,7 +168,7 @@ def _inside(fences: str = "fences") -> Column:
     for r, (_, _, _, low) in RATIOS.items():
         f = F.element_at(F.col(fences), r)
         ok = ok & (_ratio(r) <= f["high"])
-        if low:
+        if low is not None:
             ok = ok & (_ratio(r) >= f["low"])
     return ok
 

@@ -48,7 +48,7 @@ def brute_stats(text):
         at.setdefault(tuple(words[i:i + 5]), []).append(i)
     marked = {j for v in at.values() if len(v) > 1 for i in v for j in range(i, i + 5)}
     return (len(words), sum(map(len, words)), sum(text.count(c) for c in "#*$%&|<>"), len(lines),
-            len(lines) - len(set(lines)), len(marked))
+            len(lines) - len(set(lines)), len(marked), sum(a == b for a, b in zip(words, words[1:])))
 
 
 def test_stats_against_brute_force(spark):
@@ -91,3 +91,23 @@ def test_sketch_merges_exactly(spark):
     from pyspark.sql import functions as F
     whole = quality.sketches(parts.withColumn("source", F.lit("x"))).drop("source").orderBy("ratio", "bucket").collect()
     assert [tuple(r) for r in merged] == [tuple(r) for r in whole]
+
+
+def test_each_fence_rejects_its_junk_and_clean_documents_stay(spark):
+    clean = [(r.doc_id, r.text, r.lang, r.source) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").join(
+        spark.read.parquet("/root/testdata/sf0.01/labels.parquet").where("quality = 1 AND toxic = 0"), "doc_id").collect()]
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    junk = {
+        -1: " ".join(f"{word(5)} | #" for _ in range(30)),                       # symbols
+        -2: " ".join(f"{w} {w}" for w in (word(5) for _ in range(30))),          # words that stutter
+        -3: "\n".join(x for _ in range(8) for x in [f"{word(3)} {word(6)}"] * 2) + "\n" + " ".join(word(5) for _ in range(90)),
+        -4: " ".join(word(40) for _ in range(12)),                               # words too long
+        -5: " ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(40)),  # words too short
+    }
+    rows = clean + [(i, t, "en", "src1") for i, t in junk.items()]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.row.doc_id: (r.base_failed, r.kept) for r in quality.quality(df).collect()}
+    for i in junk:
+        assert got[i] == (False, False), (i, got[i])
+    assert all(kept or failed for i, (failed, kept) in got.items() if i >= 0)
