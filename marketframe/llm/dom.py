@@ -12,9 +12,11 @@ import xxhash
 # Fixed values of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea xmp".split())
-INLINE = frozenset("""a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s
-samp small span strike strong sub sup time tt u var wbr br input button select textarea output picture source svg math
-object embed iframe audio video canvas map area script noscript template slot""".split())
+#: Elements that begin a block of text; all others, unknown ones too, are inline.
+BLOCK = frozenset("""address article aside base blockquote body caption center col colgroup dd details dialog dir div dl dt
+fieldset figcaption figure footer form frame frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li link listing
+main menu meta nav noframes ol optgroup option p plaintext pre search section style summary table tbody td tfoot th thead
+title tr ul xmp""".split())
 #: A start tag here ends an open element of the value (end tags left out in the source).
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
         "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"},
@@ -36,8 +38,8 @@ PAGE = frozenset(["", "html", "body"])
 MAIN_TAGS = frozenset("article main".split())
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z) | <!\[CDATA\[.*?(?:\]\]>|\Z) | <[!?][^>]*(?:>|\Z)
-    | <(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)(?:>|\Z) | <(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""",
-                  re.S | re.X)
+    | <(/?)([a-zA-Z][^\s/>]*)((?:[^>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+|["'])*+)(?:>|\Z)""",
+                  re.S | re.X)  # a quote opens a quoted value only behind an equals sign
 _ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _DIGITS = re.compile(r"\d+")
 _NAMES = re.compile(r"[a-z]+")
@@ -101,10 +103,11 @@ def _is_named(tag: str, attrs: dict[str, str], main: bool) -> bool:
     return False
 
 
-def _drop_named(elements: list[Element]) -> None:
+def _drop_named(elements: list[Element], blocks: list[tuple[Element, str]]) -> None:
     """Elements named by a word become noise with all in them, but for those around the
     page's article: of the outermost articles (main elements where there is none), those
-    in the fewest named elements keep them."""
+    in the fewest named elements keep them; and where a page has neither, elements that hold
+    more than half of its text."""
     def around(e: Element) -> list[Element]:
         out = []
         while e.parent is not None:
@@ -122,14 +125,21 @@ def _drop_named(elements: list[Element]) -> None:
                 fewest = min(map(len, held))
                 spared = {x for h in held if len(h) == fewest for x in h}
                 break
+        else:
+            size: dict[int, int] = {}
+            for e, text in blocks:
+                for a in [e, *around(e)]:
+                    size[id(a)] = size.get(id(a), 0) + len(text)
+            whole = sum(len(text) for _, text in blocks)
+            spared = {id(e) for e in elements if e.named and 2 * size.get(id(e), 0) > whole}
     for e in elements[1:]:  # parents come first
         e.noise = e.noise or e.parent.noise or (e.named and id(e) not in spared)
 
 
 def walk(html: str) -> tuple[list[tuple[Element, str]], list[Element]]:
     """The text blocks of a page in order, each with the element it lies in, and
-    all elements. Text in an element that is noise by its mark-up is left out. Character references are decoded, white space in a block is one
-    space, comments, scripts, styles and mark-up are gone. Text cut off inside a
+    all elements. Text in an element that is noise by its mark-up is left out. Character
+    references are decoded, white space in a block is one space, comments, scripts, styles and mark-up are gone. Text cut off inside a
     tag or comment ends there."""
     root = Element("", 0, None, False, False)
     stack, blocks, elements, words, owner = [root], [], [root], [], None
@@ -147,7 +157,7 @@ def walk(html: str) -> tuple[list[tuple[Element, str]], list[Element]]:
             return
         if owner is None and text.strip():
             at = len(stack) - 1
-            while at and stack[at].tag in INLINE:
+            while at and stack[at].tag not in BLOCK:
                 at -= 1
             owner = stack[at]
         words.append(unescape(text))
@@ -161,30 +171,30 @@ def walk(html: str) -> tuple[list[tuple[Element, str]], list[Element]]:
         if m.start() > pos:
             add(html[pos:m.start()])
         pos = m.end()
-        name = (m[2] or m[5] or "").lower()
+        name = (m[2] or "").lower()
         if not name:
             continue
-        if m[1] or m[4]:  # end tag
-            inline = name in INLINE
+        if m[1]:  # end tag
+            inline = name not in BLOCK
             for at in range(len(stack) - 1, 0, -1):
                 if stack[at].tag == name:
                     if not inline:
                         close()
                     del stack[at:]
                     break
-                if inline and stack[at].tag not in INLINE:
+                if inline and stack[at].tag in BLOCK:
                     break
             else:
                 if not inline:
                     close()
             continue
-        if name not in INLINE:
+        if name in BLOCK:
             close()
-            for at in range(len(stack) - 1, 0, -1):  # a block ends an open paragraph
+            for at in range(len(stack) - 1, 0, -1):  # a block ends an open paragraph, not one around a graphic or form part
                 if stack[at].tag == "p":
                     del stack[at:]
                     break
-                if stack[at].tag not in INLINE:
+                if stack[at].tag in BLOCK or stack[at].noise:
                     break
             if name in ENDS:
                 for at in range(len(stack) - 1, 0, -1):
@@ -197,14 +207,14 @@ def walk(html: str) -> tuple[list[tuple[Element, str]], list[Element]]:
             words.append(" ")
             continue
         up = stack[-1]
-        attrs = _attributes(m[3] or m[6] or "")
+        attrs = _attributes(m[3] or "")
         style = " ".join([name, *sorted(_DIGITS.sub("", f"{attrs.get('class', '')} {attrs.get('id', '')}").split())])
         up.children.append(style)
         if name in VOID:
             continue
         noise = up.noise or _is_noise(name, attrs, up.main)
         named = not noise and _is_named(name, attrs, up.main)
-        if named and name in INLINE:  # holds no article
+        if named and name not in BLOCK:  # holds no article
             noise = True
         e = Element(name, digest(up.path, style), up, noise, up.main or (name in MAIN_TAGS and not noise), named)
         elements.append(e)
@@ -214,5 +224,5 @@ def walk(html: str) -> tuple[list[tuple[Element, str]], list[Element]]:
             continue
         stack.append(e)
     close()
-    _drop_named(elements)
+    _drop_named(elements, blocks)
     return [(e, text) for e, text in blocks if not e.noise], elements

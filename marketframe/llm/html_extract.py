@@ -11,8 +11,9 @@ pages in a node:
 * composite importance: (1 - G) * presentation + G * content, with G = ``GAMMA`` to
   the number of child sequences; a node without children has only content.
 
-A branch whose composite importance is below ``THRESHOLD`` on at least
-``MIN_PAGES`` pages is boilerplate and removed from every page. Mark-up that names
+A branch whose composite importance is below ``THRESHOLD`` is boilerplate and removed from
+every page. On few pages little is known, so the threshold narrows by ``1 - 2 / m``: nothing is
+removed on two pages (a page and its copy look alike), on three only what all of them share. Mark-up that names
 its own role decides first: what is marked as menu, header, footer, sidebar,
 notice, advert, form, script or comments goes whatever its entropy (such
 texts may differ on every page), but not what is around the page's article. In an article or
@@ -28,8 +29,8 @@ pages, which a salt deals to ``SALT`` tasks where the join shuffles.
 
 Defined results: null and empty html give an empty text; a url without a host
 puts the page in the group of hostless pages; repeated rows count as pages and
-give a row each; ties do not arise (a block is in or out); an empty table gives no
-rows; other columns are ignored.
+give a row each; ties do not arise (a block is in or out); whole pages of any length are read, a
+long one in a batch of its own; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -46,7 +47,6 @@ from .tokens import text_batches
 
 GAMMA = 0.9
 THRESHOLD = 0.25
-MIN_PAGES = 10
 CONTENT, CHILDREN, WHOLE = 0, 1, 2
 SALT = 16
 
@@ -119,9 +119,9 @@ def style_tree(src: DataFrame) -> DataFrame:
                     F.when(F.col("wholes").isNull(), F.lit(1.0)).otherwise(one).alias("whole"))
 
 
-def boilerplate(tree: DataFrame, threshold: float = THRESHOLD, min_pages: int = MIN_PAGES) -> DataFrame:
+def boilerplate(tree: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(host, paths): the removed branches of each host."""
-    low = tree.filter((F.col("pages") >= min_pages) & (F.col("importance") < threshold * F.col("whole")))
+    low = tree.filter(F.col("importance") < threshold * F.col("whole") * (F.lit(1.0) - F.lit(2.0) / F.col("pages")))
     return low.groupBy(F.col("host").alias("b_host")).agg(F.collect_list("path").alias("paths"))
 
 
@@ -133,10 +133,10 @@ def main_text(html: str, removed: frozenset[int]) -> str:
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-            threshold: float = THRESHOLD, min_pages: int = MIN_PAGES) -> DataFrame:
+            threshold: float = THRESHOLD) -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
     src = _source(pages, id_col, url_col, html_col)
-    gone = stage(boilerplate(style_tree(src), threshold, min_pages), "boilerplate")
+    gone = stage(boilerplate(style_tree(src), threshold), "boilerplate")
     # staged, so a small table is broadcast by its size; otherwise the salt spreads the pages of a hot host
     gone = gone.withColumn("b_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
     salted = src.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALT)))

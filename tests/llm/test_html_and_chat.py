@@ -164,3 +164,50 @@ def test_parse_edges(spark):
     out = chat.parse(df, model).collect()
     assert len(out) == 5 and {r.conv_id for r in out} == {None, 3, 4}
     assert chat.turns(chat.parse(df.limit(0), model)).count() == 0
+
+
+def test_odd_mark_up_keeps_the_text():
+    from marketframe.llm.html_extract import main_text
+    text = lambda html: main_text(html, frozenset())
+    assert text("<p class=it's>Hello world</p><p>That's all folks</p><p>End</p>") == "Hello world\n\nThat's all folks\n\nEnd"
+    assert text("<p>H<nobr>2</nobr>O is <my-term>water</my-term> here</p>") == "H2O is water here"
+    assert text("<p>See <svg><g><text>ICON</text></g></svg> here</p>") == "See here"
+    assert text("<p>See <svg><foreignObject><p>ICON</p></foreignObject></svg> here</p>").startswith("See")
+    assert text('<p title="a > b" data-x=\'1 < 2\'>one</p><p title=a"b>two</p>') == "one\n\ntwo"
+    assert text('<p title="never closed>one</p><p>two</p>').endswith("two")
+    assert text("<div class='layout-sidebar-right'><p>The whole story of the page is here.</p></div><p>by X</p>") == \
+        "The whole story of the page is here.\n\nby X"
+    assert text("<p>A story that is long enough to be one.</p><div class='sidebar'><p>Links</p></div>") == \
+        "A story that is long enough to be one."
+
+
+def test_composite_importance_against_brute_force(spark):
+    import math
+    from collections import Counter, defaultdict
+
+    from marketframe.llm import html_extract as H
+    pages = [(i, f"http://h{i % 2}.org/{i}", f"<body><div class='a'><p>text {i % 3}</p><p>own {i}</p></div>"
+              f"<div class='b'><p>same</p>{'<b>x</b>' if i % 4 else ''}</div><article><p>art {i % 5}</p></article></body>") for i in range(18)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {(r.host, r.path): (r.pages, r.importance, r.whole) for r in
+           H.style_tree(H._source(df, "page_id", "url", "html")).collect()}
+    seen = defaultdict(Counter)
+    for i, _, html in pages:
+        for path, kind, feature in H.features(html):
+            seen[f"h{i % 2}.org", path, kind][feature] += 1
+    want = {}
+    for host, path in {k[:2] for k in seen}:
+        texts, kids, wholes = (seen[host, path, k] for k in (H.CONTENT, H.CHILDREN, H.WHOLE))
+        m = sum(kids.values()) or sum(texts.values())
+        base = math.log(max(m, 2))
+
+        def content(c, base):
+            return max(0.0, 1 - sum(n * math.log(n) for n in c.values()) / sum(c.values()) / base) if c else 0.0
+        entropy = -sum(n / m * math.log(n / m) for n in kids.values()) / base if m > 1 else 1.0
+        g = H.GAMMA ** len(kids)
+        imp = (1 - g) * entropy + g * content(texts, base) if kids else content(texts, base)
+        whole = content(wholes, math.log(max(sum(wholes.values()), 2))) if wholes else 1.0
+        want[host, path] = (m, imp, whole)
+    assert got.keys() == want.keys()
+    for k, (m, imp, whole) in want.items():
+        assert got[k][0] == m and abs(got[k][1] - imp) < 1e-9 and abs(got[k][2] - whole) < 1e-9
