@@ -1,4 +1,12 @@
-"""The corpus pipeline: documents to packed training sequences, in stages."""
+"""The corpus pipeline: documents to packed training sequences, in stages.
+
+Every stage takes what its predecessor kept and returns the columns of ``documents``, the last one pieces.
+Defined results, as of the operators: a null or empty text has no words, so the quality rules drop it; of equal
+texts the row with the largest id stays, of near copies that with the smallest; rows without an id are told apart by
+their text; null languages and sources are groups of their own; texts of any length are whole; an empty table
+passes through all stages as empty; other columns are carried along, whatever their names. The near-duplicate stage takes
+the SimHash operator's contract (3-word shingles, 3 bits), which links exact and very near copies only.
+"""
 
 from __future__ import annotations
 

@@ -19,8 +19,8 @@ whatever the partitioning or retries.
 
 Defined results: a null text has no words; null language or source values are
 groups of their own (null-safe); an empty table gives no rows; ties in a
-sketch share a bucket; repeated rows count as often as they occur; other
-columns are kept and may have any name.
+sketch share a bucket; repeated rows count as often as they occur; texts of any length
+are whole (a row is one task's); other columns are kept and may have any name.
 """
 
 from __future__ import annotations
