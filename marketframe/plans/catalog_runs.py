@@ -12,12 +12,14 @@ from ..operators.carry import carry_prices
 from ..session import materialize
 from ..sources import bindings as B
 from ..sources import commits
+from ..sources import feeds as FD
 from ..sources import rescue
 from ..sources import storage as S
 from ..streaming import streams as ST
 from . import sqlparts as SP
-from .catalog import query, r4, rounded, scratch, sql_r4
-from .sqlparts import B2, B6, B7, B8, cte, r4 as sr4, with_
+from .catalog import CQ_COLS, ORACLE, QUOTE_SRC, _cq_select, query, r4, rounded, scratch, sql_r4
+from .jobs import run_ingest
+from .sqlparts import B2, B6, B7, B8, CLEAN_QUOTES, cte, r4 as sr4, with_
 
 
 # ====================================================================== committed runs
@@ -141,7 +143,7 @@ def q_median_sketch(spark, sf):
                         ((F.col("below") - slack <= F.col("n") / 2) & (F.col("upto") + slack >= F.col("n") / 2)).alias("within"))
 
 
-@query("clustered_symbol", with_(cte("b8", B8), body=f"""SELECT symbol, date, batch_id, {sr4('close')} AS close FROM b8
+@query("clustered_symbol", with_(cte("b2", B2), cte("b8", B8), body=f"""SELECT symbol, date, batch_id, {sr4('close')} AS close FROM b8
     WHERE symbol IN ('Brand#11', 'Brand#34')"""))
 def q_clustered_symbol(spark, sf):
     """Two symbols out of brand bars in yearly batches, stored by symbol with Bloom filters: the filter skips
@@ -184,6 +186,42 @@ def q_schema_drift(spark, sf):
 
 # ====================================================================== event-driven runs and streams
 
+def _land_csv(spark, df, folder, prefix):
+    """One headered CSV file per batch in ``folder``, named as raw files are."""
+    tmp = f"{folder}-parts"
+    df.repartition("batch_id").write.partitionBy("batch_id").option("header", "true").csv(tmp)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(tmp).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(folder))
+    for d in fs.listStatus(path(tmp)):          # a folder per batch
+        name = d.getPath().getName()
+        if name.startswith("batch_id="):
+            part = next(f.getPath() for f in fs.listStatus(d.getPath()) if f.getPath().getName().startswith("part-"))
+            fs.rename(part, path(f"{folder}/{prefix}{name.removeprefix('batch_id=')}.csv"))
+
+
+@query("event_cleaning", with_(*QUOTE_SRC, CLEAN_QUOTES, body=f"SELECT {_cq_select()} FROM cq"))
+def q_event_cleaning(spark, sf):
+    """Raw CSV files of the quote batches, cleaned by the consumer of an event channel: a message of another kind, two
+    that announce data and a malformed one give one committed run, whose processed quotes are read back (T02, S01, S05, C09)."""
+    base = scratch(spark, "events run")         # a name with a space, as folders may have
+    _land_csv(spark, B.quotes_events(spark, sf), f"{base}/raw", "stock_quotes_")
+    lines = ['{"event": "something_else"}', *[f'{{"event": "{e}"}}' for e in ST.INGEST_EVENTS], "not json"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{base}/events")
+    ST.clean_on_events(spark, f"{base}/events", f"{base}/raw", f"{base}/store", f"{base}/ckpt").awaitTermination()
+    return rounded(commits.read(spark, f"{base}/store", "processed_quotes").select(*CQ_COLS))
+
+
+@query("ingest_run", ORACLE["ingest_summary"])
+def q_ingest_run(spark, sf):
+    """The ingest job over the landed stand-ins of all feeds, in one committed run: rows per (batch, feed) of the tables
+    that readers then see (F18, S08)."""
+    root = scratch(spark, "ingest-run")
+    run_ingest(spark, B.landing_all(spark, sf, junk=False), root)
+    tables = {name: commits.read(spark, root, name) for name in FD.FEED_TABLES.values()}
+    return FD.ingest_counts({name: t for name, t in tables.items() if t is not None})
+
+
 @query("status_stream", with_(cte("b6", B6), body="""SELECT service, field, arg_max_null(value, (ts, seq)) AS value,
     CAST(max(ts) AS TIMESTAMP) AS ts FROM b6 GROUP BY 1, 2"""))
 def q_status_stream(spark, sf):
