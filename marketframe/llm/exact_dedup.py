@@ -13,8 +13,8 @@ Only (id, digest) pairs are staged and shuffled, never texts.
 
 Defined results: a null text counts as empty; a null id sorts below every
 other id (it stays only among rows without any id); rows repeated with the
-same id and text are one group of which exactly one row stays; an empty table
-gives no rows; other columns are carried through and may have any name.
+same id and text are one group of which exactly one row stays; texts of any length are
+hashed whole, and only digests are compared; an empty table gives no rows; other columns are carried through and may have any name.
 """
 
 from __future__ import annotations

@@ -28,7 +28,8 @@ full text.
 Defined results: a null text is empty and scores its end alone; an empty table gives no
 rows; without training documents every byte is uniform over 256 and the base has
 N = V = 0; rows with a null id hash as empty text; repeated rows are learned
-and scored as often as they occur; other columns are ignored.
+and scored as often as they occur; very long texts are whole, their windows are made
+in pieces; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

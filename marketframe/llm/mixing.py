@@ -27,7 +27,8 @@ sum over per-partition totals.
 
 Defined results: a null text has no characters but takes one unit, like every
 document takes one more than its characters; null sources are one source; ties are
-broken by id and length, rows that still tie are alike; an empty table gives
+broken by id and length, rows that still tie are alike; a text longer than a block
+is one document at one place; an empty table gives
 no rows; sources missing from given weights get the smallest share, one unit or slot;
 other columns are returned unchanged.
 """

@@ -19,8 +19,8 @@ distance.
 Defined results: null and empty texts have no words and the fingerprint zero,
 which is linked like any other; a null id never names a component that has
 another id; ``drop_near`` decides by row, so an id repeated on other texts, or none, makes no
-difference to what is kept of a component; an empty table
-gives no rows; other columns are ignored by ``near_duplicates`` and returned
+difference to what is kept of a component; very long texts are read whole, in a batch of
+their own; an empty table gives no rows; other columns are ignored by ``near_duplicates`` and returned
 unchanged by ``drop_near``.
 """
 
