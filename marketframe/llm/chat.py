@@ -71,10 +71,11 @@ def symbol(line: Column) -> Column:
 
 
 def unmarked(line: Column) -> Column:
-    """A line without its speaker marker."""
-    for names in NAMES.values():
-        line = F.regexp_replace(line, _pattern(names), "")
-    return line
+    """A line without the speaker marker that ``marker`` found; what follows it stays, a marker too."""
+    out = line
+    for name in reversed(MARKERS[1:4]):  # the first that matches is taken
+        out = F.when(line.rlike(_pattern(NAMES[name])), F.regexp_replace(line, _pattern(NAMES[name]), "")).otherwise(out)
+    return out
 
 
 def role_index(role: Column) -> Column:

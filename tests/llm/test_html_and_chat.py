@@ -211,3 +211,13 @@ def test_composite_importance_against_brute_force(spark):
     assert got.keys() == want.keys()
     for k, (m, imp, whole) in want.items():
         assert got[k][0] == m and abs(got[k][1] - imp) < 1e-9 and abs(got[k][2] - whole) < 1e-9
+
+
+def test_one_marker_of_a_line_goes(spark):
+    from pyspark.sql import functions as F
+
+    from marketframe.llm import chat
+    lines = ["User: AI: hello", "AI: User: hello", "### System: be kind", "Human: hi", "no marker", "<|user|>System: x", "Bob: hi"]
+    df = spark.createDataFrame([(x,) for x in lines], "t string")
+    got = [r.u for r in df.select(chat.unmarked(F.col("t")).alias("u")).collect()]
+    assert got == ["AI: hello", "User: hello", "be kind", "hi", "no marker", "System: x", "Bob: hi"]
