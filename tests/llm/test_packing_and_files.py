@@ -2,18 +2,19 @@ import random
 import zlib
 
 import numpy as np
+from tokenizers import Tokenizer
 
 from marketframe.llm import packing, token_files
 from marketframe.llm.common import shared_folder
 from marketframe.llm.tokens import default_tokenizer, encoder
 from tests.llm.edge import LONG, ROWS, edge_docs, empty_docs
 
-ODD = ["", " ", "  ", "a  b", "a \n b", "\n\n a", " a", "a ", "a   ", "x  y 　z", "<|endoftext|> hi", "don't  'll do\t\tit ",
+ODD = ["", " ", "x<|endoftext|>", "a <|endoftext|> b <|endoftext|>", "<|endoftext|><|endoftext|>c  d", "|endoftext|", "  ", "a  b", "a \n b", "\n\n a", " a", "a ", "a   ", "x  y 　z", "<|endoftext|> hi", "don't  'll do\t\tit ",
        "a\x85 b \x1c c", "½ ² 12 3", "é  è\n \n x", "\tq", "q \t", " 's 't", "a   b", "日本 語"]
 
 
 def true_ids(texts):
-    out = encoder(default_tokenizer()).tok.encode_batch(texts, add_special_tokens=False)
+    out = Tokenizer.from_file(default_tokenizer()).encode_batch(texts, add_special_tokens=False)  # as the file has it
     return [x.ids for x in out]
 
 
@@ -89,15 +90,17 @@ def test_elias_fano_select_and_decode():
         for high in (1, 6, 10 ** 4, 10 ** 12):
             v = np.sort(rng.integers(0, high, n))
             e = token_files.EliasFano.encode(v)
-            assert e.decode().tolist() == v.tolist()
-            assert [e.select(i) for i in range(n)] == v.tolist()
+            assert [int(e.select(i)[0]) for i in range(n)] == v.tolist()
+            for a, b in ((0, n), (n // 3, n), (n // 2, n // 2 + 1), (1, n - 1)):
+                assert a >= b or b > n or e.select(a, b).tolist() == v[a:b].tolist()
+            assert e.directory.dtype == np.uint32
     e = token_files.EliasFano.encode(np.arange(0, 10 ** 6, 100))
     assert 8 * (len(e.low) + len(e.high)) <= 10 * e.n  # far below 64 bits a document
 
 
 def test_token_files_round_trip(spark):
     docs = edge_docs(spark)
-    rows = token_files.write_and_read(docs, shard_tokens=64, rows_per_task=3).collect()
+    rows = token_files.write_and_read(docs, shard_tokens=64, task_bytes=200).collect()
     order = sorted(ROWS, key=lambda r: (r[0] is not None, r[0] or 0))
     ids = {t: x + [2] for t, x in zip([r[1] or "" for r in ROWS], true_ids([r[1] or "" for r in ROWS]))}
     assert len(rows) == len(ROWS)
@@ -120,5 +123,35 @@ def test_shard_random_access(spark):
     assert manifest.agg({"tokens": "sum"}).first()[0] == sum(len(x) + 1 for x in true_ids(["b c", "a", LONG]))
     for r in spark.read.format("binaryFile").option("pathGlobFilter", "*.bin").load(folder).collect():
         shard = token_files.Shard(bytes(r.content))
-        for i, d in enumerate(shard.doc_ids):
+        for i, d in enumerate(shard.doc_ids()):
             assert shard.ids(i).tolist() == true_ids([{9: "b c", 4: "a", 11: LONG}[d]])[0] + [2]
+
+
+def test_files_of_lost_attempts_are_not_read_and_go(spark):
+    folder = shared_folder(spark, "shard-attempts")
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(20)], "doc_id long, text string")
+    first = token_files.write(docs, folder, task_bytes=300)
+    names = {r.shard for r in first.collect()}
+    again = token_files.write(docs, folder, task_bytes=300)  # as tasks that run once more after a loss
+    mine = {r.shard for r in again.collect()}
+    assert not names & mine
+    stored = {r.name for r in token_files._files(spark, folder).select("name").collect()}
+    assert stored == mine
+    assert token_files.read(spark, folder, again).count() == 20
+
+
+def test_columns_keep_the_order_of_texts():
+    texts = ["a b", "x<|endoftext|>", "", "a  b", "b a"] * 3
+    ids, sizes = encoder(default_tokenizer()).columns(texts)
+    want = true_ids(texts)
+    assert sizes.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
+
+
+def test_bounds_keep_the_order_and_split_rows_that_are_alike():
+    rng = random.Random(3)
+    keys = sorted((rng.choice([token_files.NO_ID, 3, 3, 3, rng.randint(0, 50)]), rng.choice([5, 5, rng.randint(-9, 9)])) for _ in range(2000))
+    b = token_files.Bounds(keys[100::100])
+    part = b.parts(np.array([k[0] for k in keys]), np.array([k[1] for k in keys])).tolist()
+    assert set(part) <= set(range(20)) and len(set(part)) == 20
+    by = sorted(zip(part, keys))                       # partitions one after the other, sorted inside
+    assert [k for _, k in by] == keys
