@@ -185,7 +185,7 @@ def fill_indexed(blocked: DataFrame, cols: Sequence[str], keys: Sequence[str],
     """Forward then (unless ``backward`` is false) backward fill of ``cols`` on a
     blocked frame without halo.
 
-    Within a block: ``last``/``first`` ignoring nulls. Across blocks the
+    Within a block: ``last`` ignoring nulls, in order and in reverse. Across blocks the
     last (first) non-null value of earlier (later) blocks comes from the
     block table, scanned in two levels - blocks within super-blocks of
     ``fanout`` blocks, then super-blocks per series - so no task ever holds
@@ -201,7 +201,9 @@ def fill_indexed(blocked: DataFrame, cols: Sequence[str], keys: Sequence[str],
     normalized = [c for j, k in enumerate(keys) for c in _normalized(blocked, k, f"_mf_n{j}")]
     w = Window.partitionBy(*norm, BLK).orderBy(IDX)
     before = w.rowsBetween(Window.unboundedPreceding, 0)
-    after = w.rowsBetween(0, Window.unboundedFollowing)
+    # backward fills run over the reversed order: a frame that ends at the partition's end is
+    # evaluated anew for every row, which is quadratic in the block
+    after = Window.partitionBy(*norm, BLK).orderBy(F.col(IDX).desc()).rowsBetween(Window.unboundedPreceding, 0)
     SB = "_mf_sb"
     tbl = blocked.groupBy(*keys, BLK).agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(IDX))).alias(f"_mf_last_{c}") for c in cols],
@@ -209,11 +211,12 @@ def fill_indexed(blocked: DataFrame, cols: Sequence[str], keys: Sequence[str],
     tbl = tbl.withColumn(SB, F.floor(F.col(BLK) / fanout).cast("long"))
     # level 1: inside a super-block
     w1 = Window.partitionBy(*keys, SB).orderBy(BLK)
+    w1_back = Window.partitionBy(*keys, SB).orderBy(F.col(BLK).desc())
     lvl1 = tbl.select(
         *keys, BLK, SB,
         *[F.last(f"_mf_last_{c}", True).over(w1.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_mf_ff1_{c}")
           for c in cols],
-        *[F.first(f"_mf_first_{c}", True).over(w1.rowsBetween(1, Window.unboundedFollowing)).alias(f"_mf_bf1_{c}")
+        *[F.last(f"_mf_first_{c}", True).over(w1_back.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_mf_bf1_{c}")
           for c in cols],
         *[F.col(f"_mf_last_{c}") for c in cols], *[F.col(f"_mf_first_{c}") for c in cols])
     # level 2: super-blocks of a series
@@ -223,11 +226,12 @@ def fill_indexed(blocked: DataFrame, cols: Sequence[str], keys: Sequence[str],
         *[F.min_by(f"_mf_first_{c}", F.when(F.col(f"_mf_first_{c}").isNotNull(), F.col(BLK))).alias(f"_mf_sf_{c}")
           for c in cols])
     w2 = Window.partitionBy(*[f"_mf_s{j}" for j in range(len(keys))]).orderBy("_mf_sb2")
+    w2_back = Window.partitionBy(*[f"_mf_s{j}" for j in range(len(keys))]).orderBy(F.col("_mf_sb2").desc())
     sup = sup.select(
         *[f"_mf_s{j}" for j in range(len(keys))], "_mf_sb2",
         *[F.last(f"_mf_sl_{c}", True).over(w2.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_mf_ff2_{c}")
           for c in cols],
-        *[F.first(f"_mf_sf_{c}", True).over(w2.rowsBetween(1, Window.unboundedFollowing)).alias(f"_mf_bf2_{c}")
+        *[F.last(f"_mf_sf_{c}", True).over(w2_back.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_mf_bf2_{c}")
           for c in cols])
     cs = [lvl1[k].eqNullSafe(sup[f"_mf_s{j}"]) for j, k in enumerate(keys)] + [lvl1[SB] == sup["_mf_sb2"]]
     carry = lvl1.join(sup, cs, "left").select(
@@ -236,7 +240,7 @@ def fill_indexed(blocked: DataFrame, cols: Sequence[str], keys: Sequence[str],
         *[F.coalesce(F.col(f"_mf_bf1_{c}"), F.col(f"_mf_bf2_{c}")).alias(f"_mf_bf_{c}") for c in cols])
     own = blocked.select("*", *normalized)
     own = own.select("*", *[F.last(c, True).over(before).alias(f"_mf_fw_{c}") for c in cols],
-                     *([F.first(c, True).over(after).alias(f"_mf_bw_{c}") for c in cols] if backward else []))
+                     *([F.last(c, True).over(after).alias(f"_mf_bw_{c}") for c in cols] if backward else []))
     j = own.join(carry, [*norm, BLK], "left")
     back = lambda c: [F.col(f"_mf_bw_{c}"), F.col(f"_mf_bf_{c}")] if backward else []
     filled = {c: F.coalesce(F.col(f"_mf_fw_{c}"), F.col(f"_mf_ff_{c}"), *back(c)).alias(c) for c in cols}

@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from marketframe.operators.series import BLK, IDX, OWN, series_index, with_blocks
+from marketframe.operators.series import BLK, IDX, OWN, fill_indexed, series_index, with_blocks
+from tests.test_plans import physical
 
 
 def test_index_is_contiguous_with_a_hot_key(spark):
@@ -60,3 +61,19 @@ def test_explicit_tiebreak(spark):
                                     F.repeat(F.lit("x"), 1000).alias("blob"))
     idx = series_index(df, "symbol", "t", tiebreak=[])
     assert idx.where(F.col(IDX) != F.col("t")).count() == 0
+
+
+def test_fills_take_no_frame_to_the_end(spark):
+    """A frame that ends with the partition costs a row the rest of its block; backward fills run in
+    reverse order instead and give the same values within blocks, super-blocks and across them."""
+    rows = [("A", i, float(i) if i in (3, 17, 18, 40) else None) for i in range(50)] + [(None, i, None if i < 6 else 1.5) for i in range(9)]
+    t = with_blocks(series_index(spark.createDataFrame(rows, "symbol string, t int, v double"), "symbol", "t"), 4, 0)
+    filled = fill_indexed(t, ["v"], ["symbol"], fanout=2)
+    assert "unboundedfollowing" not in physical(filled).lower()
+    want = {}
+    for key in ("A", None):
+        own = [v for k, _, v in rows if k == key]
+        for i in range(len(own)):
+            past, later = [v for v in own[:i + 1] if v is not None], [v for v in own[i:] if v is not None]
+            want[key, i] = past[-1] if past else later[0]
+    assert {(r.symbol, r.t): r.v for r in filled.collect()} == want
