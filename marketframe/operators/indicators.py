@@ -58,6 +58,7 @@ def indicators_indexed(idx: DataFrame, price: str = "close", keys: Sequence[str]
     lookbacks += [rsi_n] if "rsi" in want else []
     lookbacks += [bb_n - 1] if want & {"bb_middle", "bb_upper", "bb_lower"} else []
     lookbacks += [vol_n] if "volatility" in want else []
+    reach = max(lookbacks)
     spans = []
     if need_ewm:
         spans = list(ema)
@@ -72,8 +73,9 @@ def indicators_indexed(idx: DataFrame, price: str = "close", keys: Sequence[str]
     B = max(min(block, limit), halo + 1)
     c = F.col(price)
     t = with_blocks(idx, B, halo)
-    # pass 1: lags and EMAs; pass 2: rolling frames, MACD signal. One
-    # partitioning and order for all: a single exchange and sort.
+    # pass 1: lags and EMAs; pass 2: MACD signal; pass 3: rolling frames, each taken once, over
+    # the few halo rows that they reach (the EWM halo is far longer). One partitioning and
+    # order for all: a single exchange and sort.
     first = {}
     if want & {"daily_return", "volatility"}:
         first["daily_return"] = pct_change_col(c, keys)
@@ -85,21 +87,29 @@ def indicators_indexed(idx: DataFrame, price: str = "close", keys: Sequence[str]
     t = t.select("*", *[v.alias(k) for k, v in first.items()])
     if need_ewm:
         t = t.withColumn("macd", F.col(f"ema_{e1}") - F.col(f"ema_{e2}"))
-    rolled = {nm: rolling_mean_col(c, n, keys) for n, nm in zip(sma, sma_names) if nm in want}
+    if need_signal:
+        t = t.withColumn("macd_signal", ewm_col(F.col("macd"), signal, keys, B))
+    if halo > reach:
+        t = t.where(F.col(IDX) >= F.col(BLK) * B - reach)
+    means = {f"_mf_mean_{n}": (c, n) for n, nm in zip(sma, sma_names) if nm in want}
     if "rsi" in want:
-        gain, loss = clip_sign(F.col("_mf_delta")), clip_sign(F.col("_mf_delta"), -1)
-        rolled["rsi"] = rsi_col(rolling_mean_col(gain, rsi_n, keys), rolling_mean_col(loss, rsi_n, keys))
+        means["_mf_gain"] = (clip_sign(F.col("_mf_delta")), rsi_n)
+        means["_mf_loss"] = (clip_sign(F.col("_mf_delta"), -1), rsi_n)
+    rolled = {}
     if want & {"bb_middle", "bb_upper", "bb_lower"}:
-        mid = rolling_mean_col(c, bb_n, keys)
-        sd = rolling_std_col(c, bb_n, keys)
-        rolled["bb_middle"] = mid
-        rolled["bb_upper"] = mid + sd * bb_k
-        rolled["bb_lower"] = mid - sd * bb_k
+        means[f"_mf_mean_{bb_n}"] = (c, bb_n)
+        rolled["_mf_sd"] = rolling_std_col(c, bb_n, keys)
     if "volatility" in want:
         rolled["volatility"] = rolling_std_col(F.col("daily_return"), vol_n, keys)
-    if need_signal:
-        rolled["macd_signal"] = ewm_col(F.col("macd"), signal, keys, B)
+    rolled |= {nm: rolling_mean_col(x, n, keys) for nm, (x, n) in means.items()}
     t = t.select("*", *[v.alias(k) for k, v in rolled.items()]).where(F.col(OWN))
+    last = {nm: F.col(f"_mf_mean_{n}") for n, nm in zip(sma, sma_names) if nm in want}
+    if "rsi" in want:
+        last["rsi"] = rsi_col(F.col("_mf_gain"), F.col("_mf_loss"))
+    if want & {"bb_middle", "bb_upper", "bb_lower"}:
+        mid, sd = F.col(f"_mf_mean_{bb_n}"), F.col("_mf_sd")
+        last |= {"bb_middle": mid, "bb_upper": mid + sd * bb_k, "bb_lower": mid - sd * bb_k}
+    t = t.select("*", *[v.alias(k) for k, v in last.items()])
     if need_signal:
         t = t.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))
     out = [F.col(n) if gate is None else F.when(F.col(gate), F.col(n)).alias(n)

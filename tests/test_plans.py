@@ -58,3 +58,15 @@ def test_brand_bars_scan_prunes_columns(spark):
     assert "l_partkey" in scan and "l_shipdate" in scan
     for unused in ("l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_suppkey"):
         assert unused not in scan
+
+
+def test_rolling_frames_are_taken_once(spark):
+    """Bands, averages and RSI share their rolling means and deviations, and only the halo rows that
+    rolling frames reach go through them."""
+    bars = spark.createDataFrame([("A", i, float(i)) for i in range(30)], "symbol string, date int, close double")
+    plan = physical(I.indicators(bars))
+    wins = [ln for ln in plan.splitlines() if "Window [" in ln and "_mf_b" in ln]
+    rolling = [ln for ln in wins if "avg(" in ln]
+    assert len(rolling) == 1 and rolling[0].count("avg(") == 4 and rolling[0].count("stddev_samp(") == 2
+    at = next(i for i, ln in enumerate(plan.splitlines()) if ln == rolling[0])
+    assert any("Filter (" in ln and "_mf_i#" in ln for ln in plan.splitlines()[at + 1:at + 4])
