@@ -37,6 +37,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -49,6 +50,7 @@ ORDER = 5
 GROUP_CHARS = 16_000_000
 EDGE = 0xFF
 _CHUNK = 1_000_000
+_SLICE = 100_000
 _ONE = np.uint64(8)
 
 
@@ -70,55 +72,84 @@ def words(text: bytes) -> list[bytes]:
     return [*text.lower().split(), b""]
 
 
-def _batches(texts: list[bytes]) -> Iterator[tuple[int, int]]:
-    first = size = 0
-    for i, t in enumerate(texts):
-        size += len(t) + 1
-        if size >= _CHUNK:
-            yield first, i + 1
-            first, size = i + 1, 0
-    if first < len(texts):
-        yield first, len(texts)
-
-
-def _distinct(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct windows of texts and their counts."""
-    held: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
-
-    def merge() -> None:
-        both, at = np.unique(np.concatenate([u for u, _ in held]), return_inverse=True)
-        held[:] = [(both, np.bincount(at, weights=np.concatenate([n for _, n in held])).astype(np.int64))]
-
-    for a, b in _batches(texts):
-        held.append(np.unique(np.concatenate([w for t in texts[a:b] for w in windows(t, order)]), return_counts=True))
-        if sum(len(u) for u, _ in held[1:]) > _CHUNK:
-            merge()
-    if len(held) > 1:
-        merge()
-    return held[0]
+class _Tally:
+    """Distinct windows of texts, in ascending order, and their counts; texts may be added in parts."""
+
+    def __init__(self, order: int):
+        self.order, self.keys, self.n = order, np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.raw: list[np.ndarray] = []
+        self.held: list[tuple[np.ndarray, np.ndarray]] = []
+        self.raw_size = self.held_size = 0
+
+    def add(self, text: bytes) -> None:
+        for w in windows(text, self.order):
+            self.raw.append(w)
+            self.raw_size += len(w)
+            if self.raw_size >= _CHUNK:
+                self._count()
+
+    def _count(self) -> None:
+        if self.raw:
+            self.held.append(np.unique(np.concatenate(self.raw), return_counts=True))
+            self.held_size += len(self.held[-1][0])
+            self.raw, self.raw_size = [], 0
+        if self.held_size > _CHUNK:
+            self._merge()
+
+    def _merge(self) -> None:
+        keys = np.concatenate([self.keys, *[u for u, _ in self.held]])
+        n = np.concatenate([self.n, *[c for _, c in self.held]])
+        self.held, self.held_size = [], 0
+        place = np.argsort(keys, kind="stable")  # of sorted runs
+        keys, n = keys[place], n[place]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else place
+        self.keys, self.n = keys[first], np.add.reduceat(n, first) if len(keys) else n
+
+    def result(self) -> tuple[np.ndarray, np.ndarray]:
+        self._count()
+        if self.held:
+            self._merge()
+        return self.keys, self.n
+
+
+def _without(keys: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Keys that are not in ``other``, both ascending and distinct."""
+    if not len(other):
+        return keys
+    at = np.minimum(np.searchsorted(other, keys), len(other) - 1)
+    return keys[other[at] != keys]
 
 
 def _group_counts(order: int):
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        texts = [t.encode("utf-8") for t in frame["text"]]
-        held = frame["held_out"].to_numpy(bool)
-        learn = [t for t, h in zip(texts, held) if not h]
-        test = [t for t, h in zip(texts, held) if h]
-        u, n = _distinct(learn, order)
-        new = np.setdiff1d(_distinct(test, order)[0], u, assume_unique=True)
+    """Texts come in batches and rows leave in slices, so a task holds the distinct windows
+    and words of a group but neither its texts nor a frame of all its rows."""
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        learn, test = _Tally(order), _Tally(order)
         count: Counter[bytes] = Counter()
-        for t in learn:
-            count.update(words(t))
-        for t in test:
-            for w in words(t):
-                count.setdefault(w, 0)
+        grp = 0
+        for frame in frames:
+            for grp, held, value in zip(frame["grp"], frame["held_out"], frame["text"]):
+                text = value.encode("utf-8")
+                (test if held else learn).add(text)
+                if held:
+                    for w in words(text):
+                        count.setdefault(w, 0)
+                else:
+                    count.update(words(text))
+            del frame
         # windows first (word null), then words (win not used)
-        wins, zeros = len(u) + len(new), np.zeros(len(new), np.int64)
-        return pd.DataFrame({
-            "grp": np.full(wins + len(count), frame["grp"].iloc[0]),
-            "win": np.concatenate([u, new, np.zeros(len(count), np.uint64)]).astype(np.int64),
-            "word": np.array([None] * wins + [w.decode("utf-8") for w in count], dtype=object),
-            "n": np.concatenate([n, zeros, np.fromiter(count.values(), np.int64, len(count))])})
+        u, n = learn.result()
+        new = _without(test.result()[0], u)
+        del learn, test
+        for keys, times in ((u, n), (new, np.zeros(len(new), np.int64))):
+            for k in range(0, len(keys), _SLICE):
+                part = keys[k:k + _SLICE].view(np.int64)
+                yield pd.DataFrame({"grp": grp, "win": part, "word": np.full(len(part), None, object),
+                                    "n": times[k:k + _SLICE]})
+        items = iter(count.items())
+        while some := list(islice(items, _SLICE)):
+            yield pd.DataFrame({"grp": grp, "win": np.zeros(len(some), np.int64),
+                                "word": [w.decode("utf-8") for w, _ in some], "n": [c for _, c in some]})
 
     return run
 

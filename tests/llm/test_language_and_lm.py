@@ -4,6 +4,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from marketframe.llm import language, lm_score
@@ -163,3 +164,26 @@ def test_lookup_finds_every_key():
         table = lm_score.Lookup(keys, np.arange(len(keys)).astype(float))
         ask = rng.permutation(np.repeat(np.arange(len(keys)), 3))
         assert (table.get(keys[ask]) == ask).all()
+
+
+def test_lm_group_counts_come_in_slices(monkeypatch):
+    """A group's texts arrive in batches and its rows leave in slices, whatever the sizes."""
+    texts = [(i, i % 3 == 0, f"word{i % 7} und noch {i} Wörter " * (i % 4)) for i in range(40)]
+    frames = [pd.DataFrame({"doc_id": i, "held_out": [h], "text": [t], "grp": 5}) for i, h, t in texts]
+    monkeypatch.setattr(lm_score, "_SLICE", 50)
+    for chunk in (64, 1_000_000):
+        monkeypatch.setattr(lm_score, "_CHUNK", chunk)
+        parts = list(lm_score._group_counts(3)(iter(frames)))
+        assert len(parts) > 3 and max(map(len, parts)) <= 50
+        rows = pd.concat(parts)
+        wins, terms, held = Counter(), Counter(), []
+        for _, h, t in texts:
+            found = np.concatenate(list(lm_score.windows(t.encode(), 3))).astype(np.int64).tolist()
+            held += found if h else []
+            wins.update([] if h else found)
+            terms.update({w.decode(): 0 for w in lm_score.words(t.encode())} if h else
+                         Counter(w.decode() for w in lm_score.words(t.encode())))
+        wins.update({w: 0 for w in held})
+        is_word = rows["word"].notna()
+        assert dict(zip(rows["win"][~is_word], rows["n"][~is_word])) == wins and len(rows) == len(wins) + len(terms)
+        assert dict(zip(rows["word"][is_word], rows["n"][is_word])) == terms and set(rows["grp"]) == {5}
