@@ -277,20 +277,20 @@ def landing_financials(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landing_insider(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Insider responses: per supplier and ship month, its line items newest first."""
+    """Insider responses: per supplier and ship month, its line items newest first. Only the sort
+    keys are collected, which every field of an item follows from."""
     li = read(spark, sf_dir, "lineitem")
     d = F.to_date("l_shipdate")
-    item = F.struct((-F.unix_date(d)).alias("_k0"), F.col("l_orderkey").alias("_k1"),
-                    F.col("l_linenumber").alias("_k2"), F.col("l_partkey").alias("_k3"),
-                    F.col("l_quantity").alias("_k4"), F.col("l_returnflag").alias("_k5"),
-                    F.struct(F.col("l_orderkey").cast("string").alias("name"),
-                             F.col("l_partkey").alias("share"),
-                             F.col("l_quantity").cast("bigint").alias("change"),
-                             F.date_format(d, "yyyy-MM-dd").alias("filingDate"),
-                             F.date_format(d, "yyyy-MM-dd").alias("transactionDate"),
-                             F.col("l_returnflag").alias("transactionCode")).alias("x"))
-    g = li.groupBy("l_suppkey", F.trunc(d, "month").alias("m")).agg(F.array_sort(F.collect_list(item)).alias("a"))
-    body = F.to_json(F.struct(F.transform("a", lambda s: s["x"]).alias("data")))
+    keys = F.struct((-F.unix_date(d)).alias("k0"), F.col("l_orderkey").alias("k1"), F.col("l_linenumber").alias("k2"),
+                    F.col("l_partkey").alias("k3"), F.col("l_quantity").alias("k4"), F.col("l_returnflag").alias("k5"))
+
+    def item(x: Column) -> Column:
+        day = F.date_from_unix_date(-x["k0"]).cast("string")
+        return F.struct(x["k1"].cast("string").alias("name"), x["k3"].alias("share"), x["k4"].cast("bigint").alias("change"),
+                        day.alias("filingDate"), day.alias("transactionDate"), x["k5"].alias("transactionCode"))
+
+    g = li.groupBy("l_suppkey", F.trunc(d, "month").alias("m")).agg(F.sort_array(F.collect_list(keys)).alias("a"))
+    body = F.to_json(F.struct(F.transform("a", item).alias("data")))
     return _landing(g, "insider", F.concat(F.lit("S"), F.col("l_suppkey").cast("string")), body)
 
 

@@ -173,7 +173,6 @@ def normalize_earnings(landing: DataFrame) -> DataFrame:
 def normalize_financials(landing: DataFrame, freq: str = "annual", cap: int | None = None) -> DataFrame:
     """the reports of ``data`` (the first ``cap``); scalar metadata per report."""
     t = _feed(landing, "financials").select("symbol", "batch_id", F.from_json("payload", FINANCIALS).alias("p"))
-    t = t.where(F.coalesce(F.size("p.data") > 0, F.lit(False)))
     t = t.select("symbol", "batch_id", F.explode(_first(F.col("p.data"), cap)).alias("r"))
     return t.select("symbol", F.lit(freq).alias("frequency"), F.col("r.year").alias("year"),
                     F.col("r.quarter").alias("quarter"), F.col("r.form").alias("form"),
@@ -186,7 +185,6 @@ def normalize_financials(landing: DataFrame, freq: str = "annual", cap: int | No
 def normalize_insider(landing: DataFrame, cap: int | None = None) -> DataFrame:
     """the transactions of ``data`` (the first ``cap``); counts may be fractional."""
     t = _feed(landing, "insider").select("symbol", "batch_id", F.from_json("payload", INSIDER).alias("p"))
-    t = t.where(F.coalesce(F.size("p.data") > 0, F.lit(False)))
     t = t.select("symbol", "batch_id", F.explode(_first(F.col("p.data"), cap)).alias("x"))
     return t.select("symbol", F.col("x.name").alias("person_name"), F.col("x.share").alias("share"),
                     F.col("x.change").alias("change"),

@@ -2,7 +2,9 @@
 
 import json
 
+from marketframe.sources import bindings as B
 from marketframe.sources import feeds as FD
+from tests.test_plans import physical
 
 
 def landing(spark, feed, payloads, symbol="AAA"):
@@ -108,3 +110,13 @@ def test_no_data_warnings(spark):
     land = spark.createDataFrame([(f, "AAA", None, "b", p) for f, p in rows], FD.LANDING_SCHEMA)
     got = sorted(r.feed for r in FD.no_data(land).collect())
     assert got == ["candle", "company_news", "financials", "quote", "social"]   # html is quarantined, not here
+
+
+def test_insider_payloads_are_parsed_once(spark):
+    """Neither lists that explode drops anyway nor text built before the shuffle."""
+    rows = [("insider", "A", None, "b", p) for p in ('{"data":[{"name":"x","share":1}]}', '{"data":[]}', "{}", "no", None)]
+    landing = spark.createDataFrame(rows, FD.LANDING_SCHEMA).repartition(2)
+    for normalize in (FD.normalize_insider, FD.normalize_financials):
+        assert physical(normalize(landing)).count("from_json(") == 1
+    assert [r.person_name for r in FD.normalize_insider(landing).collect()] == ["x"]
+    assert "date_format" not in physical(B.landing_insider(spark, "/root/testdata/sf0.001"))
