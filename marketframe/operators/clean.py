@@ -10,12 +10,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import round_half_even
+from ..session import materialize
 from .series import BLK, DEFAULT_BLOCK, IDX, OWN, _cols, fill_indexed, series_index, with_blocks
 
 # The price columns the reference fills forward then backward.
 PRICE_COLUMNS = ["current_price", "high_price", "low_price", "open_price",
                  "close", "high", "low", "open"]
 
+# Items a level of the sketches that enclose a median, and how far from it in rank the two values
+# are taken: three times ``sketches.rank_error(MEDIAN_K)``.
+MEDIAN_K, MEDIAN_SLACK = 800, 0.0165
+
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
     """Numeric columns in schema order."""
@@ -48,31 +53,62 @@ def fill_prices(df: DataFrame, cols: Sequence[str] | None = None,
     return fill_indexed(t, cols, keys).drop(IDX, BLK, OWN)
 
 
-def _medians_long(df: DataFrame, cols: Sequence[str], batch: list[str], only_gaps: bool = False) -> DataFrame:
+def _median_bounds(df: DataFrame, cols: Sequence[str], batch: list[str], only_gaps: bool) -> DataFrame:
+    """(_mf_k.., a struct per column): whether its median is wanted, the 0-based ranks of the one or two middle
+    values, and two values that should enclose them, taken from a sketch a batch and column."""
+    aggs, out = [], []
+    for j, c in enumerate(cols):
+        v = F.col(c).cast("double")
+        aggs += [F.kll_sketch_agg_double(v, MEDIAN_K).alias(f"s{j}"), F.count(v).alias(f"n{j}"),
+                 F.count(F.when(~F.isnan(v), v)).alias(f"r{j}"), F.max(F.col(c).isNull()).alias(f"g{j}")]
+        some, n = F.col(f"r{j}") > 0, F.col(f"n{j}")    # a sketch leaves NaN out
+        out.append(F.struct(
+            (F.col(f"g{j}") if only_gaps else F.lit(True)).alias("want"),
+            F.floor((n - 1) / 2).alias("at"), F.floor(n / 2).alias("to"),
+            *[F.when(some, F.kll_sketch_get_quantile_double(f"s{j}", F.lit(q))).alias(a)
+              for a, q in (("lo", 0.5 - MEDIAN_SLACK), ("hi", 0.5 + MEDIAN_SLACK))]).alias(f"_mf_b{j}"))
+    return df.groupBy(*[F.col(b).alias(f"_mf_k{j}") for j, b in enumerate(batch)]).agg(*aggs).select(
+        *[f"_mf_k{j}" for j in range(len(batch))], *out)
+
+
+def _medians_long(df: DataFrame, cols: Sequence[str], batch: list[str], only_gaps: bool = False,
+                  stored: bool = False) -> DataFrame:
     """(batch..., _mf_col, _mf_med): exact median of every column per batch.
 
-    The values of all columns are unpivoted to ``(batch, col, v)``, ranked by
+    A sketch gives two values around the middle of every batch and column, a count how many values lie
+    below and between them. Only the few between are unpivoted to ``(batch, col, v)`` and ranked by
     the series index (a range-partitioned sort, so a huge batch is split over
-    many tasks; the index also yields each group's size) and the one or two
-    middle ranks are averaged - pandas' median. ``only_gaps`` leaves out the
-    columns of batches without a null, which need no median to be filled.
+    many tasks); the one or two middle ranks are averaged - pandas' median. Where the count
+    shows that the middle lies elsewhere, all values are ranked, so a sketch decides how
+    much is sorted but never the result. ``only_gaps`` leaves out the
+    columns of batches without a null, which need no median to be filled. The values are
+    read several times: from a copy, unless ``df`` is ``stored``.
     """
-    if only_gaps:
-        gaps = df.groupBy(*batch).agg(*[F.max(F.col(c).isNull()).alias(f"_mf_g_{c}") for c in cols])
-        gaps = gaps.select(*[F.col(b).alias(f"_mf_k{j}") for j, b in enumerate(batch)],
-                           F.filter(F.array(*[F.when(F.col(f"_mf_g_{c}"), F.lit(c)) for c in cols]),
-                                    lambda c: c.isNotNull()).alias("_mf_gaps")).where(F.size("_mf_gaps") > 0)
-        cond = [df[b].eqNullSafe(gaps[f"_mf_k{j}"]) for j, b in enumerate(batch)]
-        df = df.join(gaps, cond).select(
-            *[df[b] for b in batch], *[F.when(F.array_contains("_mf_gaps", c), df[c]).alias(c) for c in cols])
-    kv = F.explode(F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("v"))
-                             for c in cols])).alias("kv")
-    long = df.select(*batch, kv).select(*batch, F.col("kv.k").alias("_mf_col"),
-                                         F.col("kv.v").alias("_mf_v")).where(F.col("_mf_v").isNotNull())
+    if not stored:
+        df = materialize(df.select(*batch, *cols), "median-values")
+    bounds = materialize(_median_bounds(df, cols, batch, only_gaps), "median-bounds")
+    on = lambda t: [df[b].eqNullSafe(t[f"_mf_k{j}"]) for j, b in enumerate(batch)]
+    keys = [f"_mf_k{j}" for j in range(len(batch))]
+    value = [F.col(c).cast("double") for c in cols]
+    bound = [F.col(f"_mf_b{j}") for j in range(len(cols))]
+    below = [(v < b["lo"]) for v, b in zip(value, bound)]
+    between = [v.between(b["lo"], b["hi"]) for v, b in zip(value, bound)]
+    counts = df.join(bounds, on(bounds)).groupBy(*[F.col(k).alias(f"_mf_c{j}") for j, k in enumerate(keys)]).agg(
+        *[F.count_if(x).alias(f"_mf_lt{j}") for j, x in enumerate(below)],
+        *[F.count_if(x).alias(f"_mf_in{j}") for j, x in enumerate(between)])
+    found = [(F.col(f"_mf_lt{j}") <= b["at"]) & (b["to"] < F.col(f"_mf_lt{j}") + F.col(f"_mf_in{j}")) for j, b in enumerate(bound)]
+    narrow = materialize(counts.join(bounds, [F.col(f"_mf_c{j}").eqNullSafe(F.col(k)) for j, k in enumerate(keys)]).select(*keys, *[
+        b.withField("all", ~ok).withField("skip", F.when(ok, F.col(f"_mf_lt{j}")).otherwise(0)).alias(f"_mf_b{j}")
+        for j, (b, ok) in enumerate(zip(bound, found))]), "median-counts")
+    kv = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("k"), F.when(b["want"] & (b["all"] | near), v).alias("v"),
+                 (b["at"] - b["skip"]).alias("at"), (b["to"] - b["skip"]).alias("to"))
+        for c, v, b, near in zip(cols, value, bound, between)])).alias("kv")
+    long = df.join(narrow, on(narrow)).select(*[df[b] for b in batch], kv).where(F.col("kv.v").isNotNull()).select(
+        *batch, F.col("kv.k").alias("_mf_col"), F.col("kv.v").alias("_mf_v"), F.col("kv.at").alias("_mf_at"), F.col("kv.to").alias("_mf_to"))
     keys = [*batch, "_mf_col"]
-    ranked = series_index(long, keys, ["_mf_v"], with_len=True)
-    mid = ranked.where((F.col(IDX) == F.floor((F.col("_mf_len") - 1) / 2))
-                       | (F.col(IDX) == F.floor(F.col("_mf_len") / 2)))
+    ranked = series_index(long, keys, ["_mf_v"], tiebreak=[])
+    mid = ranked.where((F.col(IDX) == F.col("_mf_at")) | (F.col(IDX) == F.col("_mf_to")))
     return mid.groupBy(*keys).agg(F.avg("_mf_v").alias("_mf_med"))
 
 
@@ -100,11 +136,12 @@ def batch_medians(df: DataFrame, cols: Sequence[str], batch: str | Sequence[str]
 
 
 def fill_median(df: DataFrame, cols: Sequence[str] | None = None,
-                batch: str | Sequence[str] = "batch_id", approx: bool = False) -> DataFrame:
+                batch: str | Sequence[str] = "batch_id", approx: bool = False, stored: bool = False) -> DataFrame:
     """Fill nulls with the batch median, for every numeric column that is not a
     price column (volume and the rest, C04). An all-null column stays null. Filled
     columns are doubles, as the median of an even number of integers may be a half.
-    Exact medians are taken only where a batch has a null in the column."""
+    Exact medians are taken only where a batch has a null in the column. ``stored``: the
+    rows lie in a table, which is read again instead of copied."""
     batch = _cols(batch)
     if cols is None:
         cols = [c for c in numeric_columns(df, exclude=batch) if c not in PRICE_COLUMNS]
@@ -114,7 +151,7 @@ def fill_median(df: DataFrame, cols: Sequence[str] | None = None,
     if approx:
         wide = batch_medians(df, cols, batch, approx=True)
     else:
-        wide = _wide(_medians_long(df, cols, batch, only_gaps=True), cols, batch)
+        wide = _wide(_medians_long(df, cols, batch, only_gaps=True, stored=stored), cols, batch)
     med = wide.select(*batch, *[F.col(c).alias(f"_mf_m_{c}") for c in cols])
     j = df.join(med, batch, "left")
     return j.select(*[F.coalesce(F.col(c).cast("double"), F.col(f"_mf_m_{c}")).alias(c)

@@ -18,7 +18,7 @@ from .clean import PRICE_COLUMNS, dedup_rows, fill_median, min_rows_gate, null_c
 from .indicators import indicators_indexed
 from .quotes import quote_sentiment
 from ..session import materialize
-from .series import BLK, DEFAULT_BLOCK, IDX, OWN, fill_indexed, series_index, with_blocks
+from .series import BLK, DEFAULT_BLOCK, IDX, OWN, fill_indexed, fill_series, series_index, with_blocks
 
 # Step names and the lists the reference writes into its step log.
 STEP_DEDUP = "remove_duplicates"
@@ -59,7 +59,7 @@ def clean_bars(raw: DataFrame, batch: str = "batch_id", keys: Sequence[str] = ("
     if cut_lineage:
         t = materialize(t, "clean-bars")
     if batch in t.columns:
-        t = fill_median(t, others, batch=batch, approx=approx_median)
+        t = fill_median(t, others, batch=batch, approx=approx_median, stored=cut_lineage)
     gate = None
     if min_rows is not None:
         gate, t = "_mf_gate", min_rows_gate(t, [batch] if batch in t.columns else list(keys), min_rows, "_mf_gate")
@@ -75,16 +75,16 @@ def clean_quotes(raw: DataFrame, batch: str = "batch_id", keys: Sequence[str] =
     depends on that batch only, so batch runs, reruns and streams agree whatever
     runs together. With ``cut_lineage`` the filled stage is written to the shared
     checkpoint folder once and the median fill reads it."""
-    d = dedup_rows(nan_to_null(raw))
+    rows = nan_to_null(raw)
+    d = dedup_rows(rows)
     series = [batch, *keys] if batch in d.columns else list(keys)
     prices = [c for c in PRICE_COLUMNS if c in d.columns]
     others = [c for c in numeric_columns(d, exclude=[batch, *keys]) if c not in PRICE_COLUMNS]
-    t = with_blocks(series_index(d, series, list(order)), block, 0)
-    t = fill_indexed(t, prices, series).drop(IDX, BLK, OWN)
+    t = fill_series(d, prices, series, list(order), block, counted=rows)
     if cut_lineage:
         t = materialize(t, "clean-quotes")
     if batch in t.columns:
-        t = fill_median(t, others, batch=batch, approx=approx_median)
+        t = fill_median(t, others, batch=batch, approx=approx_median, stored=cut_lineage)
     return quote_sentiment(t, strong)
 
 

@@ -41,6 +41,7 @@ IDX = "_mf_i"     # position in the series
 BLK = "_mf_b"     # block the row is evaluated in
 OWN = "_mf_own"   # false for halo copies
 DEFAULT_BLOCK = 2048
+WHOLE_ROWS = 2_000_000  # rows up to which one task sorts a series whole
 
 
 def _cols(x: str | Sequence[str]) -> list[str]:
@@ -185,7 +186,8 @@ def fill_indexed(blocked: DataFrame, cols: Sequence[str], keys: Sequence[str],
     """Forward then (unless ``backward`` is false) backward fill of ``cols`` on a
     blocked frame without halo.
 
-    Within a block: ``last`` ignoring nulls, in order and in reverse. Across blocks the
+    Within a block: ``last`` ignoring nulls; a row that finds none before it takes the
+    block's first, which the block table has. Across blocks the
     last (first) non-null value of earlier (later) blocks comes from the
     block table, scanned in two levels - blocks within super-blocks of
     ``fanout`` blocks, then super-blocks per series - so no task ever holds
@@ -201,9 +203,6 @@ def fill_indexed(blocked: DataFrame, cols: Sequence[str], keys: Sequence[str],
     normalized = [c for j, k in enumerate(keys) for c in _normalized(blocked, k, f"_mf_n{j}")]
     w = Window.partitionBy(*norm, BLK).orderBy(IDX)
     before = w.rowsBetween(Window.unboundedPreceding, 0)
-    # backward fills run over the reversed order: a frame that ends at the partition's end is
-    # evaluated anew for every row, which is quadratic in the block
-    after = Window.partitionBy(*norm, BLK).orderBy(F.col(IDX).desc()).rowsBetween(Window.unboundedPreceding, 0)
     SB = "_mf_sb"
     tbl = blocked.groupBy(*keys, BLK).agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(IDX))).alias(f"_mf_last_{c}") for c in cols],
@@ -237,16 +236,45 @@ def fill_indexed(blocked: DataFrame, cols: Sequence[str], keys: Sequence[str],
     carry = lvl1.join(sup, cs, "left").select(
         *[c for j, k in enumerate(keys) for c in _normalized(lvl1, k, f"_mf_n{j}")], BLK,
         *[F.coalesce(F.col(f"_mf_ff1_{c}"), F.col(f"_mf_ff2_{c}")).alias(f"_mf_ff_{c}") for c in cols],
-        *[F.coalesce(F.col(f"_mf_bf1_{c}"), F.col(f"_mf_bf2_{c}")).alias(f"_mf_bf_{c}") for c in cols])
+        *[F.coalesce(F.col(f"_mf_first_{c}"), F.col(f"_mf_bf1_{c}"), F.col(f"_mf_bf2_{c}")).alias(f"_mf_bf_{c}")
+          for c in cols])
     own = blocked.select("*", *normalized)
-    own = own.select("*", *[F.last(c, True).over(before).alias(f"_mf_fw_{c}") for c in cols],
-                     *([F.last(c, True).over(after).alias(f"_mf_bw_{c}") for c in cols] if backward else []))
+    own = own.select("*", *[F.last(c, True).over(before).alias(f"_mf_fw_{c}") for c in cols])
     j = own.join(carry, [*norm, BLK], "left")
-    back = lambda c: [F.col(f"_mf_bw_{c}"), F.col(f"_mf_bf_{c}")] if backward else []
+    back = lambda c: [F.col(f"_mf_bf_{c}")] if backward else []
     filled = {c: F.coalesce(F.col(f"_mf_fw_{c}"), F.col(f"_mf_ff_{c}"), *back(c)).alias(c) for c in cols}
     return j.select(*[filled.get(c, F.col(c)) for c in blocked.columns])
 
 
+def fill_whole(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The fills of ``fill_indexed`` in the order of ``series_index``, each series sorted by one task: one
+    exchange and one sort. A row without a value before it takes the first of its series."""
+    tail = [c for c in df.columns if c not in keys and c not in order and _orderable(df.schema[c].dataType)]
+    w = Window.partitionBy(*keys).orderBy(*[F.col(o).asc_nulls_last() for o in order], *[F.col(c).asc_nulls_first() for c in tail])
+    before, every = (w.rowsBetween(Window.unboundedPreceding, end) for end in (0, Window.unboundedFollowing))
+    return df.select(*[F.coalesce(F.last(c, True).over(before), F.first(c, True).over(every)).alias(c) if c in cols
+                       else F.col(c) for c in df.columns])
+
+
+def fill_series(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: Sequence[str],
+                block: int = DEFAULT_BLOCK, whole: int = WHOLE_ROWS, counted: DataFrame | None = None) -> DataFrame:
+    """Forward then backward fill of ``cols`` per series. Series of up to ``whole`` rows go through
+    ``fill_whole``, longer ones (at most one in ``whole`` rows) are cut into blocks, so no task sorts more
+    than that of one series. ``counted``: a frame that costs less than ``df`` and has its rows at least once."""
+    if not cols:
+        return df
+    many = (df if counted is None else counted).groupBy(*[F.col(k).alias(f"_mf_k{j}") for j, k in enumerate(keys)]).agg(
+        F.count(F.lit(1)).alias("_mf_rows"))
+    many = materialize(many.where(F.col("_mf_rows") > whole).drop("_mf_rows"), "long-series")
+    if many.isEmpty():
+        return fill_whole(df, cols, keys, order)
+    df = materialize(df, "series-rows")   # both ways read it
+    on = [df[k].eqNullSafe(many[f"_mf_k{j}"]) for j, k in enumerate(keys)]
+    cut = with_blocks(series_index(df.join(many, on, "left_semi"), keys, order), block, 0)
+    return fill_whole(df.join(many, on, "left_anti"), cols, keys, order).unionByName(
+        fill_indexed(cut, cols, keys).drop(IDX, BLK, OWN))
+
+
 def _normalized(df: DataFrame, key: str, name: str) -> list[Column]:
     """A key as two columns without nulls (value or a stand-in, and whether it is null), whose plain
     equality is the key's null-safe one."""

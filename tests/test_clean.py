@@ -125,3 +125,26 @@ def test_quote_cleaning_does_not_depend_on_what_runs_together(spark):
     key = lambda df: sorted(map(str, df.where("batch_id = 'b2'").collect()))
     alone = key(R.clean_quotes(q.where("batch_id = 'b2'")))
     assert key(R.clean_quotes(q)) == key(R.clean_quotes(q.where("batch_id <> 'b1'"))) == alone and len(alone) == 3
+
+
+def test_median_ranks_only_the_values_around_the_middle(spark, monkeypatch):
+    """Two values from a sketch enclose the median, so few values are sorted; where they miss it, all are."""
+    n = 20_000
+    df = spark.range(2 * n).select(F.when(F.col("id") < n, "a").alias("batch_id"), ((F.col("id") * 7919) % 10_007).cast("double").alias("v"),
+                                   F.when(F.col("id") % 3 != 0, F.lit(float("nan"))).otherwise(F.col("id")).alias("w"),
+                                   F.when(F.col("id") < n, 5).alias("x"), F.lit(None).cast("int").alias("z"))
+    ranked = []
+    index = C.series_index
+    monkeypatch.setattr(C, "series_index", lambda t, *a, **k: ranked.append(t) or index(t, *a, **k))
+    got = {r.batch_id: (r.v, str(r.w), r.x, r.z) for r in C.batch_medians(df, ["v", "w", "x", "z"]).collect()}
+    want = {}
+    for b, ids in (("a", range(n)), (None, range(n, 2 * n))):
+        v = sorted(i * 7919 % 10_007 for i in ids)
+        want[b] = ((v[n // 2 - 1] + v[n // 2]) / 2, "nan", 5.0 if b else None, None)   # NaN is above all numbers
+    assert got["a"] == want["a"]
+    assert ranked[0].where("_mf_col = 'v'").count() < 0.2 * 2 * n
+    assert ranked[0].where("_mf_col = 'w'").count() == 2 * n      # the middle is NaN, which a sketch leaves out
+    filled = C.fill_median(df.where("batch_id = 'a'").unionByName(df.limit(1).selectExpr("batch_id", "cast(null as double) v", "w", "x", "z")), ["v"])
+    assert filled.where("v is null").count() == 0
+    monkeypatch.setattr(C, "MEDIAN_SLACK", -0.3)      # bounds that never enclose it
+    assert C.batch_medians(df.where("batch_id = 'a'"), ["v"]).first().v == want["a"][0]

@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from marketframe.operators.series import BLK, IDX, OWN, fill_indexed, series_index, with_blocks
+from marketframe.operators import series
+from marketframe.operators.series import BLK, IDX, OWN, fill_indexed, fill_series, series_index, with_blocks
 from tests.test_plans import physical
 
 
@@ -77,3 +78,24 @@ def test_fills_take_no_frame_to_the_end(spark):
             past, later = [v for v in own[:i + 1] if v is not None], [v for v in own[i:] if v is not None]
             want[key, i] = past[-1] if past else later[0]
     assert {(r.symbol, r.t): r.v for r in filled.collect()} == want
+
+
+def test_long_series_are_cut_and_the_others_filled_whole(spark, monkeypatch):
+    """Series up to ``whole`` rows are sorted by one task, without a position for every row; with a lower
+    limit they go through blocks, and all ways give the same rows, ties and null keys included."""
+    rows = [(s, i // 3, float(i % 5) if i % 4 == 0 and i > 7 else None, i) for s, n in (("A", 90), ("B", 12), (None, 30)) for i in range(n)]
+    df = spark.createDataFrame(rows, "symbol string, t int, v double, x int")
+    got = lambda t: sorted(map(str, t.collect()))
+    monkeypatch.setattr(series, "series_index", lambda *a, **k: 1 / 0)
+    whole = got(fill_series(df, ["v"], ["symbol"], ["t"]))
+    monkeypatch.undo()
+    for limit in (0, 20, 50):
+        assert got(fill_series(df, ["v"], ["symbol"], ["t"], block=4, whole=limit)) == whole
+    last: dict = {}
+    want = []
+    for s, t, v, x in sorted(rows, key=lambda r: (str(r[0]), r[1], -1.0 if r[2] is None else r[2], r[3])):
+        last[s] = v if v is not None else last.get(s)
+        want.append([s, t, last[s], x])
+    first = {s: next(v for k, _, v, _ in want if k == s and v is not None) for s in last}
+    assert sorted(str((s, t, v if v is not None else first[s], x)) for s, t, v, x in want) == sorted(
+        str((r.symbol, r.t, r.v, r.x)) for r in fill_series(df, ["v"], ["symbol"], ["t"]).collect())
