@@ -250,23 +250,42 @@ class Lookup:
         return self.values[at]
 
 
-def _score_group(order: int, fields: list[str]):
-    def run(docs: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
-        if not len(docs):
-            return pd.DataFrame(columns=fields)
-        is_word = told["word"].notna().to_numpy(bool)
-        lp = Lookup(told["win"].to_numpy(np.int64)[~is_word].view(np.uint64), told["val"].to_numpy(float)[~is_word])
-        index = {w.encode("utf-8"): i for i, w in enumerate(told["word"][is_word])}
-        term, known = told["val"].to_numpy(float)[is_word], told["known"].to_numpy(bool)[is_word]
-        rows = []
-        for text in docs["text"]:
-            raw = text.encode("utf-8")
-            score = sum(float(lp.get(w).sum()) for w in windows(raw, order))
-            toks = words(raw)
-            at = np.fromiter(map(index.__getitem__, toks), np.int64, len(toks))
-            rows.append((len(toks), int(known[at].sum()), float(term[at].sum()), score))
-        stats = pd.DataFrame(rows, columns=["n_tokens", "n_known", "base_score", "score"])
-        return pd.concat([docs.drop(columns=["text", "grp"]).reset_index(drop=True), stats], axis=1)[fields]
+# Kinds of rows that a group gets for its scores.
+_DOC, _WINDOW, _KNOWN, _UNKNOWN = range(4)
+
+
+def _score_group(order: int):
+    """A group's texts, windows and words come in batches, in any order; kept are its texts as bytes, two
+    numbers a window and an entry a word, and rows leave in slices."""
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        docs: list[tuple] = []
+        index: dict[bytes, int] = {}
+        keys, values, term, known = [], [], [], []
+        for frame in frames:
+            kind, text = frame["kind"].to_numpy(), frame["text"].to_numpy()
+            win, val = frame["win"].to_numpy(np.int64), frame["val"].to_numpy(float)
+            is_doc, is_win = kind == _DOC, kind == _WINDOW
+            keys.append(win[is_win].view(np.uint64))
+            values.append(val[is_win])
+            is_word = ~(is_doc | is_win)
+            index.update((w.encode("utf-8"), i) for i, w in enumerate(text[is_word], len(index)))
+            term.append(val[is_word])
+            known.append(kind[is_word] == _KNOWN)
+            docs += zip(frame["doc_id"].to_numpy()[is_doc], win[is_doc], (t.encode("utf-8") for t in text[is_doc]))
+            del frame, text, kind, win, val
+        if not docs:
+            return
+        lp = Lookup(np.concatenate(keys), np.concatenate(values))
+        del keys, values
+        terms, knowns = np.concatenate(term), np.concatenate(known)
+        for k in range(0, len(docs), _SLICE):
+            rows = []
+            for doc_id, held, raw in docs[k:k + _SLICE]:
+                score = sum(float(lp.get(w).sum()) for w in windows(raw, order))
+                toks = words(raw)
+                at = np.fromiter(map(index.__getitem__, toks), np.int64, len(toks))
+                rows.append((doc_id, held, len(toks), int(knowns[at].sum()), float(terms[at].sum()), score))
+            yield pd.DataFrame(rows, columns=["doc_id", "held", "n_tokens", "n_known", "base_score", "score"])
 
     return run
 
@@ -296,16 +315,18 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     lps = stage(window_scores(by_win.select("win", "n"), trie(counts, order), order), "window-scores")
     den = math.log10(n + 0.5 * (v + 1))
     zero, none = F.lit(0).cast("long"), F.lit(None).cast("string")
-    told = (by_win.join(lps, "win")
-                  .select(F.explode("grps").alias("grp"), "win", none.alias("word"), F.col("lp").alias("val"),
-                          F.lit(True).alias("known"))
+    # Texts, windows and words of a group are rows of one frame, which comes in batches (a cogroup hands over both
+    # sides whole). Ids go as text: whole numbers beside nulls would turn into floating ones.
+    no_id, no_val = none.alias("doc_id"), F.lit(0.0).alias("val")
+    held = F.coalesce(F.col("held_out").cast("long"), F.lit(-1).cast("long")).alias("win")
+    rows = (src.select("grp", F.lit(_DOC).alias("kind"), F.col("doc_id").cast("string").alias("doc_id"), "text", held, no_val)
+            .unionByName(by_win.join(lps, "win").select(
+                F.explode("grps").alias("grp"), F.lit(_WINDOW).alias("kind"), no_id, none.alias("text"), "win", F.col("lp").alias("val")))
             .unionByName(by_word.select(
-                F.explode("grps").alias("grp"), zero.alias("win"), "word",
-                (F.log10(F.col("n") + 0.5) - F.lit(den)).alias("val"), (F.col("n") > 0).alias("known"))))
-    fields = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
-    kind = src.schema["doc_id"].dataType.simpleString()
-    out = src.groupBy("grp").cogroup(told.groupBy("grp")).applyInPandas(
-        _score_group(order, fields),
-        f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
-    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),
-                      "base_score", "score")
+                F.explode("grps").alias("grp"), F.when(F.col("n") > 0, _KNOWN).otherwise(_UNKNOWN).alias("kind"), no_id,
+                F.col("word").alias("text"), zero.alias("win"), (F.log10(F.col("n") + 0.5) - F.lit(den)).alias("val"))))
+    out = rows.groupBy("grp").applyInPandas(
+        _score_group(order), "doc_id string, held long, n_tokens long, n_known long, base_score double, score double")
+    return out.select(F.col("doc_id").cast(src.schema["doc_id"].dataType).alias("doc_id"),
+                      F.when(F.col("held") >= 0, F.col("held") == 1).alias("held_out"), "n_tokens", "n_known",
+                      F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")

@@ -187,3 +187,28 @@ def test_lm_group_counts_come_in_slices(monkeypatch):
         is_word = rows["word"].notna()
         assert dict(zip(rows["win"][~is_word], rows["n"][~is_word])) == wins and len(rows) == len(wins) + len(terms)
         assert dict(zip(rows["word"][is_word], rows["n"][is_word])) == terms and set(rows["grp"]) == {5}
+
+
+def test_lm_scores_come_from_batches_in_any_order(spark, monkeypatch):
+    """A group's texts, windows and words arrive mixed in small batches and its rows leave in slices; ids above
+    2 ** 53 beside null ids stay whole."""
+    texts = [(i, f"a{i % 3} b {'c' * (i % 5)}") for i in range(30)]
+    wins = np.unique(np.concatenate([w for _, t in texts for w in lm_score.windows(t.encode(), 2)])).astype(np.int64)
+    terms = sorted({w.decode() for _, t in texts for w in lm_score.words(t.encode())})
+    rows = ([(lm_score._DOC, str(i), t, i % 2, 0.0) for i, t in texts] + [(lm_score._WINDOW, None, None, w, w / 7) for w in wins]
+            + [(lm_score._KNOWN if len(w) < 3 else lm_score._UNKNOWN, None, w, 0, float(len(w))) for w in terms])
+    random.Random(3).shuffle(rows)
+    frames = [pd.DataFrame(rows[k:k + 11], columns=["kind", "doc_id", "text", "win", "val"]) for k in range(0, len(rows), 11)]
+    monkeypatch.setattr(lm_score, "_SLICE", 7)
+    parts = list(lm_score._score_group(2)(iter(frames)))
+    assert len(parts) == 5 and max(map(len, parts)) == 7 and not list(lm_score._score_group(2)(iter([])))
+    got = {r.doc_id: r for part in parts for r in part.itertuples()}
+    for i, t in texts:
+        toks, r = [w.decode() for w in lm_score.words(t.encode())], got[str(i)]
+        assert (r.held, r.n_tokens, r.n_known, r.base_score) == (i % 2, len(toks), sum(len(w) < 3 for w in toks), sum(map(len, toks)))
+        assert math.isclose(r.score, sum(w.astype(np.int64).sum() / 7 for w in lm_score.windows(t.encode(), 2)))
+    monkeypatch.undo()
+    ids = [2 ** 53 + 1, None, 2 ** 53 + 3]
+    df = spark.createDataFrame([(i, "ab") for i in ids], "doc_id long, text string")
+    out = lm_score.score(df, F.lit(False))
+    assert {r.doc_id for r in out.collect()} == set(ids) and "FlatMapCoGroups" not in out._jdf.queryExecution().toString()
